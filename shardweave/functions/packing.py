@@ -11,9 +11,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-VECTORS = "ARRAY<ARRAY<FLOAT>>"
+VECTORS = T.ArrayType(T.ArrayType(T.FloatType()))
 
 
 def pack_matrix(vectors) -> str:
@@ -57,7 +58,7 @@ def npz_arrays(raw: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-@arrow_udf("STRING")
+@arrow_udf(T.StringType())
 def _pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         yield pa.array([None if v is None else pack_matrix(v) for v in batch.to_pylist()], pa.string())
@@ -84,7 +85,7 @@ def pack_npz(named: dict[str, Column], bfloat16: bool = False) -> Column:
     """Named ARRAY<ARRAY<FLOAT>> columns as one npz member; null when a record has none of them."""
     names = list(named)
 
-    @arrow_udf("BINARY")
+    @arrow_udf(T.BinaryType())
     def archive(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for columns in batches:
             out = []
@@ -93,7 +94,7 @@ def pack_npz(named: dict[str, Column], bfloat16: bool = False) -> Column:
                 out.append(npz_bytes(present, bfloat16) if present else None)
             yield pa.array(out, pa.binary())
 
-    @arrow_udf("BINARY")
+    @arrow_udf(T.BinaryType())
     def archive_one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
             out = [

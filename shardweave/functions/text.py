@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 START_MARK = "<start_of_text>"
 END_MARK = "<end_of_text>"
 
-# Complete base64: whole groups of four, padding only at the end.
-_BASE64 = r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
+# Complete base64 also has whole groups of four. (A pattern with a repeated group of four would
+# recurse once per group and overflow the stack on large images.)
+_BASE64 = r"^[A-Za-z0-9+/]*={0,2}\z"
 
 
 def clean_caption(text: Column) -> Column:
@@ -30,7 +31,8 @@ def image_bytes(image: Column, kind: str) -> Column:
     if kind == "binary":
         return F.coalesce(image, F.lit(b""))
     if kind == "string":
-        decoded = F.when(image.rlike(_BASE64), F.try_to_binary(image, F.lit("base64")))
+        strict = (F.pmod(F.length(image), F.lit(4)) == 0) & image.rlike(_BASE64)
+        decoded = F.when(strict, F.try_to_binary(image, F.lit("base64")))
         return F.when(image.isNull(), F.lit(b"")).otherwise(decoded)
     return F.lit(b"")
 
@@ -58,3 +60,15 @@ def raw_file_type(path: Column) -> Column:
 def basename(path: Column) -> Column:
     """Part of a path after its last slash."""
     return F.element_at(F.split(path, "/"), -1)
+
+
+def canonical_path(path: Column, encoded: bool = False) -> Column:
+    """One spelling per file: local paths without a scheme, ``encoded`` URIs decoded."""
+    if encoded:
+        path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def base64_text(data: Column) -> Column:
+    """Base64 without the line breaks that Spark's function may insert."""
+    return F.replace(F.base64(data), F.lit("\r\n"), F.lit(""))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from shardweave.functions.packing import pack_npz
 from shardweave.functions.tensor import to_bfloat16
+from shardweave.functions.text import base64_text
 from shardweave.functions.text import image_bytes as decode_image
 
 VECTOR_LIST = T.ArrayType(T.ArrayType(T.FloatType()))
@@ -171,7 +172,7 @@ def unwrap_features(df: DataFrame, schema: T.StructType, column: str = "features
         first = F.get(feature["bytes"], F.lit(0))
         kind = field.dataType
         if field.name == "image":
-            value = F.base64(first) if isinstance(kind, T.StringType) else first
+            value = base64_text(first) if isinstance(kind, T.StringType) else first
         elif isinstance(kind, T.StringType):
             value = F.try_validate_utf8(first.cast("string"))
         elif isinstance(kind, T.ArrayType):

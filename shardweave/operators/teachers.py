@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 
 from shardweave.functions.text import END_MARK, START_MARK
 
@@ -96,3 +97,21 @@ class HashCaption:
             chosen = sentences[int(draw * len(sentences))]
             out.append(f"pad{START_MARK}{chosen} .rest{END_MARK}pad")
         return out
+
+
+class HashRows:
+    """Row function: the non-empty word buckets of each text, one row per bucket."""
+
+    def __init__(self, dim: int):
+        self.text = HashText(dim)
+
+    def __call__(self, batch: pd.DataFrame) -> pd.DataFrame:
+        counts = self.text.embed_texts(batch["text"].tolist())
+        rows, buckets = np.nonzero(counts)
+        return pd.DataFrame(
+            {
+                "uid": batch["uid"].to_numpy()[rows],
+                "bucket": buckets.astype("int32"),
+                "n": counts[rows, buckets].astype("int64"),
+            }
+        )
