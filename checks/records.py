@@ -2,14 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from checks.base import RECORDS, check, dirty_images, images, records, sql_checksum, table
-from checks.base import checksum
+from checks.base import RECORDS, check, checksum, dirty_images, records, sql_checksum, table
 from shardweave.functions import tensor as px
 from shardweave.functions import text as tx
 from shardweave.operators import records as shape
 
 _DIRTY = f"""{RECORDS}, dirty AS (
-  SELECT *, CASE WHEN lang = 'de' THEN '@@@' WHEN lang = 'es' THEN '' ELSE base64(text::BLOB) END AS image,
+  SELECT *, CASE WHEN lang = 'de' THEN '@@@' WHEN lang = 'es' THEN '' ELSE base64(encode(text)) END AS image,
     CASE WHEN lang = 'de' THEN 'undecodable' WHEN lang = 'es' THEN 'empty' ELSE NULL END AS reason
   FROM records)"""
 
@@ -226,5 +225,3 @@ def _(spark, sf):
         "vec_id", checksum(px.to_rgb(rgba), 4).alias("rgba_sum"), checksum(px.to_rgb(grey), 4).alias("grey_sum")
     )
 
-
-__all__ = ["captioned", "images"]

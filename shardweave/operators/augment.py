@@ -234,3 +234,16 @@ def apply_rand_augment(df: DataFrame, image: str, ops: str, out: str) -> DataFra
     planned = df.withColumn("_ops", single)
     viewed = apply_views(planned, [Step("rand_augment")], image, "_ops", "_views")
     return viewed.withColumn(out, F.get("_views", F.lit(0))).drop("_ops", "_views")
+
+
+def teacher_preset(df: DataFrame, presets: DataFrame, key: str) -> DataFrame:
+    """Add ``resize``, ``crop``, ``mean`` and ``std`` of each record's teacher.
+
+    ``presets`` has one row per teacher: ``input_size`` and ``test_input_size`` as (channels, height,
+    width), ``crop_pct``, ``mean`` and ``std``. Spark broadcasts it by its measured size.
+    """
+    sizes = F.coalesce(F.col("test_input_size"), F.col("input_size"))
+    prepared = presets.select(
+        key, F.element_at(sizes, -1).alias("crop"), F.col("crop_pct").alias("_pct"), "mean", "std"
+    ).withColumn("resize", F.floor(F.col("crop") / F.col("_pct")).cast("int"))
+    return df.join(prepared.drop("_pct"), key, "left")

@@ -78,6 +78,21 @@ def add_text_embeddings(
     return df.withColumn(out, embed_texts(F.when(F.col("_valid"), F.col("_texts")), teachers, batch_size))
 
 
+def _span(lengths: Column, key: str) -> Column:
+    """Where the texts of ``key`` start among all texts of a record (from 1), and how many they are."""
+
+    def advance(acc: Column, entry: Column) -> Column:
+        here = entry["key"] == key
+        return F.struct(
+            (acc["next"] + entry["len"]).alias("next"),
+            F.when(here, acc["next"]).otherwise(acc["start"]).alias("start"),
+            F.when(here, entry["len"]).otherwise(acc["n"]).alias("n"),
+        )
+
+    begin = F.struct(F.lit(1).alias("next"), F.lit(None).cast("int").alias("start"), F.lit(0).alias("n"))
+    return F.aggregate(lengths, begin, advance)
+
+
 def split_text_embeddings(
     df: DataFrame, keys: list[str], suffix: str = "", vectors: str = "_text_emb"
 ) -> DataFrame:
@@ -86,28 +101,14 @@ def split_text_embeddings(
     ``_text_lengths`` lists (key, length) in the order in which the texts were collected; a key that
     a record does not have stays null.
     """
-    lengths = F.col("_text_lengths")
-    columns = {}
+    spans = {f"_span_{key}": _span(F.col("_text_lengths"), key) for key in keys}
+    sliced = {}
     for key in keys:
-        spans = F.aggregate(
-            lengths,
-            F.struct(F.lit(1).alias("at"), F.lit(None).cast("int").alias("start"), F.lit(0).alias("n")),
-            lambda acc, entry, k=key: F.struct(
-                (acc["at"] + entry["len"]).alias("at"),
-                F.when(entry["key"] == k, acc["at"]).otherwise(acc["start"]).alias("start"),
-                F.when(entry["key"] == k, entry["len"]).otherwise(acc["n"]).alias("n"),
-            ),
-        )
-        columns[f"_span_{key}"] = spans
-    spanned = df.withColumns(columns)
-    sliced = {
-        f"{key}_emb{suffix}": F.when(
-            F.col(vectors).isNotNull() & F.col(f"_span_{key}.start").isNotNull(),
-            F.slice(F.col(vectors), F.col(f"_span_{key}.start"), F.col(f"_span_{key}.n")),
-        )
-        for key in keys
-    }
-    return spanned.withColumns(sliced).drop(*columns)
+        span = F.col(f"_span_{key}")
+        present = F.col(vectors).isNotNull() & span["start"].isNotNull()
+        own = F.slice(F.col(vectors), F.coalesce(span["start"], F.lit(1)), span["n"])
+        sliced[f"{key}_emb{suffix}"] = F.when(present, own)
+    return df.withColumns(spans).withColumns(sliced).drop(*spans)
 
 
 def check_ensemble(teachers: list[TeacherSpec], steps: list[Step]) -> None:

@@ -21,6 +21,11 @@ def is_internal(name: str) -> bool:
     return name.startswith("_")
 
 
+def as_struct(schema: T.StructType | str) -> T.StructType:
+    """A schema given as a type or as DDL text."""
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 def record_keys(df: DataFrame) -> list[str]:
     """Keys of the records of ``df``."""
     return [c for c in df.columns if not is_internal(c)]
@@ -160,14 +165,14 @@ def normalise_emb_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(changed)
 
 
-def unwrap_features(df: DataFrame, schema: T.StructType, column: str = "features") -> DataFrame:
+def unwrap_features(df: DataFrame, schema: T.StructType | str, column: str = "features") -> DataFrame:
     """Columns of ``schema`` from a feature map: single values become scalars, longer numeric
     features stay lists, bytes become text, and what cannot be converted becomes null.
 
     The bytes of ``image`` become base64 text.
     """
     out = {}
-    for field in schema.fields:
+    for field in as_struct(schema).fields:
         feature = F.try_element_at(F.col(column), F.lit(field.name))
         first = F.get(feature["bytes"], F.lit(0))
         kind = field.dataType

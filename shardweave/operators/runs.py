@@ -72,7 +72,7 @@ def caption_run(
     source: str,
     out: str,
     teacher: TeacherSpec,
-    schema: T.StructType,
+    schema: T.StructType | str,
     num_samples: int = 5,
     tag_suffix: str = "",
     output_format: str = "wds",
@@ -102,7 +102,7 @@ def embedding_run(
     source: str,
     out: str,
     teachers: list[TeacherSpec],
-    schema: T.StructType,
+    schema: T.StructType | str,
     aug_config: Mapping,
     decode: Column,
     num_samples: int = 5,

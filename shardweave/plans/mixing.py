@@ -140,11 +140,14 @@ def draw_pairs(df: DataFrame, keys: list[str], buckets: int, seed: int, payload:
     return paired.select(*df.columns, *taken)
 
 
-def with_partner(df: DataFrame, partner_key: str, key: str, payload: list[str]) -> DataFrame:
-    """Fetch the ``payload`` of stored partners by id; a partner many records share is a skewed
-    key, which adaptive execution splits because the other side has one row per id."""
-    others = df.select(F.col(key).alias(partner_key), *[F.col(p).alias(f"{p}2") for p in payload])
-    return df.join(others, partner_key, "left")
+def with_partner(df: DataFrame, others: DataFrame, partner: str, key: str, payload: list[str]) -> DataFrame:
+    """Fetch the ``payload`` of stored partners by id, as ``<name>2``.
+
+    ``others`` has one row per ``key``. A partner that very many records share is a skewed join key
+    on the left only, which adaptive execution splits.
+    """
+    fetched = others.select(F.col(key).alias(partner), *[F.col(p).alias(f"{p}2") for p in payload])
+    return df.join(fetched, partner, "left")
 
 
 def mix_one_of(first: Column, second: Column, label: Column, label2: Column, draws: Draws, config: dict) -> Column:

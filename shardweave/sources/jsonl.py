@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from shardweave.functions.packing import pack_embedding
 from shardweave.functions.tensor import to_bfloat16
 from shardweave.functions.text import canonical_path
-from shardweave.operators.records import emb_name, record_keys
+from shardweave.operators.records import as_struct, emb_name, record_keys
 
 POSITION = "STRUCT<block: BIGINT, line: BIGINT>"
 
@@ -58,15 +58,10 @@ def read_jsonl(spark: SparkSession, paths: list[str], schema: T.StructType | str
     records = lines.filter(is_object).select(parsed.alias("record"), "_shard", "_pos")
     if schema is None:
         return records
-    fields = _fields(schema)
-    columns = [field_of(F.col("record"), f).alias(f.name) for f in fields]
+    columns = [field_of(F.col("record"), f).alias(f.name) for f in as_struct(schema).fields]
     return records.select(*columns, "_shard", "_pos")
 
 
-def _fields(schema: T.StructType | str) -> list[T.StructField]:
-    return (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
-
-
 def read_jsonl_rejects(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Number of skipped lines per shard."""
     _, is_object = parsed_object(F.col("value"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from shardweave.operators.records import unwrap_features
+from shardweave.operators.records import as_struct, unwrap_features
 from shardweave.sources.jsonl import read_jsonl
 from shardweave.sources.paths import shard_paths, with_format
 from shardweave.sources.tar import read_tar_samples
@@ -28,8 +28,9 @@ def paths_by_format(paths: DataFrame) -> dict[str, list[str]]:
     return grouped
 
 
-def read_shards(spark: SparkSession, source: str | DataFrame, schema: T.StructType) -> DataFrame:
+def read_shards(spark: SparkSession, source: str | DataFrame, schema: T.StructType | str) -> DataFrame:
     """Records of all shards of a manifest, pattern or table of paths, with ``_shard`` and ``_pos``."""
+    schema = as_struct(schema)
     paths = shard_paths(spark, source) if isinstance(source, str) else source
     grouped = paths_by_format(paths)
     parts = []

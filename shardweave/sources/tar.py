@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from shardweave.functions.packing import npz_arrays
+from shardweave.operators.records import as_struct
 from shardweave.session import checkpointed
 from shardweave.sources.files import open_fs, plan_ranges, spread
 from shardweave.sources.jsonl import field_of
@@ -149,7 +150,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_tar_samples(
     spark: SparkSession,
     paths: DataFrame | list[str],
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     split_bytes: int = 1 << 30,
 ) -> DataFrame:
     """Samples of tar shards: consecutive members of one record make one row.
@@ -166,7 +167,7 @@ def read_tar_samples(
     known = ("uid", "url", "text", "image")
     parsed = samples.withColumn("_parsed", F.try_parse_json("json"))
     columns = []
-    for field in schema.fields:
+    for field in as_struct(schema).fields:
         value = field_of(F.col("_parsed"), field)
         if field.name in known:
             value = F.coalesce(F.col(field.name).cast(field.dataType), value)

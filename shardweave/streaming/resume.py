@@ -11,22 +11,23 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shardweave.functions.text import canonical_path
 from shardweave.operators.ledger import append_ledger
+from shardweave.operators.records import as_struct
 from shardweave.operators.shards import out_name, piece_of
 from shardweave.sources.jsonl import POSITION, field_of, parsed_object
 from shardweave.sources.sink import write_shards
 
 
-def _records(lines: DataFrame, schema: T.StructType) -> DataFrame:
+def _records(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
     parsed, is_object = parsed_object(F.col("value"))
     kept = lines.filter(is_object).withColumn("_record", parsed)
-    return kept.select(*[field_of(F.col("_record"), f).alias(f.name) for f in schema.fields], "_shard", "_pos")
+    return kept.select(*[field_of(F.col("_record"), f).alias(f.name) for f in as_struct(schema).fields], "_shard", "_pos")
 
 
 def stream_shards(
     spark: SparkSession,
     folder: str,
     out: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     enrich: Callable[[DataFrame], DataFrame],
     output_format: str = "jsonl",
     freq: int = 1000,
