@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shardweave.functions import tensor as px
 from shardweave.functions.text import base64_text
+from shardweave.session import balanced
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,7 +50,15 @@ def written_once(spark: SparkSession, sf: str, label: str, write: Callable[[str]
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as records: shard = source, position = doc_id, synthetic texts = all sentences."""
-    d = table(spark, sf, "documents")
+    return _records(table(spark, sf, "documents"))
+
+
+def balanced_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, spread over the cores: the table is one file with one row group."""
+    return _records(balanced(table(spark, sf, "documents"), ["doc_id"]))
+
+
+def _records(d: DataFrame) -> DataFrame:
     sentences = F.filter(F.transform(F.split("text", "[.]"), lambda s: F.trim(s)), lambda s: s != "")
     return d.select(
         F.col("doc_id").cast("string").alias("uid"),

@@ -59,6 +59,11 @@ def _(spark, sf):
     return digests(tar.read_tar_samples(spark, files, RECORD))
 
 
+def third(files):
+    """Range size that cuts an average file in about three."""
+    return int(files.agg(F.avg("bytes") / 3).first()[0])
+
+
 @check(
     "read_tar_samples",
     f"""WITH {RECORDS}, numbered AS (SELECT *, lpad((dense_rank() OVER (ORDER BY _shard) - 1)::VARCHAR, 8, '0') || '.tar' AS shard,
@@ -70,7 +75,7 @@ def _(spark, sf):
     from pyspark.sql import Window
 
     files = paths.list_files(spark, tar_folder(spark, sf), [".tar"])
-    samples = tar.read_tar_samples(spark, files, split_bytes=64 << 10)
+    samples = tar.read_tar_samples(spark, files, split_bytes=third(files))
     place = F.row_number().over(Window.partitionBy("_shard").orderBy("_pos"))
     keys = F.from_json("json", "syn_text ARRAY<STRING>")
     return samples.select(
@@ -281,7 +286,7 @@ def _(spark, sf):
     from pyspark.sql import Window
 
     files = paths.list_files(spark, tfrecord_folder(spark, sf), [".tfrecord"])
-    r = tfrecord.read_tfrecord(spark, files, split_bytes=64 << 10)
+    r = tfrecord.read_tfrecord(spark, files, split_bytes=third(files))
     feature = lambda name, kind: F.get(F.col("features")[name][kind], F.lit(0))
     place = F.row_number().over(Window.partitionBy("_shard").orderBy("_pos"))
     return r.select(

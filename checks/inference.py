@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.augment import CHAIN, CHAIN_SQL, DRAWS, SEED
-from checks.base import IMAGES, RECORDS, check, checksum, dirty_images, images, records, sql_u
+from checks.base import IMAGES, RECORDS, balanced_records, check, checksum, dirty_images, images, sql_u
 from shardweave.operators import infer as inf
 from shardweave.operators import records as shape
 from shardweave.operators.shards import name_shards
@@ -21,7 +21,7 @@ def sql_bucket(word: str, dim: int) -> str:
 )
 def _(spark, sf):
     rows = inf.infer(
-        records(spark, sf).select("uid", "text"), TeacherSpec(HashRows, {"dim": 16}), 256, "uid STRING, bucket INT, n LONG"
+        balanced_records(spark, sf).select("uid", "text"), TeacherSpec(HashRows, {"dim": 16}), 256, "uid STRING, bucket INT, n LONG"
     )
     return rows.withColumn("bucket", F.col("bucket").cast("bigint"))
 
@@ -73,7 +73,7 @@ _TEXTS = f"""{RECORDS}, texts AS (SELECT uid, 'text' AS key, text AS t FROM reco
 
 
 def embedded_texts(spark, sf, teachers):
-    r = records(spark, sf).withColumn("_valid", F.lit(True))
+    r = balanced_records(spark, sf).withColumn("_valid", F.lit(True))
     texts = shape.collect_texts(r)
     return inf.split_text_embeddings(inf.add_text_embeddings(texts, teachers), ["text", "syn_text"])
 
@@ -103,7 +103,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     both = [TeacherSpec(HashText, {"dim": 8}), TeacherSpec(HashText, {"dim": 5})]
-    r = records(spark, sf).select("uid", F.array("text").alias("texts"))
+    r = balanced_records(spark, sf).select("uid", F.array("text").alias("texts"))
     e = r.select(
         "uid",
         inf.embed_texts(F.col("texts"), both).alias("joint"),
@@ -147,7 +147,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Flagship: collect texts, embed them, name the output shards, sum up per shard."""
-    r = name_shards(records(spark, sf).withColumn("_valid", F.lit(True)), "count", "jsonl")
+    r = name_shards(balanced_records(spark, sf).withColumn("_valid", F.lit(True)), "count", "jsonl")
     e = inf.add_text_embeddings(shape.collect_texts(r), [TeacherSpec(HashText, {"dim": 16})])
     own = F.get(F.col("_text_emb"), F.lit(0))
     counted = e.select(

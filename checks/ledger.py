@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.base import RECORDS, check, records, written_once
-from checks.files import RECORD, jsonl_folder
+from checks.files import RECORD, jsonl_folder, third
 from shardweave.functions import text as tx
 from shardweave.operators import ledger as lg
 from shardweave.operators import shards as sh
@@ -197,9 +197,12 @@ def _(spark, sf):
 def stream_folder(spark, sf):
     """The stream, started twice: the second start finds nothing new."""
 
+    folder = jsonl_folder(spark, sf)
+    limit = third(paths.list_files(spark, folder, [".jsonl"]))
+
     def write(out):
         for _ in range(2):
-            query = stream_shards(spark, jsonl_folder(spark, sf), out, RECORD, marked, freq=7, pieces=3)
+            query = stream_shards(spark, folder, out, RECORD, marked, freq=7, max_bytes=limit)
             query.awaitTermination()
 
     return written_once(spark, sf, "stream", write)
@@ -215,7 +218,7 @@ def _(spark, sf):
     ledger = lg.recover(spark, folder).groupBy(
         F.substring_index(tx.basename(F.col("input_path")), ".", 1).alias("source")
     ).agg(
-        F.count_distinct("output_path").between(2, 3).cast("int").alias("split"), F.sum("num_uids").alias("num_uids")
+        (F.count_distinct("output_path") > 1).cast("int").alias("split"), F.sum("num_uids").alias("num_uids")
     )
     data = read_shards(spark, paths.list_files(spark, folder, [".jsonl"]), RECORD + ", n_words BIGINT")
     words = data.groupBy(F.substring_index(tx.basename(F.col("_shard")), "-", 1).alias("source")).agg(

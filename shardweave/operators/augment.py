@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from shardweave.functions import tensor as px
 from shardweave.functions.draws import let
@@ -23,6 +24,9 @@ from shardweave.plans.config import Step, as_pair
 from shardweave.plans.geometry import resize_target
 from shardweave.plans.policies import ALL_OPS
 
+# Images whose views are built before they are handed back to Spark.
+SLICE = 256
+
 
 def _apply_step(step: Step, image: Column, value: Column | None, size=None) -> Column:
     """One image step; ``value`` holds its parameters, ``size`` replaces the configured crop size."""
@@ -207,23 +211,25 @@ def tensors_to_arrow(images: list[np.ndarray]) -> pa.StructArray:
     return pa.StructArray.from_arrays([*shapes, data], ["h", "w", "c", "data"])
 
 
+def _views_of(images: list, draws: list, steps: list[Step]) -> pa.Array:
+    """Views of some images as one Arrow array."""
+    flat, ends = [], [0]
+    for image, params in zip(images, draws):
+        if image is not None:
+            flat.extend(view_of(image, steps, p) for p in params)
+        ends.append(len(flat))
+    missing = pa.array([image is None for image in images], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tensors_to_arrow(flat), mask=missing)
+
+
 def apply_views(df: DataFrame, steps: list[Step], image: str, params: str, out: str = "views") -> DataFrame:
     """Add ``out``: one view per planned draw, computed on Arrow batches; null images give null."""
-    from pyspark.sql.functions import arrow_udf
-
     @arrow_udf(f"ARRAY<{px.TENSOR}>")
     def views(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for images, _, drawn, _ in batches:
-            flat, ends = [], [0]
-            missing = []
-            for im, draws in zip(images_of(images), drawn.to_pylist()):
-                missing.append(im is None)
-                if im is not None:
-                    flat.extend(view_of(im, steps, p) for p in draws)
-                ends.append(len(flat))
-            yield pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), tensors_to_arrow(flat), mask=pa.array(missing, pa.bool_())
-            )
+            tensors, draws = images_of(images), drawn.to_pylist()
+            for start in range(0, len(tensors), SLICE):
+                yield _views_of(tensors[start : start + SLICE], draws[start : start + SLICE], steps)
 
     return df.withColumn(out, once(views)(*pinned(image, params)))
 

@@ -131,20 +131,35 @@ def ensemble(parts: list[Column]) -> Column:
     return joined
 
 
-def _embed_views(views: list[np.ndarray], teachers, batch_size: int) -> np.ndarray:
+def _embed_views(views: list[np.ndarray], teachers: list[TeacherSpec]) -> np.ndarray:
     """Vectors of equally shaped views, all teachers side by side."""
-    parts = []
+    batch, parts = np.stack(views), []
     for spec in teachers:
-        model, vectors = loaded(spec), []
-        for start in range(0, len(views), batch_size):
-            batch = np.stack(views[start : start + batch_size])
-            if spec.input_size is not None and batch.shape[2] != as_pair(spec.input_size)[1]:
-                batch = kernels.resample(batch, as_pair(spec.input_size), "bicubic")
-            vectors.append(model.embed_images(batch))
-        parts.append(np.concatenate(vectors))
+        sized = batch
+        if spec.input_size is not None and batch.shape[2] != as_pair(spec.input_size)[1]:
+            sized = kernels.resample(batch, as_pair(spec.input_size), "bicubic")
+        parts.append(loaded(spec).embed_images(sized))
     return np.concatenate(parts, axis=1)
 
 
+def _embed_slice(images: list, draws: list, steps: list[Step], teachers: list[TeacherSpec]) -> pa.Array:
+    """Vectors of all views of some images; the views do not outlive the slice."""
+    views, counts = [], []
+    for image, params in zip(images, draws):
+        counts.append(None if image is None else len(params))
+        if image is not None:
+            views.extend(view_of(image, steps, p) for p in params)
+    by_shape: dict[tuple, list[int]] = {}
+    for position, view in enumerate(views):
+        by_shape.setdefault(view.shape, []).append(position)
+    rows: list = [None] * len(views)
+    for positions in by_shape.values():
+        vectors = _embed_views([views[p] for p in positions], teachers)
+        for position, vector in zip(positions, vectors):
+            rows[position] = vector[None]
+    return _vectors(counts, rows)
+
+
 def embed_planned(
     df: DataFrame,
     image: str,
@@ -159,20 +174,10 @@ def embed_planned(
     @arrow_udf(VECTORS)
     def embed(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for images, _, drawn, _ in batches:
-            views, counts = [], []
-            for im, draws in zip(images_of(images), drawn.to_pylist()):
-                counts.append(None if im is None else len(draws))
-                if im is not None:
-                    views.extend(view_of(im, steps, p) for p in draws)
-            by_shape: dict[tuple, list[int]] = {}
-            for position, view in enumerate(views):
-                by_shape.setdefault(view.shape, []).append(position)
-            rows: list = [None] * len(views)
-            for positions in by_shape.values():
-                vectors = _embed_views([views[p] for p in positions], teachers, batch_size)
-                for position, vector in zip(positions, vectors):
-                    rows[position] = vector[None]
-            yield _vectors(counts, rows)
+            tensors, draws = images_of(images), drawn.to_pylist()
+            step = max(1, batch_size // max(1, max((len(d) for d in draws if d), default=1)))
+            for start in range(0, len(tensors), step):
+                yield _embed_slice(tensors[start : start + step], draws[start : start + step], steps, teachers)
 
     return df.withColumn(out, once(embed)(*pinned(image, params)))
 

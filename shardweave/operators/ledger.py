@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shardweave.functions.text import basename, canonical_path
 from shardweave.operators.positions import global_index
-from shardweave.operators.shards import name_shards, shard_outputs, shard_table
+from shardweave.operators.shards import MAX_BYTES, name_shards, shard_outputs, shard_table_of_files
 from shardweave.session import checkpointed
 from shardweave.sources.files import open_fs
 from shardweave.sources.sink import write_shards
@@ -137,20 +137,6 @@ def _ledger_rows(
     )
 
 
-def _empty_rows(paths: DataFrame, wave: int) -> DataFrame:
-    """Ledger rows of input shards without any record, so that they do not stay pending."""
-    return paths.select(
-        F.lit(wave).cast("bigint").alias("wave"),
-        F.col("path").alias("input_path"),
-        F.lit(None).cast("string").alias("output_path"),
-        F.lit(0).cast("bigint").alias("num_uids"),
-        F.lit(0.0).alias("time_seconds"),
-        F.lit(0.0).alias("cpu_seconds"),
-        F.lit(0.0).alias("gpu_seconds"),
-        F.current_timestamp().alias("finished_at"),
-    )
-
-
 def run_waves(
     spark: SparkSession,
     paths: DataFrame,
@@ -160,7 +146,7 @@ def run_waves(
     output_format: str = "jsonl",
     naming: str = "count",
     freq: int = 1000,
-    max_records: int | None = None,
+    max_bytes: int = MAX_BYTES,
     bfloat16: bool = False,
     max_waves: int | None = None,
     gpus: int = 0,
@@ -169,30 +155,29 @@ def run_waves(
 
     Each wave writes its data and then its ledger part, so an interrupted run repeats at most one
     wave, under the same names. ``read`` turns a table of paths into records with ``_shard`` and
-    ``_pos``; ``enrich`` adds columns and keeps all that start with an underscore. With
-    ``max_records`` large input shards are spread over several output shards, which takes a scan to
-    count them; without it names follow from the paths alone.
+    ``_pos``; ``enrich`` adds columns and keeps all that start with an underscore. Input files of more
+    than ``max_bytes`` are spread over several output shards.
     """
     spelled = paths.select(canonical_path(F.col("path")).alias("path"))
-    todo = checkpointed(global_index(pending_shards(spelled, recover(spark, out)), ["path"], "_turn"))
-    count, wave, done = todo.count(), next_wave(recover(spark, out)), 0
+    ledger = recover(spark, out)
+    todo = checkpointed(global_index(pending_shards(spelled, ledger), ["path"], "_turn"))
+    count, wave, done = todo.count(), next_wave(ledger), 0
+    start = next_index(ledger).first()["next_index"]
     cpus = spark.sparkContext.defaultParallelism
     extension = "jsonl" if output_format == "jsonl" else "tar"
     for first in range(0, count, freq):
         if max_waves is not None and done >= max_waves:
             break
         begun = time.monotonic()
-        start = next_index(recover(spark, out)).first()["next_index"]
         chosen = todo.filter((F.col("_turn") >= first) & (F.col("_turn") < first + freq)).select("path")
         records = read(chosen)
-        known = chosen.select(F.col("path").alias("_shard"))
-        shards = checkpointed(shard_table(records, start, max_records, known))
-        named = name_shards(records, naming, extension, max_records=max_records, shards=shards)
-        manifest = write_shards(enrich(named), out, output_format, f"wave-{wave:08d}", bfloat16)
-        seconds = time.monotonic() - begun
+        shards = checkpointed(shard_table_of_files(chosen, start, max_bytes))
         outputs = shard_outputs(shards, naming, extension)
+        files = outputs.count()
+        named = name_shards(records, naming, extension, shards=shards)
+        manifest = write_shards(enrich(named), out, output_format, f"wave-{wave:08d}", bfloat16, files)
+        seconds = time.monotonic() - begun
         rows = _ledger_rows(outputs, manifest, out, wave, seconds, cpus, gpus)
-        empty = chosen.join(shards.select(F.col("_shard").alias("path")), "path", "left_anti")
-        append_ledger(spark, out, wave, rows.unionByName(_empty_rows(empty, wave)))
-        wave, done = wave + 1, done + 1
+        append_ledger(spark, out, wave, rows)
+        wave, start, done = wave + 1, start + files, done + 1
     return done

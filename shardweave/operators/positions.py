@@ -20,7 +20,8 @@ def global_index(df: DataFrame, order: list[str], out: str, start: int = 0) -> D
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     within = Window.partitionBy("_range").orderBy(*order)
-    numbered = ranged.join(offsets, "_range").withColumn(
+    # One row per range, so a broadcast of at most the number of shuffle partitions.
+    numbered = ranged.join(F.broadcast(offsets), "_range").withColumn(
         out, (F.col("_offset") + F.row_number().over(within) - 1 + start).cast("bigint")
     )
     return numbered.drop("_range", "_offset")

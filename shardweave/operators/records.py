@@ -213,7 +213,9 @@ def to_members(df: DataFrame, bfloat16: bool = False) -> DataFrame:
         taken.add("url")
     leftover_image = None
     if "image" in keys:
-        payload = decode_image(F.col("image"), kinds["image"].simpleString())
+        # A column of its own, so that each image is decoded once.
+        df = df.withColumn("_payload", decode_image(F.col("image"), kinds["image"].simpleString()))
+        payload = F.col("_payload")
         members["jpg"] = F.when(F.length(payload) > 0, payload)
         taken.add("image")
         if isinstance(kinds["image"], T.StringType):
@@ -251,7 +253,7 @@ def to_members(df: DataFrame, bfloat16: bool = False) -> DataFrame:
             "_key": F.coalesce(*known),
             "_members": F.map_from_entries(F.filter(pairs, lambda m: m["content"].isNotNull())),
         }
-    )
+    ).drop("_payload")
 
 
 def _as_matrix(column: Column, kind: T.DataType, bfloat16: bool) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shardweave.operators import infer, records
 from shardweave.operators.ledger import full_manifest, recover, run_waves
-from shardweave.operators.shards import write_config, write_info_manifest, write_manifest
+from shardweave.operators.shards import MAX_BYTES, write_config, write_info_manifest, write_manifest
 from shardweave.operators.teachers import TeacherSpec
 from shardweave.plans.augment_plan import compress_draws
 from shardweave.plans.config import steps_from_config
@@ -80,7 +80,7 @@ def caption_run(
     freq: int = 1000,
     batch_size: int = 1024,
     seed: int = 0,
-    max_records: int | None = None,
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
     """Caption every pending shard of ``source`` into ``out``; returns the manifest of all runs."""
     run_waves(
@@ -92,7 +92,7 @@ def caption_run(
         output_format,
         naming,
         freq,
-        max_records,
+        max_bytes,
     )
     return _finish(spark, out, output_format)
 
@@ -114,7 +114,7 @@ def embedding_run(
     freq: int = 1000,
     batch_size: int = 1024,
     seed: int = 0,
-    max_records: int | None = None,
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
     """Embed every pending shard of ``source`` into ``out``; returns the manifest of all runs.
 
@@ -133,7 +133,7 @@ def embedding_run(
         output_format,
         naming,
         freq,
-        max_records,
+        max_bytes,
         bfloat16,
     )
     return _finish(spark, out, output_format)

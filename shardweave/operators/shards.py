@@ -12,11 +12,15 @@ from pyspark.sql import functions as F
 from shardweave.functions.draws import uniform
 from shardweave.functions.text import basename
 from shardweave.operators.positions import global_index
-from shardweave.sources.files import open_fs, spread
+from shardweave.session import checkpointed, join_small
+from shardweave.sources.files import file_sizes, open_fs, spread
 from shardweave.sources.paths import list_files
 from shardweave.sources.sink import read_manifest, write_lines
 
 DIGEST = "path STRING, bytes LONG, sha256 STRING"
+# Larger input shards are written as several output shards.
+MAX_RECORDS = 1_000_000
+MAX_BYTES = 1 << 30
 
 
 def shard_counts(df: DataFrame, shard: str = "_out") -> DataFrame:
@@ -50,32 +54,34 @@ def piece_of(pieces: Column, identity: list[str]) -> Column:
     return F.floor(uniform(0, key, 0, "piece") * pieces).cast("bigint")
 
 
-def shard_table(
-    df: DataFrame, start: int = 0, max_records: int | None = None, known: DataFrame | None = None
-) -> DataFrame:
-    """Input shards with the number of their first output shard and their number of pieces.
-
-    Numbers follow the order of the input paths, so a rerun gives the same names. ``known`` may list
-    the shards (column ``_shard``) when they are at hand, which saves the scan for them.
-    """
-    if max_records is None:
-        shards = (known if known is not None else df).select("_shard").distinct()
-        return global_index(shards, ["_shard"], "_first", start).withColumn("_pieces", F.lit(1).cast("bigint"))
-    sizes = df.groupBy("_shard").agg(F.count(F.lit(1)).alias("_n"))
-    pieces = sizes.select("_shard", F.ceil(F.col("_n") / max_records).cast("bigint").alias("_pieces"))
+def _numbered(pieces: DataFrame, start: int) -> DataFrame:
+    """Shard table from ``_shard`` and ``_pieces``: the running number of each shard's first piece."""
     each = pieces.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1)))
     indexed = global_index(each, ["_shard", "_piece"], "_index", start)
     return indexed.filter("_piece = 0").select("_shard", F.col("_index").alias("_first"), "_pieces")
 
 
-def out_name(naming: str, extension: str, piece: Column) -> Column:
-    """Name of an output shard, from a row of the shard table and a piece number.
+def shard_table(df: DataFrame, start: int = 0, max_records: int = MAX_RECORDS) -> DataFrame:
+    """Input shards with the number of their first output shard and their number of pieces.
 
-    Output is not compressed, so an input's compression suffix is not taken over.
+    Numbers follow the order of the input paths, so a rerun gives the same names.
     """
+    sizes = df.groupBy("_shard").agg(F.count(F.lit(1)).alias("_n"))
+    return _numbered(sizes.select("_shard", F.ceil(F.col("_n") / max_records).cast("bigint").alias("_pieces")), start)
+
+
+def shard_table_of_files(paths: DataFrame, start: int = 0, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """The same from the sizes of the input files, without reading them."""
+    pieces = F.greatest(F.ceil(F.col("bytes") / max_bytes).cast("bigint"), F.lit(1).cast("bigint"))
+    return _numbered(file_sizes(paths).select(F.col("path").alias("_shard"), pieces.alias("_pieces")), start)
+
+
+def out_name(naming: str, extension: str, piece: Column) -> Column:
+    """Name of an output shard, from a row of the shard table and a piece number."""
     if naming == "count":
         return F.concat(F.format_string("%08d", F.col("_first") + piece), F.lit(f".{extension}"))
     if naming == "orig":
+        # Output is not compressed, so an input's compression suffix is not taken over.
         base = F.regexp_replace(basename(F.col("_shard")), r"\.(gz|zst|zstd)$", "")
         stem, rest = F.substring_index(base, ".", 1), F.regexp_replace(base, r"^[^.]*", "")
         return F.when(F.col("_pieces") == 1, base).otherwise(
@@ -95,26 +101,23 @@ def name_shards(
     naming: str = "count",
     extension: str = "jsonl",
     start: int = 0,
-    max_records: int | None = None,
+    max_records: int = MAX_RECORDS,
     identity: list[str] | None = None,
     shards: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_out``, the name of the output shard of each record.
 
     ``count`` numbers the shards with eight digits from ``start``; ``orig`` keeps the input's base
-    name. With ``max_records`` a larger input shard is spread over several output shards, by a hash
-    of the ``identity`` columns (default: uid and position), so that no writer task receives more
-    than about that many records, however uneven the input is. The join is on the small table of
-    shards; Spark broadcasts it when its measured size allows, and splits a hot shard otherwise.
+    name. An input shard of more than ``max_records`` is spread over several output shards, by a hash
+    of the ``identity`` columns (default: uid and position), so that no writer task receives much
+    more than that, however uneven the input is. The join is with the table of shards (one row per
+    input file; ``shards``, if it is at hand), which is broadcast after its rows have been counted.
     """
-    table = shards if shards is not None else shard_table(df, start, max_records)
-    placed = df.join(table, "_shard")
-    if max_records is None:
-        piece = F.lit(0).cast("bigint")
-    else:
-        piece = F.when(F.col("_pieces") == 1, F.lit(0).cast("bigint")).otherwise(
-            piece_of(F.col("_pieces"), identity or [c for c in ("uid", "_pos") if c in df.columns])
-        )
+    table = shards if shards is not None else checkpointed(shard_table(df, start, max_records))
+    placed = join_small(df, table, "_shard")
+    spread_by = identity or [c for c in ("uid", "_pos") if c in df.columns]
+    only = F.lit(0).cast("bigint")
+    piece = F.when(F.col("_pieces") == 1, only).otherwise(piece_of(F.col("_pieces"), spread_by))
     return placed.withColumn("_out", out_name(naming, extension, piece)).drop("_first", "_pieces")
 
 

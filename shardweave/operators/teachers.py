@@ -56,11 +56,12 @@ class HashText:
         self.dim = dim
 
     def embed_texts(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.dim), np.float32)
-        for row, text in enumerate(texts):
-            buckets = [_word_hash(word) % self.dim for word in text.lower().split(" ")]
-            out[row] = np.bincount(buckets, minlength=self.dim)
-        return out
+        words = [text.lower().split(" ") for text in texts]
+        rows = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+        codes, known = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
+        buckets = np.array([_word_hash(w) % self.dim for w in known], dtype=np.int64)
+        cells = np.bincount(rows * self.dim + buckets[codes], minlength=len(texts) * self.dim)
+        return cells.reshape(len(texts), self.dim).astype(np.float32)
 
 
 @lru_cache(maxsize=64)

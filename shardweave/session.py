@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 _SHIPPED: set[str] = set()
@@ -43,6 +44,33 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# A table of at most this many short rows may be copied to every executor.
+BROADCAST_ROWS = 200_000
+
+
+def join_small(df: DataFrame, small: DataFrame, on: str | list[str], rows: int | None = None) -> DataFrame:
+    """Join a table that is usually small: broadcast once its counted rows allow it.
+
+    Beyond that Spark chooses the join itself, and splits hot keys of ``df`` at run time; ``small``
+    must have one row per key.
+    """
+    counted = small.count() if rows is None else rows
+    return df.join(F.broadcast(small) if counted <= BROADCAST_ROWS else small, on)
+
+
+def balanced(df: DataFrame, identity: list[str]) -> DataFrame:
+    """Spread the rows of a scan over all cores before costly Python work.
+
+    A few large files or row groups make few partitions. ``df`` must come straight from a scan; it is
+    left alone when it has enough partitions. ``identity`` must tell the records apart, so that
+    copies of one record spread as well; the exchange is by hash, hence the same on every attempt.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= wanted:
+        return df
+    return df.repartition(wanted, *identity)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application."""
     application = spark.sparkContext.applicationId

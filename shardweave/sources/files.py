@@ -52,6 +52,23 @@ def plan_ranges(
     return spread(paths.select("path")).mapInArrow(walk, RANGES)
 
 
+def file_sizes(paths: DataFrame) -> DataFrame:
+    """``path`` and ``bytes`` of each file, from the file system's own records."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column("path").to_pylist()
+            sizes = []
+            for path in names:
+                fs, inner = open_fs(path)
+                sizes.append(fs.get_file_info(inner).size or 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array(sizes, pa.int64())], ["path", "bytes"]
+            )
+
+    return paths.select("path").mapInArrow(look, "path STRING, bytes LONG")
+
+
 def spread(work: DataFrame) -> DataFrame:
     """One partition per row of a small table of work items (a row stands for a file or range).
 

@@ -133,36 +133,55 @@ class ShardFileSink(DataSource):
         return ShardFileWriter(dict(self.options))
 
 
-def write_chunks(df: DataFrame, chunk: Column, out: str, run: str, trailer: bytes = b"") -> None:
-    """Write one file per ``_out``, its chunks in the order of ``_pos``."""
+def write_chunks(
+    df: DataFrame, chunk: Column, out: str, run: str, trailer: bytes = b"", shards: int | None = None
+) -> None:
+    """Write one file per ``_out``, its chunks in the order of ``_pos``.
+
+    ``shards`` is the number of files to expect. It sets the number of writing tasks; without it the
+    session's number of shuffle partitions does.
+    """
     spark = df.sparkSession
     spark.dataSource.register(ShardFileSink)
-    ordered = df.repartition("_out").sortWithinPartitions("_out", "_pos")
+    placed = df.repartition("_out") if shards is None else df.repartition(max(1, shards), "_out")
+    ordered = placed.sortWithinPartitions("_out", "_pos")
     rendered = ordered.select("_out", "_shard", chunk.cast("binary").alias("chunk"))
     rendered.write.format(FORMAT).mode("append").option("run", run).option("trailer", trailer.hex()).save(out)
 
 
-def write_jsonl(df: DataFrame, out: str, run: str = "run", bfloat16: bool = False) -> DataFrame:
+def write_jsonl(
+    df: DataFrame, out: str, run: str = "run", bfloat16: bool = False, shards: int | None = None
+) -> DataFrame:
     """Write records as JSON-lines shards; returns the manifest of the run."""
     line = F.encode(to_json_lines(df, bfloat16), "UTF-8")
-    write_chunks(df.select("_out", "_shard", "_pos", line.alias("_line")), F.col("_line"), out, run)
+    write_chunks(df.select("_out", "_shard", "_pos", line.alias("_line")), F.col("_line"), out, run, shards=shards)
     return read_manifest(df.sparkSession, out).filter(F.col("run") == run)
 
 
-def write_tar_samples(df: DataFrame, out: str, run: str = "run", bfloat16: bool = False) -> DataFrame:
+def write_tar_samples(
+    df: DataFrame, out: str, run: str = "run", bfloat16: bool = False, shards: int | None = None
+) -> DataFrame:
     """Write records as tar shards, one set of members per record; returns the manifest of the run."""
     members = to_members(normalise_emb_names(df), bfloat16)
     entry = to_tar_chunk(F.col("_key"), F.col("_members"))
-    write_chunks(members.select("_out", "_shard", "_pos", entry.alias("_entry")), F.col("_entry"), out, run, TAR_TRAILER)
+    rendered = members.select("_out", "_shard", "_pos", entry.alias("_entry"))
+    write_chunks(rendered, F.col("_entry"), out, run, TAR_TRAILER, shards)
     return read_manifest(df.sparkSession, out).filter(F.col("run") == run)
 
 
-def write_shards(df: DataFrame, out: str, output_format: str, run: str = "run", bfloat16: bool = False) -> DataFrame:
-    """Write records in one of the output formats."""
+def write_shards(
+    df: DataFrame,
+    out: str,
+    output_format: str,
+    run: str = "run",
+    bfloat16: bool = False,
+    shards: int | None = None,
+) -> DataFrame:
+    """Write records in one of the output formats; returns the manifest of the run."""
     if output_format in ("wds", "webdataset", "tar"):
-        return write_tar_samples(df, out, run, bfloat16)
+        return write_tar_samples(df, out, run, bfloat16, shards)
     if output_format == "jsonl":
-        return write_jsonl(df, out, run, bfloat16)
+        return write_jsonl(df, out, run, bfloat16, shards)
     raise ValueError(f"unsupported output format: {output_format}")
 
 
@@ -171,7 +190,7 @@ def write_lines(df: DataFrame, line: Column, order: list[str], out: str, name: s
     place = [F.lit(name).alias("_out"), F.lit(None).cast("string").alias("_shard")]
     numbered = df.select(*place, F.struct(*order).alias("_pos"), line.alias("_line"))
     text = F.encode(F.concat(F.col("_line"), F.lit("\n")), "UTF-8")
-    write_chunks(numbered, text, out, f"{name}-lines")
+    write_chunks(numbered, text, out, f"{name}-lines", shards=1)
 
 
 def read_manifest(spark: SparkSession, out: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shardweave.functions.text import canonical_path
 from shardweave.operators.ledger import append_ledger
 from shardweave.operators.records import as_struct
-from shardweave.operators.shards import out_name, piece_of
+from shardweave.operators.shards import MAX_BYTES, out_name, piece_of
 from shardweave.sources.jsonl import POSITION, field_of, parsed_object
 from shardweave.sources.sink import write_shards
 
@@ -20,7 +20,7 @@ from shardweave.sources.sink import write_shards
 def _records(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
     parsed, is_object = parsed_object(F.col("value"))
     kept = lines.filter(is_object).withColumn("_record", parsed)
-    return kept.select(*[field_of(F.col("_record"), f).alias(f.name) for f in as_struct(schema).fields], "_shard", "_pos")
+    return kept.select(*[field_of(F.col("_record"), f).alias(f.name) for f in as_struct(schema).fields], "_shard", "_pos", "_out")
 
 
 def stream_shards(
@@ -31,7 +31,7 @@ def stream_shards(
     enrich: Callable[[DataFrame], DataFrame],
     output_format: str = "jsonl",
     freq: int = 1000,
-    pieces: int = 1,
+    max_bytes: int = MAX_BYTES,
     checkpoint: str | None = None,
 ) -> StreamingQuery:
     """Enrich every JSON-lines shard that is in ``folder``, then stop; started again it goes on with
@@ -39,32 +39,28 @@ def stream_shards(
 
     Each micro-batch takes up to ``freq`` shards. Its shards are named after their inputs and its
     manifest and ledger parts after the batch number, so a batch that Spark repeats after a failure
-    replaces its own earlier output. ``pieces`` spreads every input shard over that many output
-    shards.
+    replaces its own earlier output. Input files of more than ``max_bytes`` are spread over several
+    output shards.
     """
     lines = spark.readStream.option("maxFilesPerTrigger", freq).text(folder)
     numbered = lines.select(
         "value",
         canonical_path(F.col("_metadata.file_path"), encoded=True).alias("_shard"),
         F.col("_metadata.file_block_start").alias("_block"),
+        F.greatest(F.ceil(F.col("_metadata.file_size") / max_bytes), F.lit(1)).cast("bigint").alias("_pieces"),
     )
 
     def write(batch: DataFrame, number: int) -> None:
         extension = "jsonl" if output_format == "jsonl" else "tar"
-        placed = batch.select(
-            "value",
-            "_shard",
-            F.struct(F.col("_block").alias("block"), F.monotonically_increasing_id().alias("line"))
-            .cast(POSITION)
-            .alias("_pos"),
+        line = F.struct(F.col("_block").alias("block"), F.monotonically_increasing_id().alias("line"))
+        placed = batch.withColumn("_pos", line.cast(POSITION)).withColumn("_first", F.lit(0))
+        piece = F.when(F.col("_pieces") == 1, F.lit(0).cast("bigint")).otherwise(
+            piece_of(F.col("_pieces"), ["_pos"])
         )
-        records = _records(placed, schema).withColumn("_pieces", F.lit(pieces).cast("bigint"))
-        records = records.withColumn("_first", F.lit(0))
-        named = records.withColumn(
-            "_out", out_name("orig", extension, piece_of(F.col("_pieces"), ["_pos"]))
-        ).drop("_pieces", "_first")
+        named = placed.withColumn("_out", out_name("orig", extension, piece))
+        records = _records(named, schema)
         session = batch.sparkSession
-        manifest = write_shards(enrich(named), out, output_format, f"batch-{number:08d}")
+        manifest = write_shards(enrich(records), out, output_format, f"batch-{number:08d}")
         rows = manifest.select(
             F.lit(number).cast("bigint").alias("wave"),
             F.col("input").alias("input_path"),
