@@ -256,7 +256,8 @@ def sql_rand_augment(name: str, p: float, h: str, w: str, num_ops=2, magnitude=9
 
 def exploded_ops(df, plan):
     ops = df.withColumn("_ops", plan)
-    return ops.select("uid", F.col("draw").cast("bigint").alias("draw"), F.posexplode("_ops").alias("i", "o")).select(
+    each = ops.select("uid", F.col("draw").cast("bigint").alias("draw"), F.posexplode_outer("_ops").alias("i", "o"))
+    return each.filter("o IS NOT NULL").select(
         "uid",
         "draw",
         F.col("i").cast("bigint").alias("i"),
@@ -372,7 +373,7 @@ def planned_chain(spark, sf):
 
 
 def long_views(df, views="views"):
-    each = df.select("uid", F.posexplode(views).alias("draw", "view"))
+    each = df.select("uid", F.posexplode_outer(views).alias("draw", "view"))
     return each.select("uid", F.col("draw").cast("bigint").alias("draw"), checksum(F.col("view")).alias("view_sum"))
 
 
@@ -385,7 +386,7 @@ _VIEW_SUMS = f"WITH {CHAIN_SQL} SELECT uid, draw::BIGINT AS draw, {sql_checksum(
       CASE WHEN erased THEN ex END AS x, CASE WHEN erased THEN ew END AS erased_w FROM plan""",
 )
 def _(spark, sf):
-    each = planned_chain(spark, sf).select("uid", F.posexplode("params").alias("draw", "p"))
+    each = planned_chain(spark, sf).select("uid", F.posexplode_outer("params").alias("draw", "p"))
     return each.select(
         "uid",
         F.col("draw").cast("bigint").alias("draw"),
@@ -431,7 +432,7 @@ _COMPACT_SQL = f"""{CHAIN_SQL}, {sql_rand_augment("ops", 0.7, "6", "6")},
     FROM full_plan""",
 )
 def _(spark, sf):
-    each = compacted(spark, sf)[0].select("uid", F.posexplode("param_aug").alias("draw", "compact"))
+    each = compacted(spark, sf)[0].select("uid", F.posexplode_outer("param_aug").alias("draw", "compact"))
     return each.select("uid", F.col("draw").cast("bigint").alias("draw"), "compact")
 
 
@@ -443,7 +444,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     df, steps = compacted(spark, sf)
-    read = df.select("uid", F.posexplode(ap.decompress_draws(F.col("param_aug"), steps)).alias("draw", "p"))
+    read = df.select("uid", F.posexplode_outer(ap.decompress_draws(F.col("param_aug"), steps)).alias("draw", "p"))
     ops = F.col("p.rand_augment")
     return read.select(
         "uid",
@@ -483,7 +484,7 @@ def _(spark, sf):
     second = cf.after_collate_steps(cf.steps_from_config(STAGED))
     assert {s.name for s in second} - {"to_tensor"} == set(after)
     whole = cf.steps_from_config(STAGED)
-    each = planned.select("uid", "image", F.posexplode("params").alias("draw", "p"))
+    each = planned.select("uid", "image", F.posexplode_outer("params").alias("draw", "p"))
     shaped = each.withColumn("shaped", augment.apply_geometry(F.col("image"), first, F.col("p")))
     staged = shaped.withColumn("staged", augment.apply_geometry(F.col("shaped"), second, F.col("p")))
     return staged.select(

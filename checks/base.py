@@ -1,6 +1,8 @@
 """Registry of the queries, and the records and images that they share.
 
-Each fixture is a rule over whole tables, stated once as a DataFrame and once as SQL.
+Each fixture is a rule over whole tables, stated once as a DataFrame and once as SQL. Computed arrays
+are unnested with the ``_outer`` functions: for the plain ones Spark first filters on the array's
+size, and so computes it twice.
 """
 
 from __future__ import annotations

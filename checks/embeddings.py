@@ -53,7 +53,7 @@ def _(spark, sf):
     SELECT vec_id, i::BIGINT AS i, round(round_even(x / q, 0) * q, 9) + 0.0 AS x FROM q""",
 )
 def _(spark, sf):
-    e = table(spark, sf, "embeddings").select("vec_id", F.posexplode(to_bfloat16(F.col("embedding"))).alias("i", "x"))
+    e = table(spark, sf, "embeddings").select("vec_id", F.posexplode_outer(to_bfloat16(F.col("embedding"))).alias("i", "x"))
     return e.select(
         "vec_id", (F.col("i") + 1).cast("bigint").alias("i"), F.round(F.col("x").cast("double"), 9).alias("x")
     )

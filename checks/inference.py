@@ -61,8 +61,8 @@ def _signs(dim: int, size: int) -> str:
 def _(spark, sf):
     teachers = [TeacherSpec(HashClip, {"dim": 4}, (6, 6)), TeacherSpec(HashClip, {"dim": 3}, (6, 6))]
     e = inf.add_image_embeddings(images(spark, sf), teachers, DRAWS, CHAIN, SEED, suffix="_v1")
-    draws = e.select("uid", F.posexplode("image_emb_v1").alias("draw", "vector"))
-    return draws.select("uid", F.col("draw").cast("bigint").alias("draw"), F.posexplode("vector").alias("j", "value")).select(
+    draws = e.select("uid", F.posexplode_outer("image_emb_v1").alias("draw", "vector"))
+    return draws.select("uid", F.col("draw").cast("bigint").alias("draw"), F.posexplode_outer("vector").alias("j", "value")).select(
         "uid", "draw", F.col("j").cast("bigint").alias("j"), F.col("value").cast("bigint").alias("value")
     )
 
@@ -80,8 +80,8 @@ def embedded_texts(spark, sf, teachers):
 
 def _bucket_sums(df, key, dim):
     """Sum of a key's vectors, one row per non-zero bucket."""
-    flat = df.select("uid", F.lit(key).alias("key"), F.explode(f"{key}_emb").alias("v"))
-    each = flat.select("uid", "key", F.posexplode("v").alias("bucket", "n"))
+    flat = df.select("uid", F.lit(key).alias("key"), F.explode_outer(f"{key}_emb").alias("v"))
+    each = flat.select("uid", "key", F.posexplode_outer("v").alias("bucket", "n"))
     sums = each.groupBy("uid", "key", F.col("bucket").cast("bigint").alias("bucket"))
     return sums.agg(F.sum("n").cast("bigint").alias("n")).filter("n > 0")
 
@@ -111,7 +111,7 @@ def _(spark, sf):
         inf.embed_texts(F.col("texts"), both[1:]).alias("b"),
     )
     e = e.withColumn("same", inf.ensemble([F.col("a"), F.col("b")]).eqNullSafe(F.col("joint")).cast("int"))
-    long = e.select("uid", "same", F.posexplode(F.get("joint", F.lit(0))).alias("bucket", "n")).filter("n > 0")
+    long = e.select("uid", "same", F.posexplode_outer(F.get("joint", F.lit(0))).alias("bucket", "n")).filter("n > 0")
     return long.select("uid", "same", F.col("bucket").cast("bigint").alias("bucket"), F.col("n").cast("bigint").alias("n"))
 
 

@@ -179,7 +179,7 @@ def _(spark, sf):
         "lang",
         "n_chars",
     )
-    m = shape.to_members(r).select(F.col("_key").alias("key"), F.explode("_members").alias("ext", "content"))
+    m = shape.to_members(r).select(F.col("_key").alias("key"), F.explode_outer("_members").alias("ext", "content"))
     return m.select("key", "ext", F.octet_length("content").cast("bigint").alias("bytes"), F.md5("content").alias("digest"))
 
 

@@ -19,7 +19,8 @@ def shards_from_manifest(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"a manifest must be named {MANIFEST_SUFFIX}: {path}")
     whole = spark.read.text(path, wholetext=True)
     lengths = F.from_json("value", "lengths MAP<STRING, STRING>")["lengths"]
-    return whole.select(F.explode(F.map_keys(lengths)).alias("path"))
+    # Outer, because Spark would filter on the size first and parse the manifest twice for it.
+    return whole.select(F.explode_outer(F.map_keys(lengths)).alias("path")).filter("path IS NOT NULL")
 
 
 # A pattern is cut into braces and literal text.
