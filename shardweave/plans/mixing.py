@@ -132,12 +132,10 @@ def draw_pairs(df: DataFrame, keys: list[str], buckets: int, seed: int, payload:
     order = [F.col("_turn"), *[F.col(k) for k in keys]]
     following = Window.partitionBy("_bucket").orderBy(*order)
     whole = following.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    partner = F.struct(*[F.col(p).alias(p) for p in payload])
-    paired = placed.withColumn(
-        "_partner", F.coalesce(F.lead(partner).over(following), F.first(partner).over(whole))
-    )
-    taken = [F.col("_partner")[p].alias(f"{p}2") for p in payload]
-    return paired.select(*df.columns, *taken)
+    last = F.lead(F.lit(1)).over(following).isNull()
+    # Column by column: a struct of them would travel through the exchange as further copies.
+    taken = [F.when(last, F.first(p).over(whole)).otherwise(F.lead(p).over(following)).alias(f"{p}2") for p in payload]
+    return placed.select(*df.columns, *taken)
 
 
 def with_partner(df: DataFrame, others: DataFrame, partner: str, key: str, payload: list[str]) -> DataFrame:

@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
+from shardweave.session import checkpointed
+
 RANGES = "path STRING, start LONG, stop LONG"
 
 
@@ -72,7 +74,9 @@ def file_sizes(paths: DataFrame) -> DataFrame:
 def spread(work: DataFrame) -> DataFrame:
     """One partition per row of a small table of work items (a row stands for a file or range).
 
-    The number is given explicitly because adaptive execution would otherwise merge these tiny rows,
-    and with them all of the work they stand for, into one task.
+    The items are written once, so that finding them is not repeated. The number of partitions is
+    given explicitly because adaptive execution would otherwise merge these tiny rows, and with them
+    all of the work they stand for, into one task.
     """
-    return work.repartitionByRange(max(1, work.count()), *work.columns)
+    items = checkpointed(work)
+    return items.coalesce(1).repartition(max(1, items.count()))

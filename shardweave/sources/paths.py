@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardweave.functions.text import canonical_path, raw_file_type
 from shardweave.operators.positions import global_index
+from shardweave.sources.files import open_fs, spread
 
 MANIFEST_SUFFIX = "info.json"
 
@@ -116,27 +121,54 @@ def shard_paths(spark: SparkSession, source: str) -> DataFrame:
     return shards_from_pattern(spark, source)
 
 
+def canonical(path: str) -> str:
+    """The spelling that :func:`canonical_path` gives, for a path at hand."""
+    return re.sub("^file:/+", "/", path)
+
+
+_LISTED = "path STRING, bytes LONG, folder BOOLEAN"
+
+
+def _list_folders(folders: DataFrame, recursive: bool) -> DataFrame:
+    """Entries of each folder of ``path``; names that start with ``_`` or ``.`` are left out."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                fs, inner = open_fs(folder)
+                prefix = folder[: len(folder) - len(inner)] if folder.endswith(inner) else ""
+                rows = []
+                for info in fs.get_file_info(pafs.FileSelector(inner, recursive=recursive)):
+                    below = info.path[len(inner) :].strip("/").split("/")
+                    if not any(part.startswith(("_", ".")) for part in below):
+                        is_folder = info.type == pafs.FileType.Directory
+                        rows.append({"path": prefix + info.path, "bytes": info.size or 0, "folder": is_folder})
+                yield pa.RecordBatch.from_pylist(
+                    rows, schema=pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("folder", pa.bool_())])
+                )
+
+    return folders.select("path").mapInArrow(look, _LISTED)
+
+
 def list_files(spark: SparkSession, root: str, suffixes: list[str], depth: int = 0) -> DataFrame:
-    """Files below ``root`` that end in one of ``suffixes``, each once, with their group.
+    """Files below ``root`` that end in one of ``suffixes``, each once, with their group and size.
 
-    The group is the first ``depth`` parts of the path below the root, empty for depth 0. Contents
-    are not read: the projection leaves only the listing.
+    The group is the first ``depth`` parts of the path below the root, empty for depth 0. The folders
+    directly below the root are listed in parallel. Empty files are listed too, which Spark's own
+    file sources would skip.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select(canonical_path(F.col("path")).alias("path"), "length")
-    )
+    base = root.rstrip("/")
+    top = _list_folders(spark.createDataFrame([(base,)], "path STRING").coalesce(1), recursive=False)
+    inner = _list_folders(spread(top.filter("folder")), recursive=True)
+    listing = top.unionByName(inner).filter("NOT folder")
     wanted = F.lit(False)
     for suffix in suffixes:
         wanted = wanted | F.col("path").endswith(suffix)
-    base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
-    below = F.locate(base + "/", F.col("path")) + F.lit(len(base) + 1)
-    inside = F.substr(F.col("path"), below, F.length("path"))
+    inside = F.substr(F.col("path"), F.lit(len(canonical(base)) + 2), F.length("path"))
     parts = F.split(inside, "/")
     group = F.array_join(F.slice(parts, 1, depth), "/") if depth > 0 else F.lit("")
-    return listing.filter(wanted).select(group.alias("group"), "path", F.col("length").alias("bytes"))
+    found = listing.withColumn("path", canonical_path(F.col("path"))).filter(wanted)
+    return found.select(group.alias("group"), "path", "bytes")
 
 
 def with_format(paths: DataFrame, path: str = "path") -> DataFrame:

@@ -16,7 +16,6 @@ from pyspark.sql.functions import arrow_udf
 
 from shardweave.functions.packing import npz_arrays
 from shardweave.operators.records import as_struct
-from shardweave.session import checkpointed
 from shardweave.sources.files import open_fs, plan_ranges, spread
 from shardweave.sources.jsonl import field_of
 
@@ -160,7 +159,7 @@ def read_tar_samples(
     """
     if not isinstance(paths, DataFrame):
         paths = spark.createDataFrame([(p,) for p in paths], "path STRING")
-    ranges = spread(checkpointed(plan_ranges(paths, sample_starts, split_bytes)))
+    ranges = spread(plan_ranges(paths, sample_starts, split_bytes))
     samples = ranges.mapInArrow(_read, SAMPLE)
     if schema is None:
         return samples

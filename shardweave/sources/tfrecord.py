@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.session import checkpointed
 from shardweave.sources.files import open_fs, plan_ranges, spread
 
 FEATURE = "STRUCT<bytes: ARRAY<BINARY>, floats: ARRAY<FLOAT>, ints: ARRAY<BIGINT>>"
@@ -163,7 +162,7 @@ def read_tfrecord(
     """Records of TFRecord shards as a map of named features; optionally in a seeded random order."""
     if not isinstance(paths, DataFrame):
         paths = spark.createDataFrame([(p,) for p in paths], "path STRING")
-    records = spread(checkpointed(plan_ranges(paths, record_starts, split_bytes))).mapInArrow(_read, RECORD)
+    records = spread(plan_ranges(paths, record_starts, split_bytes)).mapInArrow(_read, RECORD)
     if shuffle_seed is None:
         return records
     return records.orderBy(F.xxhash64(F.lit(shuffle_seed), "_shard", "_pos"), "_shard", "_pos")
