@@ -58,17 +58,48 @@ def npz_arrays(raw: bytes) -> dict[str, np.ndarray]:
     return out
 
 
+def matrices_of(array: pa.Array) -> list[np.ndarray | None]:
+    """Rows of an ARRAY<ARRAY<FLOAT>> column as matrices that share the column's memory."""
+    rows = array.values
+    ends, cuts = array.offsets.to_numpy(), rows.offsets.to_numpy()
+    values = rows.values.to_numpy(zero_copy_only=False)
+    out: list[np.ndarray | None] = []
+    for i, present in enumerate(array.is_valid().to_pylist()):
+        first, last = ends[i], ends[i + 1]
+        if not present:
+            out.append(None)
+        elif first == last:
+            out.append(np.empty((0, 0), np.float32))
+        else:
+            widths = np.diff(cuts[first : last + 1])
+            if (widths != widths[0]).any():
+                raise ValueError("the vectors of one record differ in length")
+            out.append(values[cuts[first] : cuts[last]].reshape(last - first, widths[0]))
+    return out
+
+
+def matrices_to_arrow(matrices: list[np.ndarray | None]) -> pa.Array:
+    """Inverse of :func:`matrices_of`."""
+    present = [m for m in matrices if m is not None]
+    widths = [np.full(len(m), m.shape[1]) for m in present]
+    cuts = np.concatenate([[0], *widths]).cumsum()
+    ends = np.cumsum([0, *[0 if m is None else len(m) for m in matrices]])
+    flat = np.concatenate([m.ravel() for m in present]) if present else np.empty(0)
+    rows = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat.astype(np.float32), pa.float32()))
+    missing = pa.array([m is None for m in matrices], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows, mask=missing)
+
+
 @arrow_udf(T.StringType())
 def _pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        yield pa.array([None if v is None else pack_matrix(v) for v in batch.to_pylist()], pa.string())
+        yield pa.array([None if m is None else pack_matrix(m) for m in matrices_of(batch)], pa.string())
 
 
 @arrow_udf(VECTORS)
 def _unpack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        matrices = [None if t is None else unpack_matrix(t).tolist() for t in batch.to_pylist()]
-        yield pa.array(matrices, pa.list_(pa.list_(pa.float32())))
+        yield matrices_to_arrow([None if t is None else unpack_matrix(t) for t in batch.to_pylist()])
 
 
 def pack_embedding(vectors: Column) -> Column:
@@ -85,22 +116,15 @@ def pack_npz(named: dict[str, Column], bfloat16: bool = False) -> Column:
     """Named ARRAY<ARRAY<FLOAT>> columns as one npz member; null when a record has none of them."""
     names = list(named)
 
-    @arrow_udf(T.BinaryType())
+    @arrow_udf("BINARY")
     def archive(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for columns in batches:
             out = []
-            for values in zip(*[c.to_pylist() for c in columns]):
-                present = {n: np.asarray(v, "<f4") for n, v in zip(names, values) if v is not None}
+            for matrices in zip(*[matrices_of(c) for c in columns]):
+                present = {n: m for n, m in zip(names, matrices) if m is not None}
                 out.append(npz_bytes(present, bfloat16) if present else None)
             yield pa.array(out, pa.binary())
 
-    @arrow_udf(T.BinaryType())
-    def archive_one(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in batches:
-            out = [
-                None if v is None else npz_bytes({names[0]: np.asarray(v, "<f4")}, bfloat16)
-                for v in column.to_pylist()
-            ]
-            yield pa.array(out, pa.binary())
-
-    return archive_one(*named.values()) if len(names) == 1 else archive(*named.values())
+    # With one column alone the function would get arrays instead of tuples of them.
+    columns = list(named.values())
+    return archive(*columns) if len(columns) > 1 else archive(*columns, columns[0])

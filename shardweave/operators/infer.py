@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from shardweave.functions.draws import uniform
+from shardweave.functions.packing import matrices_to_arrow
 from shardweave.functions.tensor import TENSOR
 from shardweave.functions.text import clean_caption
 from shardweave.operators import kernels
@@ -40,19 +41,6 @@ def infer(df: DataFrame, model: TeacherSpec, batch_size: int, out_schema: str) -
     return df.mapInPandas(run, out_schema)
 
 
-def _vectors(counts: list[int | None], rows: list[np.ndarray]) -> pa.Array:
-    """Nested lists from per-record vector counts (None for a null record) and all vectors."""
-    dim = rows[0].shape[1] if rows else 0
-    flat = np.concatenate(rows).astype(np.float32).ravel() if rows else np.empty(0, np.float32)
-    total = sum(c or 0 for c in counts)
-    vectors = pa.ListArray.from_arrays(
-        pa.array(np.arange(total + 1) * dim, pa.int32()), pa.array(flat, pa.float32())
-    )
-    ends = np.cumsum([0, *[c or 0 for c in counts]])
-    missing = pa.array([c is None for c in counts], pa.bool_())
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), vectors, mask=missing)
-
-
 def embed_texts(texts: Column, teachers: list[TeacherSpec], batch_size: int = 1024) -> Column:
     """One vector per text of an ARRAY<STRING>; the vectors of all teachers are joined in order."""
 
@@ -66,7 +54,10 @@ def embed_texts(texts: Column, teachers: list[TeacherSpec], batch_size: int = 10
                 np.concatenate([m.embed_texts(flat[i : i + batch_size]) for m in models], axis=1)
                 for i in range(0, len(flat), batch_size)
             ]
-            yield _vectors([None if t is None else len(t) for t in lists], rows)
+            vectors = np.concatenate(rows) if rows else np.empty((0, 0), np.float32)
+            ends = np.cumsum([0 if t is None else len(t) for t in lists])
+            parts = np.split(vectors, ends[:-1])
+            yield matrices_to_arrow([None if t is None else part for t, part in zip(lists, parts)])
 
     return once(embed)(texts)
 
@@ -144,20 +135,22 @@ def _embed_views(views: list[np.ndarray], teachers: list[TeacherSpec]) -> np.nda
 
 def _embed_slice(images: list, draws: list, steps: list[Step], teachers: list[TeacherSpec]) -> pa.Array:
     """Vectors of all views of some images; the views do not outlive the slice."""
-    views, counts = [], []
-    for image, params in zip(images, draws):
-        counts.append(None if image is None else len(params))
+    views, owners = [], []
+    for i, (image, params) in enumerate(zip(images, draws)):
         if image is not None:
             views.extend(view_of(image, steps, p) for p in params)
+            owners.extend([i] * len(params))
     by_shape: dict[tuple, list[int]] = {}
     for position, view in enumerate(views):
         by_shape.setdefault(view.shape, []).append(position)
-    rows: list = [None] * len(views)
+    vectors: list = [None] * len(views)
     for positions in by_shape.values():
-        vectors = _embed_views([views[p] for p in positions], teachers)
-        for position, vector in zip(positions, vectors):
-            rows[position] = vector[None]
-    return _vectors(counts, rows)
+        for position, vector in zip(positions, _embed_views([views[p] for p in positions], teachers)):
+            vectors[position] = vector
+    rows: list = [None if image is None else [] for image in images]
+    for owner, vector in zip(owners, vectors):
+        rows[owner].append(vector)
+    return matrices_to_arrow([None if r is None else np.stack(r) if r else np.empty((0, 0)) for r in rows])
 
 
 def embed_planned(

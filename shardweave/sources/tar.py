@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from shardweave.functions.packing import npz_arrays
+from shardweave.functions.packing import matrices_to_arrow, npz_arrays
 from shardweave.operators.records import as_struct
 from shardweave.sources.files import open_fs, plan_ranges, spread
 from shardweave.sources.jsonl import field_of
@@ -102,7 +102,7 @@ def _finished(sample: dict, path: str) -> dict:
     return {
         **{k: sample.get(k) for k in ("uid", "url", "text", "image")},
         "json": merged,
-        "arrays": [(k, v.tolist()) for k, v in arrays.items()] if arrays else None,
+        "arrays": arrays or None,
         "_shard": path,
         "_pos": {"block": 0, "line": sample["_at"]},
     }
@@ -129,7 +129,25 @@ def _samples(path: str, start: int, stop: int) -> Iterator[dict]:
 
 
 def _row_bytes(row: dict) -> int:
-    return sum(len(v) for v in row.values() if isinstance(v, (str, bytes)))
+    texts = sum(len(v) for v in row.values() if isinstance(v, (str, bytes)))
+    return texts + sum(a.nbytes for a in (row["arrays"] or {}).values())
+
+
+def _batch(rows: list[dict]) -> pa.RecordBatch:
+    """Rows as an Arrow batch; the matrices go over without becoming Python lists."""
+    plain = pa.schema([f for f in _ARROW_SAMPLE if f.name != "arrays"])
+    columns = pa.RecordBatch.from_pylist([{k: r[k] for k in plain.names} for r in rows], schema=plain)
+    named = [list((r["arrays"] or {}).items()) for r in rows]
+    # A null offset marks a row without a map.
+    ends = np.cumsum([0, *[len(n) for n in named]]).tolist()
+    offsets = [None if r["arrays"] is None else end for r, end in zip(rows, ends)] + [ends[-1]]
+    maps = pa.MapArray.from_arrays(
+        pa.array(offsets, pa.int32()),
+        pa.array([k for n in named for k, _ in n], pa.string()),
+        matrices_to_arrow([m for n in named for _, m in n]),
+    )
+    arrays = [maps if f.name == "arrays" else columns.column(f.name) for f in _ARROW_SAMPLE]
+    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_SAMPLE)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,10 +158,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append(row)
                 size += _row_bytes(row)
                 if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SAMPLE)
+                    yield _batch(rows)
                     rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SAMPLE)
+                yield _batch(rows)
 
 
 def read_tar_samples(
