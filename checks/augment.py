@@ -25,6 +25,11 @@ def draws_of(prefix=""):
     return dr.Draws(SEED, F.col("uid"), F.col("draw"), prefix)
 
 
+def or_minus_one(value):
+    """Whole numbers without nulls, which some data frames would turn into floats."""
+    return F.coalesce(value.cast("bigint"), F.lit(-1).cast("bigint"))
+
+
 def f8(x) -> str:
     """Exact double literal."""
     return f"'{float(x)!r}'::DOUBLE"
@@ -196,15 +201,15 @@ def _(spark, sf):
     "random_erase_plan",
     f"""WITH {IMAGES}, {D}, {sql_boxes("box", "random_erase", 224, 160, (0.02, 0.33), (0.3, 3.3), erase=True)},
     kept AS (SELECT uid, draw, {u("'random_erase.skip'")} <= 0.5 AS kept FROM d)
-    SELECT uid, draw::BIGINT AS draw, CASE WHEN kept THEN a END AS x, CASE WHEN kept THEN b END AS y,
-      CASE WHEN kept THEN bh END AS h, CASE WHEN kept THEN bw END AS w FROM box JOIN kept USING (uid, draw)""",
+    SELECT uid, draw::BIGINT AS draw, CASE WHEN kept THEN a ELSE -1 END AS x, CASE WHEN kept THEN b ELSE -1 END AS y,
+      CASE WHEN kept THEN bh ELSE -1 END AS h, CASE WHEN kept THEN bw ELSE -1 END AS w FROM box JOIN kept USING (uid, draw)""",
 )
 def _(spark, sf):
     d = drawn(spark, sf).withColumn("box", geometry.random_erase_plan(draws_of(), 224, 160))
     return d.select(
         "uid",
         F.col("draw").cast("bigint").alias("draw"),
-        *[F.col(f"box.{k}").cast("bigint").alias(k) for k in ("x", "y", "h", "w")],
+        *[or_minus_one(F.col(f"box.{k}")).alias(k) for k in ("x", "y", "h", "w")],
     )
 
 
@@ -383,7 +388,7 @@ _VIEW_SUMS = f"WITH {CHAIN_SQL} SELECT uid, draw::BIGINT AS draw, {sql_checksum(
 @check(
     "plan_draws",
     f"""WITH {CHAIN_SQL} SELECT uid, draw::BIGINT AS draw, top, "left", h, w, flip::INT AS flip,
-      CASE WHEN erased THEN ex END AS x, CASE WHEN erased THEN ew END AS erased_w FROM plan""",
+      CASE WHEN erased THEN ex ELSE -1 END AS x, CASE WHEN erased THEN ew ELSE -1 END AS erased_w FROM plan""",
 )
 def _(spark, sf):
     each = planned_chain(spark, sf).select("uid", F.posexplode_outer("params").alias("draw", "p"))
@@ -392,8 +397,8 @@ def _(spark, sf):
         F.col("draw").cast("bigint").alias("draw"),
         *[F.col(f"p.random_resized_crop.{k}").cast("bigint").alias(k) for k in ("top", "left", "h", "w")],
         F.col("p.random_horizontal_flip").cast("int").alias("flip"),
-        F.col("p.random_erase.x").cast("bigint").alias("x"),
-        F.col("p.random_erase.w").cast("bigint").alias("erased_w"),
+        or_minus_one(F.col("p.random_erase.x")).alias("x"),
+        or_minus_one(F.col("p.random_erase.w")).alias("erased_w"),
     )
 
 
@@ -439,8 +444,8 @@ def _(spark, sf):
 @check(
     "decompress_params",
     f"""WITH {_COMPACT_SQL}, strength AS (SELECT uid, draw, sum(op) AS op_sum, round(sum(magnitude), 6) + 0.0 AS m FROM ops GROUP BY uid, draw)
-    SELECT uid, draw::BIGINT AS draw, top, "left", h, w, flip::INT AS flip, CASE WHEN erased THEN ey END AS y,
-      op_sum::BIGINT AS op_sum, m AS magnitude_sum FROM full_plan LEFT JOIN strength USING (uid, draw)""",
+    SELECT uid, draw::BIGINT AS draw, top, "left", h, w, flip::INT AS flip, CASE WHEN erased THEN ey ELSE -1 END AS y,
+      coalesce(op_sum, -1)::BIGINT AS op_sum, coalesce(m, -1000) AS magnitude_sum FROM full_plan LEFT JOIN strength USING (uid, draw)""",
 )
 def _(spark, sf):
     df, steps = compacted(spark, sf)
@@ -451,9 +456,9 @@ def _(spark, sf):
         F.col("draw").cast("bigint").alias("draw"),
         *[F.col(f"p.random_resized_crop.{k}").cast("bigint").alias(k) for k in ("top", "left", "h", "w")],
         F.col("p.random_horizontal_flip").cast("int").alias("flip"),
-        F.col("p.random_erase.y").cast("bigint").alias("y"),
-        F.aggregate(ops, F.lit(0).cast("bigint"), lambda a, o: a + o["op"]).alias("op_sum"),
-        F.round(F.aggregate(ops, F.lit(0.0), lambda a, o: a + o["magnitude"]), 6).alias("magnitude_sum"),
+        or_minus_one(F.col("p.random_erase.y")).alias("y"),
+        or_minus_one(F.aggregate(ops, F.lit(0).cast("bigint"), lambda a, o: a + o["op"])).alias("op_sum"),
+        F.coalesce(F.round(F.aggregate(ops, F.lit(0.0), lambda a, o: a + o["magnitude"]), 6), F.lit(-1000.0)).alias("magnitude_sum"),
     )
 
 
@@ -636,16 +641,16 @@ def mix_draws():
 
 @check(
     "mixup_plan",
-    f"""WITH {IMAGES}, {D} SELECT uid, draw::BIGINT AS draw, CASE WHEN {u("'mixup.skip'")} <= 0.8 THEN round({u("'mixup.lambda'")} / 2, 12) END AS lam,
-      NULL::DOUBLE AS off FROM d""",
+    f"""WITH {IMAGES}, {D} SELECT uid, draw::BIGINT AS draw, CASE WHEN {u("'mixup.skip'")} <= 0.8 THEN round({u("'mixup.lambda'")} / 2, 12) ELSE -1 END AS lam,
+      1 AS off FROM d""",
 )
 def _(spark, sf):
     d = draws_of()
     return drawn(spark, sf).select(
         "uid",
         F.col("draw").cast("bigint").alias("draw"),
-        F.round(mixing.mixup_plan(d, 1.0, 0.8, 2.0), 12).alias("lam"),
-        mixing.mixup_plan(d, alpha=0).alias("off"),
+        F.coalesce(F.round(mixing.mixup_plan(d, 1.0, 0.8, 2.0), 12), F.lit(-1.0)).alias("lam"),
+        mixing.mixup_plan(d, alpha=0).isNull().cast("int").alias("off"),
     )
 
 
@@ -688,8 +693,8 @@ def sql_cutmix(h: int, w: int, source: str) -> str:
 @check(
     "cutmix_plan",
     f"""WITH {IMAGES}, {D}, {sql_cutmix(224, 160, "d")}
-    SELECT uid, draw::BIGINT AS draw, CASE WHEN kept THEN round(lam, 12) END AS lam, CASE WHEN kept THEN x1 END AS x1,
-      CASE WHEN kept THEN y1 END AS y1, CASE WHEN kept THEN x2 END AS x2, CASE WHEN kept THEN y2 END AS y2
+    SELECT uid, draw::BIGINT AS draw, CASE WHEN kept THEN round(lam, 12) ELSE -1 END AS lam, CASE WHEN kept THEN x1 ELSE -1 END AS x1,
+      CASE WHEN kept THEN y1 ELSE -1 END AS y1, CASE WHEN kept THEN x2 ELSE -1 END AS x2, CASE WHEN kept THEN y2 ELSE -1 END AS y2
     FROM (SELECT *, {u("'cutmix.skip'")} <= 0.6 AS kept FROM cut)""",
 )
 def _(spark, sf):
@@ -697,8 +702,8 @@ def _(spark, sf):
     return d.select(
         "uid",
         F.col("draw").cast("bigint").alias("draw"),
-        F.round("cut.lam", 12).alias("lam"),
-        *[F.col(f"cut.{k}").cast("bigint").alias(k) for k in ("x1", "y1", "x2", "y2")],
+        F.coalesce(F.round("cut.lam", 12), F.lit(-1.0)).alias("lam"),
+        *[or_minus_one(F.col(f"cut.{k}")).alias(k) for k in ("x1", "y1", "x2", "y2")],
     )
 
 

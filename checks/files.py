@@ -115,7 +115,7 @@ def raw_gzip_folder(spark, sf):
 @check(
     "read_jsonl",
     f"""WITH {RECORDS}, good AS (SELECT * FROM records WHERE lang NOT IN ('de', 'es'))
-    SELECT codec, uid, md5(text) AS text_digest, n_chars, len(syn_text)::BIGINT AS n_syn, NULL::BIGINT AS lang
+    SELECT codec, uid, md5(text) AS text_digest, n_chars, len(syn_text)::BIGINT AS n_syn, -1::BIGINT AS lang
     FROM good, (SELECT unnest(['plain', 'gzip']) AS codec)""",
 )
 def _(spark, sf):
@@ -126,7 +126,8 @@ def _(spark, sf):
         for codec, folder in (("plain", raw_folder(spark, sf)), ("gzip", raw_gzip_folder(spark, sf)))
     ]
     return parts[0].unionByName(parts[1]).select(
-        "codec", "uid", F.md5("text").alias("text_digest"), "n_chars", F.size("syn_text").cast("bigint").alias("n_syn"), "lang"
+        "codec", "uid", F.md5("text").alias("text_digest"), "n_chars", F.size("syn_text").cast("bigint").alias("n_syn"),
+        F.coalesce("lang", F.lit(-1).cast("bigint")).alias("lang"),
     )
 
 
@@ -301,14 +302,14 @@ def _(spark, sf):
 @check(
     "unwrap_features",
     f"""WITH {RECORDS} SELECT uid, lang, n_chars, md5(base64(encode(text))) AS image_digest, round(n_chars / 2.0 - 0.5, 2)::DOUBLE AS weight_sum,
-      NULL::VARCHAR AS broken, NULL::VARCHAR AS absent FROM records""",
+      'null' AS broken, 'null' AS absent FROM records""",
 )
 def _(spark, sf):
     files = paths.list_files(spark, tfrecord_folder(spark, sf), [".tfrecord"])
     r = unwrap_features(tfrecord.read_tfrecord(spark, files, shuffle_seed=5), _FEATURES)
     return r.select(
         "uid", "lang", "n_chars", F.md5("image").alias("image_digest"), F.round(list_sum(F.col("weights")), 2).alias("weight_sum"),
-        "broken", "absent",
+        *[F.coalesce(c, F.lit("null")).alias(c) for c in ("broken", "absent")],
     )
 
 
@@ -332,11 +333,11 @@ def mixed_folder(spark, sf):
     return written_once(spark, sf, "mixed", write)
 
 
-@check("read_shards", f"WITH {RECORDS} SELECT uid, lang, n_chars, CASE WHEN lang IN ('en', 'fr') THEN md5(text) END AS text_digest FROM records")
+@check("read_shards", f"WITH {RECORDS} SELECT uid, lang, n_chars, CASE WHEN lang IN ('en', 'fr') THEN md5(text) ELSE 'null' END AS text_digest FROM records")
 def _(spark, sf):
     listed = paths.list_files(spark, mixed_folder(spark, sf), [".jsonl", ".tar", ".tfrecord"])
     r = read_shards(spark, listed, "uid STRING, text STRING, lang STRING, n_chars BIGINT")
-    return r.select("uid", "lang", "n_chars", F.md5("text").alias("text_digest"))
+    return r.select("uid", "lang", "n_chars", F.coalesce(F.md5("text"), F.lit("null")).alias("text_digest"))
 
 
 _PIECE = "('0x' || substr(md5('0|' || uid || '|' || _pos || '|0|piece'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"

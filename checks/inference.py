@@ -32,7 +32,7 @@ def _(spark, sf):
       WHERE lang NOT IN ('de', 'es')),
     captions AS (SELECT uid, k, regexp_replace(parts[floor({sql_u(3, "uid", "k", "'caption'")} * len(parts))::INT + 1], '\\s+$', '') AS caption
       FROM samples)
-    SELECT uid, r.lang, string_agg(caption, '|' ORDER BY k) AS captions, count(caption)::BIGINT AS n
+    SELECT uid, r.lang, coalesce(string_agg(caption, '|' ORDER BY k), 'null') AS captions, count(caption)::BIGINT AS n
     FROM records r LEFT JOIN captions USING (uid) GROUP BY uid, r.lang""",
 )
 def _(spark, sf):
@@ -41,7 +41,7 @@ def _(spark, sf):
     return c.select(
         "uid",
         "lang",
-        F.array_join("syn_text_v1", "|").alias("captions"),
+        F.coalesce(F.array_join("syn_text_v1", "|"), F.lit("null")).alias("captions"),
         F.when(F.col("syn_text_v1").isNotNull(), F.size("syn_text_v1")).otherwise(0).cast("bigint").alias("n"),
     )
 

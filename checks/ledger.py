@@ -120,7 +120,7 @@ def _(spark, sf):
     fresh = lg.next_index(lg.recover(spark, scratch_path(spark, "no-such-run"))).first()["next_index"]
     following = lg.next_index(ledger).first()["next_index"]
     return ledger.select(
-        "input_path", "output_path", "num_uids", "wave", F.lit(following).alias("next_index"), F.lit(fresh).alias("fresh")
+        "input_path", "output_path", "num_uids", "wave", F.lit(following).cast("bigint").alias("next_index"), F.lit(fresh).cast("bigint").alias("fresh")
     )
 
 

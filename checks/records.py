@@ -52,21 +52,21 @@ def _(spark, sf):
 
 @check(
     "image_bytes",
-    f"""WITH {_DIRTY} SELECT uid, CASE WHEN lang = 'de' THEN NULL WHEN lang = 'es' THEN 0 ELSE strlen(text) END::BIGINT AS n,
-    CASE WHEN lang = 'de' THEN NULL WHEN lang = 'es' THEN md5('') ELSE md5(text) END AS digest FROM dirty""",
+    f"""WITH {_DIRTY} SELECT uid, CASE WHEN lang = 'de' THEN -1 WHEN lang = 'es' THEN 0 ELSE strlen(text) END::BIGINT AS n,
+    CASE WHEN lang = 'de' THEN 'null' WHEN lang = 'es' THEN md5('') ELSE md5(text) END AS digest FROM dirty""",
 )
 def _(spark, sf):
     d = dirty_images(spark, sf).withColumn("b", tx.image_bytes(F.col("image"), "string"))
-    return d.select("uid", F.octet_length("b").cast("bigint").alias("n"), F.md5("b").alias("digest"))
+    return d.select("uid", F.coalesce(F.octet_length("b").cast("bigint"), F.lit(-1).cast("bigint")).alias("n"), F.coalesce(F.md5("b"), F.lit("null")).alias("digest"))
 
 
 @check(
     "flag_valid",
-    f"WITH {_DIRTY} SELECT uid, (reason IS NULL)::INT AS valid, reason FROM dirty",
+    f"WITH {_DIRTY} SELECT uid, (reason IS NULL)::INT AS valid, coalesce(reason, 'null') AS reason FROM dirty",
 )
 def _(spark, sf):
     flagged = shape.flag_valid(dirty_images(spark, sf))
-    return flagged.select("uid", F.col("_valid").cast("int").alias("valid"), F.col("_reason").alias("reason"))
+    return flagged.select("uid", F.col("_valid").cast("int").alias("valid"), F.coalesce("_reason", F.lit("null")).alias("reason"))
 
 
 # French records carry a caption instead of a text, German ones both (a conflict), Spanish ones a
@@ -94,12 +94,12 @@ def captioned(spark, sf):
     "unify_text",
     f"""WITH {_CAPTIONED} SELECT uid, (lang <> 'de')::INT AS valid,
       CASE WHEN lang IN ('fr', 'es') THEN caption ELSE text END AS text,
-      NULL::VARCHAR AS texts FROM captioned""",
+      'null' AS texts FROM captioned""",
 )
 def _(spark, sf):
     unified = shape.unify_text(captioned(spark, sf))
     return unified.select(
-        "uid", F.col("_valid").cast("int").alias("valid"), "text", F.to_json("texts").alias("texts")
+        "uid", F.col("_valid").cast("int").alias("valid"), "text", F.coalesce(F.to_json("texts"), F.lit("null")).alias("texts")
     )
 
 
@@ -147,13 +147,13 @@ def _(spark, sf):
 
 @check(
     "attach_column",
-    f"""WITH {_DIRTY} SELECT uid, CASE WHEN reason IS NULL THEN len(syn_text) END::BIGINT AS n_attached,
+    f"""WITH {_DIRTY} SELECT uid, CASE WHEN reason IS NULL THEN len(syn_text) ELSE -1 END::BIGINT AS n_attached,
     md5(text) AS text_digest FROM dirty""",
 )
 def _(spark, sf):
     flagged = shape.flag_valid(dirty_images(spark, sf))
     attached = shape.attach_column(flagged, "syn_text", F.col("syn_text"), "_v2")
-    n = F.when(F.col("syn_text_v2").isNotNull(), F.size("syn_text_v2")).cast("bigint")
+    n = F.when(F.col("syn_text_v2").isNotNull(), F.size("syn_text_v2")).otherwise(-1).cast("bigint")
     return attached.select("uid", n.alias("n_attached"), F.md5("text").alias("text_digest"))
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import os
 import shutil
+import sys
 import tempfile
 import uuid
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_SCRATCH: dict[str, str] = {}
-_SHIPPED: set[str] = set()
+_SHIPPED: set[tuple[str, str]] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -71,15 +73,17 @@ def balanced(df: DataFrame, identity: list[str]) -> DataFrame:
     return df.repartition(wanted, *identity)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+def ship_package(spark: SparkSession, *others: ModuleType) -> None:
+    """Send this package, and ``others`` that hold user functions, to the Python workers.
+
+    Does nothing for packages that this application has already sent.
+    """
     application = spark.sparkContext.applicationId
-    if application in _SHIPPED:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    folder = tempfile.mkdtemp(prefix="shardweave-zip-")
-    archive = shutil.make_archive(
-        os.path.join(folder, "shardweave"), "zip", os.path.dirname(package), os.path.basename(package)
-    )
-    spark.sparkContext.addPyFile(archive)
-    _SHIPPED.add(application)
+    for package in (sys.modules[__name__.partition(".")[0]], *others):
+        folder = os.path.dirname(os.path.abspath(package.__file__))
+        if (application, folder) in _SHIPPED:
+            continue
+        parent, name = os.path.split(folder)
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="shardweave-"), name), "zip", parent, name)
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add((application, folder))
