@@ -593,6 +593,54 @@ def _(spark, sf):
     return done.select("uid", F.col("plan.name").alias("op"), checksum(F.col("view")).alias("view_sum"))
 
 
+# Operations that look at neighbours, channels or the whole image: 32 x 32 pixels, three channels.
+RGB_OPS = {"Color": 0.4, "Contrast": -0.5, "Sharpness": 0.5, "AutoContrast": 0.0, "Equalize": 0.0}
+
+
+def sql_blend(op: str, other: str) -> str:
+    ratio = 1.0 + RGB_OPS[op]
+    return f"floor(greatest(0, least(255, {f8(ratio)} * x + {f8(1.0 - ratio)} * {other})))"
+
+
+RGB_SQL = f"""{IMAGES}, cells AS (SELECT uid, unnest(range(1024)) AS p, px FROM images),
+    rgb AS (SELECT uid, p // 32 AS r, p % 32 AS k, [px[(p // 256) * 16 + (p % 32 // 8) * 4 + c] FOR c IN [1, 2, 3]] AS rgb FROM cells),
+    grey AS (SELECT *, floor(0.2989::DOUBLE * rgb[1] + 0.587::DOUBLE * rgb[2] + 0.114::DOUBLE * rgb[3]) AS grey FROM rgb),
+    mean AS (SELECT *, avg(grey) OVER (PARTITION BY uid) AS mean FROM grey),
+    wide AS (SELECT uid, r, k, c, rgb[c + 1] AS x, grey, mean, min(rgb[c + 1]) OVER w AS lo, max(rgb[c + 1]) OVER w AS hi
+      FROM mean, (SELECT unnest(range(3)) AS c) WINDOW w AS (PARTITION BY uid, c)),
+    blur AS (SELECT *, sum(x) OVER (PARTITION BY uid, c, r ORDER BY k ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS line FROM wide),
+    sharp AS (SELECT *, CASE WHEN r IN (0, 31) OR k IN (0, 31) THEN x ELSE round_even((4 * x +
+      sum(line) OVER (PARTITION BY uid, c, k ORDER BY r ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)) / 13.0::DOUBLE, 0) END AS soft FROM blur),
+    hist AS (SELECT uid, c, x, count(*) AS n FROM wide GROUP BY ALL),
+    cum AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY uid, c ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+      (1024 - arg_max(n, x) OVER (PARTITION BY uid, c)) // 255 AS step FROM hist),
+    lut AS (SELECT uid, c, x, CASE WHEN step = 0 THEN x ELSE least(255, (before + step // 2) // step) END AS y FROM cum),
+    done AS (SELECT s.uid, r * 96 + k * 3 + c + 1 AS weight, {{'Color': {sql_blend("Color", "grey")}, 'Contrast': {sql_blend("Contrast", "mean")},
+      'Sharpness': {sql_blend("Sharpness", "soft")},
+      'AutoContrast': CASE WHEN hi > lo THEN floor((x - lo) * 255.0::DOUBLE / (hi - lo)) ELSE x END, 'Equalize': y}} AS v
+      FROM sharp s JOIN lut USING (uid, c, x))"""
+
+
+@check(
+    "apply_rand_augment_rgb",
+    f"WITH {RGB_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT uid, '{op}' AS op, round(sum(v['{op}'] * weight), 0)::DOUBLE AS view_sum FROM done GROUP BY uid" for op in RGB_OPS
+    ),
+)
+def _(spark, sf):
+    plans = F.array(
+        *[
+            F.struct(F.lit(op).alias("name"), F.lit(policies.ALL_OPS.index(op)).alias("op"), F.lit(m).alias("magnitude"))
+            for op, m in RGB_OPS.items()
+        ]
+    )
+    rgb = images(spark, sf, 4, 4, 4).withColumn("image", px.resize_nearest(px.to_rgb(F.col("image")), 32, 32))
+    each = rgb.withColumn("plan", F.explode(plans)).withColumn("ops", F.array(F.struct("plan.op", "plan.magnitude")))
+    done = augment.apply_rand_augment(each, "image", "ops", "view")
+    return done.select("uid", F.col("plan.name").alias("op"), checksum(F.col("view"), 0).alias("view_sum"))
+
+
 @check("rand_augment_views")
 def _(spark, sf):
     """All fourteen operations as drawn, on three-channel images."""
@@ -654,10 +702,20 @@ def _(spark, sf):
     )
 
 
-@check("mixup_plan_beta")
+_GRID = "[" + ", ".join(f8(v) for v in mixing._beta_half_quantiles(0.2)) + "]"
+
+
+@check(
+    "mixup_plan_beta",
+    f"""WITH {IMAGES}, {D}, v AS (SELECT *, {u("'mixup.lambda'")} AS v FROM d), cell AS (SELECT *, least(v, 1 - v) * 1024 AS place FROM v),
+    half AS (SELECT *, {_GRID} AS grid, floor(place)::INT AS cell FROM cell),
+    low AS (SELECT *, pow(grid[cell + 1] + (grid[least(cell + 1, 512) + 1] - grid[cell + 1]) * (place - cell), 5.0::DOUBLE) AS low FROM half)
+    SELECT uid, draw::BIGINT AS draw, round(CASE WHEN v < 0.5 THEN low ELSE 1 - low END, 9) + 0.0 AS lam FROM low""",
+)
 def _(spark, sf):
     """Weights of a Beta distribution other than the uniform one."""
-    return drawn(spark, sf).select("uid", "draw", mixing.mixup_plan(draws_of(), 0.2).alias("lam"))
+    lam = F.round(mixing.mixup_plan(draws_of(), 0.2), 9)
+    return drawn(spark, sf).select("uid", F.col("draw").cast("bigint").alias("draw"), lam.alias("lam"))
 
 
 _MIX = sql_u(SEED, "uid", "0", "'mixup.lambda'")

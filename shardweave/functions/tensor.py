@@ -7,11 +7,12 @@ full-size images use :mod:`shardweave.operators.augment`, which does the same on
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shardweave.functions.draws import column
+from shardweave.functions.draws import column, let
 
 TENSOR = "STRUCT<h: INT, w: INT, c: INT, data: ARRAY<FLOAT>>"
 
@@ -26,12 +27,24 @@ def tensor(data: Column, h, w, c) -> Column:
     )
 
 
+def evaluated_once(fn):
+    """Compute the image argument once, not anew for every pixel that refers to it."""
+
+    @wraps(fn)
+    def call(image: Column, *args, **kwargs) -> Column:
+        return let(image, lambda computed: fn(computed, *args, **kwargs))
+
+    return call
+
+
+@evaluated_once
 def map_values(image: Column, fn: Callable[[Column, Column], Column]) -> Column:
     """Same shape, every value replaced by ``fn(value, channel)``."""
     data = F.transform(image["data"], lambda x, i: fn(x, F.pmod(i, image["c"])).cast("float"))
     return tensor(data, image["h"], image["w"], image["c"])
 
 
+@evaluated_once
 def gather(image: Column, h, w, source: Callable[[Column, Column], tuple[Column, Column]], fill=0.0) -> Column:
     """New ``h`` x ``w`` image whose pixel (r, k) is the source pixel ``source(r, k)``.
 
@@ -63,11 +76,13 @@ def centre_offset(length: Column, size: int) -> Column:
     return F.when(length >= size, inner).otherwise(padded)
 
 
+@evaluated_once
 def center_crop(image: Column, h: int, w: int) -> Column:
     """Centred box, zero-padded when the image is smaller."""
     return crop(image, centre_offset(image["h"], h), centre_offset(image["w"], w), h, w)
 
 
+@evaluated_once
 def hflip(image: Column, flag=True) -> Column:
     """Mirror left to right where ``flag`` holds."""
     flag = F.coalesce(column(flag), F.lit(False))
@@ -75,6 +90,7 @@ def hflip(image: Column, flag=True) -> Column:
     return gather(image, image["h"], image["w"], mirrored)
 
 
+@evaluated_once
 def erase(image: Column, box: Column) -> Column:
     """Zero the box ``{x, y, h, w}`` (x counts rows); a null box changes nothing."""
 
@@ -85,6 +101,7 @@ def erase(image: Column, box: Column) -> Column:
     return gather(image, image["h"], image["w"], source)
 
 
+@evaluated_once
 def resize_nearest(image: Column, h, w) -> Column:
     """Nearest-pixel resize."""
     h, w = column(h), column(w)
@@ -116,6 +133,7 @@ def to_tensor(image: Column) -> Column:
     return map_values(image, lambda x, ch: x / F.lit(255.0))
 
 
+@evaluated_once
 def to_rgb(image: Column) -> Column:
     """Three channels: alpha dropped, grey repeated."""
     c = image["c"]

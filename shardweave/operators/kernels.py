@@ -73,9 +73,9 @@ def _blend(image: np.ndarray, other, ratio: float) -> np.ndarray:
 def _grey(image: np.ndarray) -> np.ndarray:
     if image.shape[2] < 3:
         return image[..., :1]
+    r, g, b = (image[..., i : i + 1].astype(np.float64) for i in range(3))
     # Luma weights.
-    luma = image[..., :3].astype(np.float64) @ np.array([0.2989, 0.587, 0.114])
-    return np.floor(luma)[..., None]
+    return np.floor(0.2989 * r + 0.587 * g + 0.114 * b)
 
 
 def _sharpness(image: np.ndarray, m: float) -> np.ndarray:
