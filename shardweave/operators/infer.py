@@ -9,6 +9,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -26,10 +27,14 @@ from shardweave.plans.config import Step, as_pair, steps_from_config
 VECTORS = "ARRAY<ARRAY<FLOAT>>"
 
 
-def infer(df: DataFrame, model: TeacherSpec, batch_size: int, out_schema: str) -> DataFrame:
+def infer(
+    df: DataFrame, model: TeacherSpec, batch_size: int, out_schema: str, profile: ResourceProfile | None = None
+) -> DataFrame:
     """Rows in, rows out: call the worker's model on batches of at most ``batch_size`` rows.
 
     The model is called with a pandas DataFrame and returns one; it may return any number of rows.
+    ``profile`` asks for executors with the resources (GPUs) that the model needs. All columns of
+    ``df`` go to Python, so select the model's inputs first.
     """
 
     def run(batches):
@@ -38,7 +43,7 @@ def infer(df: DataFrame, model: TeacherSpec, batch_size: int, out_schema: str) -
             for start in range(0, len(pdf), batch_size):
                 yield fn(pdf.iloc[start : start + batch_size])
 
-    return df.mapInPandas(run, out_schema)
+    return df.mapInPandas(run, out_schema, profile=profile)
 
 
 def embed_texts(texts: Column, teachers: list[TeacherSpec], batch_size: int = 1024) -> Column:
@@ -208,7 +213,10 @@ def add_captions(
     uid: str = "uid",
     batch_size: int = 1024,
 ) -> DataFrame:
-    """Add ``syn_text<tag_suffix>``: ``num_samples`` cleaned captions of each valid image."""
+    """Add ``syn_text<tag_suffix>``: ``num_samples`` cleaned captions of each valid image.
+
+    A teacher returns None for an image that it cannot decode; the record then gets no captions.
+    """
 
     @arrow_udf("ARRAY<STRING>")
     def caption(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -224,7 +232,8 @@ def add_captions(
                     for k in range(num_samples)
                 ]
                 for position, i in enumerate(chunk):
-                    texts[i] = [sample[position] for sample in samples]
+                    found = [sample[position] for sample in samples]
+                    texts[i] = None if None in found else found
             yield pa.array(texts, pa.list_(pa.string()))
 
     draws = F.transform(

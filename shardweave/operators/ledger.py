@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from shardweave.functions.text import basename, canonical_path
 from shardweave.operators.positions import global_index
-from shardweave.operators.shards import MAX_BYTES, name_shards, shard_outputs, shard_table_of_files
+from shardweave.operators.shards import (
+    MAX_BYTES,
+    drop_unwritten,
+    name_shards,
+    shard_outputs,
+    shard_table_of_files,
+)
 from shardweave.session import checkpointed
 from shardweave.sources.files import open_fs
 from shardweave.sources.sink import write_shards
@@ -176,6 +182,7 @@ def run_waves(
         files = outputs.count()
         named = name_shards(records, naming, extension, shards=shards)
         manifest = write_shards(enrich(named), out, output_format, f"wave-{wave:08d}", bfloat16, files)
+        drop_unwritten(outputs, manifest, out)
         seconds = time.monotonic() - begun
         rows = _ledger_rows(outputs, manifest, out, wave, seconds, cpus, gpus)
         append_ledger(spark, out, wave, rows)

@@ -44,6 +44,13 @@ def select_keys(df: DataFrame, pattern: str | None, map_column: str | None = Non
     return df.select([c for c in df.columns if is_internal(c) or re.match(pattern, c)])
 
 
+def select_fields(schema: T.StructType, pattern: str | None) -> T.StructType:
+    """The same choice for a schema, to be made before anything is read."""
+    if pattern is None or pattern == ".*":
+        return schema
+    return T.StructType([f for f in schema.fields if re.match(pattern, f.name)])
+
+
 def rename_keys(df: DataFrame, mapping: dict[str, str], map_column: str | None = None) -> DataFrame:
     """Map input keys to output keys; keys without an entry stay."""
     if map_column is None:

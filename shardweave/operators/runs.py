@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shardweave.operators import infer, records
 from shardweave.operators.ledger import full_manifest, recover, run_waves
-from shardweave.operators.shards import MAX_BYTES, write_config, write_info_manifest, write_manifest
+from shardweave.operators.shards import MAX_BYTES, require_verified, write_config, write_info_manifest, write_manifest
 from shardweave.operators.teachers import TeacherSpec
 from shardweave.plans.augment_plan import compress_draws
 from shardweave.plans.config import steps_from_config
@@ -58,7 +58,9 @@ def embed_records(
     return split.drop("_image", "_valid", "_reason", "_tensor", "_texts", "_text_lengths", "_text_emb")
 
 
-def _finish(spark: SparkSession, out: str, output_format: str) -> DataFrame:
+def _finish(spark: SparkSession, out: str, output_format: str, verify: bool) -> DataFrame:
+    if verify:
+        require_verified(spark, out, [".jsonl" if output_format == "jsonl" else ".tar"])
     manifest = full_manifest(recover(spark, out))
     if output_format == "jsonl":
         write_info_manifest(manifest, out)
@@ -81,8 +83,12 @@ def caption_run(
     batch_size: int = 1024,
     seed: int = 0,
     max_bytes: int = MAX_BYTES,
+    verify: bool = False,
 ) -> DataFrame:
-    """Caption every pending shard of ``source`` into ``out``; returns the manifest of all runs."""
+    """Caption every pending shard of ``source`` into ``out``; returns the manifest of all runs.
+
+    ``verify`` reads all output again at the end and compares it with the checksums of the writer.
+    """
     run_waves(
         spark,
         shard_paths(spark, source),
@@ -94,7 +100,7 @@ def caption_run(
         freq,
         max_bytes,
     )
-    return _finish(spark, out, output_format)
+    return _finish(spark, out, output_format, verify)
 
 
 def embedding_run(
@@ -115,6 +121,7 @@ def embedding_run(
     batch_size: int = 1024,
     seed: int = 0,
     max_bytes: int = MAX_BYTES,
+    verify: bool = False,
 ) -> DataFrame:
     """Embed every pending shard of ``source`` into ``out``; returns the manifest of all runs.
 
@@ -136,4 +143,4 @@ def embedding_run(
         max_bytes,
         bfloat16,
     )
-    return _finish(spark, out, output_format)
+    return _finish(spark, out, output_format, verify)

@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,6 +97,25 @@ def shard_outputs(shards: DataFrame, naming: str, extension: str) -> DataFrame:
     return pieces.select("_shard", out_name(naming, extension, F.col("_piece")).alias("_out"))
 
 
+def drop_unwritten(outputs: DataFrame, manifest: DataFrame, out: str) -> None:
+    """Delete planned output shards (``_out``) that the run's manifest does not list.
+
+    An earlier attempt under another file splitting may have put records into a piece that stays
+    empty now; they are in other pieces this time.
+    """
+
+    def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = open_fs(out)
+        for batch in batches:
+            for name in batch.column("_out").to_pylist():
+                if fs.get_file_info(f"{folder}/{name}").type == pafs.FileType.File:
+                    fs.delete_file(f"{folder}/{name}")
+            yield batch
+
+    unwritten = outputs.select("_out").join(manifest.select(F.col("shard").alias("_out")), "_out", "left_anti")
+    unwritten.mapInArrow(delete, "_out STRING").count()
+
+
 def name_shards(
     df: DataFrame,
     naming: str = "count",

@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from shardweave.operators.records import as_struct, unwrap_features
-from shardweave.sources.jsonl import read_jsonl
+from shardweave.operators.records import as_struct, rename_keys, select_fields, unwrap_features
+from shardweave.sources.jsonl import POSITION, read_jsonl
 from shardweave.sources.paths import shard_paths, with_format
 from shardweave.sources.tar import read_tar_samples
 from shardweave.sources.tfrecord import read_tfrecord
@@ -28,21 +28,33 @@ def paths_by_format(paths: DataFrame) -> dict[str, list[str]]:
     return grouped
 
 
-def read_shards(spark: SparkSession, source: str | DataFrame, schema: T.StructType | str) -> DataFrame:
-    """Records of all shards of a manifest, pattern or table of paths, with ``_shard`` and ``_pos``."""
-    schema = as_struct(schema)
+def read_shards(
+    spark: SparkSession,
+    source: str | DataFrame,
+    schema: T.StructType | str,
+    content_key: str | None = None,
+    rekey: dict[str, str] | None = None,
+    shuffle_seed: int | None = None,
+) -> DataFrame:
+    """Records of all shards of a manifest, pattern or table of paths, with ``_shard`` and ``_pos``.
+
+    ``content_key`` keeps the keys of ``schema`` that it matches from their start, so that others are
+    never parsed; ``rekey`` then renames keys. ``shuffle_seed`` shuffles the records of TFRecord
+    shards.
+    """
+    wanted = select_fields(as_struct(schema), content_key)
     paths = shard_paths(spark, source) if isinstance(source, str) else source
     grouped = paths_by_format(paths)
     parts = []
     lines = [p for kind in ("jsonl", "jsonl_zstd", "jsonl_gzip") for p in grouped.get(kind, [])]
     if lines:
-        parts.append(read_jsonl(spark, lines, schema))
+        parts.append(read_jsonl(spark, lines, wanted))
     if grouped.get("tar"):
-        parts.append(read_tar_samples(spark, grouped["tar"], schema))
+        parts.append(read_tar_samples(spark, grouped["tar"], wanted))
     if grouped.get("tfrecord"):
-        parts.append(unwrap_features(read_tfrecord(spark, grouped["tfrecord"]), schema))
+        parts.append(unwrap_features(read_tfrecord(spark, grouped["tfrecord"], shuffle_seed), wanted))
     if not parts:
-        return spark.createDataFrame([], T.StructType([*schema.fields])).selectExpr(
-            "*", "cast(null as string) as _shard", "cast(null as struct<block: bigint, line: bigint>) as _pos"
-        )
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        place = as_struct(f"_shard STRING, _pos {POSITION}")
+        parts.append(spark.createDataFrame([], T.StructType([*wanted.fields, *place.fields])))
+    records = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rename_keys(records, rekey) if rekey else records

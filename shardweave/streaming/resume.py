@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from shardweave.functions.text import canonical_path
 from shardweave.operators.ledger import append_ledger
 from shardweave.operators.records import as_struct
-from shardweave.operators.shards import MAX_BYTES, out_name, piece_of
+from shardweave.operators.shards import MAX_BYTES, drop_unwritten, out_name, piece_of, shard_outputs
+from shardweave.sources.files import file_sizes
 from shardweave.sources.jsonl import POSITION, field_of, parsed_object
 from shardweave.sources.sink import write_shards
 
@@ -23,6 +24,11 @@ def _records(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
     return kept.select(*[field_of(F.col("_record"), f).alias(f.name) for f in as_struct(schema).fields], "_shard", "_pos", "_out")
 
 
+def _pieces(size: Column, max_bytes: int) -> Column:
+    """Number of output shards of an input file."""
+    return F.greatest(F.ceil(size / max_bytes), F.lit(1)).cast("bigint")
+
+
 def stream_shards(
     spark: SparkSession,
     folder: str,
@@ -47,7 +53,7 @@ def stream_shards(
         "value",
         canonical_path(F.col("_metadata.file_path"), encoded=True).alias("_shard"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.greatest(F.ceil(F.col("_metadata.file_size") / max_bytes), F.lit(1)).cast("bigint").alias("_pieces"),
+        _pieces(F.col("_metadata.file_size"), max_bytes).alias("_pieces"),
     )
 
     def write(batch: DataFrame, number: int) -> None:
@@ -61,6 +67,11 @@ def stream_shards(
         records = _records(named, schema)
         session = batch.sparkSession
         manifest = write_shards(enrich(records), out, output_format, f"batch-{number:08d}")
+        inputs = manifest.select(F.col("input").alias("path")).distinct()
+        planned = file_sizes(inputs).select(
+            F.col("path").alias("_shard"), F.lit(0).alias("_first"), _pieces(F.col("bytes"), max_bytes).alias("_pieces")
+        )
+        drop_unwritten(shard_outputs(planned, "orig", extension), manifest, out)
         rows = manifest.select(
             F.lit(number).cast("bigint").alias("wave"),
             F.col("input").alias("input_path"),

@@ -232,6 +232,13 @@ def test_folder_groups(spark):
     assert {r["folder"] for r in paths.group_into_folders(files, -1).collect()} == {""}
 
 
+def test_key_choice_and_names_while_reading(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"uid": "a", "text": "x", "n": 1}\n')
+    listed = paths.list_files(spark, str(tmp_path), [".jsonl"])
+    df = read_shards(spark, listed, SCHEMA, "uid|te", {"text": "caption"})
+    assert df.columns == ["uid", "caption", "_shard", "_pos"] and df.first()["caption"] == "x"
+
+
 def test_paths_with_blanks_and_plus_signs(spark, tmp_path):
     path = tmp_path / "a b+c%d.jsonl"
     path.write_text('{"uid": "a"}\n')

@@ -95,6 +95,19 @@ def test_a_batch_without_any_valid_record(spark):
     assert [r["syn_text"] for r in captioned.collect()] == [None, None]
 
 
+class Picky:
+    """Cannot decode the image b"bad"."""
+
+    def captions(self, images, draws):
+        return [None if im == b"bad" else "seen" for im in images]
+
+
+def test_an_image_the_teacher_cannot_decode(spark):
+    df = spark.createDataFrame([("a", b"bad"), ("b", b"good")], "uid STRING, image BINARY").coalesce(1)
+    captioned = infer.add_captions(records.flag_valid(df), TeacherSpec(Picky), 2).orderBy("uid")
+    assert [r["syn_text"] for r in captioned.collect()] == [None, ["seen", "seen"]]
+
+
 def test_caption_cleaning(spark):
     cases = {
         "x<start_of_text>a cat. a dog<end_of_text>junk": "a cat",
