@@ -165,7 +165,7 @@ def run_folder(spark, sf):
     def write(out):
         for limit in (1, 1, None):
             lg.run_waves(
-                spark, inputs, out, lambda p: read_shards(spark, p, RECORD), marked, "jsonl", "count", 7, max_waves=limit
+                spark, inputs, out, lambda p: read_shards(spark, p, RECORD), marked, 7, limit
             )
 
     return written_once(spark, sf, "run", write)
@@ -202,7 +202,7 @@ def stream_folder(spark, sf):
 
     def write(out):
         for _ in range(2):
-            query = stream_shards(spark, folder, out, RECORD, marked, freq=7, max_bytes=limit)
+            query = stream_shards(spark, folder, out, RECORD, marked, freq=7, max_bytes=limit, naming="orig")
             query.awaitTermination()
 
     return written_once(spark, sf, "stream", write)

@@ -36,12 +36,12 @@ def pending_shards(paths: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def recover(spark: SparkSession, out: str) -> DataFrame:
-    """Ledger of earlier runs into ``out``; empty when there is none."""
+    """Ledger of earlier runs into ``out``, empty when there is none; ``part`` names the wave's folder."""
     folder = f"{out.rstrip('/')}/{LEDGER_FOLDER}"
     fs, inner = open_fs(folder)
     if fs.get_file_info(inner).type != pafs.FileType.Directory:
-        return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).parquet(folder)
+        return spark.createDataFrame([], f"{LEDGER}, part STRING")
+    return spark.read.schema(f"{LEDGER}, part STRING").parquet(folder)
 
 
 def next_index(ledger: DataFrame) -> DataFrame:
@@ -55,13 +55,18 @@ def next_wave(ledger: DataFrame) -> int:
     return 0 if last is None else last + 1
 
 
-def append_ledger(spark: SparkSession, out: str, wave: int, rows: DataFrame) -> None:
+def part_name(kind: str, wave: int) -> str:
+    """Name of a wave's part of the ledger and of the manifest."""
+    return f"{kind}-{wave:08d}"
+
+
+def append_ledger(spark: SparkSession, out: str, wave: int, rows: DataFrame, kind: str = "wave") -> None:
     """Persist the results of a wave.
 
     A wave has its own folder and replaces it, so repeating a wave after a crash between data and
     ledger leaves one entry.
     """
-    folder = f"{out.rstrip('/')}/{LEDGER_FOLDER}/part={wave:08d}"
+    folder = f"{out.rstrip('/')}/{LEDGER_FOLDER}/part={part_name(kind, wave)}"
     columns = [F.col(c.split()[0]).cast(c.split()[1]) for c in LEDGER.split(", ")]
     rows.select(*columns).write.mode("overwrite").parquet(folder)
 
@@ -143,48 +148,64 @@ def _ledger_rows(
     )
 
 
-def run_waves(
+def run_wave(
     spark: SparkSession,
-    paths: DataFrame,
+    chosen: DataFrame,
     out: str,
+    wave: int,
+    start: int,
     read: Callable[[DataFrame], DataFrame],
     enrich: Callable[[DataFrame], DataFrame],
     output_format: str = "jsonl",
     naming: str = "count",
-    freq: int = 1000,
     max_bytes: int = MAX_BYTES,
     bfloat16: bool = False,
-    max_waves: int | None = None,
     gpus: int = 0,
+    kind: str = "wave",
+) -> int:
+    """Enrich the shards of ``chosen``, write them and then their ledger part; returns the number of
+    output shards, which are numbered from ``start``."""
+    begun = time.monotonic()
+    cpus = spark.sparkContext.defaultParallelism
+    extension = "jsonl" if output_format == "jsonl" else "tar"
+    shards = checkpointed(shard_table_of_files(chosen, start, max_bytes))
+    outputs = shard_outputs(shards, naming, extension)
+    files = outputs.count()
+    named = name_shards(read(chosen), naming, extension, shards=shards)
+    manifest = write_shards(enrich(named), out, output_format, part_name(kind, wave), bfloat16, files)
+    drop_unwritten(outputs, manifest, out)
+    seconds = time.monotonic() - begun
+    append_ledger(spark, out, wave, _ledger_rows(outputs, manifest, out, wave, seconds, cpus, gpus), kind)
+    return files
+
+
+def run_waves(
+    spark: SparkSession,
+    paths: DataFrame,
+    out: str,
+    read: Callable[[DataFrame], DataFrame],
+    enrich: Callable[[DataFrame], DataFrame],
+    freq: int = 1000,
+    max_waves: int | None = None,
+    **options,
 ) -> int:
     """Enrich the pending shards, ``freq`` input shards at a time; returns the number of waves run.
 
     Each wave writes its data and then its ledger part, so an interrupted run repeats at most one
     wave, under the same names. ``read`` turns a table of paths into records with ``_shard`` and
     ``_pos``; ``enrich`` adds columns and keeps all that start with an underscore. Input files of more
-    than ``max_bytes`` are spread over several output shards.
+    than ``max_bytes`` are spread over several output shards. ``options`` are those of
+    :func:`run_wave`.
     """
     spelled = paths.select(canonical_path(F.col("path")).alias("path"))
     ledger = recover(spark, out)
     todo = checkpointed(global_index(pending_shards(spelled, ledger), ["path"], "_turn"))
     count, wave, done = todo.count(), next_wave(ledger), 0
     start = next_index(ledger).first()["next_index"]
-    cpus = spark.sparkContext.defaultParallelism
-    extension = "jsonl" if output_format == "jsonl" else "tar"
     for first in range(0, count, freq):
         if max_waves is not None and done >= max_waves:
             break
-        begun = time.monotonic()
         chosen = todo.filter((F.col("_turn") >= first) & (F.col("_turn") < first + freq)).select("path")
-        records = read(chosen)
-        shards = checkpointed(shard_table_of_files(chosen, start, max_bytes))
-        outputs = shard_outputs(shards, naming, extension)
-        files = outputs.count()
-        named = name_shards(records, naming, extension, shards=shards)
-        manifest = write_shards(enrich(named), out, output_format, f"wave-{wave:08d}", bfloat16, files)
-        drop_unwritten(outputs, manifest, out)
-        seconds = time.monotonic() - begun
-        rows = _ledger_rows(outputs, manifest, out, wave, seconds, cpus, gpus)
-        append_ledger(spark, out, wave, rows)
-        wave, start, done = wave + 1, start + files, done + 1
+        start += run_wave(spark, chosen, out, wave, start, read, enrich, **options)
+        wave, done = wave + 1, done + 1
     return done

@@ -95,10 +95,10 @@ def caption_run(
         out,
         lambda paths: read_shards(spark, paths, schema),
         lambda df: caption_records(df, teacher, num_samples, tag_suffix, seed, batch_size),
-        output_format,
-        naming,
         freq,
-        max_bytes,
+        output_format=output_format,
+        naming=naming,
+        max_bytes=max_bytes,
     )
     return _finish(spark, out, output_format, verify)
 
@@ -137,10 +137,10 @@ def embedding_run(
         lambda df: embed_records(
             df, teachers, aug_config, num_samples, tag_suffix, syn_text_key_regex, decode, seed, batch_size
         ),
-        output_format,
-        naming,
         freq,
-        max_bytes,
-        bfloat16,
+        output_format=output_format,
+        naming=naming,
+        max_bytes=max_bytes,
+        bfloat16=bfloat16,
     )
     return _finish(spark, out, output_format, verify)

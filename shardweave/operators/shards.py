@@ -133,6 +133,7 @@ def name_shards(
     more than that, however uneven the input is. The join is with the table of shards (one row per
     input file; ``shards``, if it is at hand), which is broadcast after its rows have been counted.
     """
+    df = df.withColumn("_shard", F.coalesce("_shard", F.lit("")))
     table = shards if shards is not None else checkpointed(shard_table(df, start, max_records))
     placed = join_small(df, table, "_shard")
     spread_by = identity or [c for c in ("uid", "_pos") if c in df.columns]

@@ -22,6 +22,17 @@ def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
+def replace_file(fs: pafs.FileSystem, source: str, target: str) -> None:
+    """Rename, also where the file system refuses to rename onto an existing file."""
+    try:
+        fs.move(source, target)
+    except OSError:
+        if fs.get_file_info(target).type != pafs.FileType.File:
+            raise
+        fs.delete_file(target)
+        fs.move(source, target)
+
+
 def plan_ranges(
     paths: DataFrame, boundaries: Callable[[object, int], Iterator[int]], split_bytes: int
 ) -> DataFrame:

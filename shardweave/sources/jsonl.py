@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardweave.functions.packing import pack_embedding
+from shardweave.functions.packing import VECTORS, pack_embedding, unpack_embedding
 from shardweave.functions.tensor import to_bfloat16
 from shardweave.functions.text import canonical_path
 from shardweave.operators.records import as_struct, emb_name, record_keys
@@ -47,18 +47,30 @@ def field_of(record: Column, field: T.StructField) -> Column:
     return F.try_variant_get(record, f"$['{name}']", kind.simpleString())
 
 
+def vectors_of(record: Column, field: T.StructField) -> Column:
+    """Embedding key of a record, stored as plain lists or packed as text."""
+    plain = field_of(record, field)
+    text = field_of(record, T.StructField(field.name, T.StringType()))
+    # Packed text starts with the base64 form of the gzip mark.
+    packed = F.when(plain.isNull() & text.startswith("H4sI"), text)
+    return F.coalesce(plain, unpack_embedding(packed))
+
+
 def read_jsonl(spark: SparkSession, paths: list[str], schema: T.StructType | str | None = None) -> DataFrame:
     """One record per line that holds a JSON object; other lines are skipped.
 
     With a schema the keys become columns, otherwise the record stays a VARIANT column ``record``.
-    A value that does not fit its column becomes null, it does not reject the record.
+    Embedding columns (``ARRAY<ARRAY<FLOAT>>``, "emb" in the name) are unpacked. A value that does not fit its column becomes null, it does not reject the record.
     """
     lines = read_lines(spark, paths)
     parsed, is_object = parsed_object(F.col("value"))
     records = lines.filter(is_object).select(parsed.alias("record"), "_shard", "_pos")
     if schema is None:
         return records
-    columns = [field_of(F.col("record"), f).alias(f.name) for f in as_struct(schema).fields]
+    columns = []
+    for field in as_struct(schema).fields:
+        get = vectors_of if "emb" in field.name and field.dataType == VECTORS else field_of
+        columns.append(get(F.col("record"), field).alias(field.name))
     return records.select(*columns, "_shard", "_pos")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from shardweave.operators.records import normalise_emb_names, to_members
-from shardweave.sources.files import open_fs
+from shardweave.sources.files import open_fs, replace_file
 from shardweave.sources.jsonl import to_json_lines
 from shardweave.sources.tar import TAR_TRAILER, to_tar_chunk
 
@@ -59,7 +59,7 @@ class _OpenShard:
         if trailer:
             self.write(trailer)
         self.stream.close()
-        self.fs.move(self.partial, self.final)
+        replace_file(self.fs, self.partial, self.final)
         return {
             "shard": self.name,
             "input": self.source,
@@ -113,7 +113,7 @@ class ShardFileWriter(DataSourceArrowWriter):
             for message in messages:
                 for shard in message.shards if message else ():
                     out.write((json.dumps(shard) + "\n").encode())
-        fs.move(f"{part}.partial", part)
+        replace_file(fs, f"{part}.partial", part)
 
     def abort(self, messages: list) -> None:
         """Nothing to undo: finished shards are whole, and a rerun replaces them by the same bytes."""

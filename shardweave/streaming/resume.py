@@ -4,29 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shardweave.functions.text import canonical_path
-from shardweave.operators.ledger import append_ledger
-from shardweave.operators.records import as_struct
-from shardweave.operators.shards import MAX_BYTES, drop_unwritten, out_name, piece_of, shard_outputs
-from shardweave.sources.files import file_sizes
-from shardweave.sources.jsonl import POSITION, field_of, parsed_object
-from shardweave.sources.sink import write_shards
+from shardweave.operators.ledger import next_index, part_name, pending_shards, recover, run_wave
+from shardweave.sources.shards import read_shards
 
-
-def _records(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
-    parsed, is_object = parsed_object(F.col("value"))
-    kept = lines.filter(is_object).withColumn("_record", parsed)
-    return kept.select(*[field_of(F.col("_record"), f).alias(f.name) for f in as_struct(schema).fields], "_shard", "_pos", "_out")
-
-
-def _pieces(size: Column, max_bytes: int) -> Column:
-    """Number of output shards of an input file."""
-    return F.greatest(F.ceil(size / max_bytes), F.lit(1)).cast("bigint")
+# The schema of Spark's binary file source; contents are never read through it.
+FILES = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 
 
 def stream_shards(
@@ -35,61 +23,31 @@ def stream_shards(
     out: str,
     schema: T.StructType | str,
     enrich: Callable[[DataFrame], DataFrame],
-    output_format: str = "jsonl",
     freq: int = 1000,
-    max_bytes: int = MAX_BYTES,
     checkpoint: str | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Enrich every JSON-lines shard that is in ``folder``, then stop; started again it goes on with
-    the shards that came since.
+    """Enrich every shard that is in ``folder``, then stop; started again it goes on with the shards
+    that came since. All input formats are read; ``options`` are those of ``run_wave``.
 
-    Each micro-batch takes up to ``freq`` shards. Its shards are named after their inputs and its
-    manifest and ledger parts after the batch number, so a batch that Spark repeats after a failure
-    replaces its own earlier output. Input files of more than ``max_bytes`` are spread over several
-    output shards.
+    The stream carries the names of new files, up to ``freq`` per micro-batch, and each batch is one
+    wave. Its outputs, manifest and ledger part are named after the batch, so a batch that Spark
+    repeats after a failure replaces its own earlier output.
     """
-    lines = spark.readStream.option("maxFilesPerTrigger", freq).text(folder)
-    numbered = lines.select(
-        "value",
-        canonical_path(F.col("_metadata.file_path"), encoded=True).alias("_shard"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        _pieces(F.col("_metadata.file_size"), max_bytes).alias("_pieces"),
-    )
+    files = spark.readStream.format("binaryFile").schema(FILES).option("maxFilesPerTrigger", freq).load(folder)
+    names = files.select(canonical_path(F.col("path")).alias("path"))
 
-    def write(batch: DataFrame, number: int) -> None:
-        extension = "jsonl" if output_format == "jsonl" else "tar"
-        line = F.struct(F.col("_block").alias("block"), F.monotonically_increasing_id().alias("line"))
-        placed = batch.withColumn("_pos", line.cast(POSITION)).withColumn("_first", F.lit(0))
-        piece = F.when(F.col("_pieces") == 1, F.lit(0).cast("bigint")).otherwise(
-            piece_of(F.col("_pieces"), ["_pos"])
-        )
-        named = placed.withColumn("_out", out_name("orig", extension, piece))
-        records = _records(named, schema)
+    def wave(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        manifest = write_shards(enrich(records), out, output_format, f"batch-{number:08d}")
-        inputs = manifest.select(F.col("input").alias("path")).distinct()
-        planned = file_sizes(inputs).select(
-            F.col("path").alias("_shard"), F.lit(0).alias("_first"), _pieces(F.col("bytes"), max_bytes).alias("_pieces")
-        )
-        drop_unwritten(shard_outputs(planned, "orig", extension), manifest, out)
-        rows = manifest.select(
-            F.lit(number).cast("bigint").alias("wave"),
-            F.col("input").alias("input_path"),
-            F.concat(F.lit(out.rstrip("/") + "/"), F.col("shard")).alias("output_path"),
-            "num_uids",
-            F.lit(0.0).alias("time_seconds"),
-            F.lit(0.0).alias("cpu_seconds"),
-            F.lit(0.0).alias("gpu_seconds"),
-            F.current_timestamp().alias("finished_at"),
-        )
-        append_ledger(session, out, number, rows)
+        earlier = recover(session, out).filter(F.col("part") != part_name("stream", number))
+        chosen = pending_shards(batch, earlier)
+        start = next_index(earlier).first()["next_index"]
+        read = lambda paths: read_shards(session, paths, schema)
+        run_wave(session, chosen, out, number, start, read, enrich, kind="stream", **options)
 
-    location = checkpoint or f"{out.rstrip('/')}/_stream"
     return (
-        numbered.writeStream.foreachBatch(write)
-        .option("checkpointLocation", location)
+        names.writeStream.foreachBatch(wave)
+        .option("checkpointLocation", checkpoint or f"{out.rstrip('/')}/_stream")
         .trigger(availableNow=True)
         .start()
     )
-
-

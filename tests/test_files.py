@@ -136,8 +136,12 @@ def test_tfrecord_pieces_and_truncation(spark, tmp_path):
         r = tfrecord.read_tfrecord(spark, [str(tmp_path / "a.tfrecord")], split_bytes=split)
         got = r.orderBy("_pos").select(F.col("features")["n_chars"]["ints"][0], F.col("features")["weights"]["floats"][0])
         assert [tuple(x) for x in got.collect()] == [(i * 1000, i / 4) for i in range(200)]
-    shuffled = [tfrecord.read_tfrecord(spark, [str(tmp_path / "a.tfrecord")], 5, split).select("_pos").collect() for split in (1 << 30, 2000)]
-    assert shuffled[0] == shuffled[1] != sorted(shuffled[0])
+    shuffled = []
+    for seed, split in ((5, 1 << 30), (5, 2000), (6, 2000)):
+        r = tfrecord.read_tfrecord(spark, [str(tmp_path / "a.tfrecord")], seed, split)
+        shuffled.append([x[0] for x in r.orderBy("_pos").select(F.col("features")["n_chars"]["ints"][0]).collect()])
+    assert shuffled[0] == shuffled[1] != shuffled[2]
+    assert sorted(shuffled[0]) == sorted(shuffled[2]) == [i * 1000 for i in range(200)] != shuffled[0]
     with pytest.raises(Exception, match="ends inside a record"):
         tfrecord.read_tfrecord(spark, [str(tmp_path / "b.tfrecord-00001")]).collect()
 
@@ -205,6 +209,11 @@ def test_bfloat16_and_packed_vectors_in_files(spark, tmp_path):
 
     got = {x["n"]: x["v"] for x in packed.select("n", unpack_embedding(F.col("image_emb")).alias("v")).collect()}
     assert got[0] is None and got[3] == [[3.0, 1.00390625]]
+    direct = jsonl.read_jsonl(spark, [str(tmp_path / "j")], SCHEMA + ", image_emb ARRAY<ARRAY<FLOAT>>")
+    assert {x["n"]: x["image_emb"] for x in direct.collect()} == got
+    (tmp_path / "plain.jsonl").write_text('{"uid": "a", "x_emb": [[1, 2.5]]}\n{"uid": "b", "x_emb": "odd"}\n')
+    plain = jsonl.read_jsonl(spark, [str(tmp_path / "plain.jsonl")], "uid STRING, x_emb ARRAY<ARRAY<FLOAT>>")
+    assert {x["uid"]: x["x_emb"] for x in plain.collect()} == {"a": [[1.0, 2.5]], "b": None}
 
 
 def test_patterns(spark):

@@ -18,7 +18,7 @@ from shardweave.plans.config import steps_from_config
 from shardweave.session import BROADCAST_ROWS, balanced, join_small, scratch_root
 from shardweave.sources import paths
 from shardweave.sources.shards import read_shards
-from shardweave.sources.sink import write_jsonl
+from shardweave.sources.sink import write_jsonl, write_tar_samples
 from shardweave.streaming.resume import stream_shards
 
 SCHEMA = "uid STRING, text STRING, image STRING, n BIGINT"
@@ -197,7 +197,7 @@ def test_a_teacher_that_does_not_fit_is_refused_before_anything_is_written(spark
 def test_the_stream_takes_new_shards_only(spark, tmp_path):
     def start():
         query = stream_shards(
-            spark, str(tmp_path / "in"), str(tmp_path / "out"), SCHEMA, lambda df: df.withColumn("m", F.col("n") + 1), freq=2
+            spark, str(tmp_path / "in"), str(tmp_path / "out"), SCHEMA, lambda df: df.withColumn("m", F.col("n") + 1), freq=2, naming="orig"
         )
         query.awaitTermination()
 
@@ -213,6 +213,17 @@ def test_the_stream_takes_new_shards_only(spark, tmp_path):
     assert json.loads(late) == {"uid": "late", "n": 5, "m": 6}
 
 
+def test_the_stream_reads_every_format_and_skips_what_a_run_has_done(spark, tmp_path):
+    write_input(spark, tmp_path / "in", 20, 2)
+    run(spark, tmp_path / "in", tmp_path / "out", freq=1, max_waves=1)
+    df = spark.range(5).select(F.format_string("t%d", "id").alias("uid"), F.lit("tar").alias("text"), F.lit("x").alias("_shard"), F.col("id").alias("_pos"))
+    write_tar_samples(sh.name_shards(df, "count", "tar"), str(tmp_path / "in"))
+    stream_shards(spark, str(tmp_path / "in"), str(tmp_path / "out"), SCHEMA, lambda df: df).awaitTermination()
+    found = contents(spark, tmp_path / "out")
+    assert len(found) == 25 and {s for s, _ in found} == {f"{i:08d}.jsonl" for i in range(3)}
+    assert lg.recover(spark, str(tmp_path / "out")).count() == 3
+
+
 def test_large_tables_are_not_broadcast(spark):
     big = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     small = spark.range(3).withColumnRenamed("id", "k")
