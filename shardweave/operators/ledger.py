@@ -10,13 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardweave.functions.text import basename, canonical_path
-from shardweave.operators.positions import global_index
 from shardweave.operators.shards import (
     MAX_BYTES,
-    drop_unwritten,
     name_shards,
     shard_outputs,
     shard_table_of_files,
+    written_outputs,
 )
 from shardweave.session import checkpointed
 from shardweave.sources.files import open_fs
@@ -121,26 +120,20 @@ def full_manifest(ledger: DataFrame) -> DataFrame:
     return written.groupBy(name.alias("shard")).agg(F.sum("num_uids").alias("num_uids")).orderBy("shard")
 
 
-def _ledger_rows(
-    outputs: DataFrame, manifest: DataFrame, out: str, wave: int, seconds: float, cpus: int, gpus: int
-) -> DataFrame:
+def _ledger_rows(outputs: DataFrame, out: str, wave: int, seconds: float, cpus: int, gpus: int) -> DataFrame:
     """Ledger rows of a wave; its time is shared out over its shards by their records.
 
     Planned shards that received no record are listed with zero, so that numbering goes on behind
     them.
     """
-    written = manifest.select(F.col("shard").alias("_out"), "num_uids")
-    rows = outputs.join(written, "_out", "left").select(
-        F.lit(wave).cast("bigint").alias("wave"),
-        F.col("_shard").alias("input_path"),
-        F.concat(F.lit(out.rstrip("/") + "/"), F.col("_out")).alias("output_path"),
-        F.coalesce("num_uids", F.lit(0).cast("bigint")).alias("num_uids"),
-    )
     # One group, but of at most the shards of one wave.
     whole = F.greatest(F.sum("num_uids").over(Window.partitionBy("wave")), F.lit(1))
     spent = F.lit(float(seconds)) * F.col("num_uids") / whole
-    return rows.select(
-        "*",
+    return outputs.withColumn("wave", F.lit(wave).cast("bigint")).select(
+        "wave",
+        F.col("_shard").alias("input_path"),
+        F.concat(F.lit(out.rstrip("/") + "/"), F.col("_out")).alias("output_path"),
+        "num_uids",
         spent.alias("time_seconds"),
         (spent * cpus).alias("cpu_seconds"),
         (spent * gpus).alias("gpu_seconds"),
@@ -150,33 +143,29 @@ def _ledger_rows(
 
 def run_wave(
     spark: SparkSession,
-    chosen: DataFrame,
+    shards: DataFrame,
+    files: int,
     out: str,
     wave: int,
-    start: int,
     read: Callable[[DataFrame], DataFrame],
     enrich: Callable[[DataFrame], DataFrame],
     output_format: str = "jsonl",
     naming: str = "count",
-    max_bytes: int = MAX_BYTES,
     bfloat16: bool = False,
     gpus: int = 0,
     kind: str = "wave",
-) -> int:
-    """Enrich the shards of ``chosen``, write them and then their ledger part; returns the number of
-    output shards, which are numbered from ``start``."""
+) -> None:
+    """Enrich the input shards of a shard table, write the ``files`` output shards that it plans, and
+    then the wave's part of the ledger."""
     begun = time.monotonic()
     cpus = spark.sparkContext.defaultParallelism
     extension = "jsonl" if output_format == "jsonl" else "tar"
-    shards = checkpointed(shard_table_of_files(chosen, start, max_bytes))
-    outputs = shard_outputs(shards, naming, extension)
-    files = outputs.count()
-    named = name_shards(read(chosen), naming, extension, shards=shards)
+    records = read(shards.select(F.col("_shard").alias("path")))
+    named = name_shards(records, naming, extension, shards=shards, shard_rows=files)
     manifest = write_shards(enrich(named), out, output_format, part_name(kind, wave), bfloat16, files)
-    drop_unwritten(outputs, manifest, out)
+    outputs = written_outputs(shard_outputs(shards, naming, extension), manifest, out)
     seconds = time.monotonic() - begun
-    append_ledger(spark, out, wave, _ledger_rows(outputs, manifest, out, wave, seconds, cpus, gpus), kind)
-    return files
+    append_ledger(spark, out, wave, _ledger_rows(outputs, out, wave, seconds, cpus, gpus), kind)
 
 
 def run_waves(
@@ -187,9 +176,10 @@ def run_waves(
     enrich: Callable[[DataFrame], DataFrame],
     freq: int = 1000,
     max_waves: int | None = None,
+    max_bytes: int = MAX_BYTES,
     **options,
 ) -> int:
-    """Enrich the pending shards, ``freq`` input shards at a time; returns the number of waves run.
+    """Enrich the pending shards in waves of about ``freq`` output shards; returns the number of waves.
 
     Each wave writes its data and then its ledger part, so an interrupted run repeats at most one
     wave, under the same names. ``read`` turns a table of paths into records with ``_shard`` and
@@ -199,13 +189,12 @@ def run_waves(
     """
     spelled = paths.select(canonical_path(F.col("path")).alias("path"))
     ledger = recover(spark, out)
-    todo = checkpointed(global_index(pending_shards(spelled, ledger), ["path"], "_turn"))
-    count, wave, done = todo.count(), next_wave(ledger), 0
-    start = next_index(ledger).first()["next_index"]
-    for first in range(0, count, freq):
-        if max_waves is not None and done >= max_waves:
-            break
-        chosen = todo.filter((F.col("_turn") >= first) & (F.col("_turn") < first + freq)).select("path")
-        start += run_wave(spark, chosen, out, wave, start, read, enrich, **options)
-        wave, done = wave + 1, done + 1
-    return done
+    wave, start = next_wave(ledger), next_index(ledger).first()["next_index"]
+    table = checkpointed(shard_table_of_files(pending_shards(spelled, ledger), start, max_bytes))
+    turn = F.floor((F.col("_first") - start) / freq)
+    # The plan of the run on the driver: one row per wave.
+    plan = table.groupBy(turn.alias("turn")).agg(F.sum("_pieces").alias("files")).orderBy("turn").collect()
+    for step in plan[:max_waves]:
+        run_wave(spark, table.filter(turn == step["turn"]), step["files"], out, wave, read, enrich, **options)
+        wave += 1
+    return len(plan[:max_waves])

@@ -97,23 +97,26 @@ def shard_outputs(shards: DataFrame, naming: str, extension: str) -> DataFrame:
     return pieces.select("_shard", out_name(naming, extension, F.col("_piece")).alias("_out"))
 
 
-def drop_unwritten(outputs: DataFrame, manifest: DataFrame, out: str) -> None:
-    """Delete planned output shards (``_out``) that the run's manifest does not list.
+def written_outputs(outputs: DataFrame, manifest: DataFrame, out: str) -> DataFrame:
+    """Planned output shards with their number of records, zero for those not written.
 
-    An earlier attempt under another file splitting may have put records into a piece that stays
-    empty now; they are in other pieces this time.
+    Files under the names of the latter are deleted: an earlier attempt under another file splitting
+    may have put records into a piece that stays empty now; they are in other pieces this time.
     """
+    written = manifest.select(F.col("shard").alias("_out"), "num_uids")
+    counted = outputs.join(written, "_out", "left").select(
+        "_shard", "_out", F.coalesce("num_uids", F.lit(0).cast("bigint")).alias("num_uids")
+    )
 
     def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = open_fs(out)
         for batch in batches:
-            for name in batch.column("_out").to_pylist():
-                if fs.get_file_info(f"{folder}/{name}").type == pafs.FileType.File:
+            for name, records in zip(batch.column("_out").to_pylist(), batch.column("num_uids").to_pylist()):
+                if records == 0 and fs.get_file_info(f"{folder}/{name}").type == pafs.FileType.File:
                     fs.delete_file(f"{folder}/{name}")
             yield batch
 
-    unwritten = outputs.select("_out").join(manifest.select(F.col("shard").alias("_out")), "_out", "left_anti")
-    unwritten.mapInArrow(delete, "_out STRING").count()
+    return counted.mapInArrow(delete, "_shard STRING, _out STRING, num_uids LONG")
 
 
 def name_shards(
@@ -124,6 +127,7 @@ def name_shards(
     max_records: int = MAX_RECORDS,
     identity: list[str] | None = None,
     shards: DataFrame | None = None,
+    shard_rows: int | None = None,
 ) -> DataFrame:
     """Add ``_out``, the name of the output shard of each record.
 
@@ -131,11 +135,12 @@ def name_shards(
     name. An input shard of more than ``max_records`` is spread over several output shards, by a hash
     of the ``identity`` columns (default: uid and position), so that no writer task receives much
     more than that, however uneven the input is. The join is with the table of shards (one row per
-    input file; ``shards``, if it is at hand), which is broadcast after its rows have been counted.
+    input file; ``shards`` of ``shard_rows`` rows, if at hand), which is broadcast after its rows have
+    been counted.
     """
     df = df.withColumn("_shard", F.coalesce("_shard", F.lit("")))
     table = shards if shards is not None else checkpointed(shard_table(df, start, max_records))
-    placed = join_small(df, table, "_shard")
+    placed = join_small(df, table, "_shard", shard_rows)
     spread_by = identity or [c for c in ("uid", "_pos") if c in df.columns]
     only = F.lit(0).cast("bigint")
     piece = F.when(F.col("_pieces") == 1, only).otherwise(piece_of(F.col("_pieces"), spread_by))

@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shardweave.functions.text import canonical_path
 from shardweave.operators.ledger import next_index, part_name, pending_shards, recover, run_wave
+from shardweave.operators.shards import MAX_BYTES, shard_table_of_files
+from shardweave.session import checkpointed
 from shardweave.sources.shards import read_shards
 
 # The schema of Spark's binary file source; contents are never read through it.
@@ -25,6 +27,7 @@ def stream_shards(
     enrich: Callable[[DataFrame], DataFrame],
     freq: int = 1000,
     checkpoint: str | None = None,
+    max_bytes: int = MAX_BYTES,
     **options,
 ) -> StreamingQuery:
     """Enrich every shard that is in ``folder``, then stop; started again it goes on with the shards
@@ -40,10 +43,12 @@ def stream_shards(
     def wave(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         earlier = recover(session, out).filter(F.col("part") != part_name("stream", number))
-        chosen = pending_shards(batch, earlier)
         start = next_index(earlier).first()["next_index"]
-        read = lambda paths: read_shards(session, paths, schema)
-        run_wave(session, chosen, out, number, start, read, enrich, kind="stream", **options)
+        table = checkpointed(shard_table_of_files(pending_shards(batch, earlier), start, max_bytes))
+        files = table.agg(F.sum("_pieces")).first()[0]
+        if files is not None:
+            read = lambda paths: read_shards(session, paths, schema)
+            run_wave(session, table, files, out, number, read, enrich, kind="stream", **options)
 
     return (
         names.writeStream.foreachBatch(wave)
