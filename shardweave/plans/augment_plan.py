@@ -235,7 +235,8 @@ def decompress_params(text: Column, steps: list[Step], paired: bool = False) ->
         if not paired:
             fields.append(_read_value(step.name, at, path).cast(kind).alias(step.name))
             continue
-        mixed = at("[0]", "STRING").isNotNull()
+        # The second image's parameters are stored only with a partner, that is when something mixes.
+        mixed = at("[0]", "STRING").isNotNull() if offset else F.lit(False)
         alone = _read_value(step.name, at, path).cast(kind)
         both = [_read_value(step.name, at, f"{path}[{j}]").cast(kind) for j in range(2)]
         first = F.when(mixed, both[0]).otherwise(alone)

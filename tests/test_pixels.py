@@ -212,3 +212,20 @@ def test_erasing_falls_back_to_the_whole_image(spark):
     box = random_erase_plan(Draws(1, F.col("id"), F.lit(0)), 4, 4, p=1.0, scale=(0.99, 1.0), ratio=(0.9, 1.1))
     rows = spark.range(20).select(box.alias("b")).collect()
     assert all(tuple(r["b"]) == (0, 0, 4, 4) for r in rows)
+
+
+def test_drawn_operations_run_in_their_order(spark):
+    from shardweave.plans.policies import ALL_OPS
+
+    config = {"rand_augment": {"p": 0.9, "num_ops": 3}, "to_tensor": {}}
+    arrays = [image(6, 5) for _ in range(30)]
+    planned = plan_draws(frame(spark, arrays), config, 2, 4, "uid", 6, 5)
+    seen = set()
+    for row in augment.apply_views(planned, cf.steps_from_config(config), "image", "params").collect():
+        for view, params in zip(row["views"], row["params"]):
+            want = arrays[int(row["uid"])]
+            for op in params["rand_augment"] or ():
+                seen.add(op["op"])
+                want = kernels.augment_op(want, ALL_OPS[op["op"]], op["magnitude"])
+            assert np.allclose(as_array(view), want / np.float32(255), atol=1e-6)
+    assert len(seen) == 14
