@@ -29,9 +29,11 @@ LEDGER = (
 
 
 def pending_shards(paths: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Input paths that the ledger does not list, each once."""
+    """Input paths that the ledger does not list, each once, with their ``bytes`` if they have any."""
     done = ledger.select(F.col("input_path").alias("path"))
-    return paths.select("path").distinct().join(done, "path", "left_anti")
+    sizes = [F.max("bytes").alias("bytes")] if "bytes" in paths.columns else []
+    once = paths.groupBy("path").agg(*sizes) if sizes else paths.select("path").distinct()
+    return once.join(done, "path", "left_anti")
 
 
 def recover(spark: SparkSession, out: str) -> DataFrame:
@@ -187,7 +189,7 @@ def run_waves(
     than ``max_bytes`` are spread over several output shards. ``options`` are those of
     :func:`run_wave`.
     """
-    spelled = paths.select(canonical_path(F.col("path")).alias("path"))
+    spelled = paths.withColumn("path", canonical_path(F.col("path")))
     ledger = recover(spark, out)
     wave, start = next_wave(ledger), next_index(ledger).first()["next_index"]
     table = checkpointed(shard_table_of_files(pending_shards(spelled, ledger), start, max_bytes))

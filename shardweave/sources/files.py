@@ -7,10 +7,13 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shardweave.session import checkpointed
 
 RANGES = "path STRING, start LONG, stop LONG"
+# Files whose size one task asks for.
+STATS_PER_TASK = 256
 
 
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -45,28 +48,30 @@ def plan_ranges(
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for path in batch.column("path").to_pylist():
+            for path, size in zip(batch.column("path").to_pylist(), batch.column("bytes").to_pylist()):
                 fs, inner = open_fs(path)
-                size = fs.get_file_info(inner).size
-                start = 0
-                if size > split_bytes:
-                    with fs.open_input_file(inner) as file:
-                        for offset in boundaries(file, size):
-                            if offset - start >= split_bytes:
-                                rows.append((path, start, offset))
-                                start = offset
-                rows.append((path, start, size))
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(("path", "start", "stop"), r)) for r in rows],
-                schema=pa.schema([("path", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]),
-            )
-
-    return spread(paths.select("path")).mapInArrow(walk, RANGES)
+                cuts = [0]
+                with fs.open_input_file(inner) as file:
+                    for offset in boundaries(file, size):
+                        if offset - cuts[-1] >= split_bytes:
+                            cuts.append(offset)
+                columns = [path] * len(cuts), cuts, [*cuts[1:], size]
+                types = pa.string(), pa.int64(), pa.int64()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types)], ["path", "start", "stop"]
+                )
+
+    sized = checkpointed(file_sizes(paths).filter("bytes > 0"))
+    whole = sized.filter(F.col("bytes") <= split_bytes)
+    cut = spread(sized.filter(F.col("bytes") > split_bytes)).mapInArrow(walk, RANGES)
+    start = F.lit(0).cast("bigint").alias("start")
+    return whole.select("path", start, F.col("bytes").alias("stop")).unionByName(cut)
 
 
 def file_sizes(paths: DataFrame) -> DataFrame:
-    """``path`` and ``bytes`` of each file, from the file system's own records."""
+    """``path`` and ``bytes`` of each file: as listed, else asked from the file system in parallel."""
+    if "bytes" in paths.columns:
+        return paths.select("path", "bytes")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,20 +79,23 @@ def file_sizes(paths: DataFrame) -> DataFrame:
             sizes = []
             for path in names:
                 fs, inner = open_fs(path)
-                sizes.append(fs.get_file_info(inner).size or 0)
+                info = fs.get_file_info(inner)
+                if info.type != pafs.FileType.File:
+                    raise FileNotFoundError(path)
+                sizes.append(info.size)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array(sizes, pa.int64())], ["path", "bytes"]
             )
 
-    return paths.select("path").mapInArrow(look, "path STRING, bytes LONG")
+    return spread(paths.select("path"), STATS_PER_TASK).mapInArrow(look, "path STRING, bytes LONG")
 
 
-def spread(work: DataFrame) -> DataFrame:
-    """One partition per row of a small table of work items (a row stands for a file or range).
+def spread(work: DataFrame, per_task: int = 1) -> DataFrame:
+    """One partition per ``per_task`` rows of a small table of work items (files or ranges).
 
     The items are written once, so that finding them is not repeated. The number of partitions is
     given explicitly because adaptive execution would otherwise merge these tiny rows, and with them
     all of the work they stand for, into one task.
     """
     items = checkpointed(work)
-    return items.coalesce(1).repartition(max(1, items.count()))
+    return items.coalesce(1).repartition(max(1, -(-items.count() // per_task)))

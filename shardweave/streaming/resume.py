@@ -38,7 +38,7 @@ def stream_shards(
     repeats after a failure replaces its own earlier output.
     """
     files = spark.readStream.format("binaryFile").schema(FILES).option("maxFilesPerTrigger", freq).load(folder)
-    names = files.select(canonical_path(F.col("path")).alias("path"))
+    names = files.select(canonical_path(F.col("path")).alias("path"), F.col("length").alias("bytes"))
 
     def wave(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession

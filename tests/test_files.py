@@ -117,11 +117,18 @@ def test_empty_shards(spark, tmp_path):
     write_tar(tmp_path / "a.tar", [])
     (tmp_path / "b.jsonl").write_text("")
     (tmp_path / "c.tfrecord").write_bytes(b"")
+    (tmp_path / "d.tar").write_bytes(b"")
     listed = paths.list_files(spark, str(tmp_path), [".tar", ".jsonl", ".tfrecord"])
-    assert listed.count() == 3 and read_shards(spark, listed, SCHEMA).count() == 0
+    assert listed.count() == 4 and read_shards(spark, listed, SCHEMA).count() == 0
     assert read_shards(spark, listed.limit(0), SCHEMA).columns == ["uid", "text", "n", "_shard", "_pos"]
 
 
+def test_a_missing_shard_is_an_error(spark, tmp_path):
+    for read in (tar.read_tar_samples, tfrecord.read_tfrecord, jsonl.read_lines):
+        with pytest.raises(Exception, match="gone"):
+            read(spark, [str(tmp_path / "gone.x")]).count()
+
+
 def test_unknown_format_is_an_error(spark):
     listed = spark.createDataFrame([("a/x.tar",), ("a/y.parquet",)], "path STRING")
     with pytest.raises(ValueError, match="y.parquet"):
