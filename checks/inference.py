@@ -78,21 +78,18 @@ def embedded_texts(spark, sf, teachers):
     return inf.split_text_embeddings(inf.add_text_embeddings(texts, teachers), ["text", "syn_text"])
 
 
-def _bucket_sums(df, key, dim):
-    """Sum of a key's vectors, one row per non-zero bucket."""
-    flat = df.select("uid", F.lit(key).alias("key"), F.explode_outer(f"{key}_emb").alias("v"))
-    each = flat.select("uid", "key", F.posexplode_outer("v").alias("bucket", "n"))
-    sums = each.groupBy("uid", "key", F.col("bucket").cast("bigint").alias("bucket"))
-    return sums.agg(F.sum("n").cast("bigint").alias("n")).filter("n > 0")
-
-
 @check(
     "add_text_embeddings",
     f"""WITH {_TEXTS} SELECT uid, key, {sql_bucket("word", 16)} AS bucket, count(*)::BIGINT AS n FROM words GROUP BY 1, 2, 3""",
 )
 def _(spark, sf):
     e = embedded_texts(spark, sf, [TeacherSpec(HashText, {"dim": 16})])
-    return _bucket_sums(e, "text", 16).unionByName(_bucket_sums(e, "syn_text", 16))
+    # Both keys at once, so that the teacher reads every text once.
+    keyed = F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"{k}_emb").alias("vectors")) for k in ("text", "syn_text")])
+    long = e.select("uid", F.explode_outer(keyed).alias("e")).select("uid", "e.key", F.explode_outer("e.vectors").alias("v"))
+    each = long.select("uid", "key", F.posexplode_outer("v").alias("bucket", "n"))
+    sums = each.groupBy("uid", "key", F.col("bucket").cast("bigint").alias("bucket"))
+    return sums.agg(F.sum("n").cast("bigint").alias("n")).filter("n > 0")
 
 
 @check(

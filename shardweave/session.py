@@ -61,16 +61,17 @@ def join_small(df: DataFrame, small: DataFrame, on: str | list[str], rows: int |
 
 
 def balanced(df: DataFrame, identity: list[str]) -> DataFrame:
-    """Spread the rows of a scan over all cores before costly Python work.
+    """Spread the rows of a small scan over all cores before costly Python work.
 
-    A few large files or row groups make few partitions. ``df`` must come straight from a scan; it is
-    left alone when it has enough partitions. ``identity`` must tell the records apart, so that
-    copies of one record spread as well; the exchange is by hash, hence the same on every attempt.
+    A few files make few partitions, and of the splits of one row group all but one are empty; so a
+    scan is left alone only when it has several partitions per core. ``df`` must come straight from a
+    scan. ``identity`` must tell the records apart, so that copies of one record spread as well; the
+    exchange is by hash, hence the same on every attempt.
     """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 4 * cores:
         return df
-    return df.repartition(wanted, *identity)
+    return df.repartition(2 * cores, *identity)
 
 
 def ship_package(spark: SparkSession, *others: ModuleType) -> None:

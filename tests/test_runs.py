@@ -235,7 +235,7 @@ def test_balanced_leaves_wide_inputs_alone(spark):
     wide = spark.range(0, 100, 1, 64)
     assert balanced(wide, ["id"]) is wide
     narrow = balanced(spark.range(0, 100, 1, 1), ["id"])
-    assert narrow.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert narrow.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
