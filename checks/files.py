@@ -4,7 +4,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from checks.base import RECORDS, check, list_sum, records, table, written_once
+from checks.base import RECORDS, balanced_records, check, list_sum, records, table, written_once
 from shardweave.functions import text as tx
 from shardweave.operators import shards as sh
 from shardweave.operators.records import unwrap_features
@@ -37,13 +37,13 @@ _DIGESTS = f"""WITH {RECORDS} SELECT uid, md5(text) AS text_digest, lang, n_char
 
 def jsonl_folder(spark, sf):
     return written_once(
-        spark, sf, "jsonl", lambda out: write_jsonl(sh.name_shards(stored(records(spark, sf)), "orig"), out)
+        spark, sf, "jsonl", lambda out: write_jsonl(sh.name_shards(stored(balanced_records(spark, sf)), "orig"), out)
     )
 
 
 def tar_folder(spark, sf):
     def write(out):
-        write_tar_samples(sh.name_shards(stored(records(spark, sf)), "count", "tar"), out)
+        write_tar_samples(sh.name_shards(stored(balanced_records(spark, sf)), "count", "tar"), out)
 
     return written_once(spark, sf, "tar", write)
 
@@ -94,7 +94,7 @@ def raw_lines(spark, sf):
         .when(F.col("lang") == "es", F.lit("[1]"))
         .otherwise(F.to_json(F.struct(*STORED)))
     )
-    return records(spark, sf).select(line.alias("value"), "lang", "_shard", "_pos")
+    return balanced_records(spark, sf).select(line.alias("value"), "lang", "_shard", "_pos")
 
 
 def raw_folder(spark, sf):
@@ -268,7 +268,7 @@ def tfrecord_folder(spark, sf):
             rows = zip(uid.to_pylist(), lang.to_pylist(), n.to_pylist(), image.to_pylist())
             return pa.array([_example(u, g, k, i, [k / 2, 1.5, -2.0]) for u, g, k, i in rows], pa.binary())
 
-        r = records(spark, sf).withColumn("_out", F.concat("source", F.lit(".tfrecord")))
+        r = balanced_records(spark, sf).withColumn("_out", F.concat("source", F.lit(".tfrecord")))
         frame = encode("uid", "lang", "n_chars", F.encode("text", "UTF-8"))
         write_chunks(r.select("_out", "_shard", "_pos", frame.alias("frame")), F.col("frame"), out, "tfrecord")
 
@@ -317,7 +317,7 @@ def mixed_folder(spark, sf):
     """English records as JSON lines, French as tar, the others as TFRecord."""
 
     def write(out):
-        r = stored(records(spark, sf))
+        r = stored(balanced_records(spark, sf))
         write_jsonl(sh.name_shards(r.filter("lang = 'en'"), "orig"), f"{out}/a")
         write_tar_samples(sh.name_shards(r.filter("lang = 'fr'"), "count", "tar"), f"{out}/b")
 
