@@ -18,6 +18,8 @@ PARAM_TYPES = {
     "random_resized_crop": geometry.BOX,
     "random_horizontal_flip": "BOOLEAN",
     "rand_augment": policies.OPS,
+    "auto_augment": policies.OPS,
+    "trivial_augment_wide": policies.OPS,
     "random_erase": geometry.ERASE_BOX,
     "mixup": "DOUBLE",
     "cutmix": mixing.CUTMIX,
@@ -56,6 +58,10 @@ def step_params(step: Step, draws: Draws, height, width) -> Column:
         planned = policies.rand_augment_plan(
             draws, height, width, **{k: v for k, v in args.items() if k in known}
         )
+    elif step.name == "auto_augment":
+        planned = policies.auto_augment_plan(draws, height, width, args.get("policy", "imagenet"))
+    elif step.name == "trivial_augment_wide":
+        planned = policies.trivial_augment_plan(draws, height, width, args.get("num_magnitude_bins", 31))
     elif step.name == "random_erase":
         known = ("p", "scale", "ratio")
         planned = geometry.random_erase_plan(
@@ -101,7 +107,7 @@ def params_of_draw(
 
 def plan_draws(
     df: DataFrame,
-    config: Mapping | str,
+    config: Mapping | str | list[Step],
     num_samples: int,
     seed: int,
     uid: str = "uid",
@@ -111,8 +117,11 @@ def plan_draws(
     second_crop=None,
     out: str = "params",
 ) -> DataFrame:
-    """Add ``out``: an array with the parameters of ``num_samples`` independent draws."""
-    steps = steps_from_config(config)
+    """Add ``out``: an array with the parameters of ``num_samples`` independent draws.
+
+    ``config`` may also be a list of steps, such as those in front of a teacher.
+    """
+    steps = config if isinstance(config, list) else steps_from_config(config)
     planned = F.transform(
         F.sequence(F.lit(0), F.lit(num_samples - 1)),
         lambda d: params_of_draw(
@@ -131,7 +140,7 @@ def _compact_value(name: str, value: Column) -> Column:
         return value.cast("string")
     if name == "resize":
         return F.concat(F.lit("["), F.array_join(value.cast("array<string>"), ","), F.lit("]"))
-    if name == "rand_augment":
+    if PARAM_TYPES[name] == policies.OPS:
         ops = F.transform(value, lambda o: _number_list(o["op"], o["magnitude"]))
         return F.concat(F.lit("["), F.array_join(ops, ","), F.lit("]"))
     fields = {
@@ -200,7 +209,7 @@ def _read_value(name: str, at, path: str) -> Column:
         return at(path, PARAM_TYPES[name])
     if name == "resize":
         return at(path, "ARRAY<INT>")
-    if name == "rand_augment":
+    if PARAM_TYPES[name] == policies.OPS:
         pairs = at(path, "ARRAY<ARRAY<DOUBLE>>")
         return F.transform(
             pairs,

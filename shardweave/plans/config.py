@@ -41,6 +41,8 @@ BEFORE_BATCH = ("uint8", "resize", "center_crop", "random_crop", "random_resized
 # Steps without random parameters.
 PARAMETER_FREE = ("uint8", "center_crop", "to_tensor", "normalize")
 MIXING = ("mixup", "cutmix")
+# Fixed value: configuration entry that refers to a teacher's preset.
+PRESET_KEY = "timm_resize_crop_norm"
 
 
 @dataclass(frozen=True)
@@ -80,9 +82,17 @@ def enabled(config: Mapping | str) -> dict[str, dict]:
     return kept
 
 
-def steps_from_config(config: Mapping | str, order=REPLAYABLE_ORDER) -> list[Step]:
-    """Ordered steps; names that ``order`` does not know are ignored."""
+def steps_from_config(
+    config: Mapping | str, order=REPLAYABLE_ORDER, presets: Mapping[str, Mapping] | None = None
+) -> list[Step]:
+    """Ordered steps; names that ``order`` does not know are ignored.
+
+    In front of a teacher the entry ``timm_resize_crop_norm`` names one of ``presets``, whose resize,
+    crop and normalisation replace those of the configuration.
+    """
     entries = enabled(config)
+    if PRESET_KEY in entries and order == TEACHER_ORDER:
+        entries.update(preset_config((presets or {})[entries[PRESET_KEY]["name"]]))
     return [Step(name, entries[name]) for name in order if name in entries]
 
 

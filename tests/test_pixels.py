@@ -229,3 +229,23 @@ def test_drawn_operations_run_in_their_order(spark):
                 want = kernels.augment_op(want, ALL_OPS[op["op"]], op["magnitude"])
             assert np.allclose(as_array(view), want / np.float32(255), atol=1e-6)
     assert len(seen) == 14
+
+
+def test_steps_in_front_of_a_teacher(spark):
+    preset = {"input_size": (3, 6, 6), "crop_pct": 0.75, "mean": (0.5,) * 3, "std": (0.25,) * 3, "interpolation": "bilinear"}
+    config = {
+        "timm_resize_crop_norm": {"name": "t"},
+        "resize": {"size": 99},
+        "auto_augment": {"policy": "cifar10"},
+        "trivial_augment_wide": {},
+        "to_tensor": {},
+    }
+    steps = cf.steps_from_config(config, cf.TEACHER_ORDER, {"t": preset})
+    assert [s.name for s in steps] == ["resize", "random_crop", "auto_augment", "trivial_augment_wide", "to_tensor", "normalize"]
+    assert steps[0].args == {"size": 8, "interpolation": "bilinear"}
+    planned = plan_draws(frame(spark, [image(20, 11) for _ in range(8)]), steps, 2, 3, "uid", 20, 11)
+    stored = planned.withColumn("again", decompress_draws(compress_draws(F.col("params"), steps), steps))
+    for row in augment.apply_views(stored, steps, "image", "params").collect():
+        assert row["again"] == row["params"]
+        assert all((v["h"], v["w"], v["c"]) == (6, 6, 3) for v in row["views"])
+        assert all(len(p["trivial_augment_wide"]) == 1 and len(p["auto_augment"]) <= 2 for p in row["params"])
