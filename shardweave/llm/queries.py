@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.llm import byte_bpe, html_text, token_counts
+from shardweave.llm import byte_bpe, html_text, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,14 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the words of 20-word windows that start earlier elsewhere."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    kept = F.sha2("kept_text", 256).alias("kept_sha256")
+    return substring_dedup.deduplicated(docs).select("doc_id", "n_words", "n_removed", kept)
+
+
 @query
 def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
     """Main text of every page."""
