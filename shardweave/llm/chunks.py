@@ -17,15 +17,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardweave.llm.store import stored
+from shardweave.llm.store import stored_by
 
 # Bytes of text in a chunk (a longer document is a chunk of its own).
 CHUNK_BYTES = 3 << 20
 
 
+_ZSTD = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+
+
 def pack(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(sink, batch.schema, options=_ZSTD) as writer:
         writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -46,7 +49,11 @@ def unplanes(data: bytes, kind: str) -> np.ndarray:
 
 def chunked(df: DataFrame, text: str, label: str, note: Callable[[pa.RecordBatch], tuple[int, bytes]]) -> DataFrame:
     """The rows of ``df`` as chunks: ``chunk``, ``payload`` (all columns), ``n_rows``, and what ``note`` gives
-    for each: a number ``size`` and a block ``notes``. Written once, so that chunks stay what they are."""
+    for each: a number ``size`` and a block ``notes``.
+
+    Written once, so that chunks stay what they are, and bucketed, so that answers come to them without
+    another shuffle of their texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -71,7 +78,8 @@ def chunked(df: DataFrame, text: str, label: str, note: Callable[[pa.RecordBatch
                 number, start = number + 1, stop
 
     schema = "chunk bigint, n_rows bigint, size bigint, notes binary, payload binary"
-    return stored(df.mapInArrow(run, schema), label)
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored_by(df.mapInArrow(run, schema), label, "chunk", buckets)
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -90,11 +98,12 @@ def slices(sorted_keys: np.ndarray, buckets: int) -> Iterator[tuple[int, int, in
 def asked(
     chunks: DataFrame,
     ask: Callable[[pa.RecordBatch], Iterator[tuple[int, bytes]]],
-    reply: Callable[[list[bytes]], list[bytes]],
+    reply: Callable[[list[bytes]], tuple[list[bytes], bytes | None]],
     parts: int,
 ) -> DataFrame:
     """(chunk, bucket, answer): ``ask`` turns a chunk row into blocks per bucket, ``reply`` all blocks of a
-    bucket into one answer each. Only blocks are shuffled, by bucket."""
+    bucket into one answer each, and a summary of the bucket, which comes as chunk -1 unless it is None.
+    Only blocks are shuffled, by bucket."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,7 +122,9 @@ def asked(
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in grouped(batches, "bucket"):
-            answers = reply([block for _, block in rows])
+            answers, summary = reply([block for _, block in rows])
+            if summary is not None:
+                answers, rows = [*answers, summary], [*rows, (-1, b"")]
             yield pa.RecordBatch.from_pydict(
                 {
                     "chunk": pa.array([chunk for chunk, _ in rows], pa.int64()),
@@ -127,6 +138,15 @@ def asked(
     return dealt.mapInArrow(answer, "chunk bigint, bucket bigint, answer binary")
 
 
+def gaps(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys as differences, whose high bytes compress away."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def ascending(data: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(data, "<u8"), dtype=np.uint64)
+
+
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[tuple]]]:
     """Runs of equal ``key`` over batches sorted by it; each row's other columns as a tuple."""
     current, rows = None, []

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.llm import byte_bpe, html_text, substring_dedup, token_counts
+from shardweave.llm import byte_bpe, html_text, language_model, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,12 @@ def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     return html_text.extracted(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op9_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Log10 probability of every document, learned from those whose remainder is not 2."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", F.coalesce(remainder(7) == 2, F.lit(False)))
+    columns = "doc_id held_out n_tokens n_known train_tokens base_score score".split()
+    return language_model.scored(docs, ~F.col("held_out")).select(*columns)

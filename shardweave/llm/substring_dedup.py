@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardweave.llm import chunks as ch
-from shardweave.llm.words import WordHashes, mix, utf8, windows
+from shardweave.llm.words import WordHashes, memo, mix, utf8, windows
 
 # Words of a minimiser; rows of the sketch; cells per row at least and at most (a bit each when broadcast,
 # so at most 2 x 64 MB); cells of a slice that is merged as one piece.
@@ -43,13 +43,13 @@ def running_min(values: np.ndarray, width: int) -> np.ndarray:
 class Windows:
     """The windows of a chunk's documents."""
 
-    def __init__(self, batch: pa.RecordBatch, id: str, text: str, width: int, memo: WordHashes):
+    def __init__(self, batch: pa.RecordBatch, id: str, text: str, width: int, known: WordHashes):
         self.words = [data.split() for data in utf8(batch.column(text))]
         ids = batch.column(id).cast(pa.int64())
         self.ids = [LAST if i is None else i for i in ids.to_pylist()]
         self.width = width
         self.mark = min(MARK, width)
-        self.hashes = [memo.of(words) for words in self.words]
+        self.hashes = [known.of(words) for words in self.words]
 
     def minimisers(self) -> np.ndarray:
         """The 32-bit marks of all positions that are the minimiser of some window, with repetitions."""
@@ -130,12 +130,14 @@ def merged_sketch(chunks: DataFrame, cells: int, parts: int) -> DataFrame:
     return counted.repartition(parts, "line").sortWithinPartitions("line").mapInArrow(merge, "line bigint, bits binary")
 
 
-def later_ones(blocks: list[bytes]) -> list[bytes]:
+def later_ones(blocks: list[bytes]) -> tuple[list[bytes], None]:
     """Answer to each block of (hash, second hash, doc, start): a bit per entry, set if the same window
     starts earlier in another block."""
     sizes = [len(b) // 32 for b in blocks]
-    columns = [np.concatenate([ch.unplanes(b[8 * k * n : 8 * (k + 1) * n], "<u8") for b, n in zip(blocks, sizes)]) for k in range(4)]
-    first, second, doc, start = columns
+    first = np.concatenate([ch.ascending(b[: 8 * n]) for b, n in zip(blocks, sizes)])
+    second, doc, start = (
+        np.concatenate([ch.unplanes(b[8 * k * n : 8 * (k + 1) * n], "<u8") for b, n in zip(blocks, sizes)]) for k in (1, 2, 3)
+    )
     doc = doc.view(np.int64)
     order = np.lexsort((start, doc, second, first))
     f, s, d, p = first[order], second[order], doc[order], start[order]
@@ -143,7 +145,7 @@ def later_ones(blocks: list[bytes]) -> list[bytes]:
     head = np.maximum.accumulate(np.where(new, np.arange(len(f)), 0))
     later = np.zeros(len(f), bool)
     later[order] = (d != d[head]) | (p != p[head])
-    return [np.packbits(part, bitorder="little").tobytes() for part in np.split(later, np.cumsum(sizes)[:-1])]
+    return [np.packbits(part, bitorder="little").tobytes() for part in np.split(later, np.cumsum(sizes)[:-1])], None
 
 
 def local_firsts(w: Windows, found) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -169,7 +171,6 @@ def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", width: i
     """
     df = df.drop("n_words", "n_removed", "kept_text")
     spark = df.sparkSession
-    memo = _memo
 
     def note(batch: pa.RecordBatch) -> tuple[int, bytes]:
         w = Windows(batch, id, text, width, memo())
@@ -198,7 +199,7 @@ def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", width: i
         doc = np.array(w.ids, np.int64)
         columns = [found[0][firsts], found[1][firsts], doc[found[2][firsts]].view(np.uint64), found[3][firsts].astype(np.uint64)]
         for bucket, start, stop in ch.slices(columns[0], buckets):
-            yield bucket, b"".join(ch.planes(np.ascontiguousarray(c[start:stop])) for c in columns)
+            yield bucket, ch.gaps(columns[0][start:stop]) + b"".join(ch.planes(c[start:stop]) for c in columns[1:])
 
     answers = ch.asked(chunks.select("chunk", "payload"), ask, later_ones, buckets)
     asked = ch.answered(chunks.select("chunk", "payload"), answers, "answers")
@@ -247,13 +248,3 @@ def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", width: i
 
     schema = df.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept_text"))
     return asked.mapInArrow(finish, schema.schema)
-
-
-_MEMO: list[WordHashes] = []
-
-
-def _memo() -> WordHashes:
-    """The worker's memo of word hashes."""
-    if not _MEMO:
-        _MEMO.append(WordHashes())
-    return _MEMO[0]

@@ -65,3 +65,13 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
             power = power[:-size] * scale + power[size:]
         size *= 2
     return mix(result[:n])
+
+
+_MEMO: list[WordHashes] = []
+
+
+def memo() -> WordHashes:
+    """The worker's memo of word hashes."""
+    if not _MEMO:
+        _MEMO.append(WordHashes())
+    return _MEMO[0]
