@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.llm import byte_bpe, html_text, language_model, substring_dedup, token_counts
+from shardweave.llm import byte_bpe, html_text, language_model, similarity_join, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,6 +72,13 @@ def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extracted(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query
+def op8_similarity_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Classes and link counts of all documents at a Jaccard similarity of 0.9 on 3-word shingles."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return similarity_join.joined(docs, shingle=3, num=90, den=100)
+
+
 @query
 def op9_language_model(spark: SparkSession, sf: str) -> DataFrame:
     """Log10 probability of every document, learned from those whose remainder is not 2."""
