@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.llm import byte_bpe, html_text, language_model, similarity_join, substring_dedup, token_counts
+from shardweave.llm import byte_bpe, decontamination, html_text, language_model, similarity_join, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,13 @@ def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.counted(docs, PIECES).select("doc_id", "n_tokens", "best_score")
 
 
+@query
+def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document in which an item of the benchmark is found, with the item."""
+    docs, items = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    return decontamination.leaks(docs.select("doc_id", "text"), items.select("item_id", "text"))
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document and the bytes decoded from them, as digests."""
