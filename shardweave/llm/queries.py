@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.llm import byte_bpe, decontamination, html_text, language_model, similarity_join, substring_dedup, token_counts
+from shardweave.llm import byte_bpe, decontamination, html_text, language_model, similarity_join, substring_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,18 @@ def op9_language_model(spark: SparkSession, sf: str) -> DataFrame:
     docs = docs.withColumn("held_out", F.coalesce(remainder(7) == 2, F.lit(False)))
     columns = "doc_id held_out n_tokens n_known train_tokens base_score score".split()
     return language_model.scored(docs, ~F.col("held_out")).select(*columns)
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Probabilities of poor quality and, given that, of toxicity for every document."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return toxic_marks(docs, docs, table(spark, sf, "labels")).drop("text")
+
+
+def toxic_marks(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with ``p_poor``, ``p_toxic`` and the decision ``toxic``; fitted on the texts of ``labelled``."""
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.fitted(labelled, labels, categories)
+    marked = toxicity.probabilities(docs, chain, list(categories))
+    return marked.withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
