@@ -9,13 +9,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.llm import byte_bpe, decontamination, html_text, language_model, similarity_join, substring_dedup, token_counts, toxicity
+from shardweave.llm import byte_bpe, decontamination, fingerprints, html_text, language_model, quality_rules, similarity_join, substring_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # Parameters of the tokenizers; any other file of the same kind may be named instead.
 BPE_RANKS, BPE_PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+# The probability from which a document is toxic: below one half, for a toxic one kept is the worse mistake.
+TOXIC_FROM = 0.35
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -33,6 +35,12 @@ def remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+@query
+def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how near they are."""
+    return fingerprints.compared(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Pieces and best score of every document under the piece vocabulary."""
@@ -47,6 +55,16 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.leaks(docs.select("doc_id", "text"), items.select("item_id", "text"))
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of every document, learned from labelled rows whose remainder is not 2."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").where(remainder(4) != 2).select("doc_id", (F.col("quality") == 1).alias("good"))
+    scores = quality_rules.scored(docs, labels, "good")
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    return scores.select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every document and the bytes decoded from them, as digests."""
@@ -107,4 +125,4 @@ def toxic_marks(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> Data
     categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
     chain = toxicity.fitted(labelled, labels, categories)
     marked = toxicity.probabilities(docs, chain, list(categories))
-    return marked.withColumn("toxic", (F.col("p_toxic") >= 0.5).cast("int"))
+    return marked.withColumn("toxic", (F.col("p_toxic") >= TOXIC_FROM).cast("int"))
