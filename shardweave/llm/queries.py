@@ -101,7 +101,8 @@ def op7_main_text(spark: SparkSession, sf: str) -> DataFrame:
 def op8_similarity_join(spark: SparkSession, sf: str) -> DataFrame:
     """Classes and link counts of all documents at a Jaccard similarity of 0.9 on 3-word shingles."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return similarity_join.joined(docs, shingle=3, num=90, den=100)
+    found = similarity_join.joined(docs, shingle=3, num=90, den=100)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @query

@@ -73,17 +73,17 @@ def signed(values: np.ndarray) -> pa.Array:
 
 
 def joined(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """(``id``, n_shingles, component_id, n_links) for each row of ``df``.
+    """(``id``, text_hash, n_shingles, component_id, n_links) for each row of ``df``.
 
     A text's set has its distinct runs of ``shingle`` words (A-Z lowered); with fewer words, the whole
     sequence; without words or for null, nothing. Texts link when ``den`` x intersection >= ``num`` x
     union; empty sets with nothing. ``component_id`` is the least id that links reach, ``n_links`` the number
-    of other rows linked directly. Rows of equal id are different rows; a null id never is a component's
+    of other rows linked directly, ``text_hash`` Spark's xxhash64 of the text. Rows of equal id are different rows; a null id never is a component's
     name unless no other id is in it. Sets are told apart by 64-bit sums of 64-bit hashes.
     """
     spark, rule = df.sparkSession, Rule(shingle, num, den)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     table, entries = _prefixes(docs, rule)
     parts = max(least, -(-entries // LIST_ENTRIES))
     nodes = stored(
@@ -122,9 +122,10 @@ def joined(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int =
         F.coalesce("component_id", "least_id").alias("component_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
-    rows = table.select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    rows = table.select("id", "text_hash", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
     return rows.join(classes, "node", "left").select(
         F.col("id").alias(id),
+        "text_hash",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
@@ -132,7 +133,7 @@ def joined(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int =
 
 
 def _prefixes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
-    """(id, node, n, prefix) of every row, and the number of prefix elements. Of copies within a batch only
+    """(id, text_hash, node, n, prefix) of every row, and the number of prefix elements. Of copies within a batch only
     the first has its prefix, so that a group of copies does not fill the lists."""
 
     def early(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,12 +177,12 @@ def _prefixes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
                     elements = np.r_[elements[~is_late], elements[is_late]]
                 prefixes.append(elements[: rule.prefix(len(elements))].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["id", "node", "n", "prefix"],
+                [batch.column("id"), batch.column("text_hash"), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
+                names=["id", "text_hash", "node", "n", "prefix"],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    table = stored(docs.mapInArrow(run, f"id {kind}, node bigint, n bigint, prefix array<bigint>"), "join-prefixes")
+    table = stored(docs.mapInArrow(run, f"id {kind}, text_hash bigint, node bigint, n bigint, prefix array<bigint>"), "join-prefixes")
     entries = table.agg(F.sum(F.greatest(F.size("prefix"), F.lit(0)))).first()[0] or 0
     return table, int(entries)
 

@@ -31,16 +31,17 @@ def stored_by(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables of all earlier ``stored`` calls of this application.
-
-    For callers that know that every earlier result has been written elsewhere, such as a pipeline
-    between two stages.
-    """
+def folders(spark: SparkSession) -> list[str]:
+    """The tables that this application has stored and not released, in order."""
     application = spark.sparkContext.applicationId
+    return [path for owner, path in _FOLDERS if owner == application]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables, once every result that reads them has been written elsewhere."""
     conf = spark._jsc.hadoopConfiguration()
-    for folder in [f for f in _FOLDERS if f[0] == application]:
-        spark.sql(f"DROP TABLE IF EXISTS {folder[1].rpartition('/')[2].replace('-', '_')}")
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder[1])
-        path.getFileSystem(conf).delete(path, True)
-        _FOLDERS.remove(folder)
+    for path in paths:
+        spark.sql(f"DROP TABLE IF EXISTS {path.rpartition('/')[2].replace('-', '_')}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+        _FOLDERS[:] = [f for f in _FOLDERS if f[1] != path]
