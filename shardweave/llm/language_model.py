@@ -29,7 +29,7 @@ LEFT_OUT = 10
 # Classes of context frequency; steps of the histogram of likelihood ratios per factor of two; rounds.
 CLASSES, STEPS, ROUNDS = 40, 8, 100
 # Tokens per bucket of the exchange, on average if all were distinct.
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 NEVER = -(1 << 20)
 COUNTED, HELD, OTHER = 0, 1, 2
 

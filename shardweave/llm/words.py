@@ -6,8 +6,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-# Entries that a worker's memo of word hashes may hold before it starts anew (about 60 MB).
-MEMO_ENTRIES = 300_000
+# Entries that a worker's memo of word hashes may hold before it starts anew (about 40 MB).
+MEMO_ENTRIES = 200_000
 
 
 class WordHashes(dict):
