@@ -27,9 +27,10 @@ from shardweave.llm.words import utf8
 # Labelled rows, those with the least hashes of their ids, that a model is fitted on.
 SAMPLE_ROWS = 10_000
 # Bytes of the word beginnings that are features; features kept per category; texts that must have one.
-BEGINNINGS, FEATURES, LEAST_TEXTS = (4, 5, 6), 1500, 6
-# Folds of the out-of-fold predictions; strength of the squared penalty; steps of the fit.
-FOLDS, PENALTY, STEPS = 5, 1e-4, 250
+BEGINNINGS, FEATURES, LEAST_TEXTS = (4, 5, 6), 1500, 4
+# Folds of the out-of-fold predictions; strength of the squared penalty; steps of the fit, and of the power
+# iteration that bounds their length.
+FOLDS, PENALTY, STEPS, POWERS = 5, 1e-4, 150, 15
 MEMO_ENTRIES = 200_000
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -79,8 +80,14 @@ def fit(x: Sparse, earlier: np.ndarray, y: np.ndarray, mine: np.ndarray) -> tupl
     scale = 1 / np.sqrt(np.r_[x.turned(share) + 1e-4, (earlier**2 * share[:, None]).sum(axis=0) + 1e-4, 1.0])
     width = x.width
     at = ahead = np.zeros(width + earlier.shape[1] + 1)
-    # The scaled columns of a row have squares that sum to this at most on average; it bounds the curvature.
-    step = 4 / max(float((share * (x.times(scale[:width] ** 2) + (earlier**2) @ scale[width:-1] ** 2 + 1)).sum()), 1.0)
+    # The curvature is at most a quarter of the largest eigenvalue of the scaled second moments.
+    v = np.ones(len(at))
+    for _ in range(POWERS):
+        v /= np.sqrt(v @ v)
+        w = v * scale
+        z = (x.times(w[:width]) + earlier @ w[width:-1] + w[-1]) * share
+        v = np.r_[x.turned(z), z @ earlier, z.sum()] * scale
+    step = 4 / (1.2 * max(float(np.sqrt(v @ v)), 1e-6))
     for k in range(STEPS):
         w = ahead * scale
         z = x.times(w[:width]) + earlier @ w[width:-1] + w[-1]
