@@ -94,12 +94,17 @@ def estimates(t: Tokens, words: np.ndarray, pairs: np.ndarray, begins: int, tota
     return after, alone, np.minimum(kind, CLASSES - 1)
 
 
-def learned(cells: np.ndarray, times: np.ndarray) -> np.ndarray:
+def learned(cells: np.ndarray, times: np.ndarray, trained: bool = True) -> np.ndarray:
     """Weights (after predecessor, alone, uniform) per class of context frequency, by EM.
 
-    ``cells`` has class and the rounded logarithms of both estimates over the uniform one.
+    ``cells`` has class and the rounded logarithms of both estimates over the uniform one. An estimate that
+    there is none of (after an unseen predecessor; any but the uniform one without training) has no weight.
     """
-    weights = np.full((CLASSES, 3), 1 / 3)
+    even = np.full((CLASSES, 3), 1 / 3)
+    even[0] = 0, 1 / 2, 1 / 2
+    if not trained:
+        even[:] = 0, 0, 1
+    weights = even.copy()
     ratio = np.ones((len(cells), 3))
     for k in (0, 1):
         never = cells[:, k + 1] == NEVER
@@ -111,7 +116,7 @@ def learned(cells: np.ndarray, times: np.ndarray) -> np.ndarray:
         share *= (times / share.sum(axis=1))[:, None]
         # One token's worth of even weights keeps every component alive and settles empty classes.
         for k in range(3):
-            weights[:, k] = (np.bincount(kind, weights=share[:, k], minlength=CLASSES) + 1 / 3) / (whole + 1)
+            weights[:, k] = (np.bincount(kind, weights=share[:, k], minlength=CLASSES) + even[:, k]) / (whole + 1)
     return weights
 
 
@@ -179,7 +184,7 @@ def scored(df: DataFrame, training: Column, id: str = "doc_id", text: str = "tex
     # At most classes x possible rounded logarithms of both ratios, however large the corpus is.
     cells = cells.groupBy("kind", "after", "alone").agg(F.sum("times").alias("times")).toPandas()
     cells = cells.sort_values(["kind", "after", "alone"])
-    weights = learned(cells[["kind", "after", "alone"]].to_numpy(np.int64), cells["times"].to_numpy(np.float64))
+    weights = learned(cells[["kind", "after", "alone"]].to_numpy(np.int64), cells["times"].to_numpy(np.float64), counted_tokens > 0)
     total, begins = counted_tokens + held_tokens, begun + held
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

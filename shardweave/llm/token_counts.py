@@ -40,8 +40,9 @@ class UnigramCounter:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         # If no piece holds a space mark after another character, no piece crosses the border before a
-        # run of marks, so the text falls into stretches whose best paths are independent.
-        crossing = any(SPACE in piece.lstrip(SPACE) for piece in pieces)
+        # run of marks, so the text falls into stretches whose best paths are independent. Nor must a run of
+        # unknown characters cross it, which the mark, if it is unknown itself, would join to one piece.
+        crossing = any(SPACE in piece.lstrip(SPACE) for piece in pieces) or not byte_fallback and SPACE not in pieces
         self.stretches = None if crossing else re.compile(f"{SPACE}+[^{SPACE}]*").findall
         self.memo = _Stretches(self)
 
