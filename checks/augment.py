@@ -405,7 +405,8 @@ def _(spark, sf):
 @check("apply_geometry", _VIEW_SUMS)
 def _(spark, sf):
     steps = cf.steps_from_config(CHAIN)
-    return long_views(augment.reapply(planned_chain(spark, sf), steps, "image", "params"))
+    views = F.transform(F.col("params"), lambda p: augment.apply_geometry(F.col("image"), steps, p))
+    return long_views(planned_chain(spark, sf).withColumn("views", views))
 
 
 @check("apply_views", _VIEW_SUMS)
@@ -470,6 +471,27 @@ def _(spark, sf):
     return long_views(augment.reapply(read, steps, "image", "params"))
 
 
+# The default interpolation, and a policy.
+SMOOTH = {"random_resized_crop": {"size": 6}, "random_horizontal_flip": {}, "rand_augment": {"p": 0.7}, "random_erase": {"p": 0.5}}
+
+
+@check(
+    "replay_is_exact",
+    f"WITH {IMAGES} SELECT uid, draw::BIGINT AS draw, 1 AS same FROM images, (SELECT unnest(range({DRAWS})) AS draw)",
+)
+def _(spark, sf):
+    """Views from stored parameters against those of the first application, pixel by pixel."""
+    steps = cf.steps_from_config(SMOOTH)
+    planned = ap.plan_draws(images(spark, sf), SMOOTH, DRAWS, SEED, "uid", 8, 8)
+    seen = augment.apply_views(planned, steps, "image", "params", "first")
+    stored = seen.withColumn("param_aug", ap.compress_draws(F.col("params"), steps))
+    read = stored.withColumn("params", ap.decompress_draws(F.col("param_aug"), steps))
+    both = augment.reapply(read, steps, "image", "params", "again")
+    each = both.select("uid", F.posexplode_outer(F.arrays_zip("first", "again")).alias("draw", "v"))
+    same = F.col("v.first").eqNullSafe(F.col("v.again")) & F.col("v.first").isNotNull()
+    return each.select("uid", F.col("draw").cast("bigint").alias("draw"), same.cast("int").alias("same"))
+
+
 STAGED = {"random_crop": {"size": 6}, "to_tensor": {}, "random_horizontal_flip": {"p": 0.5}, "normalize": {"mean": [0.5], "std": [0.25]}}
 
 

@@ -8,10 +8,9 @@ from shardweave.functions.tensor import to_bfloat16
 
 
 def matrices(spark, sf):
-    """Each embedding as a matrix of eight vectors of eight."""
-    rows = F.transform(
-        F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice(F.col("embedding"), r * 8 + 1, F.lit(8))
-    )
+    """Each embedding as a matrix of vectors of eight, whatever its length."""
+    last = F.ceil(F.size("embedding") / 8).cast("int") - 1
+    rows = F.transform(F.sequence(F.lit(0), last), lambda r: F.slice(F.col("embedding"), r * 8 + 1, F.lit(8)))
     return table(spark, sf, "embeddings").select("vec_id", rows.alias("matrix"))
 
 
@@ -29,7 +28,7 @@ def _(spark, sf):
 
 @check(
     "unpack_embedding",
-    """SELECT vec_id, 8::BIGINT AS rows, 64::BIGINT AS "values",
+    """SELECT vec_id, ceil(len(embedding) / 8.0)::BIGINT AS rows, len(embedding)::BIGINT AS "values",
     round(list_sum(list_transform(embedding, lambda x, i: x::DOUBLE * i)), 6) AS weighted FROM embeddings""",
 )
 def _(spark, sf):

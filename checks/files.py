@@ -8,6 +8,7 @@ from checks.base import RECORDS, balanced_records, check, list_sum, records, tab
 from shardweave.functions import text as tx
 from shardweave.operators import shards as sh
 from shardweave.operators.records import unwrap_features
+from shardweave.session import scratch_path
 from shardweave.sources import jsonl, paths, tar, tfrecord
 from shardweave.sources.shards import read_shards
 from shardweave.sources.sink import write_chunks, write_jsonl, write_tar_samples
@@ -235,7 +236,7 @@ def _(spark, sf):
     return paths.with_format(p)
 
 
-def _example(uid: str, lang: str, n_chars: int, image: bytes, weights: list) -> bytes:
+def _example(uid: str, lang: str, n_chars: int, image: bytes, weights: list, payload: str = "image") -> bytes:
     """One record in the wire format of named features, framed; checksums are left zero."""
 
     def varint(n: int) -> bytes:
@@ -253,7 +254,7 @@ def _example(uid: str, lang: str, n_chars: int, image: bytes, weights: list) ->
 
     features = entry("uid", block(1, block(1, uid.encode())))
     features += entry("lang", block(1, block(1, lang.encode())))
-    features += entry("image", block(1, block(1, image)))
+    features += entry(payload, block(1, block(1, image)))
     features += entry("n_chars", block(3, block(1, varint(n_chars))))
     features += entry("weights", block(2, block(1, pa.array(weights, pa.float32()).buffers()[1].to_pybytes()[: 4 * len(weights)])))
     features += entry("broken", block(1, block(1, b"\xff\xfe")))
@@ -324,7 +325,7 @@ def mixed_folder(spark, sf):
         @arrow_udf("BINARY")
         def encode(uid: pa.Array, lang: pa.Array, n: pa.Array, text: pa.Array) -> pa.Array:
             rows = zip(uid.to_pylist(), lang.to_pylist(), n.to_pylist(), text.to_pylist())
-            return pa.array([_example(u, g, k, t, [0.0]) for u, g, k, t in rows], pa.binary())
+            return pa.array([_example(u, g, k, t, [0.0], "text") for u, g, k, t in rows], pa.binary())
 
         rest = r.filter("lang NOT IN ('en', 'fr')").withColumn("_out", F.concat("_shard", F.lit(".tfrecord")))
         frame = encode("uid", "lang", "n_chars", F.encode("text", "UTF-8"))
@@ -333,13 +334,74 @@ def mixed_folder(spark, sf):
     return written_once(spark, sf, "mixed", write)
 
 
-@check("read_shards", f"WITH {RECORDS} SELECT uid, lang, n_chars, CASE WHEN lang IN ('en', 'fr') THEN md5(text) ELSE 'null' END AS text_digest FROM records")
+@check("read_shards", f"WITH {RECORDS} SELECT uid, lang, n_chars, md5(text) AS text_digest FROM records")
 def _(spark, sf):
     listed = paths.list_files(spark, mixed_folder(spark, sf), [".jsonl", ".tar", ".tfrecord"])
     r = read_shards(spark, listed, "uid STRING, text STRING, lang STRING, n_chars BIGINT")
     return r.select("uid", "lang", "n_chars", F.coalesce(F.md5("text"), F.lit("null")).alias("text_digest"))
 
 
+@check(
+    "open_records",
+    f"""WITH {RECORDS} SELECT format, uid, md5(text) AS text_digest, lang, n_chars, md5(array_to_string(syn_text, '|')) AS syn_digest,
+      CASE WHEN n_chars % 3 = 0 THEN 'null' ELSE 'absent' END AS nothing, '[1,null,"x"]' AS nested
+    FROM records, (SELECT unnest(['jsonl', 'tar']) AS format)""",
+)
+def _(spark, sf):
+    """Records of which the schema names two keys only, through a run into either format: all keys are there."""
+    from shardweave.operators.ledger import run_waves
+
+    def write(out):
+        r = stored(balanced_records(spark, sf))
+        nested = F.lit('"nested":{"deep":[1,null,"x"]}')
+        nothing = F.when(F.col("n_chars") % 3 == 0, F.lit('"nothing":null'))
+        object_of = F.to_json(F.struct(*STORED))
+        line = F.concat(F.lit("{"), F.concat_ws(",", nested, nothing, F.substr(object_of, F.lit(2))))
+        lines = r.select(F.concat("_shard", F.lit(".jsonl")).alias("_out"), "_shard", "_pos", line.alias("line"))
+        write_chunks(lines, F.encode(F.concat("line", F.lit("\n")), "UTF-8"), out, "open")
+
+    folder = written_once(spark, sf, "open", write)
+    listed = paths.list_files(spark, folder, [".jsonl"])
+    parts = []
+    for kind, suffix in (("jsonl", ".jsonl"), ("wds", ".tar")):
+        out = scratch_path(spark, f"open-{kind}")
+        run_waves(spark, listed, out, lambda p: read_shards(spark, p, "uid STRING, n_chars BIGINT"), lambda df: df, output_format=kind)
+        back = read_shards(spark, paths.list_files(spark, out, [suffix]), "uid STRING, text STRING, lang STRING, n_chars BIGINT, syn_text ARRAY<STRING>")
+        parts.append(back.withColumn("format", F.lit(suffix[1:])))
+    rest = F.try_parse_json("_rest")
+    return parts[0].unionByName(parts[1]).select(
+        "format",
+        "uid",
+        F.md5("text").alias("text_digest"),
+        "lang",
+        "n_chars",
+        F.md5(F.array_join("syn_text", "|")).alias("syn_digest"),
+        F.when(F.array_contains(F.map_keys(rest.cast("map<string,variant>")), "nothing"), "null").otherwise("absent").alias("nothing"),
+        F.to_json(F.try_variant_get(rest, "$.nested.deep", "variant")).alias("nested"),
+    )
+
+
+@check(
+    "duplicate_ids",
+    f"""WITH {RECORDS}, again AS (SELECT _shard, CASE WHEN n_chars % 5 = 0 THEN 'a.b' WHEN n_chars % 7 = 0 THEN NULL ELSE uid END AS uid FROM records
+      UNION ALL SELECT _shard, uid FROM records WHERE n_chars % 2 = 0)
+    SELECT _shard AS shard, coalesce(uid, 'none') AS uid, count(*)::BIGINT AS times FROM again GROUP BY _shard, again.uid HAVING count(*) > 1""",
+)
+def _(spark, sf):
+    """Missing, dotted and repeated ids, written to tar shards and read back."""
+
+    def write(out):
+        r = balanced_records(spark, sf)
+        uid = F.when(F.col("n_chars") % 5 == 0, "a.b").when(F.col("n_chars") % 7 != 0, F.col("uid"))
+        again = r.withColumn("uid", uid).unionByName(r.where("n_chars % 2 = 0"))
+        write_tar_samples(again.select("uid", "text", "_shard", "_pos", F.concat("_shard", F.lit(".tar")).alias("_out")), out)
+
+    folder = written_once(spark, sf, "ids", write)
+    samples = tar.read_tar_samples(spark, paths.list_files(spark, folder, [".tar"]))
+    found = sh.duplicate_ids(samples)
+    return found.select(F.regexp_replace(tx.basename(F.col("shard")), r"\.tar$", "").alias("shard"), F.coalesce("uid", F.lit("none")).alias("uid"), "times")
+
+
 _PIECE = "('0x' || substr(md5('0|' || uid || '|' || _pos || '|0|piece'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"
 
 

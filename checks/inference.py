@@ -138,7 +138,7 @@ def _(spark, sf):
     "enrich_texts",
     f"""WITH {_TEXTS}, named AS (SELECT uid, lpad((dense_rank() OVER (ORDER BY _shard) - 1)::VARCHAR, 8, '0') AS shard FROM records),
     sums AS (SELECT shard, {sql_bucket("word", 16)} AS bucket, count(*) AS n FROM words JOIN named USING (uid)
-      WHERE key = 'text' GROUP BY 1, 2)
+      GROUP BY 1, 2)
     SELECT shard, (SELECT count(*) FROM named m WHERE m.shard = s.shard)::BIGINT AS num_uids,
       sum(n)::BIGINT AS words, sum(n * (bucket + 1))::BIGINT AS weighted FROM sums s GROUP BY shard""",
 )
@@ -146,11 +146,12 @@ def _(spark, sf):
     """Flagship: collect texts, embed them, name the output shards, sum up per shard."""
     r = name_shards(balanced_records(spark, sf).withColumn("_valid", F.lit(True)), "count", "jsonl")
     e = inf.add_text_embeddings(shape.collect_texts(r), [TeacherSpec(HashText, {"dim": 16})])
-    own = F.get(F.col("_text_emb"), F.lit(0))
+    flat = F.flatten("_text_emb")
+    weights = F.transform(F.flatten(F.transform("_text_emb", lambda v: F.transform(v, lambda x, i: i + 1))), lambda i: i.cast("double"))
     counted = e.select(
         F.substring_index("_out", ".", 1).alias("shard"),
-        F.aggregate(own, F.lit(0.0), lambda a, x: a + x.cast("double")).alias("words"),
-        F.aggregate(F.transform(own, lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x).alias("weighted"),
+        F.aggregate(flat, F.lit(0.0), lambda a, x: a + x.cast("double")).alias("words"),
+        F.aggregate(F.zip_with(flat, weights, lambda x, w: x.cast("double") * w), F.lit(0.0), lambda a, x: a + x).alias("weighted"),
     )
     return counted.groupBy("shard").agg(
         F.count(F.lit(1)).alias("num_uids"),

@@ -39,6 +39,8 @@ def _apply_step(step: Step, image: Column, value: Column | None, size=None) -> C
         return px.normalize(image, args["mean"], args["std"])
     if step.name == "center_crop":
         return px.center_crop(image, *step.size())
+    if "size" in args and step.name in ("resize", "random_resized_crop") and args.get("interpolation", "bilinear") != "nearest":
+        raise ValueError(f"{step.name} resizes natively by nearest pixels only, use apply_views")
     if step.name == "resize":
         return px.resize_nearest(image, *resize_target(image["h"], image["w"], args["size"]))
     if step.name == "random_crop":
@@ -112,9 +114,9 @@ def apply_pair(
 
 
 def reapply(df: DataFrame, steps: list[Step], image: str, params: str, out: str = "views") -> DataFrame:
-    """Add ``out``: one view per stored draw, natively."""
-    views = F.transform(F.col(params), lambda p: apply_geometry(F.col(image), steps, p))
-    return df.withColumn(out, views)
+    """Add ``out``: one view per stored draw, by the same code as the first time (:func:`apply_views`), so for
+    every step, policy and interpolation the same pixels."""
+    return apply_views(df, steps, image, params, out)
 
 
 def view_of(image: np.ndarray, steps: list[Step], params: dict) -> np.ndarray:

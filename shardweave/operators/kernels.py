@@ -16,6 +16,26 @@ def _cubic(x: np.ndarray) -> np.ndarray:
     return np.where(x <= 1, near, np.where(x < 2, far, 0.0))
 
 
+def _lanczos(x: np.ndarray) -> np.ndarray:
+    """Windowed sinc of three lobes."""
+    return np.where(np.abs(x) < 3, np.sinc(x) * np.sinc(x / 3), 0.0)
+
+
+def _hamming(x: np.ndarray) -> np.ndarray:
+    """Sinc of one lobe under a Hamming window."""
+    return np.where(np.abs(x) < 1, np.sinc(x) * (0.54 + 0.46 * np.cos(np.pi * x)), 0.0)
+
+
+# Weight at a distance, and the taps around the pixel below the centre.
+_FILTERS = {
+    "bilinear": (lambda x: 1.0 - np.abs(x), (0, 1)),
+    "bicubic": (_cubic, (-1, 0, 1, 2)),
+    "box": (lambda x: ((x > -0.5) & (x <= 0.5)).astype(float), (0, 1)),
+    "hamming": (_hamming, (0, 1)),
+    "lanczos": (_lanczos, (-2, -1, 0, 1, 2, 3)),
+}
+
+
 @lru_cache(maxsize=256)
 def resample_weights(source: int, target: int, mode: str) -> np.ndarray:
     """(target, source) matrix that resamples one axis; borders repeat the edge pixel."""
@@ -23,15 +43,16 @@ def resample_weights(source: int, target: int, mode: str) -> np.ndarray:
     if mode == "nearest":
         out[np.arange(target), np.arange(target) * source // target] = 1.0
         return out
+    if mode not in _FILTERS:
+        raise ValueError(f"unknown interpolation: {mode}")
+    weight_at, taps = _FILTERS[mode]
     centre = (np.arange(target) + 0.5) * source / target - 0.5
     if mode == "bilinear":
         centre = np.maximum(centre, 0.0)
     base = np.floor(centre).astype(int)
-    for tap in (0, 1) if mode == "bilinear" else (-1, 0, 1, 2):
-        distance = centre - (base + tap)
-        weight = 1.0 - np.abs(distance) if mode == "bilinear" else _cubic(distance)
-        np.add.at(out, (np.arange(target), np.clip(base + tap, 0, source - 1)), weight)
-    return out
+    for tap in taps:
+        np.add.at(out, (np.arange(target), np.clip(base + tap, 0, source - 1)), weight_at(centre - (base + tap)))
+    return out / out.sum(axis=1, keepdims=True) if mode in ("hamming", "lanczos") else out
 
 
 def resample(images: np.ndarray, size: tuple[int, int], mode: str = "bicubic") -> np.ndarray:

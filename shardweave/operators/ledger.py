@@ -13,6 +13,7 @@ from shardweave.functions.text import basename, canonical_path
 from shardweave.operators.shards import (
     MAX_BYTES,
     name_shards,
+    remove_stale,
     shard_outputs,
     shard_table_of_files,
     written_outputs,
@@ -75,20 +76,28 @@ def append_ledger(spark: SparkSession, out: str, wave: int, rows: DataFrame, kin
 def running_totals(ledger: DataFrame) -> DataFrame:
     """Ledger with cumulative records and seconds in the order of completion.
 
-    Rows are accumulated within their wave, and a wave is shifted by the totals of the waves before
-    it; only the table of waves is ordered as a whole.
+    Rows are accumulated within their wave (waves of a stream and of runs are told apart by ``part``), and a
+    wave is shifted by the totals of those that ended before it; only the table of waves is ordered as a whole.
     """
+    part = F.col("part") if "part" in ledger.columns else F.lit("")
+    ledger = ledger.withColumn("_part", part)
     sums = {"total_uids": "num_uids", "total_time_s": "time_seconds", "total_cpu_s": "cpu_seconds", "total_gpu_s": "gpu_seconds"}
-    within = Window.partitionBy("wave").orderBy("finished_at", "input_path")
+    within = Window.partitionBy("_part", "wave").orderBy("finished_at", "input_path")
     inside = within.rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.orderBy("wave").rowsBetween(Window.unboundedPreceding, -1)
-    waves = ledger.groupBy("wave").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    before = Window.orderBy("_ended", "_kind", "wave").rowsBetween(Window.unboundedPreceding, -1)
+    waves = ledger.groupBy("_part", "wave").agg(
+        F.max("finished_at").alias("_ended"), *[F.sum(c).alias(f"_{n}") for n, c in sums.items()]
+    )
+    # Waves of one kind follow one another; between a stream and a run the time of completion decides.
+    kind = F.regexp_replace("_part", r"-\d+$", "")
+    so_far = Window.partitionBy("_kind").orderBy("wave")
+    waves = waves.withColumn("_kind", kind).withColumn("_ended", F.max("_ended").over(so_far))
     shifts = waves.select(
-        "wave", *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in sums]
+        "_part", "wave", *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in sums]
     )
-    shifted = ledger.join(shifts, "wave")
+    shifted = ledger.join(shifts, ["_part", "wave"])
     totals = [(F.sum(c).over(inside) + F.col(f"_{n}")).alias(n) for n, c in sums.items()]
-    return shifted.select(*ledger.columns, *totals)
+    return shifted.select(*[c for c in ledger.columns if c != "_part"], *totals)
 
 
 def ledger_summary(ledger: DataFrame) -> DataFrame:
@@ -165,7 +174,8 @@ def run_wave(
     records = read(shards.select(F.col("_shard").alias("path")))
     named = name_shards(records, naming, extension, shards=shards, shard_rows=files)
     manifest = write_shards(enrich(named), out, output_format, part_name(kind, wave), bfloat16, files)
-    outputs = written_outputs(shard_outputs(shards, naming, extension), manifest, out)
+    outputs = written_outputs(shard_outputs(shards, naming, extension), manifest)
+    remove_stale(outputs, out)
     seconds = time.monotonic() - begun
     append_ledger(spark, out, wave, _ledger_rows(outputs, out, wave, seconds, cpus, gpus), kind)
 
@@ -192,7 +202,8 @@ def run_waves(
     spelled = paths.withColumn("path", canonical_path(F.col("path")))
     ledger = recover(spark, out)
     wave, start = next_wave(ledger), next_index(ledger).first()["next_index"]
-    table = checkpointed(shard_table_of_files(pending_shards(spelled, ledger), start, max_bytes))
+    known = spelled.select("path").unionAll(ledger.select("input_path"))
+    table = checkpointed(shard_table_of_files(pending_shards(spelled, ledger), start, max_bytes, known))
     turn = F.floor((F.col("_first") - start) / freq)
     # The plan of the run on the driver: one row per wave.
     plan = table.groupBy(turn.alias("turn")).agg(F.sum("_pieces").alias("files")).orderBy("turn").collect()

@@ -16,6 +16,11 @@ from shardweave.functions.text import image_bytes as decode_image
 VECTOR_LIST = T.ArrayType(T.ArrayType(T.FloatType()))
 
 
+# JSON text of the keys that the schema does not name, or whose values do not fit it. Readers make it and
+# writers put it back, so that records pass through whole.
+REST = "_rest"
+
+
 def is_internal(name: str) -> bool:
     """Columns of the engine itself (``_shard``, ``_pos``, ...) are not keys of a record."""
     return name.startswith("_")
@@ -26,6 +31,48 @@ def as_struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def _inner(json_object: Column) -> Column:
+    """The text between the braces of a JSON object."""
+    return F.substr(json_object, F.lit(2), F.length(json_object) - 2)
+
+
+def key_json(name: str, value: Column) -> Column:
+    """``"name":value`` as JSON text, nulls within the value kept."""
+    return _inner(F.to_json(F.struct(value.alias(name)), {"ignoreNullFields": "false"}))
+
+
+def to_json_object(df: DataFrame, values: dict[str, Column], optional: tuple[str, ...] = ()) -> Column:
+    """A JSON object of ``values`` and the record's other keys.
+
+    With ``_rest`` a null value is left to it: there the key stands with what the input had, or not at all.
+    Without, it is written as null, but for ``optional`` keys. A value that a column has wins over the same key
+    in ``_rest``.
+    """
+    if REST not in df.columns:
+        parts = [F.when(value.isNotNull() | F.lit(name not in optional), key_json(name, value)) for name, value in values.items()]
+        return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")) if parts else F.lit("{}")
+    parts = [F.when(value.isNotNull(), key_json(name, value)) for name, value in values.items()]
+    kept = F.try_parse_json(F.col(REST)).cast("map<string,variant>")
+    if values:
+        here = F.array_compact(F.array(F.lit(""), *[F.when(value.isNotNull(), F.lit(name)) for name, value in values.items()]))
+        kept = F.map_filter(kept, lambda k, _: ~F.array_contains(here, k) | (k == ""))
+    rest = F.when(F.size(F.map_keys(kept)) > 0, _inner(F.to_json(kept, {"ignoreNullFields": "false"})))
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts, rest), F.lit("}"))
+
+
+def rest_of(record: Column, values: dict[str, Column], pattern: str | None = None) -> Column:
+    """``_rest`` of a VARIANT object: the keys that ``pattern`` matches from their start and that are not in
+    ``values``, or are null there. Null if there are none."""
+    present = F.array_compact(F.array(F.lit(""), *[F.when(v.isNotNull(), F.lit(k)) for k, v in values.items()]))
+
+    def stays(key: Column, _: Column) -> Column:
+        open_key = ~F.array_contains(present, key) | (key == "")
+        return open_key & key.rlike(f"^(?:{pattern})") if pattern not in (None, ".*") else open_key
+
+    kept = F.map_filter(record.cast("map<string,variant>"), stays)
+    return F.when(F.size(F.map_keys(kept)) > 0, F.to_json(kept, {"ignoreNullFields": "false"}))
+
+
 def record_keys(df: DataFrame) -> list[str]:
     """Keys of the records of ``df``."""
     return [c for c in df.columns if not is_internal(c)]
@@ -172,11 +219,14 @@ def normalise_emb_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(changed)
 
 
-def unwrap_features(df: DataFrame, schema: T.StructType | str, column: str = "features") -> DataFrame:
-    """Columns of ``schema`` from a feature map: single values become scalars, longer numeric
-    features stay lists, bytes become text, and what cannot be converted becomes null.
+def unwrap_features(
+    df: DataFrame, schema: T.StructType | str, column: str = "features", keys: str | None = None
+) -> DataFrame:
+    """Columns of ``schema`` from a feature map, by the declared types: lists of any length for ARRAY columns,
+    the value of a single-valued feature for others, integers and floats never one through the other.
+    Bytes become text where text is declared. What cannot be converted becomes null.
 
-    The bytes of ``image`` become base64 text.
+    The bytes of ``image`` become base64 text. All other features, and those that became null, are in ``_rest``.
     """
     out = {}
     for field in as_struct(schema).fields:
@@ -186,16 +236,60 @@ def unwrap_features(df: DataFrame, schema: T.StructType | str, column: str = "fe
         if field.name == "image":
             value = base64_text(first) if isinstance(kind, T.StringType) else first
         elif isinstance(kind, T.StringType):
-            value = F.try_validate_utf8(first.cast("string"))
+            value = F.when(F.size(feature["bytes"]) == 1, F.try_validate_utf8(first.cast("string")))
+        elif isinstance(kind, T.BinaryType):
+            value = F.when(F.size(feature["bytes"]) == 1, first)
         elif isinstance(kind, T.ArrayType):
-            numbers = F.coalesce(feature["floats"].cast("array<double>"), feature["ints"].cast("array<double>"))
-            value = F.when(F.size(numbers) != 1, numbers).cast(kind)
+            value = _feature_list(feature, kind)
         elif isinstance(kind, (T.FloatType, T.DoubleType)):
-            value = F.when(F.size(feature["floats"]) == 1, F.get(feature["floats"], F.lit(0))).cast(kind)
+            real = F.coalesce(feature["floats"].cast("array<double>"), feature["ints"].cast("array<double>"))
+            value = F.when(F.size(real) == 1, F.get(real, F.lit(0))).cast(kind)
         else:
             value = F.when(F.size(feature["ints"]) == 1, F.get(feature["ints"], F.lit(0))).cast(kind)
         out[field.name] = value
-    return df.withColumns(out).drop(column)
+    typed = df.withColumns(out)
+    present = F.array_compact(F.array(F.lit(""), *[F.when(F.col(k).isNotNull(), F.lit(k)) for k in out]))
+    left = F.filter(F.map_entries(column), lambda e: ~F.array_contains(present, e["key"]) | (e["key"] == ""))
+    if keys not in (None, ".*"):
+        left = F.filter(left, lambda e: e["key"].rlike(f"^(?:{keys})"))
+    rest = F.array_join(F.transform(left, _feature_json), ",")
+    return typed.withColumn(REST, F.when(F.size(left) > 0, F.concat(F.lit("{"), rest, F.lit("}")))).drop(column)
+
+
+def _feature_list(feature: Column, kind: T.ArrayType) -> Column:
+    element = kind.elementType
+    if isinstance(element, T.StringType):
+        texts = F.transform(feature["bytes"], lambda b: F.try_validate_utf8(b.cast("string")))
+        return F.when(~F.exists(texts, lambda t: t.isNull()), texts)
+    if isinstance(element, T.BinaryType):
+        return feature["bytes"]
+    if isinstance(element, (T.FloatType, T.DoubleType)):
+        return F.coalesce(feature["floats"].cast(kind), feature["ints"].cast(kind))
+    return feature["ints"].cast(kind)
+
+
+def _feature_json(entry: Column) -> Column:
+    """``"key":value`` of a feature: a single value plain, several as a list, bytes as text or else as base64."""
+
+    def listed(values: Column, as_json) -> Column:
+        items = F.transform(values, as_json)
+        return F.when(F.size(values) == 1, F.get(items, F.lit(0))).otherwise(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")))
+
+    def text(data: Column) -> Column:
+        return F.coalesce(F.try_validate_utf8(data.cast("string")), base64_text(data))
+
+    def quoted(value: Column) -> Column:
+        pair = F.to_json(F.struct(value.alias("v")))
+        return F.substr(pair, F.lit(6), F.length(pair) - 6)
+
+    feature = entry["value"]
+    value = F.coalesce(
+        F.when(F.size(feature["ints"]) > 0, listed(feature["ints"], lambda x: x.cast("string"))),
+        F.when(F.size(feature["floats"]) > 0, listed(feature["floats"], lambda x: quoted(x))),
+        F.when(F.size(feature["bytes"]) > 0, listed(feature["bytes"], lambda x: quoted(text(x)))),
+        F.lit("[]"),
+    )
+    return F.concat(quoted(entry["key"]), F.lit(":"), value)
 
 
 def _is_synthetic(name: str) -> bool:
@@ -247,10 +341,10 @@ def to_members(df: DataFrame, bfloat16: bool = False) -> DataFrame:
         named = {emb_name(c): _as_matrix(F.col(c), kinds[c], bfloat16) for c in vectors}
         members["npz"] = pack_npz(named, bfloat16)
         taken.update(vectors)
-    rest = [F.col(c) for c in keys if c not in taken]
+    rest = {c: F.col(c) for c in keys if c not in taken}
     if leftover_image is not None:
-        rest.append(leftover_image.alias("image"))
-    members["json"] = F.encode(F.to_json(F.struct(*rest)), "UTF-8") if rest else F.lit(b"{}")
+        rest["image"] = leftover_image
+    members["json"] = F.encode(to_json_object(df, rest, ("image",)), "UTF-8")
     pairs = F.array(
         *[F.struct(F.lit(ext).alias("ext"), content.alias("content")) for ext, content in members.items()]
     )

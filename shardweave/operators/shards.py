@@ -15,7 +15,7 @@ from shardweave.functions.text import basename
 from shardweave.operators.positions import global_index
 from shardweave.session import checkpointed, join_small
 from shardweave.sources.files import file_sizes, open_fs, spread
-from shardweave.sources.paths import list_files
+from shardweave.sources.paths import canonical, list_files
 from shardweave.sources.sink import read_manifest, write_lines
 
 DIGEST = "path STRING, bytes LONG, sha256 STRING"
@@ -71,52 +71,92 @@ def shard_table(df: DataFrame, start: int = 0, max_records: int = MAX_RECORDS) -
     return _numbered(sizes.select("_shard", F.ceil(F.col("_n") / max_records).cast("bigint").alias("_pieces")), start)
 
 
-def shard_table_of_files(paths: DataFrame, start: int = 0, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """The same from the sizes of the input files, without reading them."""
+def shard_table_of_files(
+    paths: DataFrame, start: int = 0, max_bytes: int = MAX_BYTES, known: DataFrame | None = None
+) -> DataFrame:
+    """The same from the sizes of the input files, without reading them.
+
+    ``known`` has the ``path`` of every input of the output folder, done or not; inputs whose names are
+    repeated among them get a ``_tag``.
+    """
     pieces = F.greatest(F.ceil(F.col("bytes") / max_bytes).cast("bigint"), F.lit(1).cast("bigint"))
-    return _numbered(file_sizes(paths).select(F.col("path").alias("_shard"), pieces.alias("_pieces")), start)
+    table = _numbered(file_sizes(paths).select(F.col("path").alias("_shard"), pieces.alias("_pieces")), start)
+    return tagged(table, known) if known is not None else table
+
+
+def plain_base(shard: Column) -> Column:
+    """Base name without a compression suffix: output is not compressed."""
+    return F.regexp_replace(basename(shard), r"\.(gz|zst|zstd)$", "")
+
+
+def tagged(shards: DataFrame, known: DataFrame) -> DataFrame:
+    """Shard table with ``_tag``: a digest of the input's path where another input has the same base name.
+
+    It depends on the set of all inputs alone, so a rerun finds the same names.
+    """
+    names = known.select("path").distinct().groupBy(plain_base(F.col("path")).alias("_base")).count()
+    repeated = names.where("count > 1").select("_base", F.lit(True).alias("_repeated"))
+    marked = shards.withColumn("_base", plain_base(F.col("_shard"))).join(repeated, "_base", "left")
+    tag = F.when(F.col("_repeated"), F.substring(F.md5("_shard"), 1, 8))
+    return marked.withColumn("_tag", tag).drop("_base", "_repeated")
 
 
-def out_name(naming: str, extension: str, piece: Column) -> Column:
-    """Name of an output shard, from a row of the shard table and a piece number."""
+def out_name(naming: str, extension: str, piece: Column, tag: Column | None = None) -> Column:
+    """Name of an output shard, from a row of the shard table and a piece number; ``tag`` tells inputs of one
+    name apart."""
     if naming == "count":
         return F.concat(F.format_string("%08d", F.col("_first") + piece), F.lit(f".{extension}"))
     if naming == "orig":
-        # Output is not compressed, so an input's compression suffix is not taken over.
-        base = F.regexp_replace(basename(F.col("_shard")), r"\.(gz|zst|zstd)$", "")
-        stem, rest = F.substring_index(base, ".", 1), F.regexp_replace(base, r"^[^.]*", "")
-        return F.when(F.col("_pieces") == 1, base).otherwise(
-            F.concat(stem, F.format_string("-%05d", piece), rest)
-        )
+        # A leading dot belongs to the stem, not to the suffix.
+        base = plain_base(F.col("_shard"))
+        stem = F.regexp_extract(base, r"^(\.?[^.]*)", 1)
+        rest = F.substr(base, F.length(stem) + 1)
+        if tag is not None:
+            stem = F.concat(stem, F.coalesce(F.concat(F.lit("-"), tag), F.lit("")))
+        part = F.when(F.col("_pieces") == 1, F.lit("")).otherwise(F.format_string("-%05d", piece))
+        return F.concat(stem, part, rest)
     raise ValueError(f"unsupported shard naming: {naming}")
 
 
 def shard_outputs(shards: DataFrame, naming: str, extension: str) -> DataFrame:
     """Input and output name of every output shard of a shard table."""
     pieces = shards.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces") - 1)))
-    return pieces.select("_shard", out_name(naming, extension, F.col("_piece")).alias("_out"))
-
+    tag = F.col("_tag") if "_tag" in shards.columns else None
+    return pieces.select("_shard", out_name(naming, extension, F.col("_piece"), tag).alias("_out"))
 
-def written_outputs(outputs: DataFrame, manifest: DataFrame, out: str) -> DataFrame:
-    """Planned output shards with their number of records, zero for those not written.
 
-    Files under the names of the latter are deleted: an earlier attempt under another file splitting
-    may have put records into a piece that stays empty now; they are in other pieces this time.
-    """
+def written_outputs(outputs: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Planned output shards with their number of records, zero for those not written."""
     written = manifest.select(F.col("shard").alias("_out"), "num_uids")
-    counted = outputs.join(written, "_out", "left").select(
+    return outputs.join(written, "_out", "left").select(
         "_shard", "_out", F.coalesce("num_uids", F.lit(0).cast("bigint")).alias("num_uids")
     )
 
+
+def remove_stale(outputs: DataFrame, out: str) -> None:
+    """Delete, now, the files of planned output shards that received no record.
+
+    Such a file is left by an earlier attempt at the same wave. Inputs are never deleted, even if ``out``
+    is the folder in which they lie.
+    """
+
     def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = open_fs(out)
         for batch in batches:
-            for name, records in zip(batch.column("_out").to_pylist(), batch.column("num_uids").to_pylist()):
-                if records == 0 and fs.get_file_info(f"{folder}/{name}").type == pafs.FileType.File:
+            for name in batch.column("_out").to_pylist():
+                if fs.get_file_info(f"{folder}/{name}").type == pafs.FileType.File:
                     fs.delete_file(f"{folder}/{name}")
             yield batch
 
-    return counted.mapInArrow(delete, "_shard STRING, _out STRING, num_uids LONG")
+    target = F.concat(F.lit(canonical(out.rstrip("/")) + "/"), F.col("_out"))
+    stale = outputs.where("num_uids = 0").where(target != F.col("_shard")).select("_out")
+    stale.mapInArrow(delete, "_out STRING").write.format("noop").mode("overwrite").save()
+
+
+def duplicate_ids(df: DataFrame, id: str = "uid", shard: str = "_shard") -> DataFrame:
+    """(shard, uid, times) of the ids that stand more than once in a shard; a missing id counts as one too."""
+    counted = df.groupBy(F.col(shard).alias("shard"), F.col(id).alias("uid")).agg(F.count(F.lit(1)).alias("times"))
+    return counted.where("times > 1")
 
 
 def name_shards(
@@ -144,7 +184,8 @@ def name_shards(
     spread_by = identity or [c for c in ("uid", "_pos") if c in df.columns]
     only = F.lit(0).cast("bigint")
     piece = F.when(F.col("_pieces") == 1, only).otherwise(piece_of(F.col("_pieces"), spread_by))
-    return placed.withColumn("_out", out_name(naming, extension, piece)).drop("_first", "_pieces")
+    tag = F.col("_tag") if "_tag" in placed.columns else None
+    return placed.withColumn("_out", out_name(naming, extension, piece, tag)).drop("_first", "_pieces", "_tag")
 
 
 def shard_manifest(df: DataFrame, out: str = "_out") -> DataFrame:

@@ -98,4 +98,4 @@ def spread(work: DataFrame, per_task: int = 1) -> DataFrame:
     all of the work they stand for, into one task.
     """
     items = checkpointed(work)
-    return items.coalesce(1).repartition(max(1, -(-items.count() // per_task)))
+    return items.repartition(max(1, -(-items.count() // per_task)))

@@ -127,10 +127,12 @@ def canonical(path: str) -> str:
 
 
 _LISTED = "path STRING, bytes LONG, folder BOOLEAN"
+# Folders of the engine itself; every other name is data, also one that starts with a dot or underscore.
+OWN_FOLDERS = frozenset({"_partial", "_manifest", "_ledger", "_stream"})
 
 
 def _list_folders(folders: DataFrame, recursive: bool) -> DataFrame:
-    """Entries of each folder of ``path``; names that start with ``_`` or ``.`` are left out."""
+    """Entries of each folder of ``path``, without the engine's own folders."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,7 +142,7 @@ def _list_folders(folders: DataFrame, recursive: bool) -> DataFrame:
                 rows = []
                 for info in fs.get_file_info(pafs.FileSelector(inner, recursive=recursive)):
                     below = info.path[len(inner) :].strip("/").split("/")
-                    if not any(part.startswith(("_", ".")) for part in below):
+                    if OWN_FOLDERS.isdisjoint(below):
                         is_folder = info.type == pafs.FileType.Directory
                         rows.append({"path": prefix + info.path, "bytes": info.size or 0, "folder": is_folder})
                 yield pa.RecordBatch.from_pylist(
@@ -171,6 +173,37 @@ def list_files(spark: SparkSession, root: str, suffixes: list[str], depth: int =
     return found.select(group.alias("group"), "path", "bytes")
 
 
+def files_of(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
+    """``path`` (and ``bytes``) of the files named, or lying directly in the folders named.
+
+    In a folder, checksums and the success marks of Spark's writers are no data.
+    """
+    if isinstance(paths, DataFrame):
+        return paths
+    named = spark.createDataFrame([(p,) for p in paths], "path STRING")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path in batch.column("path").to_pylist():
+                fs, inner = open_fs(path)
+                info = fs.get_file_info(inner)
+                if info.type == pafs.FileType.Directory:
+                    prefix = path.rstrip("/")
+                    for entry in fs.get_file_info(pafs.FileSelector(inner)):
+                        mark = entry.base_name.startswith("_SUCCESS") or entry.base_name.endswith(".crc")
+                        if entry.type == pafs.FileType.File and not mark:
+                            rows.append((f"{prefix}/{entry.base_name}", entry.size))
+                elif info.type == pafs.FileType.File:
+                    rows.append((path, info.size))
+                else:
+                    raise FileNotFoundError(path)
+            columns = zip(*rows) if rows else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64()))], names=["path", "bytes"])
+
+    return named.mapInArrow(look, "path STRING, bytes LONG")
+
+
 def with_format(paths: DataFrame, path: str = "path") -> DataFrame:
     """Add ``format``, judged by the path."""
     return paths.withColumn("format", raw_file_type(F.col(path)))

@@ -5,27 +5,26 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardweave.operators.records import as_struct, rename_keys, select_fields, unwrap_features
+from shardweave.operators.records import REST, as_struct, rename_keys, select_fields, unwrap_features
 from shardweave.sources.jsonl import POSITION, read_jsonl
 from shardweave.sources.paths import shard_paths, with_format
 from shardweave.sources.tar import read_tar_samples
 from shardweave.sources.tfrecord import read_tfrecord
 
 
-def paths_by_format(paths: DataFrame) -> dict[str, list[str]]:
-    """Shard paths by format; unknown formats are an error.
-
-    The paths come to the driver: one string per shard file, which Spark's own file index needs
-    there anyway. Records never do.
-    """
-    grouped: dict[str, list[str]] = {}
-    for row in with_format(paths.select("path")).toLocalIterator():
-        grouped.setdefault(row["format"], []).append(row["path"])
-    if "unknown" in grouped:
-        raise ValueError(f"unsupported shard files: {sorted(grouped['unknown'])[:20]}")
-    return grouped
+def paths_by_format(paths: DataFrame) -> dict[str, DataFrame]:
+    """The shard paths of each format that there is; unknown formats are an error. Paths stay in Spark."""
+    named = with_format(paths)
+    counts = {row["format"]: row["n"] for row in named.groupBy("format").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if "unknown" in counts:
+        some = sorted(row["path"] for row in named.where("format = 'unknown'").limit(20).collect())
+        raise ValueError(f"{counts['unknown']} unsupported shard files, among them {some}")
+    kinds = {"jsonl": ("jsonl", "jsonl_zstd", "jsonl_gzip"), "tar": ("tar",), "tfrecord": ("tfrecord",)}
+    found = {kind: [f for f in formats if f in counts] for kind, formats in kinds.items()}
+    return {kind: named.where(F.col("format").isin(formats)).drop("format") for kind, formats in found.items() if formats}
 
 
 def read_shards(
@@ -38,23 +37,22 @@ def read_shards(
 ) -> DataFrame:
     """Records of all shards of a manifest, pattern or table of paths, with ``_shard`` and ``_pos``.
 
-    ``content_key`` keeps the keys of ``schema`` that it matches from their start, so that others are
-    never parsed; ``rekey`` then renames keys. ``shuffle_seed`` shuffles the records of TFRecord
+    The keys of ``schema`` become columns, all others are carried in ``_rest`` and written back by the sinks.
+    ``content_key`` keeps the keys that it matches from their start, in both; ``rekey`` then renames columns. ``shuffle_seed`` shuffles the records of TFRecord
     shards.
     """
     wanted = select_fields(as_struct(schema), content_key)
     paths = shard_paths(spark, source) if isinstance(source, str) else source
     grouped = paths_by_format(paths)
     parts = []
-    lines = [p for kind in ("jsonl", "jsonl_zstd", "jsonl_gzip") for p in grouped.get(kind, [])]
-    if lines:
-        parts.append(read_jsonl(spark, lines, wanted))
-    if grouped.get("tar"):
-        parts.append(read_tar_samples(spark, grouped["tar"], wanted))
-    if grouped.get("tfrecord"):
-        parts.append(unwrap_features(read_tfrecord(spark, grouped["tfrecord"], shuffle_seed), wanted))
+    if "jsonl" in grouped:
+        parts.append(read_jsonl(spark, grouped["jsonl"], wanted, content_key))
+    if "tar" in grouped:
+        parts.append(read_tar_samples(spark, grouped["tar"], wanted, keys=content_key))
+    if "tfrecord" in grouped:
+        parts.append(unwrap_features(read_tfrecord(spark, grouped["tfrecord"], shuffle_seed), wanted, keys=content_key))
     if not parts:
-        place = as_struct(f"_shard STRING, _pos {POSITION}")
+        place = as_struct(f"{REST} STRING, _shard STRING, _pos {POSITION}")
         parts.append(spark.createDataFrame([], T.StructType([*wanted.fields, *place.fields])))
     records = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return rename_keys(records, rekey) if rekey else records

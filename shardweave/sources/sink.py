@@ -162,10 +162,9 @@ def write_tar_samples(
     df: DataFrame, out: str, run: str = "run", bfloat16: bool = False, shards: int | None = None
 ) -> DataFrame:
     """Write records as tar shards, one set of members per record; returns the manifest of the run."""
-    members = to_members(normalise_emb_names(df), bfloat16)
-    entry = to_tar_chunk(F.col("_key"), F.col("_members"))
-    rendered = members.select("_out", "_shard", "_pos", entry.alias("_entry"))
-    write_chunks(rendered, F.col("_entry"), out, run, TAR_TRAILER, shards)
+    members = to_members(normalise_emb_names(df), bfloat16).select("_out", "_shard", "_pos", "_key", "_members")
+    # Rendered in the order of the shard, so that a repeated key is seen beside the first.
+    write_chunks(members, to_tar_chunk(F.col("_key"), F.col("_members")), out, run, TAR_TRAILER, shards)
     return read_manifest(df.sparkSession, out).filter(F.col("run") == run)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import tarfile
 from collections.abc import Iterator
 
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from shardweave.functions.packing import matrices_to_arrow, npz_arrays
-from shardweave.operators.records import as_struct
+from shardweave.operators.records import REST, as_struct, key_json, rest_of
 from shardweave.sources.files import open_fs, plan_ranges, spread
 from shardweave.sources.jsonl import field_of
 
@@ -45,6 +46,22 @@ def split_member(name: str) -> tuple[str, str]:
     return folder + slash + stem, kind
 
 
+# Keys of members: what would end the key is escaped, a missing one has a name of its own, and a record whose
+# key is that of the record before it gets a number, so that both stay apart.
+NO_KEY, AGAIN = "%0", "%r"
+
+
+def member_key(key: str | None) -> str:
+    """A record's key as it stands in member names."""
+    return NO_KEY if key is None else key.replace("%", "%25").replace(".", "%2E")
+
+
+def record_key(name: str) -> str | None:
+    """The key that :func:`member_key` has written, without the number of a repetition."""
+    name = re.sub(f"{AGAIN}\\d+$", "", name)
+    return None if name == NO_KEY else name.replace("%2E", ".").replace("%25", "%")
+
+
 def sample_starts(file, size: int) -> Iterator[int]:
     """Offsets of the headers at which the record key changes."""
     previous = None
@@ -118,11 +135,11 @@ def _samples(path: str, start: int, stop: int) -> Iterator[dict]:
                 if not member.isfile():
                     continue
                 key, kind = split_member(member.name)
-                if sample and sample["uid"] != key:
+                if sample and sample["_key"] != key:
                     yield _finished(sample, path)
                     sample = {}
                 if not sample:
-                    sample = {"uid": key, "_at": start + member.offset}
+                    sample = {"_key": key, "uid": record_key(key), "_at": start + member.offset}
                 _add_member(sample, kind, archive.extractfile(member).read(), member.name)
             if sample:
                 yield _finished(sample, path)
@@ -169,11 +186,13 @@ def read_tar_samples(
     paths: DataFrame | list[str],
     schema: T.StructType | str | None = None,
     split_bytes: int = 1 << 30,
+    keys: str | None = None,
 ) -> DataFrame:
     """Samples of tar shards: consecutive members of one record make one row.
 
     The keys of the JSON members become columns when ``schema`` names them, otherwise they stay in
-    ``json``. Vectors of npz members are in ``arrays``, or in the columns that ``schema`` names.
+    ``json``. Vectors of npz members are in ``arrays``, or in the columns that ``schema`` names. With a
+    schema, all that it does not name (of the keys that ``keys`` matches from their start) is in ``_rest``.
     """
     if not isinstance(paths, DataFrame):
         paths = spark.createDataFrame([(p,) for p in paths], "path STRING")
@@ -183,15 +202,32 @@ def read_tar_samples(
         return samples
     known = ("uid", "url", "text", "image")
     parsed = samples.withColumn("_parsed", F.try_parse_json("json"))
-    columns = []
+    columns = {}
     for field in as_struct(schema).fields:
         value = field_of(F.col("_parsed"), field)
         if field.name in known:
             value = F.coalesce(F.col(field.name).cast(field.dataType), value)
         elif field.dataType == T.ArrayType(T.ArrayType(T.FloatType())):
             value = F.coalesce(F.try_element_at("arrays", F.lit(field.name)), value)
-        columns.append(value.alias(field.name))
-    return parsed.select(*columns, "_shard", "_pos")
+        columns[field.name] = value
+    open_members = [n for n in known if n not in columns and (keys in (None, ".*") or re.match(keys, n))]
+    typed = parsed.select(
+        *[value.alias(name) for name, value in columns.items()],
+        "_shard",
+        "_pos",
+        "_parsed",
+        F.struct(*known, "arrays").alias("_members"),
+    )
+    here = {name: F.col(name) for name in columns} | {name: F.col(f"_members.{name}") for name in open_members}
+    parts = [F.when(F.col(f"_members.{name}").isNotNull(), key_json(name, F.col(f"_members.{name}"))) for name in open_members]
+    taken = F.array(F.lit(None).cast("string"), *[F.lit(name) for name in columns])
+    vectors = F.map_filter("_members.arrays", lambda k, _: ~F.coalesce(F.array_contains(taken, k), F.lit(False)))
+    if keys not in (None, ".*"):
+        vectors = F.map_filter(vectors, lambda k, _: k.rlike(f"^(?:{keys})"))
+    inner = [rest_of(F.col("_parsed"), here, keys), F.when(F.size(F.map_keys(vectors)) > 0, F.to_json(vectors))]
+    text = F.concat_ws(",", *parts, *[F.substr(o, F.lit(2), F.length(o) - 2) for o in inner])
+    rest = F.when(text != "", F.concat(F.lit("{"), text, F.lit("}")))
+    return typed.withColumn(REST, rest).drop("_parsed", "_members")
 
 
 def tar_entry(name: str, content: bytes) -> bytes:
@@ -208,14 +244,17 @@ TAR_TRAILER = b"\0" * (2 * tarfile.BLOCKSIZE)
 
 @arrow_udf(T.BinaryType())
 def _render(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for keys, members in batches:
-        yield pa.array(
-            [
-                b"".join(tar_entry(f"{key}.{ext}", content) for ext, content in entries)
-                for key, entries in zip(keys.to_pylist(), members.to_pylist())
-            ],
-            pa.binary(),
-        )
+    before, times = "", 0
+    for keys, members in batches:  # the rows of a shard come in order, so repetitions stand side by side
+        chunks = []
+        for key, entries in zip(keys.to_pylist(), members.to_pylist()):
+            name = member_key(key)
+            times = times + 1 if name == before else 0
+            before = name
+            if times:
+                name = f"{name}{AGAIN}{times}"
+            chunks.append(b"".join(tar_entry(f"{name}.{ext}", content) for ext, content in entries))
+        yield pa.array(chunks, pa.binary())
 
 
 def to_tar_chunk(key: Column, members: Column) -> Column:

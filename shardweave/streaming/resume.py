@@ -44,7 +44,8 @@ def stream_shards(
         session = batch.sparkSession
         earlier = recover(session, out).filter(F.col("part") != part_name("stream", number))
         start = next_index(earlier).first()["next_index"]
-        table = checkpointed(shard_table_of_files(pending_shards(batch, earlier), start, max_bytes))
+        known = batch.select("path").unionAll(earlier.select("input_path"))
+        table = checkpointed(shard_table_of_files(pending_shards(batch, earlier), start, max_bytes, known))
         files = table.agg(F.sum("_pieces")).first()[0]
         if files is not None:
             read = lambda paths: read_shards(session, paths, schema)

@@ -120,7 +120,8 @@ def test_native_and_batch_forms_agree(spark, config):
     df = frame(spark, [image() for _ in range(6)] + [image(11, 10)])
     df = df.withColumn("height", F.col("image.h")).withColumn("width", F.col("image.w"))
     planned = plan_draws(df, config, 3, 9, "uid", F.col("height"), F.col("width"))
-    both = augment.reapply(planned, steps, "image", "params", "native")
+    views = F.transform(F.col("params"), lambda p: augment.apply_geometry(F.col("image"), steps, p))
+    both = planned.withColumn("native", views)
     for row in augment.apply_views(both, steps, "image", "params", "batch").collect():
         for a, b in zip(row["native"], row["batch"]):
             assert (a["h"], a["w"], a["c"]) == (b["h"], b["w"], b["c"])
