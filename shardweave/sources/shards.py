@@ -52,7 +52,7 @@ def read_shards(
     if "tfrecord" in grouped:
         parts.append(unwrap_features(read_tfrecord(spark, grouped["tfrecord"], shuffle_seed), wanted, keys=content_key))
     if not parts:
-        place = as_struct(f"{REST} STRING, _shard STRING, _pos {POSITION}")
+        place = as_struct(f"_shard STRING, _pos {POSITION}, {REST} STRING")
         parts.append(spark.createDataFrame([], T.StructType([*wanted.fields, *place.fields])))
     records = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return rename_keys(records, rekey) if rekey else records

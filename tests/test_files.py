@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from checks.files import _example
 from shardweave.operators import shards as sh
+from shardweave.operators.records import unwrap_features
 from shardweave.sources import jsonl, paths, tar, tfrecord
 from shardweave.sources.shards import paths_by_format, read_shards
 from shardweave.sources.sink import read_manifest, write_chunks, write_jsonl, write_tar_samples
@@ -50,17 +51,51 @@ def test_dirty_json_lines(spark, tmp_path, suffix):
     assert open_keys.select(F.try_variant_get("record", "$.other.k[0]", "int").alias("k")).filter("k = 1").count() == 1
 
 
-def test_line_order_survives_file_splits(spark, tmp_path):
-    path = tmp_path / "long.jsonl"
-    path.write_text("".join(json.dumps({"uid": str(i), "n": i}) + "\n" for i in range(5000)))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
-    try:
-        df = jsonl.read_jsonl(spark, [str(path)], SCHEMA)
-        assert df.select("_pos.block").distinct().count() > 5
-        assert [r["n"] for r in df.orderBy("_pos").collect()] == list(range(5000))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+def test_line_order_survives_file_splits(spark, tmp_path, monkeypatch):
+    """Places are offsets: the same for every size of ranges and blocks."""
+    path = tmp_path / "_long.jsonl"  # a name that Spark's own sources pass over
+    path.write_text("".join(json.dumps({"uid": str(i), "n": i}) + "\r\n" * (1 + i % 3 % 2) for i in range(2000)))
+    places = []
+    for size, block in ((64 << 20, 4 << 20), (3000, 4 << 20), (7001, 11)):
+        monkeypatch.setattr(jsonl, "RANGE", size)
+        monkeypatch.setattr(jsonl, "BLOCK", block)
+        rows = jsonl.read_jsonl(spark, [str(path)], SCHEMA).select("n", "_pos").orderBy("_pos").collect()
+        assert [r["n"] for r in rows] == list(range(2000))
+        places.append([r["_pos"]["line"] for r in rows])
+    assert places[0] == places[1] == places[2] and places[0][:2] == [0, len('{"uid": "0", "n": 0}\r\n')]
+
+
+def test_records_pass_through_whole(spark, tmp_path):
+    """Keys outside the schema, nulls, misfits, and ids that are missing, repeated or dotted."""
+    records = [
+        {"uid": "a.b", "text": "x", "extra": {"k": [1, None, {"z": "ü"}]}, "n": None, "f": 1.5},
+        {"uid": "a.b", "text": None, "n": 7},
+        {"uid": None, "t": "%25"},
+        {"uid": "q", "n": "seven"},
+        {"uid": "%2E%r1", "arr": []},
+    ]
+    path = tmp_path / ".hidden.jsonl"
+    path.write_text("\n".join(json.dumps(r) for r in records))
+    read = jsonl.read_jsonl(spark, [str(path)], "uid STRING, n BIGINT")
+    write_jsonl(sh.name_shards(read, "orig"), str(tmp_path / "lines"))
+    again = (tmp_path / "lines" / ".hidden.jsonl").read_text().splitlines()
+    assert [json.loads(line) for line in again] == records
+    write_tar_samples(sh.name_shards(read, "count", "tar"), str(tmp_path / "tar"))
+    back = tar.read_tar_samples(spark, [str(tmp_path / "tar" / "00000000.tar")], "uid STRING, n BIGINT").orderBy("_pos").collect()
+    assert [(r["uid"], r["n"]) for r in back] == [("a.b", None), ("a.b", 7), (None, None), ("q", None), ("%2E%r1", None)]
+    rests = [json.loads(r["_rest"]) if r["_rest"] else {} for r in back]
+    assert rests[0] == {"text": "x", "extra": {"k": [1, None, {"z": "ü"}]}, "n": None, "f": 1.5}
+    assert rests[1] == {"text": None} and rests[3] == {"n": "seven"} and rests[4] == {"arr": []}
+
+
+def test_features_by_declared_type(spark):
+    rows = [({
+        "one": ([], [], [7]), "big": ([], [], [2**60 + 1]), "words": ([b"a", b"\xc3\xbc"], [], []), "x": ([], [1.5], []), "left": ([b"l"], [], []),
+    },)]
+    df = spark.createDataFrame(rows, "features MAP<STRING, STRUCT<bytes: ARRAY<BINARY>, floats: ARRAY<FLOAT>, ints: ARRAY<BIGINT>>>")
+    out = unwrap_features(df, "one ARRAY<BIGINT>, big BIGINT, words ARRAY<STRING>, x DOUBLE, none STRING").first()
+    assert (out["one"], out["big"], out["words"], out["x"], out["none"]) == ([7], 2**60 + 1, ["a", "ü"], 1.5, None)
+    assert json.loads(out["_rest"]) == {"left": "l"}
 
 
 def write_tar(path, members, pax=False):
@@ -120,7 +155,7 @@ def test_empty_shards(spark, tmp_path):
     (tmp_path / "d.tar").write_bytes(b"")
     listed = paths.list_files(spark, str(tmp_path), [".tar", ".jsonl", ".tfrecord"])
     assert listed.count() == 4 and read_shards(spark, listed, SCHEMA).count() == 0
-    assert read_shards(spark, listed.limit(0), SCHEMA).columns == ["uid", "text", "n", "_shard", "_pos"]
+    assert read_shards(spark, listed.limit(0), SCHEMA).columns == ["uid", "text", "n", "_shard", "_pos", "_rest"]
 
 
 def test_a_missing_shard_is_an_error(spark, tmp_path):
@@ -252,7 +287,7 @@ def test_key_choice_and_names_while_reading(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"uid": "a", "text": "x", "n": 1}\n')
     listed = paths.list_files(spark, str(tmp_path), [".jsonl"])
     df = read_shards(spark, listed, SCHEMA, "uid|te", {"text": "caption"})
-    assert df.columns == ["uid", "caption", "_shard", "_pos"] and df.first()["caption"] == "x"
+    assert df.columns == ["uid", "caption", "_shard", "_pos", "_rest"] and df.first()["_rest"] is None and df.first()["caption"] == "x"
 
 
 def test_paths_with_blanks_and_plus_signs(spark, tmp_path):

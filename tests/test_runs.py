@@ -62,6 +62,33 @@ def test_stopped_and_whole_runs_give_the_same(spark, tmp_path):
     assert (summary["shards"], summary["total_uids"]) == (6, 60)
 
 
+def test_inputs_of_one_name_and_hidden_names(spark, tmp_path):
+    """Equal base names in two folders, compressed twins and hidden names: no output takes another's place."""
+    inputs = ["a/0.jsonl", "b/0.jsonl", "b/_x.jsonl", "c/.y.jsonl", "c/1.jsonl"]
+    for n, name in enumerate(inputs):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text(json.dumps({"uid": str(n)}) + "\n")
+    assert run(spark, tmp_path / "in", tmp_path / "out", naming="orig", freq=1, max_waves=2) == 2
+    (tmp_path / "in" / "d").mkdir()
+    (tmp_path / "in" / "d" / "1.jsonl").write_text(json.dumps({"uid": "5"}) + "\n")
+    assert run(spark, tmp_path / "in", tmp_path / "out", naming="orig", freq=1) == 4
+    found = contents(spark, tmp_path / "out")
+    assert sorted(uid for _, uid in found) == list("012345") and len({name for name, _ in found}) == 6
+    ledger = lg.recover(spark, str(tmp_path / "out"))
+    assert ledger.select("output_path").distinct().count() == 6 and ledger.agg(F.sum("num_uids")).first()[0] == 6
+
+
+def test_stale_pieces_go_and_inputs_stay(spark, tmp_path):
+    (tmp_path / "out").mkdir()
+    for name in ("old.jsonl", "kept.jsonl"):
+        (tmp_path / "out" / name).write_text("{}\n")
+    outputs = spark.createDataFrame(
+        [("elsewhere", "old.jsonl", 0), (str(tmp_path / "out" / "kept.jsonl"), "kept.jsonl", 0)], "_shard STRING, _out STRING, num_uids LONG"
+    )
+    sh.remove_stale(outputs, str(tmp_path / "out"))
+    assert os.listdir(tmp_path / "out") == ["kept.jsonl"]
+
+
 def test_crash_between_data_and_ledger(spark, tmp_path, monkeypatch):
     write_input(spark, tmp_path / "in")
     with monkeypatch.context() as m:
