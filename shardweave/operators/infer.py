@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
@@ -27,10 +28,33 @@ from shardweave.plans.config import Step, as_pair, steps_from_config
 VECTORS = "ARRAY<ARRAY<FLOAT>>"
 
 
+def full_batches(batches: Iterator[tuple[pa.Array, ...]], rows: int) -> Iterator[tuple[pa.Array, ...]]:
+    """The same rows in batches of exactly ``rows`` (the last may be smaller), across Arrow's own batches.
+
+    At most ``rows`` rows and one of Arrow's batches are held.
+    """
+    held: list[tuple[pa.Array, ...]] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch[0])
+        if size < rows:
+            continue
+        whole = tuple(pa.concat_arrays(column) for column in zip(*held))
+        start = 0
+        while size - start >= rows:
+            yield tuple(column.slice(start, rows) for column in whole)
+            start += rows
+        held, size = [tuple(column.slice(start) for column in whole)], size - start
+    if size:
+        yield tuple(pa.concat_arrays(column) for column in zip(*held))
+
+
 def infer(
     df: DataFrame, model: TeacherSpec, batch_size: int, out_schema: str, profile: ResourceProfile | None = None
 ) -> DataFrame:
-    """Rows in, rows out: call the worker's model on batches of at most ``batch_size`` rows.
+    """Rows in, rows out: call the worker's model on batches of ``batch_size`` rows, the last of a partition
+    with what is left.
 
     The model is called with a pandas DataFrame and returns one; it may return any number of rows.
     ``profile`` asks for executors with the resources (GPUs) that the model needs. All columns of
@@ -39,9 +63,19 @@ def infer(
 
     def run(batches):
         fn = loaded(model)
+        held, size = [], 0
         for pdf in batches:
-            for start in range(0, len(pdf), batch_size):
-                yield fn(pdf.iloc[start : start + batch_size])
+            held.append(pdf)
+            size += len(pdf)
+            if size < batch_size:
+                continue
+            whole = pd.concat(held, ignore_index=True)
+            full = size - size % batch_size
+            for start in range(0, full, batch_size):
+                yield fn(whole.iloc[start : start + batch_size].reset_index(drop=True))
+            held, size = [whole.iloc[full:]], size - full
+        if size:
+            yield fn(pd.concat(held, ignore_index=True))
 
     return df.mapInPandas(run, out_schema, profile=profile)
 
@@ -52,7 +86,7 @@ def embed_texts(texts: Column, teachers: list[TeacherSpec], batch_size: int = 10
     @arrow_udf(VECTORS)
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         models = [loaded(t) for t in teachers]
-        for batch in batches:
+        for (batch,) in full_batches(((b,) for b in batches), batch_size):
             lists = batch.to_pylist()
             flat = ["" if t is None else t for texts in lists if texts is not None for t in texts]
             rows = [
@@ -171,7 +205,7 @@ def embed_planned(
 
     @arrow_udf(VECTORS)
     def embed(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for images, _, drawn, _ in batches:
+        for images, _, drawn, _ in full_batches(batches, batch_size):
             tensors, draws = images_of(images), drawn.to_pylist()
             step = max(1, batch_size // max(1, max((len(d) for d in draws if d), default=1)))
             for start in range(0, len(tensors), step):
@@ -221,7 +255,7 @@ def add_captions(
     @arrow_udf("ARRAY<STRING>")
     def caption(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         model = loaded(teacher)
-        for images, draws in batches:
+        for images, draws in full_batches(batches, batch_size):
             raw, us = images.to_pylist(), draws.to_pylist()
             kept = [i for i, im in enumerate(raw) if im is not None]
             texts: list = [None] * len(raw)

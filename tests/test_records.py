@@ -89,6 +89,30 @@ def test_texts_and_their_vectors(spark):
     assert all(got["d"][f"{k}_emb_v"] is None for k in ("text", "texts", "syn_text"))
 
 
+def test_models_see_full_batches(spark):
+    """However small Arrow's own batches are."""
+    import pyarrow as pa
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(0, 100, 1, 1).select("id")
+        seen = infer.infer(df, TeacherSpec(CountRows), 30, "id LONG, rows LONG").orderBy("id").collect()
+        assert [r["id"] for r in seen] == list(range(100)) and [r["rows"] for r in seen] == [30] * 90 + [10] * 10
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    batches = [(pa.array(range(k, k + n), pa.int64()), pa.array(["x"] * n, pa.string())) for k, n in ((0, 3), (3, 0), (3, 9), (12, 1))]
+    found = [a.to_pylist() for a, _ in infer.full_batches(iter(batches), 5)]
+    assert found == [[0, 1, 2, 3, 4], [5, 6, 7, 8, 9], [10, 11, 12]]
+
+
+class CountRows:
+    """Returns the size of the batch beside each row."""
+
+    def __call__(self, pdf):
+        return pdf.assign(rows=len(pdf))
+
+
 def test_a_batch_without_any_valid_record(spark):
     df = spark.createDataFrame([("a", "@@@"), ("b", "")], "uid STRING, image STRING").coalesce(1)
     captioned = infer.add_captions(records.flag_valid(df), TeacherSpec(HashCaption), 2)
