@@ -40,6 +40,11 @@ CUT_NAMES = frozenset(
     " newsletter subscribe subscription signup login share sharing social related recommended recommendations"
     " pagination pager copyright disclaimer legal search searchbox skip skiplink".split()
 )
+# Of these, what also an article element can be called that is a reader's.
+READERS = frozenset("comment comments commentlist respond replies reply reviews".split())
+# Names of a page's own head, and words before a word of the list above that turn it into a layout ("has-sidebar").
+HEADS = frozenset("header site-header page-header global-header main-header top-header".split())
+LAYOUT = frozenset("has with no without not is".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 # Elements that gather blocks; a core that is a single block stands for the gathering around it.
 GATHERING = frozenset("article main section div body td table tbody tr center blockquote html".split())
@@ -73,9 +78,14 @@ def names_of(attributes: str, tag: str) -> bool:
     """Whether the attributes of an element say that it is no article text."""
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (values[0] or values[1] or values[2]).lower()
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            if any(word in CUT_NAMES for word in NAMES.findall(unescape(value))):
-                return True
+        if name in ("class", "id") and tag not in ("body", "html"):
+            marks = READERS if tag in ("article", "main") else CUT_NAMES
+            for mark in unescape(value).split():
+                words = NAMES.findall(mark)
+                if mark in HEADS and tag not in ("article", "main"):
+                    return True
+                if words and words[0] not in LAYOUT and not marks.isdisjoint(words):
+                    return True
         elif name == "role" and value in CUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         elif name == "style" and HIDDEN.search(value):
@@ -126,7 +136,12 @@ def parse(html: str) -> Node:
                     break
             if tag in ("body",):
                 here = root
-        cut = tag in CUT or names_of(match[3], tag) if match[3] else tag in CUT
+        named = bool(match[3]) and names_of(match[3], tag)
+        cut = tag in CUT or named
+        if tag in ("article", "main") and not named:
+            for above in _up(here):  # what holds the article is no side matter, whatever it is called
+                if above.tag not in CUT and above.tag != "header":
+                    above.cut = False
         if tag == "header":
             cut = cut or not any(n.tag in ("article", "main") for n in _up(here))
         node = Node(tag, here, cut)
@@ -223,7 +238,10 @@ def cores(root: Node) -> set[int]:
         return set()
     core = root.best
     threshold = min(n.density for n in _up(core) if n.parent is not None) if core.parent is not None else root.density
-    chosen = {id(gathered(core))}
+    whole = gathered(core)
+    chosen = {id(whole)}
+    if whole.tag in ("article", "main"):  # the page says what its article is
+        return chosen
     for node in nodes:
         if node.parent is not None and node.tag not in ("html", "body") and node.density >= threshold and node.chars:
             chosen.add(id(gathered(node.best)))

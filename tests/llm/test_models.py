@@ -176,6 +176,11 @@ JUNK = "<script>var a='<p>no</p>';</script><style>p{}</style><nav><a href=1>Home
         (f"<body><main>{ARTICLE}</main><section class='comments'><p>{'I think so. ' * 50}</p></section>", TEXT),
         (f"<div>{ARTICLE}<div class='ad'>Buy now</div><form><p>mail</p></form><aside>notes</aside></div>", TEXT),
         (f"<body><header>Site</header><article><header><h1>Title &amp; more</h1></header>{ARTICLE[25:]}</article>", TEXT),
+        (f"<div class='page has-sidebar'><div class='post'>{ARTICLE}</div></div>", TEXT),
+        (f"<div class='widget-page'><article>{ARTICLE}</article></div>", TEXT),
+        (f"<article>{ARTICLE}</article><div id='comments'><article class='comment'><p>{'me too ' * 60}</p></article></div>", TEXT),
+        (f"<div id='header'><p>Site name</p></div><div class='c1'>{ARTICLE}</div><div class='newsletter-box'>Join</div>", TEXT),
+        (f"<article>{ARTICLE}</article><div class='c2'>{'Some other dense text. ' * 3}</div>", TEXT),
         ("<p>a<p>b<br>c<!-- d --><p>e", "a b c e"),
         ("<p>a &nbsp; b</p>", "a b"),
         ("<div>" * 3000 + "deep", "deep"),
