@@ -48,6 +48,8 @@ LAYOUT = frozenset("has with no without not is".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 # Elements that gather blocks; a core that is a single block stands for the gathering around it.
 GATHERING = frozenset("article main section div body td table tbody tr center blockquote html".split())
+# A marked article with less than this part of the text (1 / MARKED) is taken for a teaser.
+MARKED = 4
 # An open element that the start of another one closes (p by any block; the rest by their own kind).
 CLOSED_BY_KIND = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
@@ -236,7 +238,9 @@ def cores(root: Node) -> set[int]:
     nodes = weigh(root)
     if not root.chars:
         return set()
-    core = root.best
+    # Where the page marks its article, that is the body that counts, unless it has little of the text.
+    marked = max((n for n in nodes if n.tag in ("article", "main")), key=lambda n: n.chars, default=root)
+    core = (marked if marked.chars * MARKED >= root.chars else root).best
     threshold = min(n.density for n in _up(core) if n.parent is not None) if core.parent is not None else root.density
     whole = gathered(core)
     chosen = {id(whole)}
