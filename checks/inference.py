@@ -3,11 +3,16 @@
 from pyspark.sql import functions as F
 
 from checks.augment import CHAIN, CHAIN_SQL, DRAWS, SEED
-from checks.base import IMAGES, RECORDS, balanced_records, check, checksum, dirty_images, images, sql_u
+from checks.base import IMAGES, RECORDS, balanced_records, check, checksum, dirty_images, images, sql_u, written_once
 from shardweave.operators import infer as inf
 from shardweave.operators import records as shape
+from shardweave.operators.runs import caption_run
 from shardweave.operators.shards import name_shards
 from shardweave.operators.teachers import HashCaption, HashClip, HashRows, HashText, TeacherSpec
+from shardweave.session import scratch_path
+from shardweave.sources.jsonl import read_jsonl
+from shardweave.sources.paths import list_files
+from shardweave.sources.sink import read_manifest, write_jsonl
 
 
 def sql_bucket(word: str, dim: int) -> str:
@@ -26,15 +31,15 @@ def _(spark, sf):
     return rows.withColumn("bucket", F.col("bucket").cast("bigint"))
 
 
-@check(
-    "add_captions",
-    f"""WITH {RECORDS}, samples AS (SELECT uid, unnest(range(5)) AS k, string_split(text, '.') AS parts FROM records
+_CAPTIONS = f"""WITH {RECORDS}, samples AS (SELECT uid, unnest(range(5)) AS k, string_split(text, '.') AS parts FROM records
       WHERE lang NOT IN ('de', 'es')),
     captions AS (SELECT uid, k, regexp_replace(parts[floor({sql_u(3, "uid", "k", "'caption'")} * len(parts))::INT + 1], '\\s+$', '') AS caption
       FROM samples)
     SELECT uid, r.lang, coalesce(string_agg(caption, '|' ORDER BY k), 'null') AS captions, count(caption)::BIGINT AS n
-    FROM records r LEFT JOIN captions USING (uid) GROUP BY uid, r.lang""",
-)
+    FROM records r LEFT JOIN captions USING (uid) GROUP BY uid, r.lang"""
+
+
+@check("add_captions", _CAPTIONS)
 def _(spark, sf):
     flagged = shape.flag_valid(dirty_images(spark, sf))
     c = inf.add_captions(flagged, TeacherSpec(HashCaption), 5, "_v1", seed=3)
@@ -46,6 +51,28 @@ def _(spark, sf):
     )
 
 
+@check("caption_run", _CAPTIONS)
+def _(spark, sf):
+    """The whole job from shards to shards; ``lang`` is not in its schema and passes through."""
+
+    def write(out):
+        r = dirty_images(spark, sf).select("uid", "text", "lang", "image", "_shard", "_pos")
+        write_jsonl(name_shards(r, "count"), out)
+
+    folder = written_once(spark, sf, "to-caption", write)
+    last = read_manifest(spark, folder).agg(F.max("shard")).first()[0].removesuffix(".jsonl")
+    out = scratch_path(spark, "captioned")
+    source = f"{folder}/{{{0:08d}..{last}}}.jsonl"
+    caption_run(spark, source, out, TeacherSpec(HashCaption), "uid STRING, image STRING", 5, "_v1", "jsonl", seed=3)
+    back = read_jsonl(spark, list_files(spark, out, [".jsonl"]), "uid STRING, lang STRING, syn_text_v1 ARRAY<STRING>")
+    return back.select(
+        "uid",
+        "lang",
+        F.coalesce(F.array_join("syn_text_v1", "|"), F.lit("null")).alias("captions"),
+        F.when(F.col("syn_text_v1").isNotNull(), F.size("syn_text_v1")).otherwise(0).cast("bigint").alias("n"),
+    )
+
+
 def _signs(dim: int, size: int) -> str:
     return f"""(SELECT j, p, CASE WHEN ('0x' || substr(md5(j || '|' || p), 1, 1))::INT % 2 = 0 THEN 1 ELSE -1 END AS s
       FROM (SELECT unnest(range({dim})) AS j), (SELECT unnest(range({size})) AS p))"""
