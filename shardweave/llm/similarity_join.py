@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardweave.llm import chunks as ch
 from shardweave.llm.components import components
 from shardweave.llm.store import stored
 from shardweave.llm.words import WordHashes, memo, mix, utf8, windows
@@ -288,13 +287,19 @@ def _inside(sets: DataFrame, members: DataFrame, rule: Rule, parts: int) -> Data
     large for a task is cut into blocks, and every two blocks meet in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in ch.grouped(batches, "unit"):
-            seen, unique = set(), []
-            for row in rows:  # node, side, copies, elements
-                if row[0] not in seen:
-                    seen.add(row[0])
-                    unique.append(row)
-            yield _compare(unique, rule)
+        current, rows = None, {}  # node: its row; repeated rows of a node count once
+        for batch in batches:
+            names = ("unit", "node", "side", "copies")
+            lists = batch.column("elements")
+            flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            for k, (unit, node, side, copies) in enumerate(zip(*[batch.column(n).to_pylist() for n in names])):
+                if unit != current and rows:
+                    yield _compare(list(rows.values()), rule)
+                    rows = {}
+                current = unit
+                rows[node] = (node, side, copies, flat[ends[k] : ends[k + 1]])
+        if rows:
+            yield _compare(list(rows.values()), rule)
 
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     rows = members.withColumn("block", block).join(sets, "node")
@@ -313,12 +318,13 @@ def _inside(sets: DataFrame, members: DataFrame, rule: Rule, parts: int) -> Data
 
 
 def _compare(rows: list[tuple], rule: Rule) -> pa.RecordBatch:
+    """(node, label, links) of one unit's rows (node, side, copies, elements)."""
     rows = sorted(rows, key=lambda r: (len(r[3]), r[0]))
     node = np.array([r[0] for r in rows], np.int64)
     side = np.array([r[1] for r in rows], np.int64)
     copies = np.array([r[2] for r in rows], np.int64)
     size = np.array([len(r[3]) for r in rows], np.int64)
-    flat = np.concatenate([np.array(r[3], np.int64) for r in rows])
+    flat = np.concatenate([r[3] for r in rows])
     owner = np.repeat(np.arange(len(rows)), size)
     element, of = np.unique(flat, return_inverse=True)
     # Inverted lists of all elements, end to end.

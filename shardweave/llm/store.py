@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+from contextlib import suppress
+
 from pyspark.sql import DataFrame, SparkSession
 
 from shardweave.session import scratch_path
@@ -31,6 +34,15 @@ def stored_by(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+@atexit.register
+def _sweep() -> None:
+    """Delete what is left when the driver ends while its session still runs."""
+    with suppress(Exception):  # the session may be gone already
+        spark = SparkSession.getActiveSession()
+        if spark is not None:
+            release(spark, folders(spark))
+
+
 def folders(spark: SparkSession) -> list[str]:
     """The tables that this application has stored and not released, in order."""
     application = spark.sparkContext.applicationId
