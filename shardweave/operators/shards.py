@@ -287,6 +287,8 @@ def verify_output(spark: SparkSession, out: str, suffixes: list[str]) -> DataFra
 
 def require_verified(spark: SparkSession, out: str, suffixes: list[str]) -> None:
     """Raise when a stored shard is not what was written."""
-    bad = verify_output(spark, out, suffixes).filter("status <> 'ok'").limit(20).collect()
-    if bad:
-        raise ValueError(f"shards differ from the manifest: {[(r['shard'], r['status']) for r in bad]}")
+    bad = verify_output(spark, out, suffixes).filter("status <> 'ok'")
+    some = bad.limit(20).collect()
+    if some:
+        names = [(r["shard"], r["status"]) for r in some]
+        raise ValueError(f"{bad.count()} shards differ from the manifest, among them {names}")
