@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from shardweave.llm.words import give_back
+
 # Entries of a worker's memos before they start anew, and the longest piece (code points) that is kept.
-MEMO_PIECES, MEMO_PAIRS, MEMO_LENGTH = 400_000, 500_000, 48
+MEMO_PIECES, MEMO_PAIRS, MEMO_LENGTH = 250_000, 200_000, 48
 
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
@@ -56,6 +58,11 @@ def splits(ranks: dict[bytes, int]) -> dict[int, tuple[int, int]]:
     return made
 
 
+def tokens_by_id(ranks: dict[bytes, int]) -> list[bytes]:
+    tokens = {rank: token for token, rank in ranks.items()}
+    return [tokens.get(rank, b"") for rank in range(max(tokens) + 1)]
+
+
 class _Pieces(dict):
     """Bounded memo from a piece of text to its packed ids."""
 
@@ -81,7 +88,7 @@ class ByteBpe:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.size = {rank: len(token) for token, rank in ranks.items()}
         self.packed = {rank: rank.to_bytes(4, "little") for rank in self.tokens}
-        self.by_id = [self.tokens.get(rank, b"") for rank in range(max(self.tokens) + 1)]
+        self.by_id = tokens_by_id(ranks)
         self.pieces = regex.compile(pattern).findall
         self.automaton = ahocorasick.Automaton()
         self.latin: dict[str, int] = {}
@@ -178,8 +185,18 @@ class ByteBpe:
         return b"".join(map(self.memo.__getitem__, self.pieces(text)))
 
     def decode(self, ids: bytes) -> bytes:
-        listed = np.frombuffer(ids, "<u4").tolist()
-        return b"".join(itemgetter(*listed, 0)(self.by_id)[:-1])
+        return decoded(self.by_id, ids)
+
+    def forget(self) -> None:
+        """Empty the memos, so that a worker that lives on does not keep them."""
+        self.memo.clear()
+        self.pairs.clear()
+
+
+def decoded(by_id: list[bytes], ids: bytes) -> bytes:
+    """The bytes of packed ids; ``by_id`` has each id's token."""
+    listed = np.frombuffer(ids, "<u4").tolist()
+    return b"".join(itemgetter(*listed, 0)(by_id)[:-1])
 
 
 _LOADED: dict[str, ByteBpe] = {}
@@ -192,6 +209,7 @@ class Tokenizer:
         ranks = read_ranks(spark, path)
         self.name = f"{path}\n{pattern}"
         self.model = spark.sparkContext.broadcast((ranks, splits(ranks), pattern))
+        self.by_id = spark.sparkContext.broadcast(tokens_by_id(ranks))
 
     def _loader(self):
         name, model = self.name, self.model
@@ -216,19 +234,22 @@ class Tokenizer:
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             bpe = load()
             for batch in batches:
-                yield pa.array([bpe.encode(t) if t else b"" for t in batch.to_pylist()], pa.binary())
+                yield pa.array([bpe.encode(t.as_py()) if t.is_valid else b"" for t in batch], pa.binary())
+            bpe.forget()
+            give_back()
 
         return encode(text)
 
     def decode(self, ids: Column) -> Column:
         """BINARY: the bytes of a column as ``encode`` makes it; null gives no bytes."""
-        load = self._loader()
+        by_id = self.by_id
 
         @arrow_udf("binary")
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            bpe = load()
+            tokens = by_id.value
             for batch in batches:
-                yield pa.array([bpe.decode(b) if b else b"" for b in batch.to_pylist()], pa.binary())
+                yield pa.array([decoded(tokens, b.as_py()) if b.is_valid else b"" for b in batch], pa.binary())
+            give_back()
 
         return decode(ids)
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shardweave.llm.words import utf8
+from shardweave.llm.words import give_back, utf8
 
 # Labelled rows, those with the least hashes of their ids, that a model is fitted on.
 SAMPLE_ROWS = 10_000
@@ -31,7 +31,7 @@ BEGINNINGS, FEATURES, LEAST_TEXTS = (4, 5, 6), 1500, 4
 # Folds of the out-of-fold predictions; strength of the squared penalty; steps of the fit, and of the power
 # iteration that bounds their length.
 FOLDS, PENALTY, STEPS, POWERS = 5, 1e-4, 150, 15
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 150_000
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -242,6 +242,8 @@ def probabilities(docs: DataFrame, chain: Chain, categories: list[str], text: st
         for batch in batches:
             flat = np.concatenate([np.empty(0), *[chain.probabilities(data) for data in utf8(batch)]])
             yield pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, width, dtype=np.int32), flat)
+        chain.memo.clear()
+        give_back()
 
     docs = docs.withColumn("_p", predict(F.col(text)))
     return docs.withColumns({f"p_{name}": F.col("_p")[n] for n, name in enumerate(categories)}).drop("_p")

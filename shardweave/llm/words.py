@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+from contextlib import suppress
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,12 +27,20 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def utf8(column: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of a string column, empty for null.
+def utf8(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of a string column one by one, empty for null.
 
     ``bytes.split()`` cuts exactly at [\\x20\\x09-\\x0D]+, and ``bytes.lower()`` changes A-Z alone.
     """
-    return [b"" if text is None else text for text in column.cast(pa.binary()).to_pylist()]
+    for text in column.cast(pa.binary()):
+        yield text.as_py() or b""
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and other tasks share the machine."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
