@@ -128,6 +128,21 @@ def test_leaks_found_and_clean_texts_left(spark):
     assert decontamination.leaks(empty_table(spark), reference).count() == 0
 
 
+def test_leaks_do_not_depend_on_how_many_items_there_are(spark):
+    """Copies with every sixth word replaced, in documents of other words, are found among 30 items and among 500."""
+    rng = random.Random(8)
+    items = [(n, sentence(rng, rng.randrange(20, 50), 6000)) for n in range(500)]
+    docs = []
+    for n in range(30):
+        copy = [x if k % 6 else f"w{rng.randrange(6000)}" for k, x in enumerate(items[n][1].split(), 1)]
+        docs.append((n, " ".join([sentence(rng, 60 + n, 6000), *copy, sentence(rng, 90, 6000)])))
+    docs += [(n, sentence(rng, 300, 6000)) for n in range(30, 200)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for some in (items[:30], items):
+        found = decontamination.leaks(table, spark.createDataFrame(some, "item_id bigint, text string")).collect()
+        assert {(r.doc_id, r.item_id) for r in found} == {(n, n) for n in range(30)}, len(found)
+
+
 def test_leaks_recall_against_brute_force(spark):
     """Of all pairs that the subsequence check accepts anywhere, the search finds at least nine in ten."""
     docs = {r.doc_id: decontamination.plain_words(r.text.encode()) for r in spark.read.parquet(f"{LARGER}/documents.parquet").collect()}
