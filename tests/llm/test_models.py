@@ -143,6 +143,32 @@ def test_leaks_do_not_depend_on_how_many_items_there_are(spark):
         assert {(r.doc_id, r.item_id) for r in found} == {(n, n) for n in range(30)}, len(found)
 
 
+def test_leaks_of_long_and_short_items(spark):
+    """Items copied word for word are found whatever their length, in a block with many others."""
+    rng = random.Random(9)
+    lengths = [4, 6, 8, 12, 40, 150, 300, 600, 1200]
+    items = [(n, sentence(rng, lengths[n % 9], 6000)) for n in range(90)]
+    others = [(n, sentence(rng, 40, 6000)) for n in range(1000, 1250)]
+    docs = [(n, " ".join([sentence(rng, 60 + n, 6000), text, sentence(rng, 90, 6000)])) for n, text in items]
+    docs += [(n, sentence(rng, 300, 6000)) for n in range(100, 200)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = decontamination.leaks(table, spark.createDataFrame(items + others, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(n, n) for n in range(90)}, sorted(lengths[r.item_id % 9] for r in found)
+
+
+def test_keys_of_an_item_are_in_every_find():
+    rng = random.Random(10)
+    for _ in range(300):
+        item = decontamination.Item(1, sentence(rng, rng.randrange(1, 24), 30).encode())
+        terms = {w: n for n, w in enumerate(dict.fromkeys(item.words))}
+        idf = np.array([rng.random() + 0.5 for _ in terms])
+        item.weigh(idf, terms, float(np.mean([idf[terms[w]] for w in item.words])))
+        keys = item.keys(idf, terms)
+        for _ in range(20):
+            words = [w if rng.random() < 0.7 else b"other" for w in item.words]
+            assert not item.shares(words) or keys & set(words)
+
+
 def test_leaks_recall_against_brute_force(spark):
     """Of all pairs that the subsequence check accepts anywhere, the search finds at least nine in ten."""
     docs = {r.doc_id: decontamination.plain_words(r.text.encode()) for r in spark.read.parquet(f"{LARGER}/documents.parquet").collect()}
