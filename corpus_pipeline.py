@@ -42,7 +42,8 @@ def _stage(fn: Stage) -> Stage:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain, fitted on the labelled ones among them, does not call toxic.
 
-    Null and empty texts are not toxic unless most labelled texts are; each repeated row is judged alike.
+    Null and empty texts are not toxic unless most labelled texts are; each repeated row is judged alike. Where none
+    of the documents is labelled all stay.
     """
     docs = docs.select(*COLUMNS)
     return queries.toxic_marks(docs, docs, queries.table(spark, sf_dir, "labels")).where("toxic = 0").select(*COLUMNS)

@@ -122,8 +122,10 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def toxic_marks(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with ``p_poor``, ``p_toxic`` and the decision ``toxic``; fitted on the texts of ``labelled``."""
+    """``docs`` with ``p_poor``, ``p_toxic`` and the decision ``toxic``; fitted on the texts of ``labelled``.
+
+    Where no label has a text nothing is known, and nothing is called toxic."""
     categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
     chain = toxicity.fitted(labelled, labels, categories)
     marked = toxicity.probabilities(docs, chain, list(categories))
-    return marked.withColumn("toxic", (F.col("p_toxic") >= TOXIC_FROM).cast("int"))
+    return marked.withColumn("toxic", ((F.col("p_toxic") >= TOXIC_FROM) & F.lit(chain.learned)).cast("int"))

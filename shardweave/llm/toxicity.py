@@ -24,7 +24,7 @@ from pyspark.sql.functions import arrow_udf
 
 from shardweave.llm.words import give_back, utf8
 
-# Labelled rows, those with the least hashes of their ids, that a model is fitted on.
+# Labels, those with the least hashes of their ids among the ids that have a text, that a model is fitted on.
 SAMPLE_ROWS = 10_000
 # Bytes of the word beginnings that are features; features kept per category; texts that must have one.
 BEGINNINGS, FEATURES, LEAST_TEXTS = (4, 5, 6), 1500, 4
@@ -101,16 +101,16 @@ def fit(x: Sparse, earlier: np.ndarray, y: np.ndarray, mine: np.ndarray) -> tupl
 
 
 class Chain:
-    """A fitted chain: feature hashes (ascending), and per category the weights."""
+    """A chain: feature hashes (ascending), per category the weights, and whether any row was there to fit it on."""
 
-    def __init__(self, hashes: np.ndarray, links: list[tuple[np.ndarray, np.ndarray, float]]):
-        self.hashes, self.links = hashes, links
+    def __init__(self, hashes: np.ndarray, links: list[tuple[np.ndarray, np.ndarray, float]], learned: bool = True):
+        self.hashes, self.links, self.learned = hashes, links, learned
         self.weights = np.stack([link[0] for link in links], axis=1) if links else np.empty((0, 0))
         self.number = {int(h): n for n, h in enumerate(hashes)}
         self.memo: dict[bytes, tuple[int, ...]] = {}
 
     def __getstate__(self):
-        return self.hashes, self.links
+        return self.hashes, self.links, self.learned
 
     def __setstate__(self, state):
         self.__init__(*state)
@@ -196,15 +196,16 @@ def fitted(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id
     """A chain for ``categories``, in their order: names with boolean conditions on ``labels``.
 
     Fitted on the ``SAMPLE_ROWS`` labelled rows with the least hashes of their id, in one task. Rows without id or
-    with an undecided category are left out, as are ids that ``docs`` does not have; a repeated id counts as
-    often as it is there. Without any row every category has probability one half.
+    with an undecided category are left out before these are taken, as are ids that ``docs`` does not have; a repeated
+    id counts as often as it is there. Without any row the chain is not ``learned``, and every category has
+    probability one half.
     """
     conditions = [c.cast("int").alias(f"_y{n}") for n, c in enumerate(categories.values())]
     names = [f"_y{n}" for n in range(len(categories))]
     marked = labels.select(F.col(id).alias("_id"), *conditions).dropna()
     order = F.xxhash64("_id")
-    sample = marked.orderBy(order, "_id", *names).limit(SAMPLE_ROWS)
     texts = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
+    sample = marked.join(texts.select("_id"), "_id", "left_semi").orderBy(order, "_id", *names).limit(SAMPLE_ROWS)
     # Bounded by SAMPLE_ROWS, so it may be broadcast whatever the size of the tables.
     rows = texts.join(F.broadcast(sample), "_id").select("_id", "_text", *names)
 
@@ -224,7 +225,7 @@ def fitted(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id
     one = rows.repartition(1).sortWithinPartitions(order, "_id", "_text", *names)
     models = one.mapInArrow(run, "model binary").collect()
     if not models:
-        return Chain(np.empty(0, np.uint64), [(np.empty(0), np.zeros(k), 0.0) for k in range(len(categories))])
+        return Chain(np.empty(0, np.uint64), [(np.empty(0), np.zeros(k), 0.0) for k in range(len(categories))], learned=False)
     return pickle.loads(models[0].model)
 
 

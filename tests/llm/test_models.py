@@ -87,6 +87,16 @@ def test_toxicity_odd_rows_and_no_labels(spark):
     assert toxic_marks(empty_table(spark), empty_table(spark), labels).count() == 0
 
 
+def test_toxicity_fits_on_labels_that_have_a_text(spark, monkeypatch):
+    """More labels than the sample holds, of which the documents have few."""
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 50)
+    rng = random.Random(4)
+    texts = [(n, sentence(rng, 40) + (" vile" if n % 2 else "")) for n in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(n, 1 - n % 2, n % 2) for n in range(5000)], "doc_id bigint, quality int, toxic int")
+    assert {(r.doc_id % 2, r.toxic) for r in toxic_marks(docs, docs, labels).collect()} == {(0, 0), (1, 1)}
+
+
 def test_chain_uses_earlier_categories():
     """The second category is the first one's, turned round: only the chain's link can carry it."""
     rng = random.Random(2)

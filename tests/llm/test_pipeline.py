@@ -21,6 +21,14 @@ def test_stages_filter_and_keep_columns(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF).count() == before
 
 
+def test_toxicity_stage_without_matching_labels(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    for name, some in (("empty", labels.limit(0)), ("unmatched", labels.withColumn("doc_id", -1 - labels["doc_id"]))):
+        some.write.parquet(str(tmp_path / name / "labels.parquet"))
+        assert corpus_pipeline.toxicity(spark, docs, str(tmp_path / name)).count() == docs.count()
+
+
 def test_stages_on_odd_and_empty_rows(spark, tmp_path):
     rows = [(i, t, "en", None, None if t is None else len(t), "extra") for i, t in odd_rows()]
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, component_id string"
