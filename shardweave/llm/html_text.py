@@ -3,7 +3,8 @@
 Every node of the DOM gets a density: its characters per tag, lowered where much of the text is link
 text. The sum of its children's densities tells where dense blocks are gathered: the subtree with the
 largest sum is the core of the article. The lowest density on the path from that core up to the body is
-the threshold; every other node that reaches it gives its own core as well. What the mark-up itself names
+the threshold; every other node that reaches it gives its own core as well. Where the page marks its article,
+that is kept whole, and other nodes count only within the page's main part. What the mark-up itself names
 as no article text (menus, forms, adverts, comments and so on) is cut before, for it can be dense too.
 """
 
@@ -233,6 +234,19 @@ def gathered(node: Node) -> Node:
     return node
 
 
+def region(whole: Node, nodes: list[Node]) -> Node:
+    """The page's main part: the outermost main around its article, else what all articles have in common."""
+    mains = [n for n in _up(whole) if n.tag == "main"]
+    if mains:
+        return mains[-1]
+    found = list(_up(whole))
+    for article in nodes:
+        if article.tag == "article":
+            mine = {id(n) for n in _up(article)}
+            found = [n for n in found if id(n) in mine]
+    return found[0]
+
+
 def cores(root: Node) -> set[int]:
     """Identities of the subtrees that hold the main text."""
     nodes = weigh(root)
@@ -245,6 +259,12 @@ def cores(root: Node) -> set[int]:
     whole = gathered(core)
     chosen = {id(whole)}
     if whole.tag in ("article", "main"):  # the page says what its article is
+        above = {id(n) for n in _up(whole)}
+        for node in in_order(region(whole, nodes)):
+            if id(node) not in above and node.density >= threshold and node.chars:
+                core = gathered(node.best)
+                # A block that stands beside the articles, as a lead does, speaks for itself only.
+                chosen.add(id(node.best if id(core) in above else core))
         return chosen
     for node in nodes:
         if node.parent is not None and node.tag not in ("html", "body") and node.density >= threshold and node.chars:

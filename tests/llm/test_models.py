@@ -243,6 +243,17 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_text_beside_the_largest_article():
+    one, two, lead = (f"{'Some words of ' + x + ', '} and more of them. " * n for x, n in (("one", 30), ("two", 20), ("lead", 25)))
+    articles = f"<article><p>{one}</p><p>{one}</p></article><article><p>{two}</p></article>"
+    both = " ".join((one + one + two).split())
+    links = "<ul>" + "<li><a href='/'>other story</a></li>" * 30 + "</ul>"
+    for page in (f"<main>{articles}{links}</main>", f"<body><div><div>{articles}</div></div>{links}</body>"):
+        assert html_text.main_text(page) == both
+    page = f"<body><main><p>{lead}</p><article><p>{one}</p><p>{one}</p></article>{links}</main></body>"
+    assert html_text.main_text(page) == " ".join((lead + one + one).split())
+
+
 def test_density_prefers_text_to_links():
     links = "".join(f"<li><a href='/{n}'>Read this other story number {n}</a></li>" for n in range(40))
     body = "".join(f"<p>{sentence(random.Random(n), 60)}</p>" for n in range(6))
