@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.llm import byte_bpe, decontamination, fingerprints, html_text, language_model, quality_rules, similarity_join, substring_dedup, token_counts, toxicity
+from shardweave.llm import byte_bpe, decontamination, fill_middle, fingerprints, html_text, language_model, line_dedup, quality_rules, similarity_join, substring_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,6 +121,68 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxic_marks(docs, docs, table(spark, sf, "labels")).drop("text")
 
 
+@query
+def op11_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the lines that a document of smaller id holds too."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    index = line_dedup.LineIndex(spark)
+    index.insert(docs)
+    kept = F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256")
+    return index.kept(docs).select("doc_id", "n_lines", "n_dropped", kept)
+
+
+ORACLES["op11_line_dedup"] = """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM line),
+owned AS (SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10 GROUP BY key),
+marked AS (
+  SELECT k.*, coalesce(o.owner < k.doc_id, false) AS goes FROM keyed k LEFT JOIN owned o ON o.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE goes) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT goes), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document rearranged for filling in the middle, and put back."""
+    made = fill_middle.restored(fill_middle.transformed(table(spark, sf, "documents").select("doc_id", "text")))
+    digests = [F.sha2(F.encode(name, "UTF-8"), 256).alias(f"{name}_sha256") for name in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+ORACLES["op12_fill_middle"] = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || doc_id) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, len(units) AS n,
+         ('0x' || h[1:8])::BIGINT % (len(units) + 1) AS h1, ('0x' || h[9:16])::BIGINT % (len(units) + 1) AS h2,
+         ('0x' || h[17:24])::BIGINT % 100 AS h3, ('0x' || h[25:32])::BIGINT % 100 AS h4
+  FROM cut),
+formed AS (
+  SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain'
+                 WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(units[1:least(h1, h2)], '') AS prefix,
+         array_to_string(units[least(h1, h2) + 1:greatest(h1, h2)], '') AS middle,
+         array_to_string(units[greatest(h1, h2) + 1:], '') AS suffix
+  FROM drawn)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM formed
+"""
+
+
 def toxic_marks(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``p_poor``, ``p_toxic`` and the decision ``toxic``; fitted on the texts of ``labelled``.
 

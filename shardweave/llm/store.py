@@ -24,6 +24,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def claimed(spark: SparkSession, label: str) -> str:
+    """A new folder for several tables of one operator, deleted with the others."""
+    path = scratch_path(spark, label)
+    _FOLDERS.append((spark.sparkContext.applicationId, path))
+    return path
+
+
 def stored_by(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
     """As ``stored``, but bucketed by ``key``: joins on it shuffle only their other side."""
     spark = df.sparkSession
