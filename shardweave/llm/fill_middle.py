@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardweave.llm.words import give_back
+from shardweave.llm.words import give_back, text_slices
 
 # The marks of the parts, all of three bytes.
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
@@ -159,17 +159,6 @@ def put_back(column: pa.Array, forms: pa.Array) -> pa.Array:
     return strings(out, into)
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """(start, rows) of pieces of a batch of at most ``SLICE_BYTES`` or one row."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    start = 0
-    while start < len(column):
-        before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
-        yield start, stop - start
-        start = stop
-
-
 NEW = {"n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint", "output": "string"}
 
 
@@ -188,7 +177,7 @@ def transformed(df: DataFrame, id: str = "doc_id", text: str = "text", rates: Ra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, rows in slices(batch.column(text)):
+            for start, rows in text_slices(batch.column(text), SLICE_BYTES):
                 part = batch.slice(start, rows)
                 made = rearranged(part.column(id).to_pylist(), part.column(text), rates)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *made], names=[*names, *NEW])
@@ -209,7 +198,7 @@ def restored(df: DataFrame, output: str = "output", form: str = "form", into: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, rows in slices(batch.column(output)):
+            for start, rows in text_slices(batch.column(output), SLICE_BYTES):
                 part = batch.slice(start, rows)
                 made = put_back(part.column(output), part.column(form))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), made], names=[*names, into])

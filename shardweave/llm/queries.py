@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.llm import byte_bpe, decontamination, fill_middle, fingerprints, html_text, language_model, line_dedup, quality_rules, similarity_join, substring_dedup, token_counts, toxicity
+from shardweave.llm import byte_bpe, decontamination, fill_middle, fingerprints, html_text, language_model, line_dedup, quality_rules, similarity_join, substring_dedup, token_alignment, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +18,7 @@ ORACLES: dict[str, str] = {}
 BPE_RANKS, BPE_PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 # The probability from which a document is toxic: below one half, for a toxic one kept is the worse mistake.
 TOXIC_FROM = 0.35
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -183,6 +184,14 @@ FROM formed
 """
 
 
+@query
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document by two tokenizers, aligned, with how usual the aligned pairs are."""
+    models = token_alignment.Models(spark, BYTE_LEVEL, PIECES)
+    found = token_alignment.aligned(table(spark, sf, "documents").select("doc_id", "text"), models, digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def toxic_marks(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``p_poor``, ``p_toxic`` and the decision ``toxic``; fitted on the texts of ``labelled``.
 

@@ -8,6 +8,7 @@ from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 # Entries that a worker's memo of word hashes may hold before it starts anew (about 40 MB).
@@ -36,6 +37,18 @@ def utf8(column: pa.Array) -> Iterator[bytes]:
         yield text.as_py() or b""
 
 
+def text_slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(start, rows) of pieces of a string column that hold at most ``most`` bytes, or one row."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(column):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield start, stop - start
+        start = stop
+
+
 def give_back() -> None:
     """Return freed memory to the system: workers live on, and other tasks share the machine."""
     pa.default_memory_pool().release_unused()
