@@ -15,7 +15,7 @@ counts the keys of its documents anew, and takes the fingerprints of those that
 filters, so that the index is what it would be had the documents never come.
 
 A line that very many documents hold is one row per batch on its way to a shard; where documents are joined with
-the repeated lines, Spark splits such a key.
+the repeated lines, the few such lines are broadcast, and only the others are shuffled.
 """
 
 from __future__ import annotations
@@ -32,13 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardweave.llm.cuckoo import BUCKETS, SLOTS, Cuckoo
-from shardweave.llm.store import claimed
+from shardweave.llm.store import claimed, stored
 from shardweave.llm.words import give_back, utf8
 
 # What is stripped at both ends of a line.
 BLANKS = b" \t\n\r\x0b\x0c"
 # A filter is planned for so many keys (half its slots); with half as many again, the keys are dealt to more shards.
 SHARD_KEYS = BUCKETS * SLOTS // 2
+# Keys with at least one in so many of all references are joined by broadcast: there can be no more of them.
+HOT_KEYS = 10_000
 LAST = (1 << 63) - 1
 KEY = ["k1", "k2"]
 COUNTS = "shard int, k1 bigint, k2 bigint, n bigint, owner bigint, met boolean, filter binary"
@@ -241,7 +243,10 @@ class LineIndex:
         docs = docs.drop("n_lines", "n_dropped", "kept_text")
         names, text, least = docs.columns, self.text, self.least
         if self.refs:
-            lost = self._read(self.refs).join(self.repeated(), KEY).where("doc > owner")
+            refs, shared = self._read(self.refs), stored(self.repeated(), "repeated-lines")
+            often = F.col("n") * HOT_KEYS > self.rows
+            hot, others = F.broadcast(shared.where(often)), shared.where(~often)
+            lost = refs.join(hot, KEY).unionByName(refs.join(hot, KEY, "left_anti").join(others, KEY)).where("doc > owner")
             per = lost.groupBy("doc", "th").agg(F.collect_set(F.struct(*KEY)).alias("lost"))
         else:
             per = self.spark.createDataFrame([], "doc bigint, th bigint, lost array<struct<k1: bigint, k2: bigint>>")
