@@ -5,7 +5,7 @@ Only the model's inputs cross to Python (iterator Arrow UDFs); all other columns
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -80,32 +80,72 @@ def infer(
     return df.mapInPandas(run, out_schema, profile=profile)
 
 
-def embed_texts(texts: Column, teachers: list[TeacherSpec], batch_size: int = 1024) -> Column:
-    """One vector per text of an ARRAY<STRING>; the vectors of all teachers are joined in order."""
+def with_result(
+    df: DataFrame,
+    out: str,
+    kind: str,
+    fn: Callable[..., pa.Array],
+    inputs: list[Column],
+    batch_size: int,
+    profile: ResourceProfile | None = None,
+) -> DataFrame:
+    """Add ``out``: what ``fn`` returns for the ``inputs``, in batches of exactly ``batch_size`` rows (the last of a
+    partition may be smaller).
+
+    Without a ``profile`` only the inputs cross to Python. A ``profile`` asks for executors with the resources
+    (GPUs) that the model needs; Spark schedules whole stages by it, so the rows pass through one Arrow map,
+    with the inputs beside them, and get their result in the same pass. What stands before that map up to the last
+    shuffle runs in the same stage, on the same executors.
+    """
+
+    def results(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in full_batches((b if isinstance(b, tuple) else (b,) for b in batches), batch_size):
+            yield fn(*batch)
+
+    if profile is None:
+        return df.withColumn(out, once(arrow_udf(results, kind))(*inputs))
+    names = [f"_input{k}" for k in range(len(inputs))]
+    rows = df.drop(out)
+    kept, width = rows.columns, len(rows.columns)
 
-    @arrow_udf(VECTORS)
-    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        models = [loaded(t) for t in teachers]
-        for (batch,) in full_batches(((b,) for b in batches), batch_size):
-            lists = batch.to_pylist()
-            flat = ["" if t is None else t for texts in lists if texts is not None for t in texts]
-            rows = [
-                np.concatenate([m.embed_texts(flat[i : i + batch_size]) for m in models], axis=1)
-                for i in range(0, len(flat), batch_size)
-            ]
-            vectors = np.concatenate(rows) if rows else np.empty((0, 0), np.float32)
-            ends = np.cumsum([0 if t is None else len(t) for t in lists])
-            parts = np.split(vectors, ends[:-1])
-            yield matrices_to_arrow([None if t is None else part for t, part in zip(lists, parts)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in full_batches((tuple(batch.columns) for batch in batches), batch_size):
+            yield pa.RecordBatch.from_arrays([*columns[:width], fn(*columns[width:])], names=[*kept, out])
 
-    return once(embed)(texts)
+    wide = df.withColumns(dict(zip(names, inputs))).select(*kept, *names)
+    schema = rows.select("*", F.lit(None).cast(kind).alias(out)).schema
+    return wide.mapInArrow(run, schema, profile=profile)
+
+
+def _text_vectors(teachers: list[TeacherSpec], batch_size: int) -> Callable[[pa.Array], pa.Array]:
+    """From lists of texts to their vectors; no teacher sees more than ``batch_size`` texts at once."""
+
+    def vectors_of(batch: pa.Array) -> pa.Array:
+        models, lists = [loaded(t) for t in teachers], batch.to_pylist()
+        flat = ["" if t is None else t for texts in lists if texts is not None for t in texts]
+        rows = [
+            np.concatenate([m.embed_texts(flat[i : i + batch_size]) for m in models], axis=1)
+            for i in range(0, len(flat), batch_size)
+        ]
+        vectors = np.concatenate(rows) if rows else np.empty((0, 0), np.float32)
+        ends = np.cumsum([0 if t is None else len(t) for t in lists])
+        parts = np.split(vectors, ends[:-1])
+        return matrices_to_arrow([None if t is None else part for t, part in zip(lists, parts)])
+
+    return vectors_of
 
 
 def add_text_embeddings(
-    df: DataFrame, teachers: list[TeacherSpec], batch_size: int = 1024, out: str = "_text_emb"
+    df: DataFrame,
+    teachers: list[TeacherSpec],
+    batch_size: int = 1024,
+    out: str = "_text_emb",
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
-    """Add ``out``: the vectors of all texts of a valid record, in the order of ``_texts``."""
-    return df.withColumn(out, embed_texts(F.when(F.col("_valid"), F.col("_texts")), teachers, batch_size))
+    """Add ``out``: the vectors of all texts of a valid record, in the order of ``_texts``; the vectors of all
+    teachers are joined in order."""
+    texts = F.when(F.col("_valid"), F.col("_texts"))
+    return with_result(df, out, VECTORS, _text_vectors(teachers, batch_size), [texts], batch_size, profile)
 
 
 def _span(lengths: Column, key: str) -> Column:
@@ -200,18 +240,17 @@ def embed_planned(
     teachers: list[TeacherSpec],
     out: str,
     batch_size: int = 256,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Add ``out``: one vector per planned draw of an image; views live only inside the batch."""
 
-    @arrow_udf(VECTORS)
-    def embed(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for images, _, drawn, _ in full_batches(batches, batch_size):
-            tensors, draws = images_of(images), drawn.to_pylist()
-            step = max(1, batch_size // max(1, max((len(d) for d in draws if d), default=1)))
-            for start in range(0, len(tensors), step):
-                yield _embed_slice(tensors[start : start + step], draws[start : start + step], steps, teachers)
+    def embed(images: pa.Array, _: pa.Array, drawn: pa.Array, __: pa.Array) -> pa.Array:
+        tensors, draws = images_of(images), drawn.to_pylist()
+        step = max(1, batch_size // max(1, max((len(d) for d in draws if d), default=1)))
+        starts = range(0, len(tensors), step)
+        return pa.concat_arrays([_embed_slice(tensors[k : k + step], draws[k : k + step], steps, teachers) for k in starts])
 
-    return df.withColumn(out, once(embed)(*pinned(image, params)))
+    return with_result(df, out, VECTORS, embed, pinned(image, params), batch_size, profile)
 
 
 def add_image_embeddings(
@@ -224,6 +263,7 @@ def add_image_embeddings(
     uid: str = "uid",
     suffix: str = "",
     batch_size: int = 256,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Add ``image_emb<suffix>`` (one vector per draw) and ``params``, the drawn parameters."""
     steps = steps_from_config(aug_config)
@@ -234,7 +274,7 @@ def add_image_embeddings(
         planned = planned.withColumn("_usable", F.when(F.col("_valid"), F.col(image)))
     else:
         planned = planned.withColumn("_usable", F.col(image))
-    embedded = embed_planned(planned, "_usable", "params", steps, teachers, f"image_emb{suffix}", batch_size)
+    embedded = embed_planned(planned, "_usable", "params", steps, teachers, f"image_emb{suffix}", batch_size, profile)
     return embedded.drop("_usable")
 
 
@@ -246,35 +286,31 @@ def add_captions(
     seed: int = 0,
     uid: str = "uid",
     batch_size: int = 1024,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Add ``syn_text<tag_suffix>``: ``num_samples`` cleaned captions of each valid image.
 
     A teacher returns None for an image that it cannot decode; the record then gets no captions.
     """
 
-    @arrow_udf("ARRAY<STRING>")
-    def caption(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        model = loaded(teacher)
-        for images, draws in full_batches(batches, batch_size):
-            raw, us = images.to_pylist(), draws.to_pylist()
-            kept = [i for i, im in enumerate(raw) if im is not None]
-            texts: list = [None] * len(raw)
-            for start in range(0, len(kept), batch_size):
-                chunk = kept[start : start + batch_size]
-                samples = [
-                    model.captions([raw[i] for i in chunk], np.array([us[i][k] for i in chunk]))
-                    for k in range(num_samples)
-                ]
-                for position, i in enumerate(chunk):
-                    found = [sample[position] for sample in samples]
-                    texts[i] = None if None in found else found
-            yield pa.array(texts, pa.list_(pa.string()))
+    def caption(images: pa.Array, draws: pa.Array) -> pa.Array:
+        model, raw, us = loaded(teacher), images.to_pylist(), draws.to_pylist()
+        kept = [i for i, im in enumerate(raw) if im is not None]
+        texts: list = [None] * len(raw)
+        if kept:
+            samples = [model.captions([raw[i] for i in kept], np.array([us[i][k] for i in kept])) for k in range(num_samples)]
+            for position, i in enumerate(kept):
+                found = [sample[position] for sample in samples]
+                texts[i] = None if None in found else found
+        return pa.array(texts, pa.list_(pa.string()))
 
     draws = F.transform(
         F.sequence(F.lit(0), F.lit(num_samples - 1)), lambda k: uniform(seed, F.col(uid), k, "caption")
     )
-    raw = once(caption)(F.when(F.col("_valid"), F.col("_image")), draws)
-    return df.withColumn(f"syn_text{tag_suffix}", F.transform(raw, clean_caption))
+    out = f"syn_text{tag_suffix}"
+    image = F.when(F.col("_valid"), F.col("_image"))
+    raw = with_result(df, out, "ARRAY<STRING>", caption, [image, draws], batch_size, profile)
+    return raw.withColumn(out, F.transform(out, clean_caption))
 
 
 def resample(df: DataFrame, image: str, size: tuple[int, int], out: str, mode: str = "bicubic") -> DataFrame:

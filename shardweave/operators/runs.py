@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,11 +20,19 @@ from shardweave.sources.paths import shard_paths
 from shardweave.sources.shards import read_shards
 
 
-def caption_records(df: DataFrame, teacher: TeacherSpec, num_samples: int, tag_suffix: str, seed: int, batch_size: int) -> DataFrame:
+def caption_records(
+    df: DataFrame,
+    teacher: TeacherSpec,
+    num_samples: int,
+    tag_suffix: str,
+    seed: int,
+    batch_size: int,
+    profile: ResourceProfile | None = None,
+) -> DataFrame:
     """Records with captions, invalid ones unchanged."""
     identified = records.record_id(df)
     captioned = infer.add_captions(
-        records.flag_valid(identified), teacher, num_samples, tag_suffix, seed, "uid", batch_size
+        records.flag_valid(identified), teacher, num_samples, tag_suffix, seed, "uid", batch_size, profile
     )
     return captioned.drop("_image", "_valid", "_reason")
 
@@ -38,6 +47,7 @@ def embed_records(
     decode: Column,
     seed: int,
     batch_size: int,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Records with image and text embeddings and the stored augmentation parameters."""
     steps = steps_from_config(aug_config)
@@ -48,12 +58,12 @@ def embed_records(
     keys += [k for k in records.match_syn_keys(usable, syn_text_key_regex) if k not in keys]
     texts = records.collect_texts(usable, syn_text_key_regex)
     seen = infer.add_image_embeddings(
-        texts, teachers, num_samples, aug_config, seed, "_tensor", "uid", tag_suffix, batch_size
+        texts, teachers, num_samples, aug_config, seed, "_tensor", "uid", tag_suffix, batch_size, profile
     )
     stored = seen.withColumn(
         "param_aug", F.when(F.col("_valid"), compress_draws(F.col("params"), steps))
     ).drop("params")
-    read = infer.add_text_embeddings(stored, teachers, batch_size)
+    read = infer.add_text_embeddings(stored, teachers, batch_size, profile=profile)
     split = infer.split_text_embeddings(read, keys, tag_suffix)
     return split.drop("_image", "_valid", "_reason", "_tensor", "_texts", "_text_lengths", "_text_emb")
 
@@ -84,9 +94,11 @@ def caption_run(
     seed: int = 0,
     max_bytes: int = MAX_BYTES,
     verify: bool = False,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Caption every pending shard of ``source`` into ``out``; returns the manifest of all runs.
 
+    ``profile`` asks for executors with the GPUs that the teacher needs; only the stages that call it get them.
     ``verify`` reads all output again at the end and compares it with the checksums of the writer.
     """
     run_waves(
@@ -94,7 +106,7 @@ def caption_run(
         shard_paths(spark, source),
         out,
         lambda paths: read_shards(spark, paths, schema),
-        lambda df: caption_records(df, teacher, num_samples, tag_suffix, seed, batch_size),
+        lambda df: caption_records(df, teacher, num_samples, tag_suffix, seed, batch_size, profile),
         freq,
         output_format=output_format,
         naming=naming,
@@ -122,9 +134,11 @@ def embedding_run(
     seed: int = 0,
     max_bytes: int = MAX_BYTES,
     verify: bool = False,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Embed every pending shard of ``source`` into ``out``; returns the manifest of all runs.
 
+    ``profile`` asks for executors with the GPUs that the teachers need; only the stages that call them get them.
     ``decode`` turns the payload column ``_image`` into a tensor, null when it cannot be decoded.
     """
     infer.check_ensemble(teachers, steps_from_config(aug_config))
@@ -135,7 +149,7 @@ def embedding_run(
         out,
         lambda paths: read_shards(spark, paths, schema),
         lambda df: embed_records(
-            df, teachers, aug_config, num_samples, tag_suffix, syn_text_key_regex, decode, seed, batch_size
+            df, teachers, aug_config, num_samples, tag_suffix, syn_text_key_regex, decode, seed, batch_size, profile
         ),
         freq,
         output_format=output_format,
