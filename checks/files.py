@@ -402,25 +402,30 @@ def _(spark, sf):
     return found.select(F.regexp_replace(tx.basename(F.col("shard")), r"\.tar$", "").alias("shard"), F.coalesce("uid", F.lit("none")).alias("uid"), "times")
 
 
-_PIECE = "('0x' || substr(md5('0|' || uid || '|' || _pos || '|0|piece'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE"
-
-
 @check(
     "name_shards",
-    f"""WITH {RECORDS}, sizes AS (SELECT _shard, count(*) AS n FROM records GROUP BY 1),
-    firsts AS (SELECT _shard, ceil(n / 20.0)::BIGINT AS pieces, coalesce(sum(ceil(n / 20.0)::BIGINT) OVER
+    f"""WITH {RECORDS}, spans AS (SELECT _shard, min(_pos) AS low, greatest((max(_pos) - min(_pos) + 1) * 20 // (count(*) * 16), 1) AS step
+      FROM records GROUP BY 1),
+    buckets AS (SELECT _shard, (_pos - low) // step AS bucket, count(*) AS n FROM records JOIN spans USING (_shard) GROUP BY 1, 2),
+    turns AS (SELECT _shard, bucket, coalesce(sum(n) OVER
+      (PARTITION BY _shard ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 20 AS turn FROM buckets),
+    pieces AS (SELECT _shard, bucket, dense_rank() OVER (PARTITION BY _shard ORDER BY turn) - 1 AS piece FROM turns),
+    firsts AS (SELECT _shard, coalesce(sum(max(piece) + 1) OVER
       (ORDER BY _shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 5 AS first,
-      row_number() OVER (ORDER BY _shard) - 1 AS whole FROM sizes)
+      row_number() OVER (ORDER BY _shard) - 1 AS whole FROM pieces GROUP BY 1)
     SELECT uid, lpad(whole::VARCHAR, 8, '0') || '.jsonl' AS counted, r._shard AS original,
-      lpad((first + floor(({_PIECE}) * pieces))::BIGINT::VARCHAR, 8, '0') || '.tar' AS spread
-    FROM records r JOIN firsts USING (_shard)""",
+      lpad((first + piece)::BIGINT::VARCHAR, 8, '0') || '.tar' AS spread,
+      CASE piece WHEN 0 THEN r._shard ELSE replace(r._shard, '.jsonl', '-' || lpad(piece::VARCHAR, 5, '0') || '.jsonl') END AS parts
+    FROM records r JOIN spans USING (_shard) JOIN firsts USING (_shard)
+    JOIN pieces p ON p._shard = r._shard AND p.bucket = (r._pos - low) // step""",
 )
 def _(spark, sf):
     r = records(spark, sf).select("uid", "_shard", "_pos")
     counted = sh.name_shards(r, "count").select("uid", "_pos", "_shard", F.col("_out").alias("counted"))
     both = sh.name_shards(counted, "orig").withColumnRenamed("_out", "original")
-    spread = sh.name_shards(both, "count", "tar", start=5, max_records=20)
-    return spread.select("uid", "counted", "original", F.col("_out").alias("spread"))
+    spread = sh.name_shards(both, "count", "tar", start=5, max_records=20).withColumnRenamed("_out", "spread")
+    parts = sh.name_shards(spread, "orig", max_records=20)
+    return parts.select("uid", "counted", "original", "spread", F.col("_out").alias("parts"))
 
 
 @check(

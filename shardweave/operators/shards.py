@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shardweave.functions.draws import uniform
 from shardweave.functions.text import basename
 from shardweave.operators.positions import global_index
 from shardweave.session import checkpointed, join_small
@@ -22,6 +22,8 @@ DIGEST = "path STRING, bytes LONG, sha256 STRING"
 # Larger input shards are written as several output shards.
 MAX_RECORDS = 1_000_000
 MAX_BYTES = 1 << 30
+# Buckets of positions for every output piece.
+BUCKETS = 16
 
 
 def shard_counts(df: DataFrame, shard: str = "_out") -> DataFrame:
@@ -49,10 +51,10 @@ def shard_sizes(df: DataFrame, payload: list[str], shard: str = "_shard") -> Dat
     )
 
 
-def piece_of(pieces: Column, identity: list[str]) -> Column:
-    """Which piece of its shard a record goes to."""
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in identity])
-    return F.floor(uniform(0, key, 0, "piece") * pieces).cast("bigint")
+def offset_of(df: DataFrame) -> Column:
+    """Where a record stands in its input shard, as one number; 0 if that is not known."""
+    nested = isinstance(df.schema["_pos"].dataType, T.StructType)
+    return F.coalesce(F.col("_pos.line" if nested else "_pos").cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _numbered(pieces: DataFrame, start: int) -> DataFrame:
@@ -62,28 +64,60 @@ def _numbered(pieces: DataFrame, start: int) -> DataFrame:
     return indexed.filter("_piece = 0").select("_shard", F.col("_index").alias("_first"), "_pieces")
 
 
+def piece_starts(df: DataFrame, max_records: int) -> DataFrame:
+    """(_shard, _starts): the positions at which the pieces of each shard begin, ascending.
+
+    The span of a shard's positions is cut into buckets of equal width, about ``BUCKETS`` for every ``max_records``
+    records; a piece ends with the first bucket that brings the running count to a multiple of ``max_records``.
+    Only counts are shuffled, a row per bucket.
+    """
+    at = df.select("_shard", offset_of(df).alias("_at"))
+    spans = at.groupBy("_shard").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_low"), F.max("_at").alias("_high"))
+    width = F.greatest(F.expr(f"(_high - _low + 1) * {max_records} div (_n * {BUCKETS})"), F.lit(1))
+    spans = checkpointed(spans.select("_shard", "_low", width.alias("_step")))
+    buckets = join_small(at, spans, "_shard").withColumn("_bucket", F.expr("(_at - _low) div _step"))
+    counts = buckets.groupBy("_shard", "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.min(F.expr("_low + _bucket * _step")).alias("_from"))
+    before = Window.partitionBy("_shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    turn = F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / max_records)
+    starts = counts.withColumn("_turn", turn).groupBy("_shard", "_turn").agg(F.min("_from").alias("_from"))
+    return starts.groupBy("_shard").agg(F.sort_array(F.collect_list("_from")).alias("_starts"))
+
+
 def shard_table(df: DataFrame, start: int = 0, max_records: int = MAX_RECORDS) -> DataFrame:
-    """Input shards with the number of their first output shard and their number of pieces.
+    """Input shards with the number of their first output shard, their number of pieces and where these begin.
 
     Numbers follow the order of the input paths, so a rerun gives the same names.
     """
-    sizes = df.groupBy("_shard").agg(F.count(F.lit(1)).alias("_n"))
-    return _numbered(sizes.select("_shard", F.ceil(F.col("_n") / max_records).cast("bigint").alias("_pieces")), start)
+    starts = checkpointed(piece_starts(df, max_records))
+    numbered = _numbered(starts.select("_shard", F.size("_starts").cast("bigint").alias("_pieces")), start)
+    return numbered.join(starts, "_shard")
 
 
 def shard_table_of_files(
     paths: DataFrame, start: int = 0, max_bytes: int = MAX_BYTES, known: DataFrame | None = None
 ) -> DataFrame:
-    """The same from the sizes of the input files, without reading them.
+    """The same from the sizes of the input files, without reading them: a piece has ``_width`` bytes of its file.
 
     ``known`` has the ``path`` of every input of the output folder, done or not; inputs whose names are
     repeated among them get a ``_tag``.
     """
     pieces = F.greatest(F.ceil(F.col("bytes") / max_bytes).cast("bigint"), F.lit(1).cast("bigint"))
     table = _numbered(file_sizes(paths).select(F.col("path").alias("_shard"), pieces.alias("_pieces")), start)
+    table = table.withColumn("_width", F.lit(max_bytes).cast("bigint"))
     return tagged(table, known) if known is not None else table
 
 
+def piece_of(table: DataFrame, at: Column) -> Column:
+    """Which piece of its shard the record at a position goes to.
+
+    Positions of packed files are those of the unpacked bytes, which go on beyond the last piece; their
+    pieces then take turns.
+    """
+    if "_starts" in table.columns:
+        return (F.size(F.filter("_starts", lambda first: first <= at)) - 1).cast("bigint")
+    return F.pmod(F.floor(at / F.col("_width")), F.col("_pieces")).cast("bigint")
+
+
 def plain_base(shard: Column) -> Column:
     """Base name without a compression suffix: output is not compressed."""
     return F.regexp_replace(basename(shard), r"\.(gz|zst|zstd)$", "")
@@ -113,7 +147,7 @@ def out_name(naming: str, extension: str, piece: Column, tag: Column | None = No
         rest = F.substr(base, F.length(stem) + 1)
         if tag is not None:
             stem = F.concat(stem, F.coalesce(F.concat(F.lit("-"), tag), F.lit("")))
-        part = F.when(F.col("_pieces") == 1, F.lit("")).otherwise(F.format_string("-%05d", piece))
+        part = F.when(piece == 0, F.lit("")).otherwise(F.format_string("-%05d", piece))
         return F.concat(stem, part, rest)
     raise ValueError(f"unsupported shard naming: {naming}")
 
@@ -165,27 +199,25 @@ def name_shards(
     extension: str = "jsonl",
     start: int = 0,
     max_records: int = MAX_RECORDS,
-    identity: list[str] | None = None,
     shards: DataFrame | None = None,
     shard_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``_out``, the name of the output shard of each record.
+    """Add ``_out``, the name of the output shard of each record, and ``_place``, its running number.
 
     ``count`` numbers the shards with eight digits from ``start``; ``orig`` keeps the input's base
-    name. An input shard of more than ``max_records`` is spread over several output shards, by a hash
-    of the ``identity`` columns (default: uid and position), so that no writer task receives much
-    more than that, however uneven the input is. The join is with the table of shards (one row per
-    input file; ``shards`` of ``shard_rows`` rows, if at hand), which is broadcast after its rows have
-    been counted.
+    name, with a number from the second piece on. Every input shard is laid out by the same rule: its records go by
+    their position ``_pos`` to pieces of about ``max_records``, so that no writer task receives much more than
+    that, however uneven the input is, and a shard that grows keeps its first pieces. The join is with the
+    table of shards (one row per input file; ``shards`` of ``shard_rows`` rows, if at hand), which is
+    broadcast after its rows have been counted.
     """
     df = df.withColumn("_shard", F.coalesce("_shard", F.lit("")))
     table = shards if shards is not None else checkpointed(shard_table(df, start, max_records))
-    placed = join_small(df, table, "_shard", shard_rows)
-    spread_by = identity or [c for c in ("uid", "_pos") if c in df.columns]
-    only = F.lit(0).cast("bigint")
-    piece = F.when(F.col("_pieces") == 1, only).otherwise(piece_of(F.col("_pieces"), spread_by))
+    placed = join_small(df.drop("_place"), table, "_shard", shard_rows)
+    piece = piece_of(table, offset_of(placed))
     tag = F.col("_tag") if "_tag" in placed.columns else None
-    return placed.withColumn("_out", out_name(naming, extension, piece, tag)).drop("_first", "_pieces", "_tag")
+    named = placed.withColumn("_out", out_name(naming, extension, piece, tag)).withColumn("_place", F.col("_first") + piece)
+    return named.drop("_first", "_pieces", "_tag", "_starts", "_width")
 
 
 def shard_manifest(df: DataFrame, out: str = "_out") -> DataFrame:

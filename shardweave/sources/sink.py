@@ -3,8 +3,9 @@
 Rows are ``(_out, _shard, chunk)``; the chunks of one ``_out`` must arrive together and in order, which
 ``repartition("_out").sortWithinPartitions("_out", "_pos")`` provides. A task writes each shard under
 a name of its own attempt and renames it when complete, so a lost or repeated task never leaves half
-a shard under a final name; the content of a shard is the same on every attempt. The manifest part of
-a run is written on commit, one line per shard.
+a shard under a final name; the content of a shard is the same on every attempt. The manifest has two phases: a
+task writes the lines of its shards into a part of its own attempt, and the commit lists the parts of the
+attempts that count. The driver sees the name of one part per task, never a line per shard.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import hashlib
 import json
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -27,15 +28,15 @@ from shardweave.sources.jsonl import to_json_lines
 from shardweave.sources.tar import TAR_TRAILER, to_tar_chunk
 
 FORMAT = "shardweave_files"
-MANIFEST_FOLDER = "_manifest"
+MANIFEST_FOLDER, PARTS_FOLDER = "_manifest", "_manifest_parts"
 MANIFEST = "shard STRING, input STRING, num_uids LONG, bytes LONG, sha256 STRING, run STRING"
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    """Shards that one task has finished."""
+    """The manifest part of one task, None if it has written no shard."""
 
-    shards: list = field(default_factory=list)
+    part: str | None = None
 
 
 class _OpenShard:
@@ -86,34 +87,45 @@ class ShardFileWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, folder = open_fs(self.path)
-        done, shard = Written(), None
+        lines, shard = [], None
         try:
             for batch in iterator:
                 columns = batch.column("_out").to_pylist(), batch.column("_shard").to_pylist()
                 for name, source, chunk in zip(*columns, batch.column("chunk")):
                     if shard is None or shard.name != name:
                         if shard is not None:
-                            done.shards.append(shard.finish(self.trailer, self.run))
+                            lines.append(shard.finish(self.trailer, self.run))
                         shard = _OpenShard(fs, folder, name, source)
                     shard.write(chunk.as_buffer())
                     shard.records += 1
             if shard is not None:
-                done.shards.append(shard.finish(self.trailer, self.run))
+                lines.append(shard.finish(self.trailer, self.run))
                 shard = None
         finally:
             if shard is not None:
                 shard.abandon()
-        return done
+        if not lines:
+            return Written()
+        part = f"{uuid.uuid4().hex}.jsonl"
+        fs.create_dir(f"{folder}/{PARTS_FOLDER}/{self.run}", recursive=True)
+        with fs.open_output_stream(f"{folder}/{PARTS_FOLDER}/{self.run}/{part}") as stream:
+            stream.write("".join(json.dumps(line) + "\n" for line in lines).encode())
+        return Written(part)
 
     def commit(self, messages: list) -> None:
+        """List the parts that count; those of attempts that do not, or of an earlier write of the run, go."""
         fs, folder = open_fs(self.path)
-        fs.create_dir(f"{folder}/{MANIFEST_FOLDER}", recursive=True)
-        part = f"{folder}/{MANIFEST_FOLDER}/{self.run}.jsonl"
-        with fs.open_output_stream(f"{part}.partial") as out:
-            for message in messages:
-                for shard in message.shards if message else ():
-                    out.write((json.dumps(shard) + "\n").encode())
-        replace_file(fs, f"{part}.partial", part)
+        own = f"{folder}/{PARTS_FOLDER}/{self.run}"
+        for path in (f"{folder}/{MANIFEST_FOLDER}", own):
+            fs.create_dir(path, recursive=True)
+        parts = {message.part for message in messages if message is not None and message.part is not None}
+        listed = f"{folder}/{MANIFEST_FOLDER}/{self.run}.jsonl"
+        with fs.open_output_stream(f"{listed}.partial") as out:
+            out.write("".join(json.dumps({"part": part}) + "\n" for part in sorted(parts)).encode())
+        replace_file(fs, f"{listed}.partial", listed)
+        for info in fs.get_file_info(pafs.FileSelector(own)):
+            if info.base_name not in parts:
+                fs.delete_file(info.path)
 
     def abort(self, messages: list) -> None:
         """Nothing to undo: finished shards are whole, and a rerun replaces them by the same bytes."""
@@ -133,28 +145,42 @@ class ShardFileSink(DataSource):
         return ShardFileWriter(dict(self.options))
 
 
+def dealt(df: DataFrame, shards: int | None = None) -> DataFrame:
+    """``df`` with the records of each ``_out`` in one partition, of ``shards`` or the session's number of them.
+
+    Files with a running number ``_place`` are dealt in turn, so that each has a partition of its own if there are
+    as many; files without one go by a hash of their names.
+    """
+    if "_place" not in df.columns:
+        return df.repartition("_out") if shards is None else df.repartition(max(1, shards), "_out")
+    session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = session if shards is None else max(1, shards)
+    return df.repartitionById(tasks, F.pmod("_place", F.lit(tasks)).cast("int"))
+
+
 def write_chunks(
     df: DataFrame, chunk: Column, out: str, run: str, trailer: bytes = b"", shards: int | None = None
 ) -> None:
-    """Write one file per ``_out``, its chunks in the order of ``_pos``.
-
-    ``shards`` is the number of files to expect. It sets the number of writing tasks; without it the
-    session's number of shuffle partitions does.
-    """
+    """Write one file per ``_out``, its chunks in the order of ``_pos``; ``shards`` is the number of files to expect,
+    each of which then has a writing task of its own."""
     spark = df.sparkSession
     spark.dataSource.register(ShardFileSink)
-    placed = df.repartition("_out") if shards is None else df.repartition(max(1, shards), "_out")
-    ordered = placed.sortWithinPartitions("_out", "_pos")
+    ordered = dealt(df, shards).sortWithinPartitions("_out", "_pos")
     rendered = ordered.select("_out", "_shard", chunk.cast("binary").alias("chunk"))
     rendered.write.format(FORMAT).mode("append").option("run", run).option("trailer", trailer.hex()).save(out)
 
 
+def _placing(df: DataFrame) -> list[str]:
+    """The columns that say where a record goes."""
+    return ["_out", "_shard", "_pos", *(["_place"] if "_place" in df.columns else [])]
+
+
 def write_jsonl(
     df: DataFrame, out: str, run: str = "run", bfloat16: bool = False, shards: int | None = None
 ) -> DataFrame:
     """Write records as JSON-lines shards; returns the manifest of the run."""
     line = F.encode(to_json_lines(df, bfloat16), "UTF-8")
-    write_chunks(df.select("_out", "_shard", "_pos", line.alias("_line")), F.col("_line"), out, run, shards=shards)
+    write_chunks(df.select(*_placing(df), line.alias("_line")), F.col("_line"), out, run, shards=shards)
     return read_manifest(df.sparkSession, out).filter(F.col("run") == run)
 
 
@@ -162,7 +188,7 @@ def write_tar_samples(
     df: DataFrame, out: str, run: str = "run", bfloat16: bool = False, shards: int | None = None
 ) -> DataFrame:
     """Write records as tar shards, one set of members per record; returns the manifest of the run."""
-    members = to_members(normalise_emb_names(df), bfloat16).select("_out", "_shard", "_pos", "_key", "_members")
+    members = to_members(normalise_emb_names(df), bfloat16).select(*_placing(df), "_key", "_members")
     # Rendered in the order of the shard, so that a repeated key is seen beside the first.
     write_chunks(members, to_tar_chunk(F.col("_key"), F.col("_members")), out, run, TAR_TRAILER, shards)
     return read_manifest(df.sparkSession, out).filter(F.col("run") == run)
@@ -194,4 +220,7 @@ def write_lines(df: DataFrame, line: Column, order: list[str], out: str, name: s
 
 def read_manifest(spark: SparkSession, out: str) -> DataFrame:
     """Manifest of all runs into ``out``."""
-    return spark.read.schema(MANIFEST).json(f"{out.rstrip('/')}/{MANIFEST_FOLDER}")
+    root = out.rstrip("/")
+    listed = spark.read.schema("part STRING").json(f"{root}/{MANIFEST_FOLDER}")
+    lines = spark.read.schema(MANIFEST).json(f"{root}/{PARTS_FOLDER}/*")
+    return lines.withColumn("part", F.col("_metadata.file_name")).join(listed, "part", "left_semi").drop("part")

@@ -16,7 +16,7 @@ from shardweave.operators import shards as sh
 from shardweave.operators.records import unwrap_features
 from shardweave.sources import jsonl, paths, tar, tfrecord
 from shardweave.sources.shards import paths_by_format, read_shards
-from shardweave.sources.sink import read_manifest, write_chunks, write_jsonl, write_tar_samples
+from shardweave.sources.sink import dealt, read_manifest, write_chunks, write_jsonl, write_tar_samples
 
 SCHEMA = "uid STRING, text STRING, n BIGINT"
 
@@ -195,7 +195,7 @@ def test_large_shards_are_split_and_nothing_is_lost(spark, tmp_path):
     manifest = write_jsonl(named, str(tmp_path))
     sizes = {m["shard"]: m["num_uids"] for m in manifest.collect()}
     assert sum(sizes.values()) == 900 and max(sizes.values()) < 200
-    assert len([s for s in sizes if s.startswith("hot-")]) == 6
+    assert sorted(s for s in sizes if s.startswith("hot")) == [*(f"hot-0000{k}.jsonl" for k in range(1, 6)), "hot.jsonl"]
     back = jsonl.read_jsonl(spark, [str(tmp_path)], SCHEMA)
     assert back.select("uid", "text", "n").exceptAll(r.select("uid", "text", "n")).count() == 0 and back.count() == 900
     for part in spark.read.text(str(tmp_path)).select(F.input_file_name().alias("f")).distinct().collect():
@@ -203,6 +203,52 @@ def test_large_shards_are_split_and_nothing_is_lost(spark, tmp_path):
         assert order == sorted(order)
 
 
+@pytest.mark.parametrize("naming", ["count", "orig"])
+def test_one_layout_rule_for_shards_of_every_size(spark, naming):
+    """Pieces follow positions: no gap, no mixing, and the first ones stay when a shard grows."""
+    sizes = {"a.jsonl": 7, "b.jsonl": 1000, "c.jsonl": 101, "one.jsonl": 1}
+    rows = [(s, n * n if s == "c.jsonl" else n) for s, k in sizes.items() for n in range(k)] + [("same.jsonl", 5)] * 350 + [("none.jsonl", None)]
+    df = spark.createDataFrame(rows, "_shard STRING, _pos LONG").repartition(6)
+    found = {}
+    for r in sh.name_shards(df, naming, max_records=100).collect():
+        found.setdefault(r["_shard"], {}).setdefault((r["_place"], r["_out"]), []).append(r["_pos"])
+    assert sorted(p for pieces in found.values() for p, _ in pieces) == list(range(sum(map(len, found.values()))))
+    for shard, pieces in found.items():
+        ordered = [pieces[k] for k in sorted(pieces)]
+        assert all(max(a) < min(b) for a, b in zip(ordered, ordered[1:]))
+        assert max(map(len, ordered)) <= 130 or shard == "same.jsonl"
+    assert len(found["b.jsonl"]) == 10 and all(len(found[s]) == 1 for s in ("a.jsonl", "one.jsonl", "same.jsonl", "none.jsonl"))
+    if naming == "orig":
+        assert {s: min(p)[1] for s, p in found.items()} == {s: s for s in found}
+
+
+def test_one_shard_per_writing_task(spark):
+    r = records(spark, 400).withColumn("_shard", F.format_string("s%03d.jsonl", F.col("n") % 37))
+    placed = dealt(sh.name_shards(r, "count", start=11), 37).select("_out", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(placed) == 37 == len({p["task"] for p in placed}) == len({p["_out"] for p in placed})
+    # Fewer tasks than shards: dealt in turn, not by chance.
+    some = dealt(sh.name_shards(r, "orig"), 10).select("_out", F.spark_partition_id().alias("task")).distinct()
+    assert sorted(n for _, n in some.groupBy("task").count().collect()) == [3, 3, 3, 4, 4, 4, 4, 4, 4, 4]
+
+
+def test_the_manifest_counts_only_committed_parts(spark, tmp_path):
+    out = str(tmp_path)
+    named = sh.name_shards(records(spark, 60), "count")
+    write_jsonl(named, out, "first")
+    write_jsonl(named.withColumn("_out", F.concat(F.lit("x"), "_out")), out, "second")
+    stray = '{"shard": "stray", "num_uids": 1, "run": "first"}\n'
+    for run in ("first", "third"):  # left by an attempt that was lost, and by a run that was
+        os.makedirs(f"{out}/_manifest_parts/{run}", exist_ok=True)
+        with open(f"{out}/_manifest_parts/{run}/lost.jsonl", "w") as file:
+            file.write(stray)
+    assert read_manifest(spark, out).groupBy("run").agg(F.sum("num_uids").alias("n")).orderBy("run").collect() == [("first", 60), ("second", 60)]
+    write_jsonl(named.where("n < 30"), out, "first")  # a repeated run replaces its own part
+    assert read_manifest(spark, out).groupBy("run").agg(F.sum("num_uids").alias("n")).orderBy("run").collect() == [("first", 30), ("second", 60)]
+    assert "lost.jsonl" not in os.listdir(f"{out}/_manifest_parts/first")
+    write_jsonl(named.where("n < 0"), out, "first")
+    assert read_manifest(spark, out).select("run").distinct().collect() == [("second",)]
+
+
 @pytest.mark.parametrize("output", ["jsonl", "tar"])
 def test_the_same_bytes_from_any_partitioning(spark, tmp_path, output):
     digests = []
