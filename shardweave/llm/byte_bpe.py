@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from shardweave.llm.store import everywhere
 from shardweave.llm.words import give_back
 
 # Entries of a worker's memos before they start anew, and the longest piece (code points) that is kept.
@@ -208,8 +209,8 @@ class Tokenizer:
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         ranks = read_ranks(spark, path)
         self.name = f"{path}\n{pattern}"
-        self.model = spark.sparkContext.broadcast((ranks, splits(ranks), pattern))
-        self.by_id = spark.sparkContext.broadcast(tokens_by_id(ranks))
+        self.model = everywhere(spark, (ranks, splits(ranks), pattern))
+        self.by_id = everywhere(spark, tokens_by_id(ranks))
 
     def _loader(self):
         name, model = self.name, self.model

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardweave.llm.store import stored_by
+from shardweave.llm.words import tidy
 
 # Bytes of text in a chunk (a longer document is a chunk of its own).
 CHUNK_BYTES = 2 << 20
@@ -80,7 +81,7 @@ def chunked(df: DataFrame, text: str, label: str, note: Callable[[pa.RecordBatch
 
     schema = "chunk bigint, n_rows bigint, size bigint, notes binary, payload binary"
     buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stored_by(df.mapInArrow(run, schema), label, "chunk", buckets)
+    return stored_by(df.mapInArrow(tidy(run), schema), label, "chunk", buckets)
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -135,9 +136,9 @@ def asked(
                 }
             )
 
-    sent = chunks.mapInArrow(send, "bucket bigint, chunk bigint, block binary")
+    sent = chunks.mapInArrow(tidy(send), "bucket bigint, chunk bigint, block binary")
     dealt = sent.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(answer, "chunk bigint, bucket bigint, answer binary")
+    return dealt.mapInArrow(tidy(answer), "chunk bigint, bucket bigint, answer binary")
 
 
 def squeezed(block: bytes) -> bytes:

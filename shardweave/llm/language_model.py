@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shardweave.llm import chunks as ch
 from shardweave.llm.store import stored
-from shardweave.llm.words import BASE, WordHashes, memo, mix, utf8
+from shardweave.llm.words import BASE, WordHashes, memo, mix, tidy, utf8
 
 # Hashes of the end of a text and of the place before its first word.
 END, BEGIN = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
@@ -140,7 +140,7 @@ def scored(df: DataFrame, training: Column, id: str = "doc_id", text: str = "tex
         return sum(lengths), np.array([roles.count(COUNTED), roles.count(HELD)], "<i8").tobytes()
 
     chunks = ch.chunked(rows, text, "lm-chunks", note)
-    facts = chunks.select("size", "notes").mapInArrow(_facts, "size bigint, counted bigint, held bigint")
+    facts = chunks.select("size", "notes").mapInArrow(tidy(_facts), "size bigint, counted bigint, held bigint")
     facts = facts.agg(F.sum("size"), F.sum("counted"), F.sum("held")).first()
     size, begun, held = (int(v or 0) for v in facts)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -159,7 +159,7 @@ def scored(df: DataFrame, training: Column, id: str = "doc_id", text: str = "tex
     payload = chunks.select("chunk", "payload")
     words = stored(ch.asked(payload, ask("words"), sums, buckets), "lm-words")
     pairs = stored(ch.asked(payload, ask("pairs"), sums, buckets), "lm-pairs")
-    summary = words.where("chunk = -1").mapInArrow(_summaries, "seen bigint, counted bigint, held bigint")
+    summary = words.where("chunk = -1").mapInArrow(tidy(_summaries), "seen bigint, counted bigint, held bigint")
     summary = summary.agg(F.sum("seen"), F.sum("counted"), F.sum("held")).first()
     vocabulary, counted_tokens, held_tokens = (int(v or 0) for v in summary)
     known = ch.answered(ch.answered(payload, words.where("chunk >= 0"), "words"), pairs.where("chunk >= 0"), "pairs")
@@ -180,7 +180,7 @@ def scored(df: DataFrame, training: Column, id: str = "doc_id", text: str = "tex
                 distinct, times = np.unique(np.stack(cells, axis=1), axis=0, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*distinct.T.copy(), times)], names=["kind", "after", "alone", "times"])
 
-    cells = known.mapInArrow(ratios, "kind bigint, after bigint, alone bigint, times bigint")
+    cells = known.mapInArrow(tidy(ratios), "kind bigint, after bigint, alone bigint, times bigint")
     # At most classes x possible rounded logarithms of both ratios, however large the corpus is.
     cells = cells.groupBy("kind", "after", "alone").agg(F.sum("times").alias("times")).toPandas()
     cells = cells.sort_values(["kind", "after", "alone"])
@@ -213,7 +213,7 @@ def scored(df: DataFrame, training: Column, id: str = "doc_id", text: str = "tex
 
     whole, real = F.lit(0).cast("long"), F.lit(0.0)
     added = {"n_tokens": whole, "n_known": whole, "train_tokens": whole, "base_score": real, "score": real}
-    return known.mapInArrow(finish, df.select(*names).withColumns(added).schema)
+    return known.mapInArrow(tidy(finish), df.select(*names).withColumns(added).schema)
 
 
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardweave.llm.components import components
-from shardweave.llm.store import stored
-from shardweave.llm.words import WordHashes, memo, mix, utf8, windows
+from shardweave.llm.store import everywhere, stored
+from shardweave.llm.words import WordHashes, memo, mix, tidy, utf8, windows
 
 # An element is frequent if more prefixes than this hold it; the least value, and the most frequent elements
 # there can be (the value grows with the data so that their table, which is broadcast, stays below 8 MB).
@@ -149,13 +149,13 @@ def _prefixes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
                 element, times = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([signed(element), pa.array(times)], names=["element", "times"])
 
-    counts = docs.select("text").mapInArrow(early, "element bigint, times bigint")
+    counts = docs.select("text").mapInArrow(tidy(early), "element bigint, times bigint")
     counts = counts.groupBy("element").agg(F.sum("times").alias("times"))
     counts = stored(counts.where(F.col("times") > FREQUENT), "join-frequent")
     total = counts.agg(F.sum("times")).first()[0] or 0
     floor = max(FREQUENT, total // MOST_FREQUENT)
     frequent = counts.where(F.col("times") > floor).select("element").toPandas()["element"].to_numpy(np.int64).view(np.uint64)
-    frequent = docs.sparkSession.sparkContext.broadcast(np.sort(frequent))
+    frequent = everywhere(docs.sparkSession, np.sort(frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = frequent.value
@@ -181,7 +181,7 @@ def _prefixes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    table = stored(docs.mapInArrow(run, f"id {kind}, text_hash bigint, node bigint, n bigint, prefix array<bigint>"), "join-prefixes")
+    table = stored(docs.mapInArrow(tidy(run), f"id {kind}, text_hash bigint, node bigint, n bigint, prefix array<bigint>"), "join-prefixes")
     entries = table.agg(F.sum(F.greatest(F.size("prefix"), F.lit(0)))).first()[0] or 0
     return table, int(entries)
 
@@ -208,7 +208,7 @@ def _lists(table: DataFrame, parts: int) -> DataFrame:
 
     rows = table.where("prefix is not null").select("node", "n", F.posexplode("prefix").alias("pos", "element"))
     rows = rows.select("element", "node", "n", F.col("pos").cast("long").alias("pos")).repartition(parts, "element")
-    return stored(rows.mapInArrow(run, "element bigint, node bigint, n bigint, pos bigint, leader bigint"), "join-lists")
+    return stored(rows.mapInArrow(tidy(run), "element bigint, node bigint, n bigint, pos bigint, leader bigint"), "join-lists")
 
 
 def _clusters(lists: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ def _pairs(lists: DataFrame, clusters: DataFrame, rule: Rule, parts: int) -> Dat
             yield _batch(found)
 
     own = lists.join(clusters, "node", "left").select("element", "node", "n", "pos", F.coalesce("cluster", "node").alias("cluster"))
-    shared = own.repartition(parts, "element").mapInArrow(run, "a bigint, b bigint")
+    shared = own.repartition(parts, "element").mapInArrow(tidy(run), "a bigint, b bigint")
     return shared.groupBy("a", "b").count().where(F.col("count") >= rule.shared).select("a", "b")
 
 
@@ -279,7 +279,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
 
     texts = docs.select(F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
     found = texts.join(wanted, "id").select("text", "node", "n", "copies")
-    return found.mapInArrow(run, "node bigint, n bigint, copies bigint, elements array<bigint>")
+    return found.mapInArrow(tidy(run), "node bigint, n bigint, copies bigint, elements array<bigint>")
 
 
 def _inside(sets: DataFrame, members: DataFrame, rule: Rule, parts: int) -> DataFrame:
@@ -314,7 +314,7 @@ def _inside(sets: DataFrame, members: DataFrame, rule: Rule, parts: int) -> Data
         "elements",
     )
     rows = rows.repartition(4 * parts, "unit").sortWithinPartitions("unit")
-    return rows.mapInArrow(run, "node bigint, label bigint, links bigint")
+    return rows.mapInArrow(tidy(run), "node bigint, label bigint, links bigint")
 
 
 def _compare(rows: list[tuple], rule: Rule) -> pa.RecordBatch:

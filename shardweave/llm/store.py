@@ -5,11 +5,13 @@ from __future__ import annotations
 import atexit
 from contextlib import suppress
 
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 from shardweave.session import scratch_path
 
 _FOLDERS: list[tuple[str, str]] = []
+_SHARED: list[tuple[str, Broadcast]] = []
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -41,6 +43,25 @@ def stored_by(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+def everywhere(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast a model or table of bounded size, which ``destroy`` takes from all executors again."""
+    sent = spark.sparkContext.broadcast(value)
+    _SHARED.append((spark.sparkContext.applicationId, sent))
+    return sent
+
+
+def broadcasts(spark: SparkSession) -> list[Broadcast]:
+    """What this application has sent with ``everywhere`` and not destroyed, in order."""
+    return [sent for owner, sent in _SHARED if owner == spark.sparkContext.applicationId]
+
+
+def destroy(sent: list[Broadcast]) -> None:
+    """Remove broadcasts everywhere, once every result that uses them has been written."""
+    for one in sent:
+        one.destroy(blocking=False)
+    _SHARED[:] = [pair for pair in _SHARED if not any(pair[1] is one for one in sent)]
+
+
 @atexit.register
 def _sweep() -> None:
     """Delete what is left when the driver ends while its session still runs."""

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardweave.llm import chunks as ch
-from shardweave.llm.words import WordHashes, memo, mix, utf8, windows
+from shardweave.llm.store import everywhere
+from shardweave.llm.words import WordHashes, memo, mix, tidy, utf8, windows
 
 # Words of a minimiser; rows of the sketch; cells per row at least and at most (a bit each when broadcast,
 # so at most 2 x 64 MB); cells of a slice that is merged as one piece.
@@ -126,8 +127,8 @@ def merged_sketch(chunks: DataFrame, cells: int, parts: int) -> DataFrame:
             bits = np.packbits(twice, bitorder="little").tobytes()
             yield pa.RecordBatch.from_pydict({"line": pa.array([line], pa.int64()), "bits": pa.array([bits], pa.binary())})
 
-    counted = chunks.select("notes").mapInArrow(count, "line bigint, block binary")
-    return counted.repartition(parts, "line").sortWithinPartitions("line").mapInArrow(merge, "line bigint, bits binary")
+    counted = chunks.select("notes").mapInArrow(tidy(count), "line bigint, block binary")
+    return counted.repartition(parts, "line").sortWithinPartitions("line").mapInArrow(tidy(merge), "line bigint, bits binary")
 
 
 def later_ones(blocks: list[bytes]) -> tuple[list[bytes], None]:
@@ -188,7 +189,7 @@ def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", width: i
     for line in lines:  # bounded by MOST_CELLS
         at = line.line % per * (SLICE // 8)
         bits[line.line // per][at : at + SLICE // 8] = np.frombuffer(line.bits, np.uint8)
-    sketch = spark.sparkContext.broadcast(bits)
+    sketch = everywhere(spark, bits)
     buckets = max(least, -(-words // BUCKET_WINDOWS))
 
     def ask(row: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
@@ -247,4 +248,4 @@ def deduplicated(df: DataFrame, id: str = "doc_id", text: str = "text", width: i
                 )
 
     schema = df.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept_text"))
-    return asked.mapInArrow(finish, schema.schema)
+    return asked.mapInArrow(tidy(finish), schema.schema)

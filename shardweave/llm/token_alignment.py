@@ -17,23 +17,30 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardweave.llm.byte_bpe import splits
 from shardweave.llm.chunks import CHUNK_BYTES, loose, pack, planes, squeezed, unpack, unplanes
-from shardweave.llm.store import stored
-from shardweave.llm.words import give_back, text_slices
+from shardweave.llm.store import everywhere, stored
+from shardweave.llm.words import give_back, mix, text_slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 from tokenizers import Tokenizer  # noqa: E402
 
 # Windows in a worker's memo before it starts anew, and the most ids of a window that is kept there.
-MEMO_WINDOWS, MEMO_IDS = 100_000, 48
+MEMO_WINDOWS, MEMO_IDS = 250_000, 48
+# Code points of a text from which on the library of the file encodes it.
+LONG = 1 << 18
+# Fixed value: how byte-level BPE splits texts.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # An id pair is one number: the first id above this many bits of the second.
 SHIFT = 20
 NEW = {"n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint", "n_best": "bigint", "count_sum": "bigint", "groups": "string"}
@@ -55,12 +62,40 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(0x100 + n): byte for n, byte in enumerate(hidden)}
 
 
+def as_ranks(data: bytes) -> dict[bytes, int] | None:
+    """The vocabulary of a byte-level BPE file as ranks, if merging by ranks is sure to give the same ids.
+
+    That is so if every token is made by one merge, in the order of the ids, and if ranks alone take the bytes of
+    each token to that very merge; and if texts are split in the usual way and changed by nothing else.
+    """
+    file, letters = json.loads(data), byte_letters()
+    model, split = file["model"], file.get("pre_tokenizer") or {}
+    usual = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    if model.get("type") != "BPE" or not usual or file.get("normalizer") or model.get("dropout") or model.get("ignore_merges"):
+        return None
+    special = {token["content"] for token in file.get("added_tokens", [])}
+    vocabulary = {entry: number for entry, number in model["vocab"].items() if entry not in special}
+    if not all(letter in letters for entry in vocabulary for letter in entry):
+        return None
+    ranks = {bytes(letters[letter] for letter in entry): number for entry, number in vocabulary.items()}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = {vocabulary[a + b]: (vocabulary[a], vocabulary[b]) for a, b in merges}
+    one = sum(len(token) == 1 for token in ranks)
+    ordered = [vocabulary[a + b] for a, b in merges] == sorted(made) and one == 256 and len(ranks) == one + len(merges)
+    return ranks if ordered and splits(ranks) == made else None
+
+
 class ByteLevel:
-    """A byte-level BPE tokenizer from a ``tokenizers`` file; texts are encoded with a space before them."""
+    """A byte-level BPE tokenizer from a ``tokenizers`` file; texts are encoded with a space before them.
 
-    def __init__(self, data: bytes):
+    With ``ranks`` (see ``as_ranks``) the quicker library for these encodes, but for texts of ``LONG`` and more,
+    whose runs of white space may be beyond it.
+    """
+
+    def __init__(self, data: bytes, ranks: dict[bytes, int] | None = None):
         self.tokenizer = Tokenizer.from_str(data.decode())
         self.tokenizer.encode_special_tokens = True
+        self.ranks = None if ranks is None else tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         letters, ids = byte_letters(), json.loads(data)["model"]["vocab"]
         self.bytes = [b""] * (max(ids.values()) + 1)
         for entry, number in ids.items():
@@ -68,7 +103,10 @@ class ByteLevel:
                 self.bytes[number] = bytes(letters[letter] for letter in entry)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
+        if self.ranks is None:
+            return [e.ids for e in self.tokenizer.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
+        encode = self.ranks.encode_ordinary
+        return [encode(" " + t) if len(t) < LONG else self.tokenizer.encode(" " + t, add_special_tokens=False).ids for t in texts]
 
 
 class Pieces:
@@ -88,14 +126,43 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers starts[k], starts[k] + 1, ... of each of some ranges, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(lengths.sum())
+
+
+def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What two ascending arrays without repetitions have in common."""
+    if not len(a) or not len(b):
+        return a[:0]
+    return a[b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a]
+
+
+# Odd multiplier of the hash of a run of ids, and its inverse modulo 2^64.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+def run_hashes(ids: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of ids between cuts: a difference of running sums, moved to the run's own start."""
+    powers, back = (np.cumprod(np.append(np.uint64(1), np.full(len(ids), base, np.uint64))) for base in (BASE, INVERSE))
+    sums = np.append(np.uint64(0), np.cumsum(mix(ids.astype(np.uint64) + np.uint64(1)) * powers[:-1]))
+    return mix((sums[cuts[1:]] - sums[cuts[:-1]]) * back[cuts[:-1]] + (cuts[1:] - cuts[:-1]).astype(np.uint64))
+
+
 class Aligner:
     """Aligns texts by windows; the memo maps a window's ids to the number of its entry."""
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
         self.sizes = [np.array([len(token) for token in t.bytes], np.int64) for t in (a, b)]
-        self.listed = [sizes.tolist() for sizes in self.sizes]
         self.spaced = [np.array([token.startswith(b" ") for token in t.bytes]) for t in (a, b)]
+        # Ids as they are written within a group and at the end of its first and second half.
+        numbers = [range(len(t.bytes)) for t in (a, b)]
+        self.inner = [np.array([f"{n}," for n in side], object) for side in numbers]
+        self.last = [np.array([f"{n}{mark}" for n in side], object) for side, mark in zip(numbers, "|;")]
+        self.shared_ints = list(range(max(map(len, numbers))))
         self.forget()
 
     def forget(self) -> None:
@@ -103,32 +170,30 @@ class Aligner:
         self.texts: list[str] = []
         self.groups, self.links_at, self.links = array("q"), array("q", [0]), array("q")
 
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> int:
-        """The number of the entry of a window, made anew: one walk along the ends of its tokens."""
-        size_a, size_b = self.listed
-        groups, links = [], self.links
-        i = j = first_i = first_j = 0
-        end_a, end_b = size_a[a[0]], size_b[b[0]]
-        while True:
-            links.append(a[i] << SHIFT | b[j])
-            order = end_a - end_b
-            if order <= 0:
-                i += 1
-            if order >= 0:
-                j += 1
-            if order == 0:
-                groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-                if i == len(a):
-                    break
-                first_i, first_j = i, j
-            if order <= 0:
-                end_a += size_a[a[i]]
-            if order >= 0:
-                end_b += size_b[b[j]]
-        self.texts.append(";".join(groups))
-        self.groups.append(len(groups))
-        self.links_at.append(len(links))
-        return len(self.texts) - 1
+    def learn(self, flat: list[np.ndarray], cuts: list[np.ndarray], fresh: np.ndarray) -> None:
+        """Add the entries of some windows, all at once: their tokens side by side, cut where any token ends."""
+        lengths = [cut[fresh + 1] - cut[fresh] for cut in cuts]
+        a, b = (side[ranges(cut[fresh], length)] for side, cut, length in zip(flat, cuts, lengths))
+        ends_a, ends_b = (np.cumsum(size[ids]) for size, ids in zip(self.sizes, (a, b)))
+        window_ends = ends_a[np.cumsum(lengths[0]) - 1]
+        # Between two ends, of whichever side, lies the overlap of just one pair of tokens.
+        shared = both(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]))
+        ends = ends[np.append(True, ends[1:] != ends[:-1])]
+        links = a[np.searchsorted(ends_a, ends)] << SHIFT | b[np.searchsorted(ends_b, ends)]
+        self.links_at.frombytes((len(self.links) + np.searchsorted(ends, window_ends) + 1).tobytes())
+        self.links.frombytes(links.tobytes())
+        self.groups.frombytes(np.diff(np.searchsorted(shared, window_ends) + 1, prepend=0).tobytes())
+        of_a, of_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        written = np.empty(len(a) + len(b), object)
+        for side, ids, mine, place in (
+            (0, a, of_a, np.arange(len(a)) + np.searchsorted(of_b, of_a)),
+            (1, b, of_b, np.arange(len(b)) + np.searchsorted(of_a, of_b, side="right")),
+        ):
+            closes = np.append(mine[1:] != mine[:-1], True)
+            written[place] = np.where(closes, self.last[side][ids], self.inner[side][ids])
+        parts, stops = written.tolist(), np.cumsum(lengths[0] + lengths[1]).tolist()
+        self.texts.extend("".join(parts[start:stop])[:-1] for start, stop in zip([0, *stops], stops))
 
     def tokens(self, texts: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         """The ids of both sides; none where the text is empty or the tokens of a side are not its bytes."""
@@ -147,42 +212,50 @@ class Aligner:
             self.forget()
         sides = self.tokens(texts)
         n_a, n_b = (np.array([len(ids) for ids in side], np.int64) for side in sides)
-        ids = [tuple(number for part in side for number in part) for side in sides]
-        flat = [np.array(side, np.int64) for side in ids]
+        flat = [np.fromiter(chain.from_iterable(side), np.int64, n.sum()) for side, n in zip(sides, (n_a, n_b))]
         starts = [np.cumsum(size[f]) - size[f] for size, f in zip(self.sizes, flat)]
         # Every text begins with an anchor, as both sides begin with the space before it.
-        anchors = np.intersect1d(*(start[mark[f]] for start, mark, f in zip(starts, self.spaced, flat)), assume_unique=True)
-        cut_a, cut_b = (np.append(np.searchsorted(start, anchors), len(start)) for start in starts)
-        memo, window = self.memo, self.window
-        all_a, all_b = ids
-        entries = np.empty(len(anchors), np.int64)
-        bounds_a, bounds_b = cut_a.tolist(), cut_b.tolist()
-        for n in range(len(entries)):
-            key = all_a[bounds_a[n] : bounds_a[n + 1]], all_b[bounds_b[n] : bounds_b[n + 1]]
+        anchors = both(*(start[mark[f]] for start, mark, f in zip(starts, self.spaced, flat)))
+        cut_a, cut_b = cuts = [np.append(np.searchsorted(start, anchors), len(start)) for start in starts]
+        # Windows that are alike are looked up once.
+        names = mix(run_hashes(flat[0], cut_a)) ^ run_hashes(flat[1], cut_b)
+        _, first, entry_of = np.unique(names, return_index=True, return_inverse=True)
+        all_a, all_b = (tuple(map(self.shared_ints.__getitem__, chain.from_iterable(side))) for side in sides)
+        memo, known, fresh, entries = self.memo, len(self.texts), [], []
+        bounds = (cut[first + shift].tolist() for cut in cuts for shift in (0, 1))
+        for n, i, j, k, m in zip(first.tolist(), *bounds):
+            key = all_a[i:j], all_b[k:m]
             entry = memo.get(key)
             if entry is None:
-                entry = window(*key)
-                if len(key[0]) + len(key[1]) <= MEMO_IDS:
+                entry = known + len(fresh)
+                fresh.append(n)
+                if j - i + m - k <= MEMO_IDS:
                     memo[key] = entry
-            entries[n] = entry
+            entries.append(entry)
+        if fresh:
+            self.learn(flat, cuts, np.array(fresh))
+        entries = np.array(entries, np.int64)[entry_of]
         # Windows of a text lie between its first token and the next text's.
         of_text = np.searchsorted(cut_a[:-1], np.append(0, np.cumsum(n_a)))
         links_at = np.frombuffer(self.links_at, np.int64)
         n_links = np.diff(links_at)[entries]
         before = np.append(0, np.cumsum(n_links))
-        at = np.repeat(links_at[entries] - before[:-1], n_links) + np.arange(before[-1])
-        links = np.frombuffer(self.links, np.int64)[at] if len(at) else at
+        links = np.frombuffer(self.links, np.int64)[ranges(links_at[entries], n_links)] if len(entries) else n_links
         owner = np.repeat(np.arange(len(texts)), np.diff(before[of_text]))
-        pairs, place = np.unique(links, return_inverse=True)
-        found, times = np.unique(place * len(texts) + owner, return_counts=True)
-        pieces = list(map(self.texts.__getitem__, entries.tolist()))
+        found = np.sort(links * len(texts) + owner)
+        at = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.empty(0, np.int64)
+        found, times = found[at], np.diff(np.append(at, len(found)))
+        pair, owner = found // len(texts), found % len(texts)
+        new = np.append(True, pair[1:] != pair[:-1])[: len(pair)]
+        pairs, place = pair[new], np.cumsum(new) - 1
+        pieces = [self.texts[entry] for entry in entries.tolist()]
         bounds = of_text.tolist()
         groups = [";".join(pieces[bounds[n] : bounds[n + 1]]) for n in range(len(texts))]
         if digest:
             groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
         so_far = np.append(0, np.cumsum(np.frombuffer(self.groups, np.int64)[entries])) if len(entries) else np.zeros(1, np.int64)
         columns = {"n_a": n_a, "n_b": n_b, "n_groups": np.diff(so_far[of_text]), "n_links": np.diff(before[of_text]), "groups": groups}
-        return columns, pairs, np.stack([found // max(1, len(texts)), found % max(1, len(texts))]), times
+        return columns, pairs, np.stack([place, owner]), times
 
 
 _LOADED: dict[str, Aligner] = {}
@@ -193,13 +266,14 @@ class Models:
 
     def __init__(self, spark: SparkSession, byte_level: str, pieces: str):
         self.name = f"{byte_level}\n{pieces}"
-        self.files = spark.sparkContext.broadcast((file_bytes(spark, byte_level), file_bytes(spark, pieces)))
+        files = file_bytes(spark, byte_level), file_bytes(spark, pieces)
+        self.files = everywhere(spark, (*files, as_ranks(files[0])))
 
     def load(self) -> Aligner:
         if self.name not in _LOADED:
             _LOADED.clear()
-            byte_level, pieces = self.files.value
-            _LOADED[self.name] = Aligner(ByteLevel(byte_level), Pieces(pieces))
+            byte_level, pieces, ranks = self.files.value
+            _LOADED[self.name] = Aligner(ByteLevel(byte_level, ranks), Pieces(pieces))
         return _LOADED[self.name]
 
 

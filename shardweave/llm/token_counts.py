@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from shardweave.llm.store import everywhere
+
 # Entries of a worker's memo before it starts anew, and the longest stretch (code points) that is kept.
 MEMO_ENTRIES, MEMO_LENGTH = 250_000, 48
 # How much worse than the worst piece an unknown character is (fixed value of the public tokenizers).
@@ -119,7 +121,7 @@ def counts(spark: SparkSession, text: Column, path: str) -> Column:
     The vocabulary (some MB) is broadcast. Null and empty texts have 0 tokens and score 0; a text of any
     length takes memory in proportion to its longest stretch without a space.
     """
-    model = spark.sparkContext.broadcast(read_pieces(path))
+    model = everywhere(spark, read_pieces(path))
 
     @arrow_udf("struct<score: double, n_tokens: bigint>")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from shardweave.llm.store import everywhere
 from shardweave.llm.words import give_back, utf8
 
 # Labels, those with the least hashes of their ids among the ids that have a text, that a model is fitted on.
@@ -234,7 +235,7 @@ def probabilities(docs: DataFrame, chain: Chain, categories: list[str], text: st
 
     One row in, one row out; null and empty texts have no features and get the chain's constants.
     """
-    model = docs.sparkSession.sparkContext.broadcast(chain)
+    model = everywhere(docs.sparkSession, chain)
     width = len(categories)
 
     @arrow_udf("array<double>")

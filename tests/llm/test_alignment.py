@@ -1,6 +1,7 @@
 """Token alignment against a plain version over byte ranges."""
 
 import hashlib
+import json
 import random
 from collections import Counter
 
@@ -129,6 +130,22 @@ def test_small_memo_and_chunks(spark, models, monkeypatch):
     assert times.sum() == sum(single[3].sum() for single in one_by_one)
 
 
+def test_ranks_stand_for_merges(spark):
+    """Ids by ranks are those of the file's own library, for every code point; other files are left to it."""
+    data = token_alignment.file_bytes(spark, BYTE_LEVEL)
+    ranks = token_alignment.as_ranks(data)
+    quick, own = token_alignment.ByteLevel(data, ranks), token_alignment.ByteLevel(data)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 7 == 0)]
+    texts = [f"x{c}x1{c}1 {c} {c}{c}  {c}!{c}" for c in points] + hard_texts() + [" " * 300_000, "a" * 300_000]
+    assert quick.ranks is not None and quick.encode(texts) == own.encode(texts)
+    changed = json.loads(data)
+    changed["model"]["merges"][40], changed["model"]["merges"][41] = changed["model"]["merges"][41], changed["model"]["merges"][40]
+    assert token_alignment.as_ranks(json.dumps(changed).encode()) is None
+    changed = json.loads(data)
+    changed["normalizer"] = {"type": "Lowercase"}
+    assert token_alignment.as_ranks(json.dumps(changed).encode()) is None
+
+
 def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     expected = plain(rows)
