@@ -8,7 +8,7 @@ group of near copies:
 - Elements that many prefixes hold come last in the order, so lists are long only for texts that consist
   of such elements. Within a list, entries are sorted by set size; those whose size or whose position in the
   prefix rules out a link are skipped in blocks.
-- Nodes that share prefix elements with the same leader form a cluster. Inside a cluster no pair is sent
+- Nodes that share prefix elements with a leader form a cluster, with all that are joined to them so. Inside a cluster no pair is sent
   anywhere: one task has the members' inverted lists and derives a set's overlaps with all others from
   those of the set before it, by the elements in which the two differ. Pairs between clusters are sent and
   checked one by one.
@@ -212,14 +212,14 @@ def _lists(table: DataFrame, parts: int) -> DataFrame:
 
 
 def _clusters(lists: DataFrame) -> DataFrame:
-    """(node, cluster) of the nodes that share several prefix elements with a leader. Any division into
-    clusters gives the same links; this one puts near copies together."""
+    """(node, cluster) of the nodes that share several prefix elements with a leader, or with one that does, and so on.
+
+    Any division into clusters gives the same links; this one puts all copies of a text together, whichever of
+    them leads their lists, so that hardly a pair of them is left to be sent.
+    """
     near = lists.where("node <> leader").groupBy("leader", "node").count().where(F.col("count") >= SHARED)
-    first = near.groupBy("node").agg(F.min("leader").alias("cluster"))
-    up = first.select(F.col("node").alias("cluster"), F.col("cluster").alias("above"))
-    moved = first.join(up, "cluster", "left").select("node", F.coalesce("above", "cluster").alias("cluster"))
-    heads = moved.select(F.col("cluster").alias("node")).distinct().join(moved, "node", "left_anti")
-    return moved.unionAll(heads.select("node", F.col("node").alias("cluster")))
+    found = components(near.select(F.col("leader").alias("u"), F.col("node").alias("v")))
+    return found.select("node", F.col("root").alias("cluster"))
 
 
 def _pairs(lists: DataFrame, clusters: DataFrame, rule: Rule, parts: int) -> DataFrame:
