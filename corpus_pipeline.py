@@ -12,6 +12,7 @@ import os
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +21,26 @@ from shardweave.llm import decontamination, queries, similarity_join, store, sub
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Rows hold whole texts, so a batch for Python ends at so many bytes, however few rows these are.
+BATCH_BYTES = 8 << 20
 _LEFT: list[str] = []
+_SENT: list[Broadcast] = []
 
 
 def _stage(fn: Stage) -> Stage:
-    """Ship the package, and delete the intermediate tables of the stage before, whose result is written."""
+    """Ship the package, bound the batches, and delete what the stage before, whose result is written, has left:
+    intermediate tables and broadcasts."""
 
     @wraps(fn)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship_package(spark)
-        before = store.folders(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+        before, sent = store.folders(spark), store.broadcasts(spark)
         store.release(spark, [path for path in before if path in _LEFT])
+        store.destroy([one for one in sent if any(one is other for other in _SENT)])
         result = fn(spark, docs, sf_dir)
         _LEFT[:] = [path for path in store.folders(spark) if path not in before]
+        _SENT[:] = [one for one in store.broadcasts(spark) if not any(one is other for other in sent)]
         return result
 
     return run
