@@ -50,6 +50,15 @@ def written_once(spark: SparkSession, sf: str, label: str, write: Callable[[str]
     return _WRITTEN[key]
 
 
+def written_anew(spark: SparkSession, label: str, write: Callable[[str], None]) -> str:
+    """Folder that ``write`` fills now, for queries whose work is the writing."""
+    from shardweave.session import scratch_path
+
+    folder = scratch_path(spark, label)
+    write(folder)
+    return folder
+
+
 def records(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as records: shard = source, position = doc_id, synthetic texts = all sentences."""
     return _records(table(spark, sf, "documents"))

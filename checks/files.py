@@ -4,7 +4,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from checks.base import RECORDS, balanced_records, check, list_sum, records, table, written_once
+from checks.base import RECORDS, balanced_records, check, list_sum, records, table, written_anew, written_once
 from shardweave.functions import text as tx
 from shardweave.operators import shards as sh
 from shardweave.operators.records import unwrap_features
@@ -36,27 +36,30 @@ _DIGESTS = f"""WITH {RECORDS} SELECT uid, md5(text) AS text_digest, lang, n_char
     md5(array_to_string(syn_text, '|')) AS syn_digest FROM records"""
 
 
+def jsonl_writer(spark, sf):
+    return lambda out: write_jsonl(sh.name_shards(stored(balanced_records(spark, sf)), "orig"), out)
+
+
+def tar_writer(spark, sf):
+    return lambda out: write_tar_samples(sh.name_shards(stored(balanced_records(spark, sf)), "count", "tar"), out)
+
+
 def jsonl_folder(spark, sf):
-    return written_once(
-        spark, sf, "jsonl", lambda out: write_jsonl(sh.name_shards(stored(balanced_records(spark, sf)), "orig"), out)
-    )
+    return written_once(spark, sf, "jsonl", jsonl_writer(spark, sf))
 
 
 def tar_folder(spark, sf):
-    def write(out):
-        write_tar_samples(sh.name_shards(stored(balanced_records(spark, sf)), "count", "tar"), out)
-
-    return written_once(spark, sf, "tar", write)
+    return written_once(spark, sf, "tar", tar_writer(spark, sf))
 
 
 @check("write_jsonl", _DIGESTS)
 def _(spark, sf):
-    return digests(jsonl.read_jsonl(spark, [jsonl_folder(spark, sf)], RECORD))
+    return digests(jsonl.read_jsonl(spark, [written_anew(spark, "jsonl", jsonl_writer(spark, sf))], RECORD))
 
 
 @check("write_tar_samples", _DIGESTS)
 def _(spark, sf):
-    files = paths.list_files(spark, tar_folder(spark, sf), [".tar"])
+    files = paths.list_files(spark, written_anew(spark, "tar", tar_writer(spark, sf)), [".tar"])
     return digests(tar.read_tar_samples(spark, files, RECORD))
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.base import RECORDS, check, records, written_once
+from checks.base import RECORDS, check, records, written_anew, written_once
 from checks.files import RECORD, jsonl_folder, third
 from shardweave.functions import text as tx
 from shardweave.operators import ledger as lg
@@ -73,14 +73,18 @@ def ledger_of(spark, sf):
     )
 
 
-def ledger_folder(spark, sf):
+def ledger_writer(spark, sf):
     def write(out):
         rows = ledger_of(spark, sf)
         # Repeating a wave, as after a crash, must not count it twice.
         for wave in [0, *[r["wave"] for r in rows.select("wave").distinct().orderBy("wave").toLocalIterator()]]:
             lg.append_ledger(spark, out, wave, rows.filter(F.col("wave") == wave))
 
-    return written_once(spark, sf, "ledger", write)
+    return write
+
+
+def ledger_folder(spark, sf):
+    return written_once(spark, sf, "ledger", ledger_writer(spark, sf))
 
 
 @check(
@@ -100,7 +104,7 @@ def _(spark, sf):
     WINDOW w AS (ORDER BY wave, begun, input_path ROWS UNBOUNDED PRECEDING)""",
 )
 def _(spark, sf):
-    totals = lg.running_totals(lg.recover(spark, ledger_folder(spark, sf)))
+    totals = lg.running_totals(lg.recover(spark, written_anew(spark, "ledger", ledger_writer(spark, sf))))
     return totals.select(
         "input_path",
         "num_uids",
@@ -168,7 +172,7 @@ def run_folder(spark, sf):
                 spark, inputs, out, lambda p: read_shards(spark, p, RECORD), marked, 7, limit
             )
 
-    return written_once(spark, sf, "run", write)
+    return written_anew(spark, "run", write)
 
 
 @check(
@@ -205,7 +209,7 @@ def stream_folder(spark, sf):
             query = stream_shards(spark, folder, out, RECORD, marked, freq=7, max_bytes=limit, naming="orig")
             query.awaitTermination()
 
-    return written_once(spark, sf, "stream", write)
+    return written_anew(spark, "stream", write)
 
 
 @check(

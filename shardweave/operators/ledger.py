@@ -18,7 +18,7 @@ from shardweave.operators.shards import (
     shard_table_of_files,
     written_outputs,
 )
-from shardweave.session import checkpointed
+from shardweave.session import checkpointed, scratch_scope
 from shardweave.sources.files import open_fs
 from shardweave.sources.sink import write_shards
 
@@ -167,17 +167,18 @@ def run_wave(
     kind: str = "wave",
 ) -> None:
     """Enrich the input shards of a shard table, write the ``files`` output shards that it plans, and
-    then the wave's part of the ledger."""
+    then the wave's part of the ledger. Tables that ``read`` and ``enrich`` have checkpointed go with the wave."""
     begun = time.monotonic()
     cpus = spark.sparkContext.defaultParallelism
     extension = "jsonl" if output_format == "jsonl" else "tar"
-    records = read(shards.select(F.col("_shard").alias("path")))
-    named = name_shards(records, naming, extension, shards=shards, shard_rows=files)
-    manifest = write_shards(enrich(named), out, output_format, part_name(kind, wave), bfloat16, files)
-    outputs = written_outputs(shard_outputs(shards, naming, extension), manifest)
-    remove_stale(outputs, out)
-    seconds = time.monotonic() - begun
-    append_ledger(spark, out, wave, _ledger_rows(outputs, out, wave, seconds, cpus, gpus), kind)
+    with scratch_scope(spark):
+        records = read(shards.select(F.col("_shard").alias("path")))
+        named = name_shards(records, naming, extension, shards=shards, shard_rows=files)
+        manifest = write_shards(enrich(named), out, output_format, part_name(kind, wave), bfloat16, files)
+        outputs = written_outputs(shard_outputs(shards, naming, extension), manifest)
+        remove_stale(outputs, out)
+        seconds = time.monotonic() - begun
+        append_ledger(spark, out, wave, _ledger_rows(outputs, out, wave, seconds, cpus, gpus), kind)
 
 
 def run_waves(
@@ -199,15 +200,16 @@ def run_waves(
     than ``max_bytes`` are spread over several output shards. ``options`` are those of
     :func:`run_wave`.
     """
-    spelled = paths.withColumn("path", canonical_path(F.col("path")))
-    ledger = recover(spark, out)
-    wave, start = next_wave(ledger), next_index(ledger).first()["next_index"]
-    known = spelled.select("path").unionAll(ledger.select("input_path"))
-    table = checkpointed(shard_table_of_files(pending_shards(spelled, ledger), start, max_bytes, known))
-    turn = F.floor((F.col("_first") - start) / freq)
-    # The plan of the run on the driver: one row per wave.
-    plan = table.groupBy(turn.alias("turn")).agg(F.sum("_pieces").alias("files")).orderBy("turn").collect()
-    for step in plan[:max_waves]:
-        run_wave(spark, table.filter(turn == step["turn"]), step["files"], out, wave, read, enrich, **options)
-        wave += 1
-    return len(plan[:max_waves])
+    with scratch_scope(spark):
+        spelled = paths.withColumn("path", canonical_path(F.col("path")))
+        ledger = recover(spark, out)
+        wave, start = next_wave(ledger), next_index(ledger).first()["next_index"]
+        known = spelled.select("path").unionAll(ledger.select("input_path"))
+        table = checkpointed(shard_table_of_files(pending_shards(spelled, ledger), start, max_bytes, known))
+        turn = F.floor((F.col("_first") - start) / freq)
+        # The plan of the run on the driver: one row per wave.
+        plan = table.groupBy(turn.alias("turn")).agg(F.sum("_pieces").alias("files")).orderBy("turn").collect()
+        for step in plan[:max_waves]:
+            run_wave(spark, table.filter(turn == step["turn"]), step["files"], out, wave, read, enrich, **options)
+            wave += 1
+        return len(plan[:max_waves])

@@ -16,6 +16,7 @@ from shardweave.operators.shards import MAX_BYTES, require_verified, write_confi
 from shardweave.operators.teachers import TeacherSpec
 from shardweave.plans.augment_plan import compress_draws
 from shardweave.plans.config import steps_from_config
+from shardweave.session import scratch_scope
 from shardweave.sources.paths import shard_paths
 from shardweave.sources.shards import read_shards
 
@@ -101,18 +102,19 @@ def caption_run(
     ``profile`` asks for executors with the GPUs that the teacher needs; only the stages that call it get them.
     ``verify`` reads all output again at the end and compares it with the checksums of the writer.
     """
-    run_waves(
-        spark,
-        shard_paths(spark, source),
-        out,
-        lambda paths: read_shards(spark, paths, schema),
-        lambda df: caption_records(df, teacher, num_samples, tag_suffix, seed, batch_size, profile),
-        freq,
-        output_format=output_format,
-        naming=naming,
-        max_bytes=max_bytes,
-    )
-    return _finish(spark, out, output_format, verify)
+    with scratch_scope(spark):
+        run_waves(
+            spark,
+            shard_paths(spark, source),
+            out,
+            lambda paths: read_shards(spark, paths, schema),
+            lambda df: caption_records(df, teacher, num_samples, tag_suffix, seed, batch_size, profile),
+            freq,
+            output_format=output_format,
+            naming=naming,
+            max_bytes=max_bytes,
+        )
+        return _finish(spark, out, output_format, verify)
 
 
 def embedding_run(
@@ -143,18 +145,19 @@ def embedding_run(
     """
     infer.check_ensemble(teachers, steps_from_config(aug_config))
     write_config(spark, json.dumps(aug_config, sort_keys=True), out)
-    run_waves(
-        spark,
-        shard_paths(spark, source),
-        out,
-        lambda paths: read_shards(spark, paths, schema),
-        lambda df: embed_records(
-            df, teachers, aug_config, num_samples, tag_suffix, syn_text_key_regex, decode, seed, batch_size, profile
-        ),
-        freq,
-        output_format=output_format,
-        naming=naming,
-        max_bytes=max_bytes,
-        bfloat16=bfloat16,
-    )
-    return _finish(spark, out, output_format, verify)
+    with scratch_scope(spark):
+        run_waves(
+            spark,
+            shard_paths(spark, source),
+            out,
+            lambda paths: read_shards(spark, paths, schema),
+            lambda df: embed_records(
+                df, teachers, aug_config, num_samples, tag_suffix, syn_text_key_regex, decode, seed, batch_size, profile
+            ),
+            freq,
+            output_format=output_format,
+            naming=naming,
+            max_bytes=max_bytes,
+            bfloat16=bfloat16,
+        )
+        return _finish(spark, out, output_format, verify)

@@ -6,7 +6,10 @@ import os
 import shutil
 import sys
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +41,39 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+class _Scopes(threading.local):
+    """The folders of the scopes that are open in a thread, the innermost last."""
+
+    def __init__(self):
+        self.folders: list[str] = []
+
+
+_SCOPES = _Scopes()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``checkpointed`` writes within a scope live until its end; whoever needs their rows later must
+    have written them elsewhere. Scopes may be nested, a wave within a run."""
+    folder = scratch_path(spark, "scope")
+    _SCOPES.folders.append(folder)
+    try:
+        yield
+    finally:
+        _SCOPES.folders.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage once, so that later uses see one fixed result."""
+    """Write ``df`` to reliable storage once, so that later uses see one fixed result.
+
+    Within a ``scratch_scope`` it is a table that goes with the scope, else a checkpoint.
+    """
+    if _SCOPES.folders:
+        path = f"{_SCOPES.folders[-1]}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(f"{scratch_root(df.sparkSession)}/checkpoints")

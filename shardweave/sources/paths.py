@@ -128,7 +128,7 @@ def canonical(path: str) -> str:
 
 _LISTED = "path STRING, bytes LONG, folder BOOLEAN"
 # Folders of the engine itself; every other name is data, also one that starts with a dot or underscore.
-OWN_FOLDERS = frozenset({"_partial", "_manifest", "_ledger", "_stream"})
+OWN_FOLDERS = frozenset({"_partial", "_manifest", "_manifest_parts", "_ledger", "_stream"})
 
 
 def _list_folders(folders: DataFrame, recursive: bool) -> DataFrame:

@@ -240,6 +240,52 @@ def test_the_stream_takes_new_shards_only(spark, tmp_path):
     assert json.loads(late) == {"uid": "late", "n": 5, "m": 6}
 
 
+def test_the_stream_takes_every_name_and_repeats_no_wave(spark, tmp_path):
+    folder, out = tmp_path / "in", tmp_path / "out"
+    folder.mkdir()
+    for name in ("_x.jsonl", ".x.jsonl", "plain.jsonl", "_SUCCESS", ".x.jsonl.crc"):
+        (folder / name).write_text(json.dumps({"uid": name, "n": 1}) + "\n")
+    calls = []
+
+    def start(fail=None):
+        def enrich(df):
+            calls.append(1)
+            return df.withColumn("m", F.when(F.col("uid") == fail, F.raise_error(F.lit("broken"))).otherwise(F.col("n")))
+
+        query = stream_shards(spark, str(folder), str(out), SCHEMA, enrich, freq=1, naming="orig")
+        query.awaitTermination()
+
+    with pytest.raises(Exception, match="broken"):
+        start("plain.jsonl")  # the third entry of the batch: the first two are in the ledger
+    assert {r["part"] for r in lg.recover(spark, str(out)).collect()} == {"stream-00000001", "stream-00000002"}
+    calls.clear()
+    start()
+    assert len(calls) == 1
+    (folder / "_late.jsonl").write_text('{"uid": "late", "n": 1}\n')
+    start()
+    start()
+    found = read_shards(spark, listing(spark, out), SCHEMA).select("uid").collect()
+    assert sorted(r["uid"] for r in found) == [".x.jsonl", "_x.jsonl", "late", "plain.jsonl"]
+    assert sorted(r["part"] for r in lg.recover(spark, str(out)).collect()) == [f"stream-{n:08d}" for n in range(1, 5)]
+
+
+def test_runs_leave_nothing_in_the_scratch_folder(spark, tmp_path):
+    root = scratch_root(spark)
+
+    def held():
+        return {os.path.join(folder, name) for folder, _, names in os.walk(root) for name in names}
+
+    write_input(spark, tmp_path / "in", 20, 4)
+    files = listing(spark, tmp_path / "in")
+    before = held()
+    assert lg.run_waves(spark, files, str(tmp_path / "out"), lambda p: read_shards(spark, p, SCHEMA), lambda df: df, freq=2) == 2
+    assert held() == before
+    stream_shards(spark, str(tmp_path / "in"), str(tmp_path / "stream"), SCHEMA, lambda df: df, freq=3).awaitTermination()
+    assert held() == before
+    runs.caption_run(spark, f"{tmp_path}/in/in{{00..03}}.jsonl", str(tmp_path / "captions"), TeacherSpec(HashCaption), SCHEMA, 2, verify=True)
+    assert held() == before
+
+
 def test_the_stream_reads_every_format_and_skips_what_a_run_has_done(spark, tmp_path):
     write_input(spark, tmp_path / "in", 20, 2)
     run(spark, tmp_path / "in", tmp_path / "out", freq=1, max_waves=1)
