@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -56,13 +57,13 @@ CLOSED_BY_KIND = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "tbody"),
 }
+LISTED = frozenset("li dd dt tr td th option thead tbody tfoot p".split())
 SCOPE = frozenset("html body table td th div section article main ul ol dl aside nav header footer form".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
-    re.S,
-)
+OPENING = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+NAME_END, PLAIN = re.compile(r"[\s/>]|\Z"), re.compile(r"[^>\"']*")
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAMES = re.compile(r"[a-z]+")
 SPACES = re.compile(r"\s+")
@@ -70,86 +71,170 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
+    """An element. ``cut`` says that its text is not the article's, ``soft`` that this is so only while it holds
+    less than half of the page's text, ``holds`` that an article is inside; ``near`` is the nearest of it and the
+    elements around it that a block may close, ``article`` and ``gathering`` the nearest of these kinds."""
+
+    __slots__ = (
+        "tag", "parent", "children", "cut", "soft", "holds", "near", "article", "gathering", "articles",
+        "chars", "tags", "link_chars", "link_tags", "density", "sum", "best",
+    )
 
-    def __init__(self, tag: str, parent: "Node | None", cut: bool = False):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: "Node | None", cut: bool = False, soft: bool = False):
+        self.tag, self.parent, self.cut, self.soft, self.holds = tag, parent, cut, soft, False
         self.children: list[Node | str] = []
+        self.near = self if tag in SCOPE or tag in LISTED or parent is None else parent.near
+
 
+class Tags:
+    """The tags of a page one after the other, in time that grows with its length, however broken it is.
 
-def names_of(attributes: str, tag: str) -> bool:
-    """Whether the attributes of an element say that it is no article text."""
+    A tag that is never closed is text. Where the quick pattern has failed once, tags are looked for step by step,
+    and places from which none can end are remembered, so that no part of the page is searched again and again.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.failed, self.name_end = html, False, -1
+        self.dead: set[int] = set()
+        self.last = {mark: html.rfind(mark) for mark in "\"'>"}
+
+    def next(self, at: int) -> tuple[int, int, str | None, str, str]:
+        """(start, end, name, slash, attributes) of the next tag; the name is None for a comment or the like, and for
+        the end of the page."""
+        html = self.html
+        while match := OPENING.search(html, at):
+            start = match.start()
+            if html[start + 1] in "!?":
+                return start, COMMENT.match(html, start).end(), None, "", ""
+            if self.last[">"] < start:
+                break
+            if not self.failed:
+                tag = TAG.match(html, start)
+                if tag:
+                    return start, tag.end(), tag[2], tag[1], tag[3]
+                self.failed = True
+            slash = html.startswith("/", start + 1)
+            if self.name_end < start:
+                self.name_end = NAME_END.search(html, start + 2).start()
+            if self.name_end <= start + 1 + slash:
+                self.name_end = NAME_END.search(html, start + 2 + slash).start()
+            end = self.closing(self.name_end)
+            if end >= 0:
+                return start, end + 1, html[start + 1 + slash : self.name_end], "/" if slash else "", html[self.name_end : end]
+            at = start + 1
+        return len(html), len(html), None, "", ""
+
+    def closing(self, at: int) -> int:
+        """Where the tag ends whose attributes begin here, -1 if it never does."""
+        html, visited = self.html, []
+        while at < len(html) and at not in self.dead:
+            visited.append(at)
+            at = PLAIN.match(html, at).end()
+            if at == len(html) or self.last[html[at]] == at and html[at] != ">":
+                break
+            if html[at] == ">":
+                return at
+            at = html.find(html[at], at + 1) + 1
+        self.dead.update(visited)
+        return -1
+
+
+def names_of(attributes: str, tag: str) -> tuple[bool, bool]:
+    """Whether the attributes of an element say that it is no article text, and whether only a part of a name does."""
+    part = False
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (values[0] or values[1] or values[2]).lower()
         if name in ("class", "id") and tag not in ("body", "html"):
             marks = READERS if tag in ("article", "main") else CUT_NAMES
             for mark in unescape(value).split():
                 words = NAMES.findall(mark)
-                if mark in HEADS and tag not in ("article", "main"):
-                    return True
-                if words and words[0] not in LAYOUT and not marks.isdisjoint(words):
-                    return True
+                if mark in HEADS and tag not in ("article", "main") or len(words) == 1 and words[0] in marks:
+                    return True, False
+                before = LAYOUT.isdisjoint
+                part = part or any(word in marks and before(words[:k]) for k, word in enumerate(words))
         elif name == "role" and value in CUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return True, False
         elif name == "style" and HIDDEN.search(value):
-            return True
-    return False
+            return True, False
+    return part, part
 
 
 def parse(html: str) -> Node:
     """The DOM of a page. Wrong nesting is mended: an end tag closes up to its element or is ignored,
     and inline elements left open end with their block."""
     root = here = Node("html", None)
-    at, low = 0, None
+    at, low, tags = 0, None, Tags(html)
+    inline: Counter[str] = Counter()  # inline elements that are open in the innermost block
+    opened: Counter[str] = Counter()  # blocks that are open, by tag
+    outside: list[Counter[str]] = []  # what ``inline`` was in the blocks around the open one
+
+    def left(node: Node) -> Node:
+        """Close an element and those open inside it; what is open then is the element around it."""
+        nonlocal here, inline
+        last = None
+        while last is not node:
+            last, here = here, here.parent
+            if last.tag in INLINE:
+                inline[last.tag] -= 1
+            else:
+                opened[last.tag] -= 1
+                inline = outside.pop()
+        return here
+
     while at < len(html):
-        match = TOKEN.search(html, at)
-        start = match.start() if match else len(html)
+        start, end, tag, slash, attributes = tags.next(at)
         if start > at:
             here.children.append(html[at:start])
-        if not match:
-            break
-        at = match.end()
-        if match[2] is None:
-            if match[0].startswith("<![CDATA["):
-                here.children.append(match[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+        at = end
+        if tag is None:
+            if html.startswith("<![CDATA[", start):
+                here.children.append(html[start + 9 : end].removesuffix("]]>").replace("&", "&amp;"))
             continue
-        tag = match[2].lower()
-        if match[1]:
-            node = here
+        tag = tag.lower()
+        if slash:
+            node = here if (inline if tag in INLINE else opened)[tag] else root
             while node.parent is not None and node.tag != tag:
                 if tag in INLINE and node.tag not in INLINE:  # a stray end of an inline element stays in its block
                     node = root
                     break
                 node = node.parent
             if node.parent is not None:
-                here = node.parent
+                left(node)
             elif tag in ("p", "br"):
                 here.children.append(Node(tag, here))
             continue
-        if tag in ("html", "body") and (tag == "html" or any(n.tag == "body" for n in _up(here))):
+        if tag == "html" or tag == "body" and opened["body"]:
             continue
         if tag not in INLINE and tag not in VOID or tag == "hr":
             kinds = CLOSED_BY_KIND.get(tag)
-            for node in _up(here):
+            node = here.near
+            while node is not None:
+                above = node.parent
                 if node.tag == "p" or kinds and node.tag in kinds:
-                    here = node.parent
+                    left(node)
                     if node.tag == "p" or node.tag == tag:
                         break
-                elif node.tag in SCOPE or node.tag in ("li", "dd", "dt", "tr", "ul", "ol", "dl") and not kinds:
+                elif node.tag in SCOPE or not kinds:
                     break
-            if tag in ("body",):
-                here = root
-        named = bool(match[3]) and names_of(match[3], tag)
+                node = above.near if above is not None else None
+            if tag == "body":
+                here, inline = root, Counter()
+                opened.clear()
+                outside.clear()
+        named, part = names_of(attributes, tag) if attributes else (False, False)
+        soft = part or tag == "form" and not named
         cut = tag in CUT or named
         if tag in ("article", "main") and not named:
-            for above in _up(here):  # what holds the article is no side matter, whatever it is called
-                if above.tag not in CUT and above.tag != "header":
+            above = here  # what holds the article is no side matter, whatever it is called
+            while above is not None and not above.holds:
+                if above.tag not in CUT and above.tag != "header" or above.tag == "form":
                     above.cut = False
+                above.holds, above = True, above.parent
         if tag == "header":
-            cut = cut or not any(n.tag in ("article", "main") for n in _up(here))
-        node = Node(tag, here, cut)
+            cut = cut or not (opened["article"] or opened["main"])
+        node = Node(tag, here, cut, soft)
         here.children.append(node)
-        if tag in VOID or match[3].endswith("/") and tag in ("path", "use", "rect", "circle"):
+        if tag in VOID or attributes.endswith("/") and tag in ("path", "use", "rect", "circle"):
             continue
         if tag in RAW:
             if low is None:
@@ -159,6 +244,12 @@ def parse(html: str) -> Node:
             close = html.find(">", at)
             at = len(html) if end < 0 or close < 0 else close + 1
             continue
+        if tag in INLINE:
+            inline[tag] += 1
+        else:
+            opened[tag] += 1
+            outside.append(inline)
+            inline = Counter()
         here = node
     return root
 
@@ -173,20 +264,40 @@ def _up(node: Node | None) -> Iterator[Node]:
         node = node.parent
 
 
-def in_order(root: Node) -> list[Node]:
-    """All nodes that are not cut, parents first, without recursion (pages can nest deeply)."""
+def in_order(root: Node, every: bool = False) -> list[Node]:
+    """All nodes that are not cut (or only softly, with ``every``), parents first, without recursion (pages can nest
+    deeply)."""
     found, stack = [], [root]
     while stack:
         node = stack.pop()
         found.append(node)
-        stack.extend(c for c in reversed(node.children) if type(c) is Node and not c.cut)
+        stack.extend(c for c in reversed(node.children) if type(c) is Node and (not c.cut or every and c.soft))
     return found
 
 
+def spare(root: Node) -> None:
+    """Give back what a form or a part of a name would cut, where it holds at least half of the page's text."""
+    nodes = in_order(root, every=True)
+    if not any(node.cut for node in nodes):
+        return
+    for node in reversed(nodes):
+        node.chars = sum(
+            (0 if c.isspace() else len(c)) if type(c) is str else c.chars for c in node.children if type(c) is str or not c.cut or c.soft
+        )
+    for node in nodes:
+        if node.soft and 2 * node.chars >= root.chars:
+            node.cut = False
+
+
 def weigh(root: Node) -> list[Node]:
     """Set characters, tags, density and density sum of every node; returns the nodes, parents first."""
     nodes = in_order(root)
+    for node in nodes:
+        above = node.parent if node is not root else None
+        node.article = node if node.tag in ("article", "main") else above and above.article
+        node.gathering = node if node.tag in GATHERING else above and above.gathering
     for node in reversed(nodes):
+        node.articles = (node.tag == "article") + sum(c.articles for c in node.children if type(c) is Node and not c.cut)
         node.chars = node.tags = node.link_chars = node.link_tags = 0
         for child in node.children:
             if type(child) is str:
@@ -225,26 +336,15 @@ def weigh(root: Node) -> list[Node]:
 
 def gathered(node: Node) -> Node:
     """The gathering that a core stands for: its article if the page marks one, else the nearest around it."""
-    for above in _up(node):
-        if above.tag in ("article", "main"):
-            return above
-    for above in _up(node):
-        if above.tag in GATHERING:
-            return above
-    return node
+    return node.article or node.gathering or node
 
 
-def region(whole: Node, nodes: list[Node]) -> Node:
+def region(whole: Node, root: Node) -> Node:
     """The page's main part: the outermost main around its article, else what all articles have in common."""
     mains = [n for n in _up(whole) if n.tag == "main"]
     if mains:
         return mains[-1]
-    found = list(_up(whole))
-    for article in nodes:
-        if article.tag == "article":
-            mine = {id(n) for n in _up(article)}
-            found = [n for n in found if id(n) in mine]
-    return found[0]
+    return next(node for node in _up(whole) if node.articles == root.articles)
 
 
 def cores(root: Node) -> set[int]:
@@ -260,7 +360,7 @@ def cores(root: Node) -> set[int]:
     chosen = {id(whole)}
     if whole.tag in ("article", "main"):  # the page says what its article is
         above = {id(n) for n in _up(whole)}
-        for node in in_order(region(whole, nodes)):
+        for node in in_order(region(whole, root)):
             if id(node) not in above and node.density >= threshold and node.chars:
                 core = gathered(node.best)
                 # A block that stands beside the articles, as a lead does, speaks for itself only.
@@ -307,6 +407,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    spare(root)
     return " ".join(blocks(root, cores(root)))
 
 
