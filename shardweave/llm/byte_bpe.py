@@ -254,6 +254,22 @@ class Tokenizer:
 
         return decode(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """STRUCT<ids, decoded>: ``encode`` and ``decode`` by one worker, which has the tables in memory once."""
+        load = self._loader()
+
+        @arrow_udf("struct<ids: binary, decoded: binary>")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            bpe = load()
+            for batch in batches:
+                ids = [bpe.encode(t.as_py()) if t.is_valid else b"" for t in batch]
+                columns = [pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.binary())]
+                yield pa.StructArray.from_arrays(columns, ["ids", "decoded"])
+            bpe.forget()
+            give_back()
+
+        return run(text)
+
 
 def encoded(df: DataFrame, tokenizer: Tokenizer, text: str = "text") -> DataFrame:
     """``df`` with ``ids`` (see ``Tokenizer.encode``), ``decoded`` (the bytes back from the ids) and ``n_tokens``.
@@ -261,5 +277,7 @@ def encoded(df: DataFrame, tokenizer: Tokenizer, text: str = "text") -> DataFram
     Columns of these names are replaced. One row in, one row out, without a shuffle; null or empty
     text has no ids, no bytes and 0 tokens; repeated rows stay; an empty table stays empty.
     """
-    df = df.withColumn("ids", tokenizer.encode(F.col(text))).withColumn("decoded", tokenizer.decode(F.col("ids")))
+    others = [name for name in df.columns if name not in ("ids", "decoded", "n_tokens")]
+    df = df.select(*others, tokenizer.round_trip(F.col(text)).alias("ids"))
+    df = df.select(*others, F.col("ids.ids").alias("ids"), F.col("ids.decoded").alias("decoded"))
     return df.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))

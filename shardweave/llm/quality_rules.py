@@ -171,14 +171,17 @@ def fitted(rows: DataFrame) -> Ensemble:
 def scored(docs: DataFrame, labels: DataFrame, label: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(``id``, score) for each row of ``docs``: how likely the boolean ``label`` is true by the text alone.
 
-    Fitted on the ``SAMPLE_ROWS`` rows of ``labels`` with the least hashes of their id; rows without id or label are
-    left out, as are ids that ``docs`` does not have. Null and empty texts have statistics of 0 and the score
+    Fitted on at most ``SAMPLE_ROWS`` labelled rows, those with the least hashes of their id; rows without id or label
+    are left out before these are taken, as are ids that ``docs`` does not have. Null and empty texts have statistics of 0 and the score
     that follows from them. Repeated rows are each scored; an empty table gives an empty result.
     """
     measures = stored(measured(docs, id, text), "quality-statistics")
     marked = labels.select(F.col(id), F.col(label).cast("int").alias("label")).dropna()
-    sample = marked.orderBy(F.xxhash64(id), id, "label").limit(SAMPLE_ROWS)
-    # Bounded by SAMPLE_ROWS, so it may be broadcast whatever the size of the tables.
-    rows = measures.join(F.broadcast(sample), id).drop(id).repartition(4)
+    known = marked.join(measures.select(id), id, "left_semi")
+    sample = known.orderBy(F.xxhash64(id), id, "label").limit(SAMPLE_ROWS)
+    # Bounded by SAMPLE_ROWS, so it may be broadcast whatever the size of the tables; an id may be on many rows.
+    rows = measures.join(F.broadcast(sample), id)
+    ordered = rows.orderBy(F.xxhash64(id), id, "label", F.xxhash64(*(F.col(c) for c in measures.columns)))
+    rows = ordered.limit(SAMPLE_ROWS).drop(id).repartition(4)
     model = fitted(stored(rows, "quality-sample"))
     return measures.select(id, model.score().alias("score"))

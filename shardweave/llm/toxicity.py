@@ -196,9 +196,9 @@ def train(rows: list[np.ndarray], labels: list[list[int]]) -> Chain:
 def fitted(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id: str = "doc_id", text: str = "text") -> Chain:
     """A chain for ``categories``, in their order: names with boolean conditions on ``labels``.
 
-    Fitted on the ``SAMPLE_ROWS`` labelled rows with the least hashes of their id, in one task. Rows without id or
+    Fitted on at most ``SAMPLE_ROWS`` labelled rows, those with the least hashes of their id, in one task. Rows without id or
     with an undecided category are left out before these are taken, as are ids that ``docs`` does not have; a repeated
-    id counts as often as it is there. Without any row the chain is not ``learned``, and every category has
+    id counts as often as it is there, within that bound. Without any row the chain is not ``learned``, and every category has
     probability one half.
     """
     conditions = [c.cast("int").alias(f"_y{n}") for n, c in enumerate(categories.values())]
@@ -209,6 +209,7 @@ def fitted(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id
     sample = marked.join(texts.select("_id"), "_id", "left_semi").orderBy(order, "_id", *names).limit(SAMPLE_ROWS)
     # Bounded by SAMPLE_ROWS, so it may be broadcast whatever the size of the tables.
     rows = texts.join(F.broadcast(sample), "_id").select("_id", "_text", *names)
+    rows = rows.orderBy(order, "_id", F.xxhash64("_text"), *names).limit(SAMPLE_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks: list[list[int]] = []
