@@ -225,7 +225,7 @@ def _(spark, sf):
         (F.count_distinct("output_path") > 1).cast("int").alias("split"), F.sum("num_uids").alias("num_uids")
     )
     data = read_shards(spark, paths.list_files(spark, folder, [".jsonl"]), RECORD + ", n_words BIGINT")
-    words = data.groupBy(F.substring_index(tx.basename(F.col("_shard")), "-", 1).alias("source")).agg(
+    words = data.groupBy(F.regexp_extract(tx.basename(F.col("_shard")), "^[^-.]+", 0).alias("source")).agg(
         F.count(F.lit(1)).alias("read_back"), F.sum("n_words").alias("n_words")
     )
     return ledger.join(words, "source")

@@ -80,6 +80,17 @@ def infer(
     return df.mapInPandas(run, out_schema, profile=profile)
 
 
+def column_of(fn: Callable[..., pa.Array], kind: str, inputs: list[Column], batch_size: int) -> Column:
+    """What ``fn`` returns for the ``inputs``, in batches of exactly ``batch_size`` rows (the last of a partition may be
+    smaller); only the inputs cross to Python."""
+
+    def results(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for batch in full_batches((b if isinstance(b, tuple) else (b,) for b in batches), batch_size):
+            yield fn(*batch)
+
+    return once(arrow_udf(results, kind))(*inputs)
+
+
 def with_result(
     df: DataFrame,
     out: str,
@@ -89,21 +100,15 @@ def with_result(
     batch_size: int,
     profile: ResourceProfile | None = None,
 ) -> DataFrame:
-    """Add ``out``: what ``fn`` returns for the ``inputs``, in batches of exactly ``batch_size`` rows (the last of a
-    partition may be smaller).
+    """Add ``out``: what ``fn`` returns for the ``inputs``, see ``column_of``.
 
-    Without a ``profile`` only the inputs cross to Python. A ``profile`` asks for executors with the resources
+    A ``profile`` asks for executors with the resources
     (GPUs) that the model needs; Spark schedules whole stages by it, so the rows pass through one Arrow map,
     with the inputs beside them, and get their result in the same pass. What stands before that map up to the last
     shuffle runs in the same stage, on the same executors.
     """
-
-    def results(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for batch in full_batches((b if isinstance(b, tuple) else (b,) for b in batches), batch_size):
-            yield fn(*batch)
-
     if profile is None:
-        return df.withColumn(out, once(arrow_udf(results, kind))(*inputs))
+        return df.withColumn(out, column_of(fn, kind, inputs, batch_size))
     names = [f"_input{k}" for k in range(len(inputs))]
     rows = df.drop(out)
     kept, width = rows.columns, len(rows.columns)
@@ -135,6 +140,11 @@ def _text_vectors(teachers: list[TeacherSpec], batch_size: int) -> Callable[[pa.
     return vectors_of
 
 
+def embed_texts(texts: Column, teachers: list[TeacherSpec], batch_size: int = 1024) -> Column:
+    """One vector per text of an ARRAY<STRING>; the vectors of all teachers are joined in order."""
+    return column_of(_text_vectors(teachers, batch_size), VECTORS, [texts], batch_size)
+
+
 def add_text_embeddings(
     df: DataFrame,
     teachers: list[TeacherSpec],
