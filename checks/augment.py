@@ -615,6 +615,50 @@ def _(spark, sf):
     return done.select("uid", F.col("plan.name").alias("op"), checksum(F.col("view")).alias("view_sum"))
 
 
+def _interpolated(row: str, col: str) -> str:
+    """Bilinear warp, rounded to whole values; pixels outside count as zero."""
+    y, x = "(i // 8 + 0.5 - 4)", "(i % 8 + 0.5 - 4)"
+    r, k = f"({row.format(x=x, y=y)} + 3.5)::DOUBLE", f"({col.format(x=x, y=y)} + 3.5)::DOUBLE"
+    taps = []
+    for down in (0, 1):
+        for right in (0, 1):
+            a, b = f"(floor({r})::BIGINT + {down})", f"(floor({k})::BIGINT + {right})"
+            pixel = f"(CASE WHEN {a} BETWEEN 0 AND 7 AND {b} BETWEEN 0 AND 7 THEN px[{a} * 8 + {b} + 1] ELSE 0 END)"
+            taps.append(f"(1 - abs({r} - {a})) * (1 - abs({k} - {b})) * {pixel}")
+    return f"list_transform(range(64), lambda i: round_even({' + '.join(taps)}, 0))"
+
+
+_SHIFTS = {
+    "ShearX": ("{y}", "{x} + 0.3125 * ({y} + 4)"),
+    "ShearY": ("{y} - 0.3125 * ({x} + 4)", "{x}"),
+    "Rotate": (f"{_COS} * {{y}} + {_SIN} * {{x}}", f"{_COS} * {{x}} - {_SIN} * {{y}}"),
+}
+# Magnitudes that belong to them.
+SHIFTS = {"ShearX": 0.3125, "ShearY": -0.3125, "Rotate": 20.0}
+
+
+@check(
+    "policy_interpolation",
+    f"WITH {IMAGES} "
+    + " UNION ALL ".join(f"SELECT uid, '{op}' AS op, {sql_checksum(_interpolated(*at))} AS view_sum FROM images" for op, at in _SHIFTS.items()),
+)
+def _(spark, sf):
+    """Operations in front of a teacher interpolate, as its configuration says or by default."""
+    config = {"auto_augment": {}}
+    steps = cf.steps_from_config(config, cf.TEACHER_ORDER)
+    plans = [
+        F.struct(
+            F.lit(op).alias("name"),
+            F.array(F.struct(F.lit(policies.ALL_OPS.index(op)).alias("op"), F.lit(m).alias("magnitude"))).alias("auto_augment"),
+        )
+        for op, m in SHIFTS.items()
+    ]
+    each = images(spark, sf).withColumn("plan", F.explode(F.array(*plans)))
+    drawn_ops = each.withColumn("params", F.array(F.struct("plan.auto_augment")))
+    done = augment.apply_views(drawn_ops, steps, "image", "params")
+    return done.select("uid", F.col("plan.name").alias("op"), checksum(F.get("views", F.lit(0))).alias("view_sum"))
+
+
 # Operations that look at neighbours, channels or the whole image: 32 x 32 pixels, three channels.
 RGB_OPS = {"Color": 0.4, "Contrast": -0.5, "Sharpness": 0.5, "AutoContrast": 0.0, "Equalize": 0.0}
 

@@ -158,7 +158,9 @@ def view_of(image: np.ndarray, steps: list[Step], params: dict) -> np.ndarray:
             image = image[:, ::-1] if value else image
         elif step.name in ("rand_augment", "auto_augment", "trivial_augment_wide"):
             for op in value:
-                image = kernels.augment_op(image, ALL_OPS[op["op"]], op["magnitude"])
+                image = kernels.augment_op(
+                    image, ALL_OPS[op["op"]], op["magnitude"], args.get("interpolation", "nearest")
+                )
         elif step.name == "random_erase":
             image = image.copy()
             image[value["x"] : value["x"] + value["h"], value["y"] : value["y"] + value["w"]] = 0
@@ -236,11 +238,12 @@ def apply_views(df: DataFrame, steps: list[Step], image: str, params: str, out:
     return df.withColumn(out, once(views)(*pinned(image, params)))
 
 
-def apply_rand_augment(df: DataFrame, image: str, ops: str, out: str) -> DataFrame:
-    """Add ``out``: the image after its planned operations (array of ``{op, magnitude}``)."""
+def apply_rand_augment(df: DataFrame, image: str, ops: str, out: str, interpolation: str = "nearest") -> DataFrame:
+    """Add ``out``: the image after its planned operations (array of ``{op, magnitude}``); those that move pixels
+    take the nearest one, or interpolate (``bilinear``, ``bicubic``)."""
     single = F.array(F.struct(F.col(ops).alias("rand_augment")))
     planned = df.withColumn("_ops", single)
-    viewed = apply_views(planned, [Step("rand_augment")], image, "_ops", "_views")
+    viewed = apply_views(planned, [Step("rand_augment", {"interpolation": interpolation})], image, "_ops", "_views")
     return viewed.withColumn(out, F.get("_views", F.lit(0))).drop("_ops", "_views")
 
 

@@ -73,17 +73,32 @@ def crop(image: np.ndarray, top: int, left: int, h: int, w: int) -> np.ndarray:
     return out
 
 
-def warp(image: np.ndarray, row_from, col_from) -> np.ndarray:
-    """Nearest-pixel warp: output pixel centres, relative to the image centre, map through the two
-    (row, column, offset) coefficient triples; outside is zero."""
+def warp(image: np.ndarray, row_from, col_from, mode: str = "nearest") -> np.ndarray:
+    """Warp: output pixel centres, relative to the image centre, map through the two (row, column, offset)
+    coefficient triples; what lies outside counts as zero. Weighted means are rounded to whole values."""
     h, w, _ = image.shape
     y = np.arange(h)[:, None] + 0.5 - h / 2
     x = np.arange(w)[None, :] + 0.5 - w / 2
-    rows = np.rint(row_from[0] * y + row_from[1] * x + row_from[2] + h / 2 - 0.5).astype(int)
-    cols = np.rint(col_from[0] * y + col_from[1] * x + col_from[2] + w / 2 - 0.5).astype(int)
-    inside = (rows >= 0) & (rows < h) & (cols >= 0) & (cols < w)
-    out = image[np.clip(rows, 0, h - 1), np.clip(cols, 0, w - 1)]
-    return np.where(inside[..., None], out, 0.0).astype(np.float32)
+    rows = row_from[0] * y + row_from[1] * x + row_from[2] + h / 2 - 0.5
+    cols = col_from[0] * y + col_from[1] * x + col_from[2] + w / 2 - 0.5
+
+    def at(r: np.ndarray, k: np.ndarray) -> np.ndarray:
+        inside = (r >= 0) & (r < h) & (k >= 0) & (k < w)
+        return np.where(inside[..., None], image[np.clip(r, 0, h - 1), np.clip(k, 0, w - 1)], 0.0)
+
+    if mode == "nearest":
+        return at(np.rint(rows).astype(int), np.rint(cols).astype(int)).astype(np.float32)
+    mode = "bicubic" if mode == "cubic" else mode
+    if mode not in ("bilinear", "bicubic"):
+        raise ValueError(f"interpolation that cannot warp: {mode}")
+    weight_at, taps = _FILTERS[mode]
+    top, left = np.floor(rows).astype(int), np.floor(cols).astype(int)
+    out = np.zeros(image.shape)
+    for i in taps:
+        for j in taps:
+            weight = weight_at(rows - (top + i)) * weight_at(cols - (left + j))
+            out += weight[..., None] * at(top + i, left + j)
+    return np.rint(np.clip(out, 0, 255)).astype(np.float32)
 
 
 def _blend(image: np.ndarray, other, ratio: float) -> np.ndarray:
@@ -137,21 +152,21 @@ def _equalize(image: np.ndarray) -> np.ndarray:
     return out
 
 
-def augment_op(image: np.ndarray, op: str, m: float) -> np.ndarray:
-    """One of the policy operations on an image with whole values 0..255."""
+def augment_op(image: np.ndarray, op: str, m: float, mode: str = "nearest") -> np.ndarray:
+    """One of the policy operations on an image with whole values 0..255; ``mode`` is how warps interpolate."""
     straight_row, straight_col = (1.0, 0.0, 0.0), (0.0, 1.0, 0.0)
     h, w, _ = image.shape
     if op == "ShearX":  # about the top left corner
-        return warp(image, straight_row, (m, 1.0, m * h / 2))
+        return warp(image, straight_row, (m, 1.0, m * h / 2), mode)
     if op == "ShearY":
-        return warp(image, (1.0, m, m * w / 2), straight_col)
+        return warp(image, (1.0, m, m * w / 2), straight_col, mode)
     if op == "TranslateX":
-        return warp(image, straight_row, (0.0, 1.0, -float(int(m))))
+        return warp(image, straight_row, (0.0, 1.0, -float(int(m))), mode)
     if op == "TranslateY":
-        return warp(image, (1.0, 0.0, -float(int(m))), straight_col)
+        return warp(image, (1.0, 0.0, -float(int(m))), straight_col, mode)
     if op == "Rotate":
         sin, cos = math.sin(math.radians(m)), math.cos(math.radians(m))
-        return warp(image, (cos, sin, 0.0), (-sin, cos, 0.0))
+        return warp(image, (cos, sin, 0.0), (-sin, cos, 0.0), mode)
     if op == "Brightness":
         return _blend(image, 0.0, 1.0 + m)
     if op == "Color":

@@ -60,6 +60,9 @@ KINDS = {
     "mixup": Kind(mixes=True),
     "cutmix": Kind(mixes=True),
 }
+# Steps made of policy operations. In front of a teacher these interpolate bilinearly unless the
+# configuration says otherwise; replayed ones take the nearest pixel.
+POLICY_STEPS = ("rand_augment", "auto_augment", "trivial_augment_wide")
 # Fixed value: configuration entry that refers to a teacher's preset.
 PRESET_KEY = "timm_resize_crop_norm"
 
@@ -120,6 +123,10 @@ def steps_from_config(
     entries = enabled(config)
     if PRESET_KEY in entries and order == TEACHER_ORDER:
         entries.update(preset_config((presets or {})[entries[PRESET_KEY]["name"]]))
+    if order == TEACHER_ORDER:
+        for name in POLICY_STEPS:
+            if name in entries:
+                entries[name].setdefault("interpolation", "bilinear")
     return [Step(name, entries[name]) for name in order if name in entries]
 
 

@@ -78,6 +78,48 @@ def test_rotation_by_a_quarter_turn_is_exact():
     assert (kernels.augment_op(im, "Rotate", 90.0) == np.rot90(im)).all()
 
 
+@pytest.mark.parametrize("mode", ["bilinear", "bicubic", "cubic"])
+def test_interpolated_operations(mode):
+    im = image(6, 7)
+
+    def value(r: float, k: float, ch: int) -> float:
+        total = 0.0
+        for i in range(6):
+            for j in range(7):
+                near = [abs(r - i), abs(k - j)]
+                if mode == "bilinear":
+                    total += max(0.0, 1 - near[0]) * max(0.0, 1 - near[1]) * im[i, j, ch]
+                else:
+                    total += float(kernels._cubic(near[0]) * kernels._cubic(near[1])) * im[i, j, ch]
+        return min(max(total, 0.0), 255.0)
+
+    got = kernels.augment_op(im, "ShearX", 0.3, mode)
+    want = [[[value(i, j + 0.3 * (i + 0.5), ch) for ch in range(im.shape[2])] for j in range(7)] for i in range(6)]
+    assert np.abs(got - want).max() <= 0.5 + 1e-6 and (got == np.rint(got)).all()
+    # Whole shifts and quarter turns are the same in every mode, other operations do not look at it.
+    square = image(6, 6)
+    for op, m in (("TranslateX", 2.0), ("TranslateY", -3.0), ("Rotate", 90.0), ("Color", 0.4)):
+        assert (kernels.augment_op(square, op, m, mode) == kernels.augment_op(square, op, m)).all()
+
+
+def test_modes_that_cannot_warp_are_an_error():
+    with pytest.raises(ValueError, match="lanczos"):
+        kernels.augment_op(image(), "Rotate", 10.0, "lanczos")
+
+
+def test_interpolation_of_policies(spark):
+    config = {"rand_augment": {"p": 1.0}}
+    assert cf.steps_from_config(config)[0].args.get("interpolation") is None
+    assert cf.steps_from_config(config, cf.TEACHER_ORDER)[0].args["interpolation"] == "bilinear"
+    asked = cf.steps_from_config({"trivial_augment_wide": {"interpolation": "nearest"}}, cf.TEACHER_ORDER)
+    assert asked[0].args["interpolation"] == "nearest"
+    im = image(6, 6)
+    ops = F.array(F.struct(F.lit(5).alias("op"), F.lit(20.0).alias("magnitude")))
+    for mode in ("nearest", "bilinear", "bicubic"):
+        done = augment.apply_rand_augment(frame(spark, [im]).withColumn("ops", ops), "image", "ops", "out", mode)
+        assert (as_array(done.first()["out"]) == kernels.augment_op(im, "Rotate", 20.0, mode)).all()
+
+
 @pytest.mark.parametrize("op", ["Identity", "Solarize", "Invert"])
 def test_point_operations_keep_the_range(op):
     out = kernels.augment_op(image(), op, 100.0)
