@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardweave.session import checkpointed
@@ -14,6 +14,8 @@ from shardweave.session import checkpointed
 RANGES = "path STRING, start LONG, stop LONG"
 # Files whose size one task asks for.
 STATS_PER_TASK = 256
+# Bytes that one task reads, if there are enough for all cores, and what opening a range costs in bytes.
+TASK_BYTES, OPEN_BYTES = 64 << 20, 256 << 10
 
 
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -99,3 +101,26 @@ def spread(work: DataFrame, per_task: int = 1) -> DataFrame:
     """
     items = checkpointed(work)
     return items.repartition(max(1, -(-items.count() // per_task)))
+
+
+def packed(ranges: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Ranges of files with as many to a partition as make about ``task_bytes``; a larger one has its own.
+
+    Bins are cut from running sums of bytes within each partition of the table as it is written, so no task sees all
+    ranges. With few bytes for the cores there are more and smaller bins. Results do not depend on the bins.
+    """
+    cost = F.col("stop") - F.col("start") + OPEN_BYTES
+    placed = checkpointed(ranges.withColumn("_part", F.spark_partition_id()))
+    total = placed.agg(F.coalesce(F.sum(cost), F.lit(0))).first()[0]
+    size = max(1, min(task_bytes, -(-total // ranges.sparkSession.sparkContext.defaultParallelism)))
+    before = F.sum(cost).over(Window.partitionBy("_part").orderBy("path", "start", "stop").rowsBetween(Window.unboundedPreceding, -1))
+    cut = placed.withColumn("_cut", F.floor(F.coalesce(before, F.lit(0)) / F.lit(size)))
+    within = F.dense_rank().over(Window.partitionBy("_part").orderBy("_cut")) - 1
+    binned = cut.withColumn("_bin", within)
+    # One row per partition of a table of files.
+    parts = binned.groupBy("_part").agg((F.max("_bin") + 1).alias("_bins"))
+    first = F.sum("_bins").over(Window.orderBy("_part")) - F.col("_bins")
+    offsets = parts.select("_part", first.alias("_first"))
+    bins = max(1, parts.agg(F.sum("_bins")).first()[0] or 0)
+    numbered = binned.join(F.broadcast(offsets), "_part").withColumn("_bin", (F.col("_first") + F.col("_bin")).cast("int"))
+    return numbered.repartitionById(bins, F.col("_bin")).select(*ranges.columns)

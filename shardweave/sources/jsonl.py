@@ -15,7 +15,7 @@ from shardweave.functions.packing import VECTORS, pack_embedding, unpack_embeddi
 from shardweave.functions.tensor import to_bfloat16
 from shardweave.functions.text import canonical_path
 from shardweave.operators.records import REST, as_struct, emb_name, record_keys, rest_of, to_json_object
-from shardweave.sources.files import file_sizes, open_fs, spread
+from shardweave.sources.files import file_sizes, open_fs, packed
 
 POSITION = "STRUCT<block: BIGINT, line: BIGINT>"
 
@@ -85,14 +85,14 @@ def read_lines(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
     from shardweave.sources.paths import files_of
 
     work = files_of(spark, paths)
-    packed = F.lit(False)
+    whole = F.lit(False)
     for suffix in PACKED:
-        packed = packed | F.col("path").endswith(suffix)
+        whole = whole | F.col("path").endswith(suffix)
     step = F.lit(RANGE).cast("bigint")
-    starts = F.when(packed, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, step))
+    starts = F.when(whole, F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, step))
     ranges = file_sizes(work).where("bytes > 0").select("path", "bytes", F.explode(starts).alias("start"))
     ranges = ranges.select("path", "start", F.least(F.col("start") + step, F.col("bytes")).alias("stop"))
-    lines = spread(ranges).mapInArrow(_lines, LINES)
+    lines = packed(ranges).mapInArrow(_lines, LINES)
     return lines.select(F.col("value").cast("string").alias("value"), canonical_path(F.col("_shard")).alias("_shard"), "_pos")
 
 

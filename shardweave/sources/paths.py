@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 
 from shardweave.functions.text import canonical_path, raw_file_type
 from shardweave.operators.positions import global_index
-from shardweave.sources.files import open_fs, spread
+from shardweave.session import checkpointed
+from shardweave.sources.files import open_fs
 
 MANIFEST_SUFFIX = "info.json"
 
@@ -131,38 +133,58 @@ _LISTED = "path STRING, bytes LONG, folder BOOLEAN"
 OWN_FOLDERS = frozenset({"_partial", "_manifest", "_manifest_parts", "_ledger", "_stream"})
 
 
-def _list_folders(folders: DataFrame, recursive: bool) -> DataFrame:
-    """Entries of each folder of ``path``, without the engine's own folders."""
+# Folders that one task lists, and entries in one batch.
+FOLDERS_PER_TASK, PAGE = 32, 10_000
+
+
+def _list_folders(folders: DataFrame) -> DataFrame:
+    """Entries directly in each folder of ``path``, without the engine's own folders."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for folder in batch.column("path").to_pylist():
                 fs, inner = open_fs(folder)
                 prefix = folder[: len(folder) - len(inner)] if folder.endswith(inner) else ""
-                rows = []
-                for info in fs.get_file_info(pafs.FileSelector(inner, recursive=recursive)):
-                    below = info.path[len(inner) :].strip("/").split("/")
-                    if OWN_FOLDERS.isdisjoint(below):
-                        is_folder = info.type == pafs.FileType.Directory
-                        rows.append({"path": prefix + info.path, "bytes": info.size or 0, "folder": is_folder})
-                yield pa.RecordBatch.from_pylist(
-                    rows, schema=pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("folder", pa.bool_())])
-                )
+                entries = [i for i in fs.get_file_info(pafs.FileSelector(inner)) if i.base_name not in OWN_FOLDERS]
+                for start in range(0, len(entries), PAGE):
+                    page = entries[start : start + PAGE]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([prefix + i.path for i in page], pa.string()),
+                            pa.array([i.size or 0 for i in page], pa.int64()),
+                            pa.array([i.type == pafs.FileType.Directory for i in page], pa.bool_()),
+                        ],
+                        ["path", "bytes", "folder"],
+                    )
+
+    return folders.mapInArrow(look, _LISTED)
 
-    return folders.select("path").mapInArrow(look, _LISTED)
+
+def _walk(root: DataFrame) -> DataFrame:
+    """Files in the folders of ``path`` and below: level by level, the folders of a level in parallel.
+
+    Each level is written once; the driver only counts its folders.
+    """
+    folders, files = root.coalesce(1), []
+    while True:
+        found = checkpointed(_list_folders(folders))
+        files.append(found.where("NOT folder").drop("folder"))
+        below = found.where("folder").select("path")
+        count = below.count()
+        if not count:
+            return reduce(DataFrame.unionByName, files)
+        folders = below.repartition(-(-count // FOLDERS_PER_TASK) if count > FOLDERS_PER_TASK else count)
 
 
 def list_files(spark: SparkSession, root: str, suffixes: list[str], depth: int = 0) -> DataFrame:
     """Files below ``root`` that end in one of ``suffixes``, each once, with their group and size.
 
-    The group is the first ``depth`` parts of the path below the root, empty for depth 0. The folders
-    directly below the root are listed in parallel. Empty files are listed too, which Spark's own
+    The group is the first ``depth`` parts of the path below the root, empty for depth 0. Folders are listed
+    level by level, those of a level in parallel. Empty files are listed too, which Spark's own
     file sources would skip.
     """
     base = root.rstrip("/")
-    top = _list_folders(spark.createDataFrame([(base,)], "path STRING").coalesce(1), recursive=False)
-    inner = _list_folders(spread(top.filter("folder")), recursive=True)
-    listing = top.unionByName(inner).filter("NOT folder")
+    listing = _walk(spark.createDataFrame([(base,)], "path STRING"))
     wanted = F.lit(False)
     for suffix in suffixes:
         wanted = wanted | F.col("path").endswith(suffix)

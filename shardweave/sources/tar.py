@@ -17,7 +17,7 @@ from pyspark.sql.functions import arrow_udf
 
 from shardweave.functions.packing import matrices_to_arrow, npz_arrays
 from shardweave.operators.records import REST, as_struct, key_json, rest_of
-from shardweave.sources.files import open_fs, plan_ranges, spread
+from shardweave.sources.files import open_fs, packed, plan_ranges
 from shardweave.sources.jsonl import field_of
 
 SAMPLE = (
@@ -196,7 +196,7 @@ def read_tar_samples(
     """
     if not isinstance(paths, DataFrame):
         paths = spark.createDataFrame([(p,) for p in paths], "path STRING")
-    ranges = spread(plan_ranges(paths, sample_starts, split_bytes))
+    ranges = packed(plan_ranges(paths, sample_starts, split_bytes))
     samples = ranges.mapInArrow(_read, SAMPLE)
     if schema is None:
         return samples

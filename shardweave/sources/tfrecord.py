@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardweave.sources.files import open_fs, plan_ranges, spread
+from shardweave.sources.files import open_fs, packed, plan_ranges
 
 FEATURE = "STRUCT<bytes: ARRAY<BINARY>, floats: ARRAY<FLOAT>, ints: ARRAY<BIGINT>>"
 RECORD = f"features MAP<STRING, {FEATURE}>, _shard STRING, _pos STRUCT<block: BIGINT, line: BIGINT>"
@@ -250,7 +250,7 @@ def read_tfrecord(
     """
     if not isinstance(paths, DataFrame):
         paths = spark.createDataFrame([(p,) for p in paths], "path STRING")
-    records = spread(plan_ranges(paths, record_starts, split_bytes)).mapInArrow(_read, RECORD)
+    records = packed(plan_ranges(paths, record_starts, split_bytes)).mapInArrow(_read, RECORD)
     if shuffle_seed is None:
         return records
     drawn = F.xxhash64(F.lit(shuffle_seed), F.col("_shard"), F.col("_pos.line"))

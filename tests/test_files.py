@@ -15,6 +15,7 @@ from checks.files import _example
 from shardweave.operators import shards as sh
 from shardweave.operators.records import unwrap_features
 from shardweave.sources import jsonl, paths, tar, tfrecord
+from shardweave.sources.files import OPEN_BYTES, RANGES, TASK_BYTES, packed
 from shardweave.sources.shards import paths_by_format, read_shards
 from shardweave.sources.sink import dealt, read_manifest, write_chunks, write_jsonl, write_tar_samples
 
@@ -342,3 +343,50 @@ def test_paths_with_blanks_and_plus_signs(spark, tmp_path):
     listed = paths.list_files(spark, str(tmp_path), [".jsonl"])
     assert listed.first()["path"] == str(path)
     assert jsonl.read_lines(spark, [str(path)]).first()["_shard"] == str(path)
+
+
+def test_small_ranges_share_a_task(spark):
+    tiny = [(f"t/{i:05d}", 0, 10_000) for i in range(10_000)]
+    large = [("big", i << 30, (i + 1) << 30) for i in range(3)]
+    work = spark.createDataFrame(tiny + large, RANGES)
+    dealt = packed(work).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(tuple(r)[:3] for r in dealt) == sorted(tiny + large)
+    tasks = {}
+    for r in dealt:
+        tasks.setdefault(r["task"], []).append(r["stop"] - r["start"])
+    assert len(tasks) <= 64
+    for sizes in tasks.values():  # a bin may exceed its size by its last range only
+        assert sum(s + OPEN_BYTES for s in sizes[:-1]) <= TASK_BYTES + max(sizes) + OPEN_BYTES
+    assert max(sum(s >= 1 << 30 for s in sizes) for sizes in tasks.values()) == 1
+
+
+def test_few_small_ranges_use_all_cores(spark):
+    work = spark.createDataFrame([(f"t/{i}", 0, 100) for i in range(64)], RANGES)
+    tasks = packed(work).select(F.spark_partition_id()).distinct().count()
+    assert tasks >= spark.sparkContext.defaultParallelism
+    assert packed(work.limit(0)).count() == 0 and packed(work.limit(0)).columns == ["path", "start", "stop"]
+
+
+def test_listing_by_levels(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(paths, "PAGE", 7)
+    want = {}
+    deep = tmp_path
+    for level in range(6):
+        deep = deep / f"level{level}"
+        deep.mkdir()
+        for i in range(level):
+            (deep / f"_{i}.jsonl").write_text("x" * i)
+            want[str(deep / f"_{i}.jsonl")] = i
+    for i in range(40):
+        (tmp_path / f"flat{i}").mkdir()
+        (tmp_path / f"flat{i}" / ".h.jsonl").write_text("ab")
+        want[str(tmp_path / f"flat{i}" / ".h.jsonl")] = 2
+    for i in range(20):
+        (tmp_path / f"{i}.jsonl").write_text("")
+        want[str(tmp_path / f"{i}.jsonl")] = 0
+    (tmp_path / "level0" / "level1" / "_ledger").mkdir()
+    (tmp_path / "level0" / "level1" / "_ledger" / "x.jsonl").write_text("x")
+    found = paths.list_files(spark, str(tmp_path), [".jsonl"], depth=2).collect()
+    assert {r["path"]: r["bytes"] for r in found} == want and len(found) == len(want)
+    groups = {r["path"]: r["group"] for r in found}
+    assert groups[str(tmp_path / "level0" / "level1" / "_0.jsonl")] == "level0/level1"
