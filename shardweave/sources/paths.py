@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -20,14 +22,56 @@ from shardweave.sources.files import open_fs
 MANIFEST_SUFFIX = "info.json"
 
 
+# Strings and marks of JSON; a quote alone begins a string that the text at hand does not end.
+_JSON_TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*"|[{}\[\]:]|"', re.DOTALL)
+MANIFEST_BLOCK, KEYS_PER_BATCH = 4 << 20, 100_000
+
+
+def _keys_of(blocks: Iterator[bytes], name: str) -> Iterator[str]:
+    """Keys of the object under ``name`` in one JSON object that comes in blocks, of which one is held at a time."""
+    depth, top, string, held, opened = 0, "", b'""', b"", False
+    for block in blocks:
+        held += block
+        done = len(held)
+        for token in _JSON_TOKEN.finditer(held):
+            mark = token.group()
+            if mark == b'"':
+                done = token.start()
+                break
+            if mark in (b"{", b"["):
+                depth, opened = depth + 1, True
+            elif mark in (b"}", b"]"):
+                depth -= 1
+            elif mark != b":":
+                string = mark
+            elif depth == 1:
+                top = json.loads(string)
+            elif depth == 2 and top == name:
+                yield json.loads(string)
+        held = held[done:]
+    if depth or held or not opened:
+        raise ValueError("the manifest is not one whole JSON object")
+
+
+def _manifest_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path in batch.column("path").to_pylist():
+            fs, inner = open_fs(path)
+            with fs.open_input_stream(inner) as file:
+                keys = _keys_of(iter(lambda: file.read(MANIFEST_BLOCK), b""), "lengths")
+                while some := list(islice(keys, KEYS_PER_BATCH)):
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.string())], ["path"])
+
+
 def shards_from_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Shard paths named by a JSON manifest: the keys of its ``lengths``."""
+    """Shard paths named by a JSON manifest: the keys of its ``lengths``, in its order; a repeated one is repeated.
+
+    A manifest is one JSON object, so one task reads it, but as a stream: memory does not grow with it. A manifest
+    that is cut off is an error.
+    """
     if not path.endswith(MANIFEST_SUFFIX):
         raise ValueError(f"a manifest must be named {MANIFEST_SUFFIX}: {path}")
-    whole = spark.read.text(path, wholetext=True)
-    lengths = F.from_json("value", "lengths MAP<STRING, STRING>")["lengths"]
-    # Outer, because Spark would filter on the size first and parse the manifest twice for it.
-    return whole.select(F.explode_outer(F.map_keys(lengths)).alias("path")).filter("path IS NOT NULL")
+    return spark.createDataFrame([(path,)], "path STRING").coalesce(1).mapInArrow(_manifest_keys, "path STRING")
 
 
 # A pattern is cut into braces and literal text.

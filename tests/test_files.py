@@ -390,3 +390,19 @@ def test_listing_by_levels(spark, tmp_path, monkeypatch):
     assert {r["path"]: r["bytes"] for r in found} == want and len(found) == len(want)
     groups = {r["path"]: r["group"] for r in found}
     assert groups[str(tmp_path / "level0" / "level1" / "_0.jsonl")] == "level0/level1"
+
+
+def test_manifest_as_a_stream(spark, tmp_path, monkeypatch):
+    lengths = {f"s3://b/{i:03d},:{{}}.tar": i for i in range(300)} | {'quote " and \\\\': 1, "größe\u2028": 2, "lengths": 3, "": 4}
+    whole = {"other": {"x": [{"lengths": {"no": 1}}]}, "lengths": lengths, "total": 9, "more": {"y": 1}, "list": ["a", ":"]}
+    for ascii_only, indent, block in ((True, None, 1), (False, 2, 7), (True, 1, 1 << 20)):
+        text = json.dumps(whole, ensure_ascii=ascii_only, indent=indent).encode()
+        pieces = (text[i : i + block] for i in range(0, len(text), block))
+        assert list(paths._keys_of(pieces, "lengths")) == list(lengths)
+        for cut in (text[:-1], text[: len(text) // 2], b"", b"  "):
+            with pytest.raises(ValueError, match="whole JSON"):
+                list(paths._keys_of(iter([cut]), "lengths"))
+    assert list(paths._keys_of(iter([b'{"lengths": null, "n": {"a": 1}}']), "lengths")) == []
+    monkeypatch.setattr(paths, "KEYS_PER_BATCH", 50)
+    (tmp_path / "info.json").write_text(json.dumps(whole))
+    assert [r["path"] for r in paths.shards_from_manifest(spark, str(tmp_path / "info.json")).collect()] == list(lengths)
