@@ -8,10 +8,11 @@ group of near copies:
 - Elements that many prefixes hold come last in the order, so lists are long only for texts that consist
   of such elements. Within a list, entries are sorted by set size; those whose size or whose position in the
   prefix rules out a link are skipped in blocks.
-- Nodes that share prefix elements with a leader form a cluster, with all that are joined to them so. Inside a cluster no pair is sent
+- Nodes that share prefix elements with a leader form a cluster, with all that are joined to them so, and so do all nodes of a long
+  list, as of a passage that makes up most of many short texts. Inside a cluster no pair is sent
   anywhere: one task has the members' inverted lists and derives a set's overlaps with all others from
   those of the set before it, by the elements in which the two differ. Pairs between clusters are sent and
-  checked one by one.
+  checked one by one; they meet in short lists only, so their number is bounded by the number of entries.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ FREQUENT, MOST_FREQUENT = 24, 1 << 20
 # Prefix elements per task of the list stage; elements of the sets that one cluster task compares; rows of a batch.
 LIST_ENTRIES, UNIT_ELEMENTS, BATCH = 1_000_000, 1_000_000, 100_000
 SHARED = 4
+# A list is long if it has more than this many times as many entries as an element needs to be frequent; so lists of
+# elements that are not frequent hardly ever are.
+LONG = 2
 NO_ID = (1 << 63) - 1
 
 
@@ -83,13 +87,13 @@ def joined(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int =
     spark, rule = df.sparkSession, Rule(shingle, num, den)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
-    table, entries = _prefixes(docs, rule)
+    table, entries, frequent = _prefixes(docs, rule)
     parts = max(least, -(-entries // LIST_ENTRIES))
     nodes = stored(
         table.where("n > 0").groupBy("node").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")),
         "join-nodes",
     )
-    lists = _lists(table, parts)
+    lists = _lists(table, parts, LONG * frequent)
     clusters = stored(_clusters(lists), "join-clusters")
     pairs = stored(_pairs(lists, clusters, rule, max(least, -(-entries // (4 * LIST_ENTRIES)))), "join-pairs")
 
@@ -131,9 +135,10 @@ def joined(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int =
     )
 
 
-def _prefixes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
-    """(id, text_hash, node, n, prefix) of every row, and the number of prefix elements. Of copies within a batch only
-    the first has its prefix, so that a group of copies does not fill the lists."""
+def _prefixes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int, int]:
+    """(id, text_hash, node, n, prefix) of every row, the number of prefix elements, and how many prefixes a frequent
+    element is in at least. Of copies within a batch only the first has its prefix, so that a group of copies does not
+    fill the lists."""
 
     def early(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,12 +188,12 @@ def _prefixes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, int]:
     kind = docs.schema["id"].dataType.simpleString()
     table = stored(docs.mapInArrow(tidy(run), f"id {kind}, text_hash bigint, node bigint, n bigint, prefix array<bigint>"), "join-prefixes")
     entries = table.agg(F.sum(F.greatest(F.size("prefix"), F.lit(0)))).first()[0] or 0
-    return table, int(entries)
+    return table, int(entries), floor
 
 
-def _lists(table: DataFrame, parts: int) -> DataFrame:
+def _lists(table: DataFrame, parts: int, most: int) -> DataFrame:
     """(element, node, n, pos) of all elements that several nodes' prefixes hold, with the ``leader`` of each
-    list: its least node."""
+    list, its least node, and whether it is ``long``: has more than ``most`` entries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [[c.to_numpy() for c in batch.columns] for batch in batches]
@@ -203,27 +208,37 @@ def _lists(table: DataFrame, parts: int) -> DataFrame:
         length = np.diff(np.r_[start, len(element)])
         leader = np.repeat(node[start], length)
         keep = np.repeat(length, length) > 1
-        kept = [pa.array(c[keep]) for c in (element, node, n, pos, leader)]
-        yield pa.RecordBatch.from_arrays(kept, names=["element", "node", "n", "pos", "leader"])
+        long = np.repeat(length > most, length)
+        kept = [pa.array(c[keep]) for c in (element, node, n, pos, leader, long)]
+        yield pa.RecordBatch.from_arrays(kept, names=["element", "node", "n", "pos", "leader", "long"])
 
     rows = table.where("prefix is not null").select("node", "n", F.posexplode("prefix").alias("pos", "element"))
     rows = rows.select("element", "node", "n", F.col("pos").cast("long").alias("pos")).repartition(parts, "element")
-    return stored(rows.mapInArrow(tidy(run), "element bigint, node bigint, n bigint, pos bigint, leader bigint"), "join-lists")
+    return stored(rows.mapInArrow(tidy(run), "element bigint, node bigint, n bigint, pos bigint, leader bigint, long boolean"), "join-lists")
 
 
 def _clusters(lists: DataFrame) -> DataFrame:
-    """(node, cluster) of the nodes that share several prefix elements with a leader, or with one that does, and so on.
+    """(node, cluster) of the nodes that share several prefix elements with a leader, or stand in its long list, or are so
+    joined with one that does, and so on.
 
     Any division into clusters gives the same links; this one puts all copies of a text together, whichever of
-    them leads their lists, so that hardly a pair of them is left to be sent.
+    them leads their lists, so that hardly a pair of them is left to be sent, and all nodes of a long list, whose pairs
+    would grow with the square of its length.
     """
-    near = lists.where("node <> leader").groupBy("leader", "node").count().where(F.col("count") >= SHARED)
+    near = lists.where("node <> leader").groupBy("leader", "node").agg(F.count(F.lit(1)).alias("count"), F.max("long").alias("long"))
+    near = near.where((F.col("count") >= SHARED) | F.col("long"))
     found = components(near.select(F.col("leader").alias("u"), F.col("node").alias("v")))
     return found.select("node", F.col("root").alias("cluster"))
 
 
 def _pairs(lists: DataFrame, clusters: DataFrame, rule: Rule, parts: int) -> DataFrame:
     """(a, b) of nodes of different clusters that share enough prefix elements to be linked."""
+    met = _met(lists, clusters, rule, parts)
+    return met.groupBy("a", "b").count().where(F.col("count") >= rule.shared).select("a", "b")
+
+
+def _met(lists: DataFrame, clusters: DataFrame, rule: Rule, parts: int) -> DataFrame:
+    """(a, b) of nodes of different clusters that meet in a list, a row for each list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [[c.to_numpy() for c in batch.columns] for batch in batches]
@@ -256,8 +271,7 @@ def _pairs(lists: DataFrame, clusters: DataFrame, rule: Rule, parts: int) -> Dat
             yield _batch(found)
 
     own = lists.join(clusters, "node", "left").select("element", "node", "n", "pos", F.coalesce("cluster", "node").alias("cluster"))
-    shared = own.repartition(parts, "element").mapInArrow(tidy(run), "a bigint, b bigint")
-    return shared.groupBy("a", "b").count().where(F.col("count") >= rule.shared).select("a", "b")
+    return own.repartition(parts, "element").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def _batch(found: list) -> pa.RecordBatch:

@@ -177,3 +177,22 @@ def test_fingerprint_query_is_native(spark):
     frame = QUERIES["op1_simhash"](spark, SF)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and frame.count() == 200
+
+
+def test_rows_of_a_passage_that_fills_many_texts_grow_with_their_number(spark):
+    """Texts that are mostly one passage meet in its lists without being copies; their pairs are compared in their
+    cluster and no row is sent for each."""
+    rng, rule = random.Random(17), similarity_join.Rule(3, 90, 100)
+    passage, met = sentence(rng, 60), []
+    texts = [(n, f"{sentence(rng, 4 + n % 7, 100_000)} {passage} {sentence(rng, 4, 100_000)}") for n in range(320)]
+    for size in (160, 320):
+        docs = spark.createDataFrame(texts[:size], "id bigint, text string").withColumn("text_hash", F.xxhash64("text"))
+        table, entries, frequent = similarity_join._prefixes(docs, rule)
+        lists = similarity_join._lists(table, 4, similarity_join.LONG * frequent)
+        clusters = similarity_join._clusters(lists)
+        met.append(similarity_join._met(lists, clusters, rule, 4).count())
+        assert met[-1] <= entries
+    assert met[1] <= 3 * met[0]
+    rows = texts[:320]
+    found = similarity_join.joined(spark.createDataFrame(rows, "doc_id bigint, text string"), shingle=3, num=90)
+    assert collected(found, *NAMES) == joined(rows, 3, 90)
