@@ -26,15 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardweave.llm.store import everywhere, stored
-from shardweave.llm.words import tidy, utf8
+from shardweave.llm.words import text_slices, tidy, utf8
 
 # Words of half a passage; passages overlap by half.
 HALF = 24
 # Dimensions of the latent space, extra ones while it is found, and rounds of power iteration.
 RANK, EXTRA, POWERS = 128, 16, 2
-# The space is fitted on the items and on about this many documents (chosen by hash), of each at most so
-# many passages, which weigh less than items; the search itself goes over all passages of all documents.
-FIT_DOCUMENTS, FIT_PASSAGES, PASSAGE_WEIGHT = 4096, 8, 0.1
+# The space is fitted on the items and on all passages of all documents. A passage weighs less than an item, and
+# beyond so many passages less still, so that together they weigh no more than these and the space keeps the items.
+PASSAGE_WEIGHT, FULL_PASSAGES = 0.1, 32_768
+# Passages whose products are in a task at a time, and slices in which tasks send the sums of products.
+ROWS, SLICES = 1024, 32
 # Pieces of items whose vectors are in a task at a time, and bytes of the items' text.
 BLOCK_ITEMS, BLOCK_BYTES = 500, 1 << 20
 # Items of fewer words than SHORT, but at least LEAST_SHORT, are looked up by their rarest words as well; below
@@ -42,6 +44,8 @@ BLOCK_ITEMS, BLOCK_BYTES = 500, 1 << 20
 SHORT, LEAST_SHORT = HALF, 4
 # Words whose vectors are in a task at a time.
 SLAB = 50_000
+# Bytes of texts whose passages are in a task at a time.
+SLICE_BYTES = 2 << 20
 # Least cosine of a candidate, times the share of the item's vector that the latent space keeps; least share of the item's words in order; with a lower share, the least share
 # of its rarer words and of the answer's words in order that make up for it, and how many rarer words it needs.
 COSINE, WHOLE, PART, RARER, ANSWER, LEAST_RARER = 0.3, 0.8, 0.6, 0.6, 0.7, 4
@@ -202,37 +206,40 @@ def _search(docs: DataFrame, items: list[Item], schema: str) -> DataFrame:
     terms = {word: n for n, word in enumerate(dict.fromkeys(w for item in items for w in item.words))}
     known = everywhere(spark, terms)
     total = docs.count()
-    rate = max(1, total // FIT_DOCUMENTS)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents per term (kind -1), and the terms of some passages (kind their number)."""
+        """Documents per term, and the terms of all passages, ascending (term -1)."""
         vocabulary, seen = known.value, np.zeros(len(known.value), np.int64)
         for batch in batches:
-            for chosen, data in zip(batch.column("chosen").to_pylist(), utf8(batch.column("text"))):
-                words = plain_words(data)
-                numbers = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
-                mine = np.unique(numbers)
-                seen[mine[mine >= 0]] += 1
-                if chosen:
-                    passages = [numbers[at : at + 2 * HALF] for at in range(0, len(numbers), 2 * HALF)]
-                    step = -(-len(passages) // FIT_PASSAGES) or 1
-                    lists = [p[p >= 0] for p in passages[::step]]
-                    if lists:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([-1] * len(lists)), pa.array([0] * len(lists)), pa.array(lists, pa.list_(pa.int64()))], names=["term", "times", "passage"]
-                        )
+            for start, length in text_slices(batch.column("text"), SLICE_BYTES):
+                lists = []
+                for data in utf8(batch.column("text").slice(start, length)):
+                    words = plain_words(data)
+                    numbers = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
+                    at = np.flatnonzero(numbers >= 0)
+                    mine = numbers[at]
+                    seen[np.unique(mine)] += 1
+                    # By passage, then by term.
+                    key = np.sort(at // (2 * HALF) * len(vocabulary) + mine)
+                    if len(key):
+                        lists += np.split(key % len(vocabulary), np.flatnonzero(np.diff(key // len(vocabulary))) + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([-1] * len(lists), pa.int64()), pa.array([0] * len(lists), pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
+                    names=["term", "times", "passage"],
+                )
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at]), pa.nulls(len(at), pa.list_(pa.int64()))], names=["term", "times", "passage"])
 
-    chosen = F.coalesce(F.pmod(F.xxhash64("id"), F.lit(rate)) == 0, F.lit(False)).alias("chosen")
-    facts = docs.select("text", chosen).mapInArrow(tidy(first), "term bigint, times bigint, passage array<bigint>")
+    facts = docs.select("text").mapInArrow(tidy(first), "term bigint, times bigint, passage array<bigint>")
     facts = stored(facts, "leaks-facts")
     idf = np.full(len(terms), np.log(total + 1.0))
     for row in facts.where("term >= 0").groupBy("term").agg(F.sum("times").alias("times")).collect():  # the block's vocabulary
         idf[row.term] = np.log((total + 1.0) / row.times)
-    passages = facts.where("term < 0").select("passage", F.lit(PASSAGE_WEIGHT).alias("weight"))
-    own = [([terms[w] for w in piece], 1.0) for item in items for piece in item.pieces]
-    passages = passages.unionAll(spark.createDataFrame(own, "passage array<bigint>, weight double")).repartition(8)
+    passages = facts.where("term < 0").select("passage")
+    weight = PASSAGE_WEIGHT * min(1.0, FULL_PASSAGES / max(passages.count(), 1)) ** 0.5
+    passages = passages.withColumn("weight", F.lit(weight))
+    own = [(sorted(terms[w] for w in piece), 1.0) for item in items for piece in item.pieces]
+    passages = passages.unionAll(spark.createDataFrame(own, "passage array<bigint>, weight double"))
     space = everywhere(spark, Space(items, idf, terms, singular_vectors(passages, idf)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,7 +334,7 @@ def singular_vectors(passages: DataFrame, idf: np.ndarray) -> np.ndarray:
     """The leading right singular vectors (terms x rank) of the passages' normalised TF-IDF vectors.
 
     Randomised SVD: a random matrix is multiplied with the transposed matrix times the matrix a few times, each
-    product being one job whose tasks send one sum (terms x rank) each, and made orthonormal in between.
+    product being one job in which the tasks' sums (terms x rank) are added up by slices, and made orthonormal in between.
     """
     width = min(RANK + EXTRA, len(idf))
     basis = np.random.default_rng(0).standard_normal((len(idf), width))
@@ -338,28 +345,52 @@ def singular_vectors(passages: DataFrame, idf: np.ndarray) -> np.ndarray:
 
 
 def _product(passages: DataFrame, idf: np.ndarray, basis: np.ndarray, gram: bool) -> np.ndarray:
-    """A'(A basis), or (A basis)'(A basis), where A has a row for each passage."""
+    """A'(A basis), or (A basis)'(A basis), where A has a row for each passage, with its terms in order."""
     sums = everywhere(passages.sparkSession, (idf, basis))
+    shape = (basis.shape[1],) * 2 if gram else basis.shape
+    edges = np.linspace(0, shape[0], SLICES + 1).astype(int)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, matrix = sums.value
-        width = matrix.shape[1]
-        total = np.zeros((width, width) if gram else matrix.shape)
-        for batch in batches:
-            for terms, weight in zip(batch.column("passage").to_pylist(), batch.column("weight").to_pylist()):
-                if not terms:
+        matrix = matrix.astype(np.float32)
+        total = np.zeros(shape)
+        for whole in batches:
+            for start in range(0, len(whole), ROWS):
+                batch = whole.slice(start, ROWS)
+                passage, sizes = batch.column("passage").flatten().to_numpy(), batch.column("passage").value_lengths().to_numpy()
+                if not len(passage):
                     continue
-                term, times = np.unique(np.array(terms, np.int64), return_counts=True)
-                row = times * weights[term]
-                row = row * (weight / max(np.sqrt(row @ row), 1e-12))
-                image = row @ matrix[term]
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                at = np.flatnonzero(np.r_[True, (passage[1:] != passage[:-1]) | (owner[1:] != owner[:-1])])
+                value = np.diff(np.r_[at, len(passage)]) * weights[passage[at]]
+                term, owner = passage[at], owner[at]
+                length = np.sqrt(np.bincount(owner, value * value, len(sizes)))
+                value *= (batch.column("weight").to_numpy() / np.maximum(length, 1e-12))[owner]
+                value = value.astype(np.float32)[:, None]
+                some = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+                image = np.add.reduceat(matrix[term] * value, some, axis=0)
                 if gram:
-                    total += np.outer(image, image)
-                else:
-                    total[term] += np.outer(row, image)
-        yield pa.RecordBatch.from_pydict({"total": pa.array([total.tobytes()], pa.binary())})
-
-    total = np.zeros((basis.shape[1],) * 2 if gram else basis.shape)
-    for row in passages.mapInArrow(tidy(run), "total binary").toLocalIterator():
-        total += np.frombuffer(row.total).reshape(total.shape)
+                    total += image.T.astype(float) @ image
+                    continue
+                row = np.repeat(np.arange(len(some)), np.diff(np.r_[some, len(owner)]))
+                order = np.argsort(term, kind="stable")
+                term = term[order]
+                first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+                total[term[first]] += np.add.reduceat(image[row[order]] * value[order], first, axis=0)
+        parts = [total[low:high].tobytes() for low, high in zip(edges, edges[1:])]
+        yield pa.RecordBatch.from_pydict({"part": pa.array(range(SLICES), pa.int32()), "total": pa.array(parts, pa.binary())})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch.column("part").to_pylist(), batch.column("total")):
+                totals[part] = totals.get(part, 0) + np.frombuffer(data.as_buffer())
+        columns = [pa.array(list(totals), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "total"])
+
+    kind = "part int, total binary"
+    added = passages.mapInArrow(tidy(run), kind).repartition(8, "part").mapInArrow(tidy(add), kind)
+    total = np.zeros(shape)
+    for row in added.toLocalIterator():
+        total[edges[row.part] : edges[row.part + 1]] = np.frombuffer(row.total).reshape(-1, shape[1])
     return total

@@ -179,6 +179,31 @@ def test_keys_of_an_item_are_in_every_find():
             assert not item.shares(words) or keys & set(words)
 
 
+def test_the_space_is_fitted_on_all_passages(spark, monkeypatch):
+    """Also on those of long texts, and its products are those of the whole matrix."""
+    rng, seen = random.Random(23), []
+    rows = [(n, sentence(rng, 2 * decontamination.HALF * 12, 60)) for n in range(20)]
+    real = decontamination.singular_vectors
+
+    def spy(passages, idf):
+        seen.append([(r.passage, r.weight) for r in passages.collect()])
+        basis = np.random.default_rng(1).standard_normal((len(idf), 5))
+        matrix = np.zeros((len(seen[0]), len(idf)))
+        for n, (terms, weight) in enumerate(seen[0]):
+            np.add.at(matrix[n], terms, 1.0)
+            matrix[n] *= idf
+            matrix[n] *= weight / max(np.sqrt(matrix[n] @ matrix[n]), 1e-12)
+        image = matrix @ basis
+        assert np.allclose(decontamination._product(passages, idf, basis, gram=False), matrix.T @ image, rtol=1e-4, atol=1e-4)
+        assert np.allclose(decontamination._product(passages, idf, basis, gram=True), image.T @ image, rtol=1e-4, atol=1e-4)
+        return real(passages, idf)
+
+    monkeypatch.setattr(decontamination, "singular_vectors", spy)
+    items = spark.createDataFrame([(1, sentence(rng, 40, 60))], "item_id bigint, text string")
+    decontamination.leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), items).count()
+    assert len(seen[0]) == 20 * 12 + 1
+
+
 def test_leaks_recall_against_brute_force(spark):
     """Of all pairs that the subsequence check accepts anywhere, the search finds at least nine in ten."""
     docs = {r.doc_id: decontamination.plain_words(r.text.encode()) for r in spark.read.parquet(f"{LARGER}/documents.parquet").collect()}
