@@ -80,6 +80,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# Bytes of rows that a Python worker gets at a time where rows hold whole texts or images.
+BATCH_BYTES = 8 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started within send their Python workers batches of about ``BATCH_BYTES``, however many rows these are.
+
+    A worker holds a batch several times over, so the memory of all workers would else grow with the rows of a shard.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # A table of at most this many short rows may be copied to every executor.
 BROADCAST_ROWS = 200_000
 

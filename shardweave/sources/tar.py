@@ -36,7 +36,7 @@ _ARROW_SAMPLE = pa.schema(
         ("_pos", pa.struct([("block", pa.int64()), ("line", pa.int64())])),
     ]
 )
-BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
+BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
 
 
 def split_member(name: str) -> tuple[str, str]:

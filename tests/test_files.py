@@ -7,13 +7,16 @@ import os
 import tarfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from checks.files import _example
 from shardweave.operators import shards as sh
 from shardweave.operators.records import unwrap_features
+from shardweave.session import BATCH_BYTES
 from shardweave.sources import jsonl, paths, tar, tfrecord
 from shardweave.sources.files import OPEN_BYTES, RANGES, TASK_BYTES, packed
 from shardweave.sources.shards import paths_by_format, read_shards
@@ -406,3 +409,20 @@ def test_manifest_as_a_stream(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(paths, "KEYS_PER_BATCH", 50)
     (tmp_path / "info.json").write_text(json.dumps(whole))
     assert [r["path"] for r in paths.shards_from_manifest(spark, str(tmp_path / "info.json")).collect()] == list(lengths)
+
+
+def test_writers_get_batches_of_bounded_bytes(spark, tmp_path):
+    """However many rows a shard has; the session's setting is as it was afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    @arrow_udf("string")
+    def size(texts):
+        return pa.array([f"{texts.nbytes}\n"] * len(texts), pa.string())
+
+    text = F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 1 << 16))
+    rows = spark.range(600).select(F.lit("a").alias("_out"), F.lit("a").alias("_shard"), F.col("id").alias("_pos"), text.alias("text"))
+    write_chunks(rows, F.encode(size("text"), "UTF-8"), str(tmp_path / "out"), "run", shards=1)
+    sizes = [int(line) for line in (tmp_path / "out" / "a").read_text().split()]
+    assert len(sizes) == 600 and max(sizes) <= 2 * BATCH_BYTES
+    assert spark.conf.get(name) == before
