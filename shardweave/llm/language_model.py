@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from shardweave.llm import chunks as ch
 from shardweave.llm.store import stored
-from shardweave.llm.words import BASE, WordHashes, memo, mix, tidy, utf8
+from shardweave.llm.words import BASE, mix, texts_hashes, tidy, utf8
 
 # Hashes of the end of a text and of the place before its first word.
 END, BEGIN = np.uint64(0x9D39247E33776D41), np.uint64(0x2AF7398005AAA5C7)
@@ -31,21 +31,19 @@ CLASSES, STEPS, ROUNDS = 40, 8, 100
 # Tokens per bucket of the exchange, on average if all were distinct.
 BUCKET_TOKENS = 1_000_000
 NEVER = -(1 << 20)
+# A-Z lowered, and every byte that stands between words as the space.
+_LOWERED = bytes(32 if 9 <= c <= 13 else c for c in range(256)).lower()
 COUNTED, HELD, OTHER = 0, 1, 2
 
 
 class Tokens:
     """The tokens of a chunk: words with A-Z lowered, and one end per text."""
 
-    def __init__(self, batch: pa.RecordBatch, text: str, known: WordHashes):
-        parts, lengths, end = [], [], np.array([END])
-        for data in utf8(batch.column(text)):
-            hashes = known.of(data.lower().split())
-            parts += [hashes, end]
-            lengths.append(len(hashes) + 1)
-        self.lengths = np.array(lengths, np.int64)
+    def __init__(self, batch: pa.RecordBatch, text: str):
+        hashes, counts = texts_hashes(list(utf8(batch.column(text))), _LOWERED)
+        self.lengths = counts + 1
         self.starts = np.cumsum(self.lengths) - self.lengths
-        tokens = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+        tokens = np.insert(hashes, np.cumsum(counts), END)
         before = np.r_[BEGIN, tokens[:-1]].astype(np.uint64)
         before[self.starts] = BEGIN
         role = batch.column("_role").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -135,9 +133,9 @@ def scored(df: DataFrame, training: Column, id: str = "doc_id", text: str = "tex
     rows = df.withColumn("_role", role.cast("int")).select(*names, "_role")
 
     def note(batch: pa.RecordBatch) -> tuple[int, bytes]:
-        lengths = [len(data.split()) + 1 for data in utf8(batch.column(text))]
+        size = sum(len(data.split()) + 1 for data in utf8(batch.column(text)))
         roles = batch.column("_role").to_pylist()
-        return sum(lengths), np.array([roles.count(COUNTED), roles.count(HELD)], "<i8").tobytes()
+        return size, np.array([roles.count(COUNTED), roles.count(HELD)], "<i8").tobytes()
 
     chunks = ch.chunked(rows, text, "lm-chunks", note)
     facts = chunks.select("size", "notes").mapInArrow(tidy(_facts), "size bigint, counted bigint, held bigint")
@@ -148,7 +146,7 @@ def scored(df: DataFrame, training: Column, id: str = "doc_id", text: str = "tex
 
     def ask(kind: str):
         def run(row: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
-            t = Tokens(ch.unpack(row.column("payload")[0].as_py()), text, memo())
+            t = Tokens(ch.unpack(row.column("payload")[0].as_py()), text)
             keys, at = (t.words, t.word_at) if kind == "words" else (t.pairs, t.pair_at)
             counts = t.counts(at, len(keys))
             for bucket, start, stop in ch.slices(keys, buckets):
@@ -168,7 +166,7 @@ def scored(df: DataFrame, training: Column, id: str = "doc_id", text: str = "tex
     def ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                t = Tokens(ch.unpack(batch.column("payload")[i].as_py()), text, memo())
+                t = Tokens(ch.unpack(batch.column("payload")[i].as_py()), text)
                 word_counts, pair_counts = totals_of(batch.column("words")[i].as_py()), totals_of(batch.column("pairs")[i].as_py())
                 after, alone, kind = estimates(t, word_counts[0], pair_counts[0], begun, counted_tokens)
                 mine = t.role == HELD
@@ -191,7 +189,7 @@ def scored(df: DataFrame, training: Column, id: str = "doc_id", text: str = "tex
         for batch in batches:
             for i in range(len(batch)):
                 rows = ch.unpack(batch.column("payload")[i].as_py())
-                t = Tokens(rows, text, memo())
+                t = Tokens(rows, text)
                 word_counts = sum(totals_of(batch.column("words")[i].as_py()))
                 pair_counts = sum(totals_of(batch.column("pairs")[i].as_py()))
                 after, alone, kind = estimates(t, word_counts, pair_counts, begins, total)

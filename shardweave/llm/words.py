@@ -110,6 +110,56 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(result[:n])
 
 
+# Bytes whose powers of BASE are at hand; a random number for each byte.
+PIECE = 1 << 16
+_LETTERS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+
+
+def _powers(base: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(PIECE, base, np.uint64)])
+
+
+_POWERS, _INVERSE = _powers(BASE), _powers(pow(BASE, -1, 1 << 64))
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``data``, runs of bytes other than the space, start, and their 64-bit hashes.
+
+    A hash is a polynomial in random numbers of the bytes, so it comes from running sums, without an object per word.
+    """
+    starts, hashes, low = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+    while low < len(data):
+        high = len(data) if len(data) - low <= PIECE else data.rfind(b" ", low, low + PIECE) + 1
+        if not high:  # a word longer than a piece
+            high = data.find(b" ", low + PIECE)
+            high = len(data) if high < 0 else high
+            total = 0
+            for at in range(low, high, PIECE):
+                letters = np.frombuffer(data, np.uint8, min(PIECE, high - at), at)
+                part = int((_LETTERS[letters] * _POWERS[: len(letters)]).sum(dtype=np.uint64))
+                total += part * pow(BASE, at - low, 1 << 64)
+            starts.append(np.array([low]))
+            hashes.append(np.array([total % (1 << 64)], np.uint64))
+        else:
+            letters = np.frombuffer(data, np.uint8, high - low, low)
+            edges = np.flatnonzero(np.diff(letters != 32, prepend=False, append=False))
+            begin, end = edges[::2], edges[1::2]
+            sums = np.zeros(len(letters) + 1, np.uint64)
+            np.cumsum(_LETTERS[letters] * _POWERS[: len(letters)], out=sums[1:])
+            starts.append(begin + low)
+            hashes.append((sums[end] - sums[begin]) * _INVERSE[begin])
+        low = high
+    return np.concatenate(starts), mix(np.concatenate(hashes))
+
+
+def texts_hashes(texts: list[bytes], table: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of ``texts``, end to end, and how many words each has. ``table`` translates bytes; the
+    space stands between words."""
+    starts, hashes = word_hashes(b" ".join(texts).translate(table))
+    ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
+    return hashes, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
 _MEMO: list[WordHashes] = []
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shardweave.llm import chunks, language_model, substring_dedup
 from shardweave.llm.queries import QUERIES
-from shardweave.llm.words import BASE, WordHashes, mix, windows
+from shardweave.llm.words import BASE, PIECE, WordHashes, mix, texts_hashes, windows
 from tests.llm.fixtures import LOWER, SF, collected, empty_table, odd_rows, odd_table, words
 
 
@@ -141,3 +142,17 @@ def test_probabilities_sum_to_one_and_em_improves():
         ratio[:, k] = np.where(cells[:, k + 1] == language_model.NEVER, 0, 2.0 ** (cells[:, k + 1] / language_model.STEPS))
     gain = lambda w: (times * np.log((w * ratio).sum(axis=1))).sum()
     assert gain(weights[cells[:, 0]]) > gain(np.full((500, 3), 1 / 3))
+
+
+def test_hashes_of_words_come_from_running_sums():
+    """Words are cut as ``bytes.split`` does and equal where their bytes are, across pieces and for very long words."""
+    rng = random.Random(31)
+    texts = [bytes(rng.choice(b"abAB \t\x0b\x0c\x1c\xc3\xa9z") for _ in range(rng.randrange(300))) for _ in range(500)]
+    texts += [b"", b" ", b"x" * (PIECE + 3), b" ".join(b"w%d" % rng.randrange(9999) for _ in range(30_000)), b"y " + b"x" * PIECE + b"xxx"]
+    hashes, counts = texts_hashes(texts, language_model._LOWERED)
+    split = [text.lower().split() for text in texts]
+    assert counts.tolist() == [len(s) for s in split]
+    seen = {}
+    assert all(seen.setdefault(word, value) == value for word, value in zip([w for s in split for w in s], hashes.tolist()))
+    assert len(set(seen.values())) == len(seen)
+    assert [len(x) for x in texts_hashes([], language_model._LOWERED)] == [0, 0]
