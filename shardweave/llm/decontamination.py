@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardweave.llm.store import everywhere, stored
-from shardweave.llm.words import text_slices, tidy, utf8
+from shardweave.llm.words import text_slices, texts_hashes, tidy, utf8
 
 # Words of half a passage; passages overlap by half.
 HALF = 24
@@ -36,14 +35,16 @@ RANK, EXTRA, POWERS = 128, 16, 2
 # beyond so many passages less still, so that together they weigh no more than these and the space keeps the items.
 PASSAGE_WEIGHT, FULL_PASSAGES = 0.1, 32_768
 # Passages whose products are in a task at a time, and slices in which tasks send the sums of products.
-ROWS, SLICES = 1024, 32
+ROWS, SLICES = 4096, 32
+# Terms in most documents, which make up most of a passage and are multiplied as a dense block.
+FREQUENT = 512
 # Pieces of items whose vectors are in a task at a time, and bytes of the items' text.
 BLOCK_ITEMS, BLOCK_BYTES = 500, 1 << 20
 # Items of fewer words than SHORT, but at least LEAST_SHORT, are looked up by their rarest words as well; below
 # that, a few words in order tell nothing, and only the cosine finds an item.
 SHORT, LEAST_SHORT = HALF, 4
-# Words whose vectors are in a task at a time.
-SLAB = 50_000
+# Bytes of texts whose words' vectors are in a task at a time (a longer text is on its own).
+SLAB_BYTES = 300_000
 # Bytes of texts whose passages are in a task at a time.
 SLICE_BYTES = 2 << 20
 # Least cosine of a candidate, times the share of the item's vector that the latent space keeps; least share of the item's words in order; with a lower share, the least share
@@ -124,12 +125,31 @@ def lacking(size: int, share: float) -> int:
     return max(k for k in range(size + 1) if (size - k) / size >= share)
 
 
+class Vocabulary:
+    """The numbers of terms by the hashes of their words."""
+
+    def __init__(self, terms: dict[bytes, int]):
+        hashes, _ = texts_hashes(list(terms), _PLAIN)
+        self.numbers = np.argsort(hashes)
+        self.hashes = hashes[self.numbers]
+
+    def __len__(self):
+        return len(self.hashes)
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words of the texts, -1 for others, and how many words each text has."""
+        hashes, lengths = texts_hashes(texts, _PLAIN)
+        at = np.searchsorted(self.hashes, hashes)
+        at[at == len(self)] = 0
+        return np.where(self.hashes[at] == hashes, self.numbers[at], -1), lengths
+
+
 class Space:
     """Vocabulary, weights, weighted term vectors, vectors of the items' pieces, and keys of the short items of one
     block."""
 
     def __init__(self, items: list[Item], idf: np.ndarray, terms: dict[bytes, int], vectors: np.ndarray):
-        self.items, self.terms = items, terms
+        self.items, self.vocabulary = items, Vocabulary(terms)
         used = np.array([terms[w] for item in items for w in item.words])
         # A word outside the vocabulary (number -1, the last row) has no vector and the mean weight.
         mean = float(idf[used].mean())
@@ -204,7 +224,7 @@ def _blocks(items: DataFrame) -> Iterator[list[Item]]:
 def _search(docs: DataFrame, items: list[Item], schema: str) -> DataFrame:
     spark = docs.sparkSession
     terms = {word: n for n, word in enumerate(dict.fromkeys(w for item in items for w in item.words))}
-    known = everywhere(spark, terms)
+    known = everywhere(spark, Vocabulary(terms))
     total = docs.count()
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,25 +232,26 @@ def _search(docs: DataFrame, items: list[Item], schema: str) -> DataFrame:
         vocabulary, seen = known.value, np.zeros(len(known.value), np.int64)
         for batch in batches:
             for start, length in text_slices(batch.column("text"), SLICE_BYTES):
-                lists = []
-                for data in utf8(batch.column("text").slice(start, length)):
-                    words = plain_words(data)
-                    numbers = np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
-                    at = np.flatnonzero(numbers >= 0)
-                    mine = numbers[at]
-                    seen[np.unique(mine)] += 1
-                    # By passage, then by term.
-                    key = np.sort(at // (2 * HALF) * len(vocabulary) + mine)
-                    if len(key):
-                        lists += np.split(key % len(vocabulary), np.flatnonzero(np.diff(key // len(vocabulary))) + 1)
+                numbers, lengths = vocabulary.of(list(utf8(batch.column("text").slice(start, length))))
+                owner = np.repeat(np.arange(len(lengths)), lengths)
+                place = np.arange(len(numbers)) - (np.cumsum(lengths) - lengths)[owner]
+                passages = -(-lengths // (2 * HALF))
+                at = np.flatnonzero(numbers >= 0)
+                mine, owner = numbers[at], owner[at]
+                seen += np.bincount(np.unique(owner * len(vocabulary) + mine) % len(vocabulary), minlength=len(vocabulary))
+                # By passage, then by term.
+                key = np.sort(((np.cumsum(passages) - passages)[owner] + place[at] // (2 * HALF)) * len(vocabulary) + mine)
+                if not len(key):
+                    continue
+                ends = np.r_[0, np.flatnonzero(np.diff(key // len(vocabulary))) + 1, len(key)]
+                lists = pa.ListArray.from_arrays(ends.astype(np.int32), (key % len(vocabulary)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([-1] * len(lists), pa.int64()), pa.array([0] * len(lists), pa.int64()), pa.array(lists, pa.list_(pa.int64()))],
-                    names=["term", "times", "passage"],
+                    [pa.array(np.full(len(lists), -1)), pa.array(np.zeros(len(lists), np.int64)), lists], names=["term", "times", "passage"]
                 )
         at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at]), pa.nulls(len(at), pa.list_(pa.int64()))], names=["term", "times", "passage"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at]), pa.nulls(len(at), pa.list_(pa.int32()))], names=["term", "times", "passage"])
 
-    facts = docs.select("text").mapInArrow(tidy(first), "term bigint, times bigint, passage array<bigint>")
+    facts = docs.select("text").mapInArrow(tidy(first), "term bigint, times bigint, passage array<int>")
     facts = stored(facts, "leaks-facts")
     idf = np.full(len(terms), np.log(total + 1.0))
     for row in facts.where("term >= 0").groupBy("term").agg(F.sum("times").alias("times")).collect():  # the block's vocabulary
@@ -239,20 +260,15 @@ def _search(docs: DataFrame, items: list[Item], schema: str) -> DataFrame:
     weight = PASSAGE_WEIGHT * min(1.0, FULL_PASSAGES / max(passages.count(), 1)) ** 0.5
     passages = passages.withColumn("weight", F.lit(weight))
     own = [(sorted(terms[w] for w in piece), 1.0) for item in items for piece in item.pieces]
-    passages = passages.unionAll(spark.createDataFrame(own, "passage array<bigint>, weight double"))
+    passages = passages.unionAll(spark.createDataFrame(own, "passage array<int>, weight double"))
     space = everywhere(spark, Space(items, idf, terms, singular_vectors(passages, idf)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column("id"), list(utf8(batch.column("text")))
-            hits, pending, size = [], [], 0
-            for n, data in enumerate(texts):
-                words = plain_words(data)
-                pending.append((n, words))
-                size += len(words)
-                if size >= SLAB or n == len(texts) - 1:
-                    hits += _hits(pending, space.value)
-                    pending, size = [], 0
+            hits = []
+            for start, length in text_slices(batch.column("text"), SLAB_BYTES):
+                hits += [(start + n, *rest) for n, *rest in _hits(texts[start : start + length], space.value)]
             if hits:
                 at, item, *numbers = zip(*hits)
                 yield pa.RecordBatch.from_arrays(
@@ -263,12 +279,10 @@ def _search(docs: DataFrame, items: list[Item], schema: str) -> DataFrame:
     return docs.mapInArrow(tidy(search), schema)
 
 
-def _hits(texts: list[tuple[int, list[bytes]]], space: Space) -> list[tuple]:
+def _hits(texts: list[bytes], space: Space) -> list[tuple]:
     """(text's number, item's number, cosine, shares) of the items found in a few texts."""
-    every = [word for _, words in texts for word in words]
-    numbers = np.fromiter(map(space.terms.get, every, repeat(-1)), np.int64, len(every))
     # Half passages never cross texts; a passage is a half and the next of the same text.
-    lengths = np.array([len(words) for _, words in texts])
+    numbers, lengths = space.vocabulary.of(texts)
     halves = -(-lengths // HALF)
     owner = np.repeat(np.arange(len(texts)), halves)
     first = np.cumsum(halves) - halves
@@ -299,10 +313,12 @@ def _hits(texts: list[tuple[int, list[bytes]]], space: Space) -> list[tuple]:
             k = int(np.searchsorted(text_starts, at, side="right")) - 1
             for i in space.short[int(numbers[at])]:
                 exact.setdefault((k, i), []).append(int(at - text_starts[k]))
-    found = []
+    found, split = [], {}
     for k, i in near.keys() | exact.keys():
         places = near.get((k, i), [])
-        number, words = texts[k]
+        if k not in split:
+            split[k] = plain_words(texts[k])
+        words = split[k]
         item, best = space.items[i], None
         runs: list[list[int]] = []
         for at in places:
@@ -326,7 +342,7 @@ def _hits(texts: list[tuple[int, list[bytes]]], space: Space) -> list[tuple]:
                 those = cosine[max(half - 1, int(first[k])) : half + 1, space.piece_of[i]]
                 best_of[k, i] = max(best_of.get((k, i), -1.0), float(those.max()))
         if best:
-            found.append((number, item.number, best_of[k, i], *best))
+            found.append((k, item.number, best_of[k, i], *best))
     return found
 
 
@@ -354,6 +370,10 @@ def _product(passages: DataFrame, idf: np.ndarray, basis: np.ndarray, gram: bool
         weights, matrix = sums.value
         matrix = matrix.astype(np.float32)
         total = np.zeros(shape)
+        frequent = np.argsort(weights, kind="stable")[:FREQUENT]
+        column = np.full(len(weights), -1)
+        column[frequent] = np.arange(len(frequent))
+        head = matrix[frequent]
         for whole in batches:
             for start in range(0, len(whole), ROWS):
                 batch = whole.slice(start, ROWS)
@@ -366,17 +386,26 @@ def _product(passages: DataFrame, idf: np.ndarray, basis: np.ndarray, gram: bool
                 term, owner = passage[at], owner[at]
                 length = np.sqrt(np.bincount(owner, value * value, len(sizes)))
                 value *= (batch.column("weight").to_numpy() / np.maximum(length, 1e-12))[owner]
-                value = value.astype(np.float32)[:, None]
-                some = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-                image = np.add.reduceat(matrix[term] * value, some, axis=0)
+                value = value.astype(np.float32)
+                # The frequent terms as a dense block, the others one by one.
+                place = column[term]
+                often = place >= 0
+                block = np.zeros((len(sizes), len(frequent)), np.float32)
+                block[owner[often], place[often]] = value[often]
+                term, owner, value = term[~often], owner[~often], value[~often, None]
+                image = block @ head
+                if len(term):
+                    some = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+                    image[owner[some]] += np.add.reduceat(matrix[term] * value, some, axis=0)
                 if gram:
                     total += image.T.astype(float) @ image
                     continue
-                row = np.repeat(np.arange(len(some)), np.diff(np.r_[some, len(owner)]))
-                order = np.argsort(term, kind="stable")
-                term = term[order]
-                first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
-                total[term[first]] += np.add.reduceat(image[row[order]] * value[order], first, axis=0)
+                total[frequent] += block.T @ image
+                if len(term):
+                    order = np.argsort(term, kind="stable")
+                    term = term[order]
+                    first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+                    total[term[first]] += np.add.reduceat(image[owner[order]] * value[order], first, axis=0)
         parts = [total[low:high].tobytes() for low, high in zip(edges, edges[1:])]
         yield pa.RecordBatch.from_pydict({"part": pa.array(range(SLICES), pa.int32()), "total": pa.array(parts, pa.binary())})
 
