@@ -5,15 +5,15 @@ probabilities of the categories before it. While it is fitted, those come from m
 row (out-of-fold), so that a later model does not trust an earlier one more than it may when applied.
 
 A text's features are the distinct words, with the beginnings of longer ones (inflected and compound forms share
-them), what clings to words as punctuation, and whether words are all upper case. The model is fitted in one task
-on a bounded sample of the labelled rows and keeps the features that tell a category apart; applying it
-needs no shuffle.
+them), what clings to words as punctuation, and whether words are all upper case. The model is fitted on all labelled
+rows and keeps the features that tell a category apart: in one task if these rows are few, otherwise each sum over rows
+that a step of the fit needs is a job over stored blocks of them. Applying it needs no shuffle.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from shardweave.llm.store import everywhere
-from shardweave.llm.words import give_back, utf8
+from shardweave.llm.store import destroy, everywhere, stored
+from shardweave.llm.words import give_back, text_slices, tidy, utf8
 
-# Labels, those with the least hashes of their ids among the ids that have a text, that a model is fitted on.
+# Labelled rows that have a text: up to so many are fitted on in one task, more by jobs over all of them.
 SAMPLE_ROWS = 10_000
+# Bytes of texts whose features are one block.
+BLOCK_BYTES = 2 << 20
 # Bytes of the word beginnings that are features; features kept per category; texts that must have one.
 BEGINNINGS, FEATURES, LEAST_TEXTS = (4, 5, 6), 1500, 4
 # Folds of the out-of-fold predictions; strength of the squared penalty; steps of the fit, and of the power
@@ -74,31 +76,46 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(x: Sparse, earlier: np.ndarray, y: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Weights of the features, of earlier probabilities, and the constant of a logistic model with a squared
-    penalty, on the rows ``mine``; accelerated gradient steps scaled by each column's frequency."""
-    share = mine / max(mine.sum(), 1)
-    scale = 1 / np.sqrt(np.r_[x.turned(share) + 1e-4, (earlier**2 * share[:, None]).sum(axis=0) + 1e-4, 1.0])
-    width = x.width
-    at = ahead = np.zeros(width + earlier.shape[1] + 1)
+def sums(kind: str, x: Sparse, earlier: np.ndarray, y: np.ndarray, mine: np.ndarray, w: np.ndarray | None) -> np.ndarray:
+    """What the rows add to each weight of several models, one for each column of ``mine`` and ``w``: the sums of the
+    inputs' ``squares``, of the inputs times the ``moments`` of their sums, or the ``slopes`` of the loss."""
+    width, out = x.width, []
+    for f in range(mine.shape[1]):
+        z = mine[:, f]
+        if kind == "squares":
+            out.append(np.r_[x.turned(z), z @ earlier**2, z.sum()])
+            continue
+        at = x.times(w[:width, f]) + earlier @ w[width:-1, f] + w[-1, f]
+        z = z * (sigmoid(at) - y if kind == "slopes" else at)
+        out.append(np.r_[x.turned(z), z @ earlier, z.sum()])
+    return np.stack(out, axis=1)
+
+
+def descended(total: Callable[[str, np.ndarray | None], np.ndarray]) -> np.ndarray:
+    """Weights of the features, of earlier probabilities, and the constant (rows) of logistic models (columns) with a
+    squared penalty; accelerated gradient steps scaled by each input's frequency. ``total`` gives ``sums`` over all rows."""
+    squares = total("squares", None)
+    rows = np.maximum(squares[-1], 1)
+    scale = 1 / np.sqrt(np.vstack([squares[:-1] / rows + 1e-4, np.ones((1, len(rows)))]))
+    at = ahead = np.zeros(scale.shape)
     # The curvature is at most a quarter of the largest eigenvalue of the scaled second moments.
-    v = np.ones(len(at))
+    v = np.ones(scale.shape)
     for _ in range(POWERS):
-        v /= np.sqrt(v @ v)
-        w = v * scale
-        z = (x.times(w[:width]) + earlier @ w[width:-1] + w[-1]) * share
-        v = np.r_[x.turned(z), z @ earlier, z.sum()] * scale
-    step = 4 / (1.2 * max(float(np.sqrt(v @ v)), 1e-6))
+        v = v / np.sqrt((v * v).sum(axis=0))
+        v = total("moments", v * scale) / rows * scale
+    step = 4 / (1.2 * np.maximum(np.sqrt((v * v).sum(axis=0)), 1e-6))
     for k in range(STEPS):
-        w = ahead * scale
-        z = x.times(w[:width]) + earlier @ w[width:-1] + w[-1]
-        error = (sigmoid(z) - y) * share
-        slope = np.r_[x.turned(error), error @ earlier, error.sum()] * scale + PENALTY * np.r_[ahead[:-1], 0]
+        slope = total("slopes", ahead * scale) / rows * scale + PENALTY * np.vstack([ahead[:-1], np.zeros((1, len(rows)))])
         new = ahead - step * slope
         ahead = new + k / (k + 3) * (new - at)
         at = new
-    w = at * scale
-    return w[:width], w[width:-1], float(w[-1])
+    return at * scale
+
+
+def fit(x: Sparse, earlier: np.ndarray, y: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """The parts of ``descended`` for one model, on the rows ``mine``."""
+    w = descended(lambda kind, w: sums(kind, x, earlier, y, mine[:, None], w))[:, 0]
+    return w[: x.width], w[x.width : -1], float(w[-1])
 
 
 class Chain:
@@ -193,23 +210,143 @@ def train(rows: list[np.ndarray], labels: list[list[int]]) -> Chain:
     return Chain(hashes, links)
 
 
+class Words(dict):
+    """Memo from a word to its features; bounded."""
+
+    def __missing__(self, word: bytes) -> list[int]:
+        if len(self) >= MEMO_ENTRIES:
+            self.clear()
+        found = self[word] = features_of(word)
+        return found
+
+
+def fitted_by_jobs(rows: DataFrame, names: list[str]) -> Chain:
+    """The chain of ``train`` for all ``rows`` (``_id``, ``_text`` and marks), each sum over them being a job.
+
+    Folds go by the hash of the id, so that rows of one id share one. A task holds a block of rows at a time; the driver
+    gets the chosen features, and per job and task one sum for each weight.
+    """
+    spark = rows.sparkSession
+    rows = rows.withColumn("_fold", F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)))
+    count = rows.count()
+    parts = -(-count // SAMPLE_ROWS)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Words()
+        for batch in batches:
+            for start, length in text_slices(batch.column("_text"), BLOCK_BYTES):
+                part = batch.slice(start, length)
+                found = [np.unique(np.fromiter((f for w in set(d.split()) for f in memo[w]), np.uint64)) for d in utf8(part.column("_text"))]
+                hashes, at = np.unique(np.concatenate(found), return_inverse=True)
+                marks = np.stack([part.column(n).to_numpy() for n in names], axis=1).astype(np.uint8)
+                values = [hashes, at.astype(np.uint32), np.array([len(f) for f in found], np.uint32), marks, part.column("_fold").to_numpy().astype(np.uint8)]
+                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values], names=["hashes", "at", "sizes", "marks", "fold"])
+
+    blocks = stored(rows.select("_text", "_fold", *names).repartition(parts).mapInArrow(tidy(pack), "hashes binary, at binary, sizes binary, marks binary, fold binary"), "toxicity-blocks")
+    wide = len(names)
+
+    def parts_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
+        kinds = {"hashes": np.uint64, "at": np.uint32, "sizes": np.uint32, "marks": np.uint8, "fold": np.uint8}
+        found = {n: np.frombuffer(batch.column(n)[i].as_py(), k) for n, k in kinds.items() if n in batch.schema.names}
+        return *(found[n] for n in batch.schema.names if n not in ("marks", "fold")), found["marks"].reshape(-1, wide), found["fold"]
+
+    def times(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows per feature, and those in each category; ``nothing`` marks the totals."""
+        for batch in batches:
+            for i in range(len(batch)):
+                hashes, at, sizes, marks, _ = parts_of(batch, i)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                found = [np.bincount(at, minlength=len(hashes))] + [np.bincount(at[marks[owner, k] > 0], minlength=len(hashes)) for k in range(wide)]
+                # Signed, in the order of the unsigned hashes.
+                signed = (hashes ^ np.uint64(1 << 63)).view(np.int64)
+                whole = [len(sizes), *marks.sum(axis=0, dtype=np.int64)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.r_[signed, 0]), pa.array(np.r_[np.zeros(len(hashes), bool), True])] + [pa.array(np.r_[f, w]) for f, w in zip(found, whole)],
+                    names=["hash", "whole", "times", *names],
+                )
+
+    marks = ", ".join(f"{n} bigint" for n in names)
+    counts = blocks.mapInArrow(tidy(times), f"hash bigint, whole boolean, times bigint, {marks}").groupBy("hash", "whole")
+    counts = stored(counts.agg(F.sum("times").alias("times"), *[F.sum(n).alias(n) for n in names]), "toxicity-features")
+    whole = counts.where("whole").first()
+    n, best = whole.times, set()
+    enough = counts.where(~F.col("whole") & (F.col("times") >= LEAST_TEXTS) & (F.col("times") < n))
+    for name in names:
+        mean = whole[name] / n
+        if 0 < mean < 1:
+            expected = F.col("times") * F.lit(mean)
+            gap = F.col(name) - expected
+            score = gap * gap / (expected * F.lit(1 - mean) * (F.lit(1.0) - F.col("times") / F.lit(float(n))))
+            some = enough.select("hash", score.alias("score")).where("score > 10.8").orderBy(F.desc("score"), "hash").limit(FEATURES)
+            best.update(r.hash for r in some.collect())
+    chosen = np.array(sorted(best), np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+    features = everywhere(spark, chosen)
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                hashes, at, sizes, _, _ = parts_of(batch, i)
+                _, place, number = np.intersect1d(hashes, features.value, assume_unique=True, return_indices=True)
+                column = np.full(len(hashes), -1)
+                column[place] = number
+                columns, owner = column[at], np.repeat(np.arange(len(sizes)), sizes)
+                sizes = np.bincount(owner[columns >= 0], minlength=len(sizes))
+                values = [columns[columns >= 0].astype(np.uint32).tobytes(), sizes.astype(np.uint32).tobytes()]
+                values = [pa.array([v], pa.binary()) for v in values] + [batch.column(n).slice(i, 1) for n in ("marks", "fold")]
+                yield pa.RecordBatch.from_arrays(values, names=["at", "sizes", "marks", "fold"])
+
+    matrix = stored(blocks.mapInArrow(tidy(narrow), "at binary, sizes binary, marks binary, fold binary"), "toxicity-matrix")
+    unseen: list[np.ndarray] = []  # per category before, the weights (rows) of the folds' models (columns)
+    links = []
+    for k in range(wide):
+        models = FOLDS + 1 if k < wide - 1 else 1
+
+        def total(kind: str, w: np.ndarray | None) -> np.ndarray:
+            sent = everywhere(spark, (w, unseen))
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                w, before = sent.value
+                out = np.zeros((len(chosen) + k + 1, models))
+                for batch in batches:
+                    for i in range(len(batch)):
+                        at, sizes, marks, fold = parts_of(batch, i)
+                        x = Sparse([at.astype(np.int64)], len(chosen))
+                        x.owner, x.height = np.repeat(np.arange(len(sizes)), sizes), len(sizes)
+                        earlier = np.empty((len(sizes), 0))
+                        for weights in before:
+                            z = np.bincount(x.owner, weights=weights[x.columns, fold[x.owner]], minlength=x.height)
+                            z += (earlier * weights[x.width : -1].T[fold]).sum(axis=1) + weights[-1, fold]
+                            earlier = np.column_stack([earlier, sigmoid(z)])
+                        mine = np.ones((len(sizes), models))
+                        mine[:, 1:] = fold[:, None] != np.arange(models - 1)
+                        out += sums(kind, x, earlier, marks[:, k].astype(float), mine, w)
+                yield pa.RecordBatch.from_pydict({"total": pa.array([out.tobytes()], pa.binary())})
+
+            found = matrix.mapInArrow(run, "total binary").collect()  # one row per task
+            destroy([sent])
+            return sum(np.frombuffer(r.total).reshape(-1, models) for r in found)
+
+        w = descended(total)
+        links.append((w[: len(chosen), 0], w[len(chosen) : -1, 0], float(w[-1, 0])))
+        unseen.append(w[:, 1:])
+    return Chain(chosen, links)
+
+
 def fitted(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id: str = "doc_id", text: str = "text") -> Chain:
     """A chain for ``categories``, in their order: names with boolean conditions on ``labels``.
 
-    Fitted on at most ``SAMPLE_ROWS`` labelled rows, those with the least hashes of their id, in one task. Rows without id or
-    with an undecided category are left out before these are taken, as are ids that ``docs`` does not have; a repeated
-    id counts as often as it is there, within that bound. Without any row the chain is not ``learned``, and every category has
-    probability one half.
+    Fitted on all labelled rows that have a text. Rows without id or with an undecided category are left out, as are ids
+    that ``docs`` does not have; a repeated id counts as often as it is there. Without any row the chain is not
+    ``learned``, and every category has probability one half.
     """
     conditions = [c.cast("int").alias(f"_y{n}") for n, c in enumerate(categories.values())]
     names = [f"_y{n}" for n in range(len(categories))]
     marked = labels.select(F.col(id).alias("_id"), *conditions).dropna()
     order = F.xxhash64("_id")
     texts = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
-    sample = marked.join(texts.select("_id"), "_id", "left_semi").orderBy(order, "_id", *names).limit(SAMPLE_ROWS)
-    # Bounded by SAMPLE_ROWS, so it may be broadcast whatever the size of the tables.
-    rows = texts.join(F.broadcast(sample), "_id").select("_id", "_text", *names)
-    rows = rows.orderBy(order, "_id", F.xxhash64("_text"), *names).limit(SAMPLE_ROWS)
+    rows = texts.join(marked, "_id").select("_id", "_text", *names)
+    if rows.limit(SAMPLE_ROWS + 1).count() > SAMPLE_ROWS:
+        return fitted_by_jobs(rows, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks: list[list[int]] = []

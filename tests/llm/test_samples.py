@@ -37,3 +37,19 @@ def test_a_repeated_id_stays_within_the_bound(spark, monkeypatch):
     marks = labels(spark, 200).select("doc_id", F.lit(1).alias("quality"), F.col("good").cast("int").alias("toxic"))
     found = toxic_marks(many, many, marks)
     assert found.count() == 2200
+
+
+def test_the_chain_is_fitted_on_all_labels(spark, monkeypatch):
+    """More labels than one task takes: a word that only few texts have is learned wherever they are, and the model is
+    that of one task over all rows, but for its folds."""
+    rng = random.Random(5)
+    texts = [(i, " ".join(rng.choice(["plain", "calm", "word", "text", "line"]) for _ in range(12)) + (" vile" if i % 40 == 7 else "")) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    marks = spark.createDataFrame([(i, 1 - i % 2, int(i % 40 == 7)) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    categories = {"toxic": F.col("toxic") == 1}
+    whole = toxicity.fitted(docs, marks, categories)
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 12)
+    jobs = toxicity.fitted(docs, marks, categories)
+    assert jobs.hashes.tolist() == whole.hashes.tolist() and len(whole.hashes)
+    assert abs(jobs.weights - whole.weights).max() < 1e-9 and abs(jobs.links[0][2] - whole.links[0][2]) < 1e-9
+    assert all((jobs.probabilities(text.encode())[0] > 0.5) == (i % 40 == 7) for i, text in texts)
