@@ -12,6 +12,7 @@ that a step of the fit needs is a job over stored blocks of them. Applying it ne
 
 from __future__ import annotations
 
+import itertools
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -24,11 +25,14 @@ from pyspark.sql.functions import arrow_udf
 
 from shardweave.llm.store import destroy, everywhere, stored
 from shardweave.llm.words import give_back, text_slices, tidy, utf8
+from shardweave.session import small_batches
 
 # Labelled rows that have a text: up to so many are fitted on in one task, more by jobs over all of them.
 SAMPLE_ROWS = 10_000
-# Bytes of texts whose features are one block.
-BLOCK_BYTES = 2 << 20
+# Rows per task of the jobs that sum over all rows: starting a task takes as long as summing over several thousand.
+TASK_ROWS = 4 * SAMPLE_ROWS
+# Bytes of texts whose words are one block.
+BLOCK_BYTES = 512 << 10
 # Bytes of the word beginnings that are features; features kept per category; texts that must have one.
 BEGINNINGS, FEATURES, LEAST_TEXTS = (4, 5, 6), 1500, 4
 # Folds of the out-of-fold predictions; strength of the squared penalty; steps of the fit, and of the power
@@ -41,11 +45,13 @@ PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 def features_of(word: bytes) -> list[int]:
     """Hashes of the features that a word (as it stands in the text) gives its text."""
     digest = xxhash.xxh3_64_intdigest
-    tail = word[len(word.rstrip(PUNCTUATION)) :]
-    bare = word.strip(PUNCTUATION)
+    tail, bare = b"", word
+    if not word.isalnum():
+        tail = word[len(word.rstrip(PUNCTUATION)) :]
+        bare = word.strip(PUNCTUATION)
     found = [digest(b"tail " + tail)] if tail else []
     if bare:
-        low = bare.decode("utf-8", "replace").lower().encode()
+        low = bare.lower() if bare.isascii() else bare.decode("utf-8", "replace").lower().encode()
         found.append(digest(b"word " + low))
         found += [digest(b"from " + low[:n]) for n in BEGINNINGS if len(low) > n]
         if len(bare) > 3 and bare.isupper():
@@ -61,15 +67,35 @@ class Sparse:
     """A 0/1 matrix by the column numbers of its rows, end to end."""
 
     def __init__(self, rows: list[np.ndarray], width: int):
-        self.columns = np.concatenate([np.empty(0, np.int64), *rows])
-        self.owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.height, self.width = len(rows), width
+        self._set(np.concatenate([np.empty(0, np.int64), *rows]), [len(r) for r in rows], width)
+
+    @classmethod
+    def of(cls, columns: np.ndarray, sizes: np.ndarray, width: int) -> Sparse:
+        """The matrix by all column numbers, end to end, and how many each row has."""
+        made = cls.__new__(cls)
+        made._set(columns, sizes, width)
+        return made
+
+    def _set(self, columns: np.ndarray, sizes: np.ndarray | list[int], width: int) -> None:
+        self.columns, self.sizes = columns, np.asarray(sizes, np.int64)
+        self.owner = np.repeat(np.arange(len(sizes)), self.sizes)
+        self.height, self.width = len(sizes), width
 
     def times(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.owner, weights=weights[self.columns], minlength=self.height)
 
     def turned(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.columns, weights=values[self.owner], minlength=self.width)
+        return np.bincount(self.columns, weights=np.repeat(values, self.sizes), minlength=self.width)
+
+
+class Block(Sparse):
+    """The rows of one block: sums of runs, which take half the time and round otherwise."""
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        out, some = np.zeros(self.height), np.flatnonzero(self.sizes)
+        if len(some):
+            out[some] = np.add.reduceat(np.ascontiguousarray(weights).take(self.columns), (np.cumsum(self.sizes) - self.sizes)[some])
+        return out
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -134,7 +160,8 @@ class Chain:
         self.__init__(*state)
 
     def known(self, word: bytes) -> tuple[int, ...]:
-        found = tuple(self.number[f] for f in features_of(word) if f in self.number)
+        number = self.number
+        found = tuple([number[f] for f in features_of(word) if f in number])
         if len(self.memo) >= MEMO_ENTRIES:
             self.memo.clear()
         self.memo[word] = found
@@ -220,43 +247,99 @@ class Words(dict):
         return found
 
 
+def word_block(texts: Iterator[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The distinct words of some texts, joined by spaces, the numbers of each text's words, and how many it has."""
+    number: dict[bytes, int] = {}
+    at = [[number.setdefault(w, len(number)) for w in set(data.split())] for data in texts]
+    kind = np.uint16 if len(number) <= 1 << 16 else np.uint32
+    return b" ".join(number), np.array([n for mine in at for n in mine], kind), np.array([len(mine) for mine in at], np.uint32)
+
+
+def text_pairs(at: np.ndarray, sizes: np.ndarray, features: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, feature) of a block, ascending, as the texts' numbers and places in the features, which come
+    last: those of all words once, ascending. ``features`` has a sequence for each word."""
+    counts = np.fromiter(map(len, features), np.int64, len(features))
+    flat = np.fromiter(itertools.chain.from_iterable(features), np.uint64, int(counts.sum()))
+    distinct, place = np.unique(flat, return_inverse=True)
+    # The features of each word that a text has, end to end.
+    length = counts[at]
+    before = np.cumsum(counts) - counts
+    of = np.repeat(before[at] - np.cumsum(length) + length, length) + np.arange(length.sum())
+    owner = np.repeat(np.repeat(np.arange(len(sizes)), sizes), length)
+    pairs = np.sort(owner * len(distinct) + place[of])
+    pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]] if len(pairs) else pairs
+    return pairs // max(len(distinct), 1), pairs % max(len(distinct), 1), distinct
+
+
+# A table with a bit for each hash of an id: bits an id has at least, bits at most (8 MB), 64-bit words of a row.
+BITS_EACH, MOST_BITS, LINE = 16, 1 << 26, 1024
+
+
+def likely(texts: DataFrame, marked: DataFrame, count: int) -> DataFrame:
+    """``texts`` with all rows whose ``_id`` is among the ``count`` of ``marked`` and few others, so that a join need not
+    shuffle the texts of the others. Ids are looked up in a table of bits of bounded size, which is broadcast."""
+    kinds = {df.schema["_id"].dataType.simpleString() for df in (texts, marked)}
+    if not (kinds <= {"tinyint", "smallint", "int", "bigint"} or kinds == {"string"}):
+        return texts  # equal values may be written differently
+    size = min(MOST_BITS, max(64 * LINE, 1 << (BITS_EACH * count).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines: dict[int, np.ndarray] = {}
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            for line in np.unique(batch.column("line").to_numpy()):
+                bits = lines.setdefault(int(line), np.zeros(64 * LINE, bool))
+                bits[place[batch.column("line").to_numpy() == line]] = True
+        for line, bits in lines.items():
+            words = np.packbits(bits, bitorder="little").view("<i8")
+            yield pa.RecordBatch.from_arrays([pa.array([line], pa.int64()), pa.array([words], pa.list_(pa.int64()))], names=["line", "bits"])
+
+    hashed = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(size))
+    line, place = F.floor(hashed / (64 * LINE)), F.pmod(hashed, F.lit(64 * LINE))
+    places = marked.select(line.alias("line"), place.alias("place")).repartition(-(-size // (64 << 16)), "line")
+    table = places.mapInArrow(tidy(run), "line bigint, bits array<bigint>")
+    is_set = F.getbit(F.get("bits", F.floor(place / 64).cast("int")), F.pmod(place, F.lit(64)).cast("int")) == 1
+    return texts.join(F.broadcast(table), (F.col("line") == line) & is_set, "left_semi")
+
+
 def fitted_by_jobs(rows: DataFrame, names: list[str]) -> Chain:
     """The chain of ``train`` for all ``rows`` (``_id``, ``_text`` and marks), each sum over them being a job.
 
-    Folds go by the hash of the id, so that rows of one id share one. A task holds a block of rows at a time; the driver
-    gets the chosen features, and per job and task one sum for each weight.
+    Folds go by the hash of the id, so that rows of one id share one. A task holds a block of rows at a time; blocks are
+    stored as words, in less room than the texts and far less than their features. The driver gets the chosen features,
+    and per job and task one sum for each weight.
     """
     spark = rows.sparkSession
     rows = rows.withColumn("_fold", F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)))
-    count = rows.count()
-    parts = -(-count // SAMPLE_ROWS)
+    kinds = "words binary, at binary, sizes binary, marks binary, fold binary"
+    wide = len(names)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Words()
         for batch in batches:
             for start, length in text_slices(batch.column("_text"), BLOCK_BYTES):
                 part = batch.slice(start, length)
-                found = [np.unique(np.fromiter((f for w in set(d.split()) for f in memo[w]), np.uint64)) for d in utf8(part.column("_text"))]
-                hashes, at = np.unique(np.concatenate(found), return_inverse=True)
+                words, at, sizes = word_block(utf8(part.column("_text")))
                 marks = np.stack([part.column(n).to_numpy() for n in names], axis=1).astype(np.uint8)
-                values = [hashes, at.astype(np.uint32), np.array([len(f) for f in found], np.uint32), marks, part.column("_fold").to_numpy().astype(np.uint8)]
-                yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values], names=["hashes", "at", "sizes", "marks", "fold"])
+                values = [words, at.tobytes(), sizes.tobytes(), marks.tobytes(), part.column("_fold").to_numpy().astype(np.uint8).tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in values], names=["words", "at", "sizes", "marks", "fold"])
 
-    blocks = stored(rows.select("_text", "_fold", *names).repartition(parts).mapInArrow(tidy(pack), "hashes binary, at binary, sizes binary, marks binary, fold binary"), "toxicity-blocks")
-    wide = len(names)
+    blocks = stored(rows.select("_text", "_fold", *names).mapInArrow(tidy(pack), kinds), "toxicity-blocks")
 
     def parts_of(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
-        kinds = {"hashes": np.uint64, "at": np.uint32, "sizes": np.uint32, "marks": np.uint8, "fold": np.uint8}
-        found = {n: np.frombuffer(batch.column(n)[i].as_py(), k) for n, k in kinds.items() if n in batch.schema.names}
-        return *(found[n] for n in batch.schema.names if n not in ("marks", "fold")), found["marks"].reshape(-1, wide), found["fold"]
+        """The numbers of the texts' words or features, how many each has, marks and folds."""
+        at, sizes, marks, fold = (memoryview(batch.column(n)[i].as_buffer()) for n in ("at", "sizes", "marks", "fold"))
+        sizes = np.frombuffer(sizes, np.uint32)
+        kind = np.uint16 if len(at) == 2 * int(sizes.sum()) else np.uint32
+        return np.frombuffer(at, kind), sizes, np.frombuffer(marks, np.uint8).reshape(-1, wide), np.frombuffer(fold, np.uint8)
 
     def times(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows per feature, and those in each category; ``nothing`` marks the totals."""
+        """Rows per feature, and those in each category; ``whole`` marks the totals."""
+        memo = Words()
         for batch in batches:
             for i in range(len(batch)):
-                hashes, at, sizes, marks, _ = parts_of(batch, i)
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                found = [np.bincount(at, minlength=len(hashes))] + [np.bincount(at[marks[owner, k] > 0], minlength=len(hashes)) for k in range(wide)]
+                at, sizes, marks, _ = parts_of(batch, i)
+                owner, place, hashes = text_pairs(at, sizes, [memo[w] for w in batch.column("words")[i].as_py().split()])
+                found = [np.bincount(place, minlength=len(hashes))] + [np.bincount(place[marks[owner, k] > 0], minlength=len(hashes)) for k in range(wide)]
                 # Signed, in the order of the unsigned hashes.
                 signed = (hashes ^ np.uint64(1 << 63)).view(np.int64)
                 whole = [len(sizes), *marks.sum(axis=0, dtype=np.int64)]
@@ -267,10 +350,11 @@ def fitted_by_jobs(rows: DataFrame, names: list[str]) -> Chain:
 
     marks = ", ".join(f"{n} bigint" for n in names)
     counts = blocks.mapInArrow(tidy(times), f"hash bigint, whole boolean, times bigint, {marks}").groupBy("hash", "whole")
-    counts = stored(counts.agg(F.sum("times").alias("times"), *[F.sum(n).alias(n) for n in names]), "toxicity-features")
+    counts = counts.agg(F.sum("times").alias("times"), *[F.sum(n).alias(n) for n in names])
+    counts = stored(counts.where(F.col("whole") | (F.col("times") >= LEAST_TEXTS)), "toxicity-features")
     whole = counts.where("whole").first()
     n, best = whole.times, set()
-    enough = counts.where(~F.col("whole") & (F.col("times") >= LEAST_TEXTS) & (F.col("times") < n))
+    enough = counts.where(~F.col("whole") & (F.col("times") < n))
     for name in names:
         mean = whole[name] / n
         if 0 < mean < 1:
@@ -283,19 +367,21 @@ def fitted_by_jobs(rows: DataFrame, names: list[str]) -> Chain:
     features = everywhere(spark, chosen)
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Chain(features.value, [])
+        get, known = model.memo.get, model.known
+        kind = np.uint16 if len(features.value) <= 1 << 16 else np.uint32
         for batch in batches:
             for i in range(len(batch)):
-                hashes, at, sizes, _, _ = parts_of(batch, i)
-                _, place, number = np.intersect1d(hashes, features.value, assume_unique=True, return_indices=True)
-                column = np.full(len(hashes), -1)
-                column[place] = number
-                columns, owner = column[at], np.repeat(np.arange(len(sizes)), sizes)
-                sizes = np.bincount(owner[columns >= 0], minlength=len(sizes))
-                values = [columns[columns >= 0].astype(np.uint32).tobytes(), sizes.astype(np.uint32).tobytes()]
+                at, sizes, _, _ = parts_of(batch, i)
+                words = batch.column("words")[i].as_py().split()
+                owner, place, columns = text_pairs(at, sizes, [found if (found := get(w)) is not None else known(w) for w in words])
+                sizes = np.bincount(owner, minlength=len(sizes))
+                values = [columns[place].astype(kind).tobytes(), sizes.astype(np.uint32).tobytes()]
                 values = [pa.array([v], pa.binary()) for v in values] + [batch.column(n).slice(i, 1) for n in ("marks", "fold")]
                 yield pa.RecordBatch.from_arrays(values, names=["at", "sizes", "marks", "fold"])
 
     matrix = stored(blocks.mapInArrow(tidy(narrow), "at binary, sizes binary, marks binary, fold binary"), "toxicity-matrix")
+    matrix = matrix.coalesce(-(-n // TASK_ROWS))
     unseen: list[np.ndarray] = []  # per category before, the weights (rows) of the folds' models (columns)
     links = []
     for k in range(wide):
@@ -310,8 +396,7 @@ def fitted_by_jobs(rows: DataFrame, names: list[str]) -> Chain:
                 for batch in batches:
                     for i in range(len(batch)):
                         at, sizes, marks, fold = parts_of(batch, i)
-                        x = Sparse([at.astype(np.int64)], len(chosen))
-                        x.owner, x.height = np.repeat(np.arange(len(sizes)), sizes), len(sizes)
+                        x = Block.of(at.astype(np.int64), sizes, len(chosen))
                         earlier = np.empty((len(sizes), 0))
                         for weights in before:
                             z = np.bincount(x.owner, weights=weights[x.columns, fold[x.owner]], minlength=x.height)
@@ -346,7 +431,9 @@ def fitted(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id
     texts = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
     rows = texts.join(marked, "_id").select("_id", "_text", *names)
     if rows.limit(SAMPLE_ROWS + 1).count() > SAMPLE_ROWS:
-        return fitted_by_jobs(rows, names)
+        rows = likely(texts, marked, marked.count()).join(marked, "_id").select("_id", "_text", *names)
+        with small_batches(docs.sparkSession):
+            return fitted_by_jobs(rows, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks: list[list[int]] = []

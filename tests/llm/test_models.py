@@ -1,5 +1,6 @@
 """Quality rules, the toxicity chain, decontamination and extraction."""
 
+import os
 import random
 
 import numpy as np
@@ -97,6 +98,41 @@ def test_toxicity_fits_on_labels_that_have_a_text(spark, monkeypatch):
     assert {(r.doc_id % 2, r.toxic) for r in toxic_marks(docs, docs, labels).collect()} == {(0, 0), (1, 1)}
 
 
+def test_blocks_of_words_give_the_features_of_each_text():
+    texts = [(t or "").encode() for _, t in odd_rows()]
+    words, at, sizes = toxicity.word_block(iter(texts))
+    owner, place, hashes = toxicity.text_pairs(at, sizes, [toxicity.features_of(w) for w in words.split()])
+    for n, text in enumerate(texts):
+        assert hashes[place[owner == n]].tolist() == toxicity.text_features(text).tolist()
+    assert [len(a) for a in toxicity.text_pairs(np.empty(0, np.uint16), np.zeros(2, int), [])] == [0, 0, 0]
+
+
+def test_toxicity_stores_less_than_the_texts(spark, monkeypatch):
+    """Blocks of the labelled rows' features took several times the room of their texts."""
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 50)
+    folders = []
+    real = toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", lambda df, label: folders.append(real(df, label)) or folders[-1])
+    rng = random.Random(4)
+    rows = [(n, " ".join(f"{rng.choice(['', '(', '*'])}{rng.getrandbits(40):x}" for _ in range(300)) + (" vile" if n % 2 else "")) for n in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(n, 1 - n % 2, n % 2) for n in range(200)], "doc_id bigint, quality int, toxic int")
+    found = toxic_marks(docs, docs, labels).collect()
+    assert {(r.doc_id % 2, r.toxic) for r in found} == {(0, 0), (1, 1)}
+    size = sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for df in folders for f in df.inputFiles())
+    assert size < 1.5 * sum(len(t) for _, t in rows)
+
+
+@pytest.mark.parametrize("kind, most", [("bigint", 1 << 26), ("string", 1 << 26), ("double", 1 << 26), ("bigint", 1 << 16)])
+def test_rows_without_a_label_are_left_out_before_the_join(spark, monkeypatch, kind, most):
+    monkeypatch.setattr(toxicity, "MOST_BITS", most)
+    texts = spark.range(20_000).selectExpr(f"cast(id as {kind}) as _id", "'x' as _text").unionAll(spark.sql(f"select cast(null as {kind}), 'x'"))
+    marked = spark.range(0, 40_000, 10).selectExpr(f"cast(id as {kind}) as _id")
+    found = [r._id for r in toxicity.likely(texts, marked, marked.count()).collect()]
+    assert {r._id for r in marked.where("_id < 20000").collect()} <= set(found) and len(found) == len(set(found))
+    assert len(found) == 20_001 if kind == "double" else len(found) < 4000
+
+
 def test_chain_uses_earlier_categories():
     """The second category is the first one's, turned round: only the chain's link can carry it."""
     rng = random.Random(2)
