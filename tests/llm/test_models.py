@@ -240,6 +240,14 @@ def test_the_space_is_fitted_on_all_passages(spark, monkeypatch):
     assert len(seen[0]) == 20 * 12 + 1
 
 
+def test_sums_of_runs():
+    rng = np.random.default_rng(3)
+    matrix, rows, value = rng.random((40, 7)), rng.integers(0, 40, 500), rng.random(500)
+    starts = np.r_[0, np.sort(rng.choice(np.arange(1, 500), 90, replace=False))]
+    assert np.allclose(decontamination.run_sums(matrix, rows, starts), np.add.reduceat(matrix[rows], starts, axis=0))
+    assert np.allclose(decontamination.run_sums(matrix, rows, starts, value), np.add.reduceat(matrix[rows] * value[:, None], starts, axis=0))
+
+
 def test_leaks_recall_against_brute_force(spark):
     """Of all pairs that the subsequence check accepts anywhere, the search finds at least nine in ten."""
     docs = {r.doc_id: decontamination.plain_words(r.text.encode()) for r in spark.read.parquet(f"{LARGER}/documents.parquet").collect()}
