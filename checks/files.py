@@ -8,7 +8,7 @@ from checks.base import RECORDS, balanced_records, check, list_sum, records, tab
 from shardweave.functions import text as tx
 from shardweave.operators import shards as sh
 from shardweave.operators.records import unwrap_features
-from shardweave.session import scratch_path
+from shardweave.session import delete_folder, scratch_path
 from shardweave.sources import jsonl, paths, tar, tfrecord
 from shardweave.sources.shards import read_shards
 from shardweave.sources.sink import write_chunks, write_jsonl, write_tar_samples
@@ -360,28 +360,33 @@ def _(spark, sf):
         nothing = F.when(F.col("n_chars") % 3 == 0, F.lit('"nothing":null'))
         object_of = F.to_json(F.struct(*STORED))
         line = F.concat(F.lit("{"), F.concat_ws(",", nested, nothing, F.substr(object_of, F.lit(2))))
-        lines = r.select(F.concat("_shard", F.lit(".jsonl")).alias("_out"), "_shard", "_pos", line.alias("line"))
-        write_chunks(lines, F.encode(F.concat("line", F.lit("\n")), "UTF-8"), out, "open")
+        # Packed line by line, before the shuffle; as a packed file has one reader, files are of some ten thousand records.
+        named = sh.name_shards(r, "count", "jsonl.zst", max_records=10_000)
+        packed = jsonl.zstd_frames(F.encode(F.concat(line, F.lit("\n")), "UTF-8"))
+        write_chunks(named.select("_out", "_place", "_shard", "_pos", packed.alias("frame")), F.col("frame"), out, "open")
 
     folder = written_once(spark, sf, "open", write)
-    listed = paths.list_files(spark, folder, [".jsonl"])
+    listed = paths.list_files(spark, folder, [".jsonl.zst"])
+    rest = F.try_parse_json("_rest")
     parts = []
     for kind, suffix in (("jsonl", ".jsonl"), ("wds", ".tar")):
         out = scratch_path(spark, f"open-{kind}")
         run_waves(spark, listed, out, lambda p: read_shards(spark, p, "uid STRING, n_chars BIGINT"), lambda df: df, output_format=kind)
         back = read_shards(spark, paths.list_files(spark, out, [suffix]), "uid STRING, text STRING, lang STRING, n_chars BIGINT, syn_text ARRAY<STRING>")
-        parts.append(back.withColumn("format", F.lit(suffix[1:])))
-    rest = F.try_parse_json("_rest")
-    return parts[0].unionByName(parts[1]).select(
-        "format",
-        "uid",
-        F.md5("text").alias("text_digest"),
-        "lang",
-        "n_chars",
-        F.md5(F.array_join("syn_text", "|")).alias("syn_digest"),
-        F.when(F.array_contains(F.map_keys(rest.cast("map<string,variant>")), "nothing"), "null").otherwise("absent").alias("nothing"),
-        F.to_json(F.try_variant_get(rest, "$.nested.deep", "variant")).alias("nested"),
-    )
+        digested = back.select(
+            F.lit(suffix[1:]).alias("format"),
+            "uid",
+            F.md5("text").alias("text_digest"),
+            "lang",
+            "n_chars",
+            F.md5(F.array_join("syn_text", "|")).alias("syn_digest"),
+            F.when(F.array_contains(F.map_keys(rest.cast("map<string,variant>")), "nothing"), "null").otherwise("absent").alias("nothing"),
+            F.to_json(F.try_variant_get(rest, "$.nested.deep", "variant")).alias("nested"),
+        )
+        kept = written_anew(spark, f"open-{kind}-digests", digested.write.parquet)
+        parts.append(spark.read.schema(digested.schema).parquet(kept))
+        delete_folder(spark, out)  # read back whole, so that the two outputs never take disk at once
+    return parts[0].unionByName(parts[1])
 
 
 @check(

@@ -9,7 +9,7 @@ import tempfile
 import threading
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,8 +61,13 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPES.folders.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder with all that is in it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -85,20 +90,33 @@ BATCH_BYTES = 8 << 20
 
 
 @contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Jobs started within send their Python workers batches of about ``BATCH_BYTES``, however many rows these are.
-
-    A worker holds a batch several times over, so the memory of all workers would else grow with the rows of a shard.
-    """
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+def _setting(spark: SparkSession, name: str, value: str | int) -> Iterator[None]:
+    """A setting of the session for the jobs started within."""
     before = spark.conf.get(name)
-    spark.conf.set(name, BATCH_BYTES)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Jobs started within send their Python workers batches of about ``BATCH_BYTES``, however many rows these are.
+
+    A worker holds a batch several times over, so the memory of all workers would else grow with the rows of a shard.
+    """
+    return _setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def shuffles_dropped(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries started within delete their shuffle files when they end, each wave of a run its own.
+
+    Else these stay until the driver happens to collect its garbage, so that disk grows with all that was ever
+    written. For writes: their plans run once.
+    """
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 # A table of at most this many short rows may be copied to every executor.
 BROADCAST_ROWS = 200_000
 

@@ -10,6 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
 from shardweave.functions.packing import VECTORS, pack_embedding, unpack_embedding
 from shardweave.functions.tensor import to_bfloat16
@@ -146,6 +147,13 @@ def read_jsonl(
     return records.withColumn(REST, rest).drop("_record")
 
 
+@arrow_udf(T.BinaryType())
+def zstd_frames(chunks: pa.Array) -> pa.Array:
+    """Each chunk as a zstd frame of its own; a file of frames is read as one packed file."""
+    compressor = zstandard.ZstdCompressor()
+    return pa.array([None if c is None else compressor.compress(c) for c in chunks.to_pylist()], pa.binary())
+
+
 def read_jsonl_rejects(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
     """Number of skipped lines per shard."""
     _, is_object = parsed_object(F.col("value"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from shardweave.operators.records import normalise_emb_names, to_members
-from shardweave.session import small_batches
+from shardweave.session import shuffles_dropped, small_batches
 from shardweave.sources.files import open_fs, replace_file
 from shardweave.sources.jsonl import to_json_lines
 from shardweave.sources.tar import TAR_TRAILER, to_tar_chunk
@@ -168,7 +168,7 @@ def write_chunks(
     spark.dataSource.register(ShardFileSink)
     ordered = dealt(df, shards).sortWithinPartitions("_out", "_pos")
     rendered = ordered.select("_out", "_shard", chunk.cast("binary").alias("chunk"))
-    with small_batches(spark):
+    with small_batches(spark), shuffles_dropped(spark):
         rendered.write.format(FORMAT).mode("append").option("run", run).option("trailer", trailer.hex()).save(out)
 
 

@@ -4,7 +4,9 @@ import gzip
 import io
 import json
 import os
+import re
 import tarfile
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -426,3 +428,65 @@ def test_writers_get_batches_of_bounded_bytes(spark, tmp_path):
     sizes = [int(line) for line in (tmp_path / "out" / "a").read_text().split()]
     assert len(sizes) == 600 and max(sizes) <= 2 * BATCH_BYTES
     assert spark.conf.get(name) == before
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files that the session holds."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for name in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    """They went only when the driver collected its garbage, so disk grew with all waves of a run."""
+    before = shuffle_files(spark)
+    write_jsonl(sh.name_shards(records(spark, 20_000, 4).repartition(3, "uid"), "orig"), str(tmp_path / "lines"))
+    write_tar_samples(sh.name_shards(records(spark, 20_000, 4).repartition(3, "uid"), "count", "tar"), str(tmp_path / "tar"))
+    end = time.monotonic() + 30
+    # The tables of names are small and go with the garbage; the records' files are some 10 KB.
+    while (left := [f for f in shuffle_files(spark) - before if os.path.exists(f) and os.path.getsize(f) > 4000]) and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not left
+
+
+def test_packed_lines_are_read_across_frames(spark, tmp_path):
+    """One frame a line, more of them than a block of the reader holds."""
+    rows = spark.range(3000, numPartitions=1).select(F.lit("a.jsonl.zst").alias("_out"), F.lit("a").alias("_shard"), F.col("id").alias("_pos"))
+    line = F.concat(F.to_json(F.struct(F.col("_pos").alias("n"), F.repeat(F.lit("x"), 5000).alias("t"))), F.lit("\n"))
+    frames = rows.withColumn("frame", jsonl.zstd_frames(F.when(F.col("_pos") != 7, F.encode(line, "UTF-8")).otherwise(b"\n")))
+    write_chunks(frames, F.col("frame"), str(tmp_path), "run", shards=1)
+    back = jsonl.read_jsonl(spark, [str(tmp_path / "a.jsonl.zst")], "n BIGINT, t STRING").orderBy("_pos").select("n", F.length("t").alias("k"))
+    assert [tuple(r) for r in back.collect()] == [(n, 5000) for n in range(3000) if n != 7]
+    assert os.path.getsize(tmp_path / "a.jsonl.zst") < 1_000_000
+
+
+def test_open_records_keeps_one_output_on_disk(spark, tmp_path):
+    """Its input lies packed and in files of bounded size, and an output goes once it has been read back."""
+    import duckdb
+
+    from checks import ORACLES, QUERIES
+    from shardweave.session import scratch_root
+    from tests.compare import difference
+
+    n = 12_000
+    words = F.concat_ws(" ", *[F.substring(F.sha2(F.concat("id", F.lit(f"|{k}")), 256), 1, 5) for k in range(12)])
+    documents = spark.range(n).select(
+        (F.col("id") - F.col("id") % 50).alias("doc_id"),  # ids may repeat
+        F.when(F.col("id") % 11 != 0, F.concat(words, F.lit(". "), words, F.lit("."))).alias("text"),
+        F.when(F.col("id") % 7 != 0, "en").alias("lang"),
+        F.lit("all").alias("source"),
+        (F.col("id") % 1000).alias("n_chars"),
+    )
+    documents.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    known = set(os.listdir(scratch_root(spark)))
+    got = QUERIES["open_records"](spark, str(tmp_path)).toPandas()
+    new = set(os.listdir(scratch_root(spark))) - known
+    assert not [name for name in new if re.match(r"open-(jsonl|wds)-[0-9a-f]{32}$", name)]
+    (folder,) = [name for name in new if re.match(r"open-[0-9a-f]{32}$", name)]
+    folder = os.path.join(scratch_root(spark), folder)
+    files = [os.path.join(folder, f) for f in os.listdir(folder) if not f.startswith("_")]
+    # Each line holds the text twice.
+    texts = documents.agg(F.sum(F.length("text"))).first()[0]
+    assert len(files) > 1 and sum(map(os.path.getsize, files)) < 1.25 * texts
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert difference(got, con.execute(ORACLES["open_records"]).df()) is None
